@@ -95,6 +95,15 @@ def maybe_broadcast(df: DataFrame, cells: int) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(cells) else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition to the cluster's parallelism, but only when the
+    input arrives in fewer partitions than there are cores (e.g. one large
+    parquet row group). On a large input read from many files this is a no-op,
+    so it never adds a shuffle where the scan already parallelises."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def hash_uniform(seed: int, *keys: str | Column) -> Column:
     """Layout-independent uniform number in [0, 1) from a seed and key columns.
 

@@ -56,7 +56,10 @@ def _tile_partials(scale: float):
             out_rows, out_ids, out_m, out_l, out_o, out_w = [], [], [], [], [], 0
             for r in range(batch.num_rows):
                 q_ids, (Q,) = _struct_list_to_numpy(qcol[r].values, "q_id", ["q"])
-                _, (K, V) = _struct_list_to_numpy(kcol[r].values, "k_id", ["k", "v"])
+                kcell = kcol[r].values
+                names = [kcell.type.field(i).name for i in range(kcell.type.num_fields)]
+                _, mats = _struct_list_to_numpy(kcell, names[0], names[1:])
+                K, V = mats[0], mats[-1]  # a block without values uses its keys
                 if Q.shape[1] != K.shape[1]:
                     raise ValueError("attention: query and key widths differ")
                 S = (Q @ K.T) * scale
@@ -108,6 +111,7 @@ def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
     group every query attends to every key (use a group on large inputs).
     Returns cells ``(group, id_col, j, value)``.
     """
+    self_attention = keys is None and (k_col in (None, q_col)) and (v_col in (None, q_col, k_col))
     keys = queries if keys is None else keys
     k_col = k_col or q_col
     v_col = v_col or k_col
@@ -115,9 +119,6 @@ def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
     gcol = F.col(group) if group else F.lit(0)
     q = queries.select(gcol.alias("g"), F.col(id_col).cast("bigint").alias("q_id"),
                        F.col(q_col).cast("array<double>").alias("q"))
-    kv = keys.select(gcol.alias("g"), F.col(key_id_col).cast("bigint").alias("k_id"),
-                     F.col(k_col).cast("array<double>").alias("k"),
-                     F.col(v_col).cast("array<double>").alias("v"))
     if d_k is None:
         first = q.select(F.size("q").alias("d")).first()
         if first is None:
@@ -126,7 +127,15 @@ def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
     scale = 1.0 / math.sqrt(float(d_k))
 
     qb = _blocked(q, "q_id", tile, seed, ["q"], "qblock")
-    kb = _blocked(kv, "k_id", tile, seed + 1, ["k", "v"], "kblock")
+    if self_attention:
+        # keys = values = queries: pack once; the second side of the block
+        # join reuses the same exchange instead of re-reading and re-packing
+        kb = qb.select("g", F.col("qblock_b").alias("kblock_b"), F.col("qblock").alias("kblock"))
+    else:
+        kv = keys.select(gcol.alias("g"), F.col(key_id_col).cast("bigint").alias("k_id"),
+                         F.col(k_col).cast("array<double>").alias("k"),
+                         F.col(v_col).cast("array<double>").alias("v"))
+        kb = _blocked(kv, "k_id", tile, seed + 1, ["k", "v"], "kblock")
     pairs = qb.join(kb, "g").select("g", "qblock", "kblock")
 
     gtype = q.schema["g"].dataType

@@ -44,23 +44,31 @@ def linear_init(spark: SparkSession, layer: str, in_dim: int, out_dim: int, seed
                                    zero.alias("grad"), zero.alias("m"), zero.alias("v"))
 
 
-def layer_arrays(params: DataFrame, layer: str, column: str = "value") -> tuple[np.ndarray, np.ndarray]:
-    """``(W, b)`` of one layer as numpy (model-sized; size-checked)."""
-    rows = (params.filter(F.col("layer") == layer).select("name", "i", "j", column)
-            .limit(BROADCAST_CELLS + 1).collect())
+def layer_arrays(params: DataFrame, layer: str | None, column: str = "value"):
+    """``(W, b)`` of one layer as numpy, or ``{layer: (W, b)}`` for all layers
+    when ``layer`` is None. One collect, model-sized and size-checked."""
+    src = params if layer is None else params.filter(F.col("layer") == layer)
+    rows = src.select("layer", "name", "i", "j", column).limit(BROADCAST_CELLS + 1).collect()
     if len(rows) > BROADCAST_CELLS:
-        raise ValueError(f"layer {layer} is too large to ship to tasks")
-    ws = [(r["i"], r["j"], r[column]) for r in rows if r["name"] == "W"]
-    bs = [(r["j"], r[column]) for r in rows if r["name"] == "b"]
-    if not ws:
+        raise ValueError("parameters are too large to ship to tasks")
+    found: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    for name in sorted({r["layer"] for r in rows}):
+        ws = [(r["i"], r["j"], r[column]) for r in rows if r["layer"] == name and r["name"] == "W"]
+        bs = [(r["j"], r[column]) for r in rows if r["layer"] == name and r["name"] == "b"]
+        if not ws:
+            raise ValueError(f"no weights for layer {name}")
+        W = np.zeros((max(i for i, _, _ in ws) + 1, max(j for _, j, _ in ws) + 1))
+        for i, j, v in ws:
+            W[i, j] = v
+        b = np.zeros(W.shape[1])
+        for j, v in bs:
+            b[j] = v
+        found[name] = (W, b)
+    if layer is None:
+        return found
+    if layer not in found:
         raise ValueError(f"no weights for layer {layer}")
-    W = np.zeros((max(i for i, _, _ in ws) + 1, max(j for _, j, _ in ws) + 1))
-    for i, j, v in ws:
-        W[i, j] = v
-    b = np.zeros(W.shape[1])
-    for j, v in bs:
-        b[j] = v
-    return W, b
+    return found[layer]
 
 
 def params_from_arrays(spark: SparkSession, layers: dict[str, tuple[np.ndarray, np.ndarray]]) -> DataFrame:

@@ -2,9 +2,10 @@
 
 Training is full-batch: every epoch is one Spark job over all training rows.
 Each task runs the forward and backward pass of its rows in numpy and emits a
-single partial ``(n, loss, gradient vector)``; Spark sums the partials (a
-shuffle of ``partitions × parameters`` numbers) and only the summed
-parameter-sized vector reaches the driver, which applies Adam. No DataFrame is
+single partial ``(n, loss, gradient vector)``. The partials are summed on the
+driver when ``partitions × parameters`` is small (a one-level tree
+aggregate), otherwise by a Spark aggregation so that only the parameter-sized
+total reaches the driver, which applies Adam. No DataFrame is
 carried from epoch to epoch, so lineage never grows; the training rows are
 persisted once (recomputed from parquet if an executor is lost).
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.core import BROADCAST_CELLS
+from tessera.core import BROADCAST_CELLS, spread
 from tessera.operators.loss import LOG_EPS
 from tessera.plans.layers import adam_numpy, layer_arrays, linear_init, params_from_arrays
 
@@ -142,21 +143,37 @@ def prepare(df: DataFrame, features: str, label: str, row_hash: str | None = Non
                      F.col(label).cast("int").alias("y"), h.cast("bigint").alias("h"))
 
 
+# Largest partitions × parameters count whose partial sums are summed on the
+# driver directly (a one-level tree aggregate); above it Spark sums them.
+DRIVER_REDUCE_MAX = 4_000_000
+
+
 def _totals(prepared: DataFrame, P, p_drop=0.0, epoch=0, seed=0, scale_dropout_grad=False,
             need_grad=True):
-    """Run one pass; the gradient sum is aggregated by Spark, then collected
-    (parameter-sized)."""
+    """One pass over the rows: ``(n, loss_sum, correct, gradient_sum)``.
+
+    Every task emits one partial. When ``partitions × parameters`` is small
+    the partials are summed on the driver (what ``treeAggregate`` does);
+    otherwise Spark sums them per parameter index and only the
+    parameter-sized total is collected.
+    """
     parts = prepared.mapInArrow(_partials(P, p_drop, epoch, seed, scale_dropout_grad, need_grad),
                                 _PARTIAL)
-    if not need_grad:
-        row = parts.agg(F.sum("n").alias("n"), F.sum("loss").alias("loss"),
-                        F.sum("correct").alias("correct")).first()
-        return int(row["n"] or 0), float(row["loss"] or 0.0), int(row["correct"] or 0), None
+    size = sum(p.size for p in P)
+    if not need_grad or prepared.rdd.getNumPartitions() * size <= DRIVER_REDUCE_MAX:
+        n, loss, correct = 0, 0.0, 0
+        g = np.zeros(size) if need_grad else None
+        for r in parts.collect():
+            n, loss, correct = n + r["n"], loss + r["loss"], correct + r["correct"]
+            if need_grad:
+                g += np.asarray(r["g"])
+        if need_grad and n == 0:
+            raise ValueError("mlp: no training rows")
+        return n, loss, correct, g
     exploded = parts.select("n", "loss", "correct", F.posexplode("g").alias("idx", "gv"))
     sums = exploded.groupBy("idx").agg(F.sum("gv").alias("g"), F.sum("n").alias("n"),
                                        F.sum("loss").alias("loss"),
                                        F.sum("correct").alias("correct")).collect()
-    size = sum(p.size for p in P)
     if len(sums) != size:
         raise ValueError("mlp: no training rows")
     g = np.zeros(size)
@@ -167,9 +184,9 @@ def _totals(prepared: DataFrame, P, p_drop=0.0, epoch=0, seed=0, scale_dropout_g
 
 
 def params_arrays(params: DataFrame) -> list[np.ndarray]:
-    W1, b1 = layer_arrays(params, "l1")
-    W2, b2 = layer_arrays(params, "l2")
-    return [W1, b1, W2, b2]
+    """``[W1, b1, W2, b2]`` with one collect (model-sized, size-checked)."""
+    found = layer_arrays(params, None)
+    return [*found["l1"], *found["l2"]]
 
 
 def mlp_init(spark: SparkSession, in_dim: int, hidden: int, classes: int, seed: int) -> DataFrame:
@@ -183,7 +200,7 @@ def mlp_gradients(params: DataFrame, df: DataFrame, features: str, label: str,
     """Loss gradient of every parameter for one full-batch step:
     ``(layer, name, i, j, grad)`` plus ``loss`` (mean cross-entropy) repeated."""
     P = params_arrays(params)
-    n, loss, _, g = _totals(prepare(df, features, label, row_hash), P, p_drop, epoch, seed,
+    n, loss, _, g = _totals(spread(prepare(df, features, label, row_hash)), P, p_drop, epoch, seed,
                             scale_dropout_grad)
     spark = df.sparkSession
     return _grad_table(spark, P, g / n).withColumn("loss", F.lit(loss / n))
@@ -198,7 +215,8 @@ def _grad_table(spark: SparkSession, P, g: np.ndarray) -> DataFrame:
 def mlp_evaluate(params: DataFrame | list, df: DataFrame, features: str, label: str) -> DataFrame:
     """``(n, loss, accuracy)`` of the network without dropout; one job."""
     P = params if isinstance(params, list) else params_arrays(params)
-    n, loss, correct, _ = _totals(prepare(df, features, label, row_hash=None), P, need_grad=False)
+    n, loss, correct, _ = _totals(spread(prepare(df, features, label, row_hash=None)), P,
+                                  need_grad=False)
     spark = df.sparkSession
     return spark.createDataFrame(
         [(n, loss / n if n else None, 100.0 * correct / n if n else None)],
@@ -215,6 +233,8 @@ def mlp_predict(params: DataFrame | list, df: DataFrame, features: str,
     keep = keep or []
     k = P[2].shape[1]
     src = df.select(*keep, F.col(features).cast("array<double>").alias("x"))
+    if not src.isStreaming:
+        src = spread(src)
     fields = [f for f in src.schema.fields if f.name in keep]
     schema = T.StructType(fields + [T.StructField("pred", T.IntegerType())]
                           + [T.StructField(f"p{c}", T.DoubleType()) for c in range(k)])
@@ -248,8 +268,10 @@ def mlp_train(train: DataFrame, val: DataFrame, features: str, label: str, *,
     val_acc)``; validation runs without dropout every ``eval_every`` epochs.
     """
     spark = train.sparkSession
-    tr = prepare(train, features, label, row_hash).persist(StorageLevel.MEMORY_AND_DISK)
-    va = prepare(val, features, label, row_hash).persist(StorageLevel.MEMORY_AND_DISK)
+    # persisted once for all epochs; a lost block is recomputed from its
+    # (short, deterministic) lineage
+    tr = spread(prepare(train, features, label, row_hash)).persist(StorageLevel.MEMORY_AND_DISK)
+    va = spread(prepare(val, features, label, row_hash)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         in_dim = tr.select(F.size("x")).first()[0]
         params = init if init is not None else mlp_init(spark, in_dim, hidden, classes, seed)
