@@ -25,7 +25,7 @@ from tessera.operators import elementwise as ew
 from tessera.operators import linalg, loss, shape, softmax, split
 from tessera.operators.attention import attention
 from tessera.plans import layers, mlp
-from tessera.session import scratch_table_path
+from tessera.session import scratch_table_path, ship_package
 from tessera.sources import csv, fill
 from tessera.sources.packing import cells_to_rows, rows_to_cells
 from tessera.sources.tables import read_table
@@ -431,7 +431,18 @@ def q_mlp_predict_stream(spark, sf):
         "l_orderkey", "l_linenumber", "pred", *[_r(F.col(f"p{c}")).alias(f"p{c}") for c in range(3)])
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Registered form of a query: first make the package importable on the
+    executors (once per context), then build the query."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "attention_by_label": q_attention_by_label,
     "attention_by_label_tiled": q_attention_by_label_tiled,
     "rows_to_cells": q_rows_to_cells,
@@ -484,3 +495,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mlp_evaluate": q_mlp_evaluate,
     "mlp_train": q_mlp_train,
 }
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    name: _shipped(fn) for name, fn in _QUERIES.items()}

@@ -9,11 +9,42 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
+_PKG_DIR = os.path.dirname(os.path.abspath(__file__))
+_shipped: set[str] = set()
+_ship_lock = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in the Python workers of this context.
+
+    Task closures refer to functions of this package, so executors must be able
+    to import it. The package is zipped on the driver once per SparkContext and
+    handed to ``addPyFile`` (what ``spark-submit --py-files`` does); Spark's
+    file server distributes it to every executor.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    with _ship_lock:
+        if key in _shipped:
+            return
+        folder = tempfile.mkdtemp(prefix="tessera-pkg-")
+        path = os.path.join(folder, "tessera.zip")
+        root = os.path.dirname(_PKG_DIR)
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+            for dirpath, _, files in os.walk(_PKG_DIR):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(dirpath, f)
+                        zf.write(full, os.path.relpath(full, root))
+        sc.addPyFile(path)
+        _shipped.add(key)
 
 
 def build_session(master: str | None = None, partitions: int | None = None,
@@ -38,6 +69,7 @@ def build_session(master: str | None = None, partitions: int | None = None,
     )
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 

@@ -14,7 +14,7 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    from tessera.session import checkpoint_dir
+    from tessera.session import checkpoint_dir, ship_package
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
@@ -24,6 +24,7 @@ def spark():
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)
+    ship_package(s)
     yield s
 
 
