@@ -95,13 +95,20 @@ def maybe_broadcast(df: DataFrame, cells: int) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(cells) else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition to the cluster's parallelism, but only when the
-    input arrives in fewer partitions than there are cores (e.g. one large
-    parquet row group). On a large input read from many files this is a no-op,
-    so it never adds a shuffle where the scan already parallelises."""
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition to the cluster's parallelism, but only when the input
+    arrives in fewer partitions than there are cores (e.g. one large parquet
+    row group). Hash partitioning on ``keys`` (deterministic without the sort
+    a round-robin repartition needs); round robin when no key is given.
+
+    Meant for data that is persisted and scanned many times (training rows):
+    a one-pass job is better off without the extra shuffle. On large inputs
+    read from many files this is a no-op.
+    """
     target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
 def hash_uniform(seed: int, *keys: str | Column) -> Column:

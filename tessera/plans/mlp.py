@@ -200,7 +200,7 @@ def mlp_gradients(params: DataFrame, df: DataFrame, features: str, label: str,
     """Loss gradient of every parameter for one full-batch step:
     ``(layer, name, i, j, grad)`` plus ``loss`` (mean cross-entropy) repeated."""
     P = params_arrays(params)
-    n, loss, _, g = _totals(spread(prepare(df, features, label, row_hash)), P, p_drop, epoch, seed,
+    n, loss, _, g = _totals(prepare(df, features, label, row_hash), P, p_drop, epoch, seed,
                             scale_dropout_grad)
     spark = df.sparkSession
     return _grad_table(spark, P, g / n).withColumn("loss", F.lit(loss / n))
@@ -215,8 +215,7 @@ def _grad_table(spark: SparkSession, P, g: np.ndarray) -> DataFrame:
 def mlp_evaluate(params: DataFrame | list, df: DataFrame, features: str, label: str) -> DataFrame:
     """``(n, loss, accuracy)`` of the network without dropout; one job."""
     P = params if isinstance(params, list) else params_arrays(params)
-    n, loss, correct, _ = _totals(spread(prepare(df, features, label, row_hash=None)), P,
-                                  need_grad=False)
+    n, loss, correct, _ = _totals(prepare(df, features, label, row_hash=None), P, need_grad=False)
     spark = df.sparkSession
     return spark.createDataFrame(
         [(n, loss / n if n else None, 100.0 * correct / n if n else None)],
@@ -233,8 +232,6 @@ def mlp_predict(params: DataFrame | list, df: DataFrame, features: str,
     keep = keep or []
     k = P[2].shape[1]
     src = df.select(*keep, F.col(features).cast("array<double>").alias("x"))
-    if not src.isStreaming:
-        src = spread(src)
     fields = [f for f in src.schema.fields if f.name in keep]
     schema = T.StructType(fields + [T.StructField("pred", T.IntegerType())]
                           + [T.StructField(f"p{c}", T.DoubleType()) for c in range(k)])
@@ -270,8 +267,8 @@ def mlp_train(train: DataFrame, val: DataFrame, features: str, label: str, *,
     spark = train.sparkSession
     # persisted once for all epochs; a lost block is recomputed from its
     # (short, deterministic) lineage
-    tr = spread(prepare(train, features, label, row_hash)).persist(StorageLevel.MEMORY_AND_DISK)
-    va = spread(prepare(val, features, label, row_hash)).persist(StorageLevel.MEMORY_AND_DISK)
+    tr = spread(prepare(train, features, label, row_hash), "h").persist(StorageLevel.MEMORY_AND_DISK)
+    va = spread(prepare(val, features, label, row_hash), "h").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         in_dim = tr.select(F.size("x")).first()[0]
         params = init if init is not None else mlp_init(spark, in_dim, hidden, classes, seed)
