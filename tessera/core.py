@@ -111,19 +111,28 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
-def hash_uniform(seed: int, *keys: str | Column) -> Column:
-    """Layout-independent uniform number in [0, 1) from a seed and key columns.
+HASH_BITS = 52
 
-    md5 of ``seed|key1|key2...``; the first 13 hex digits (52 bits) divided by
-    2**52. The same number comes out however the data is partitioned, and the
-    same expression exists in plain SQL, so it can be checked by an oracle and
-    recomputed exactly when a task is retried.
-    """
+
+def hash_bits(seed: int, *keys: str | Column) -> Column:
+    """52 hash bits (a BIGINT in ``[0, 2**52)``) of ``seed|key1|key2...``: the
+    first 13 hex digits of the md5. Exact integer, so bit prefixes can be used
+    as buckets without any rounding question."""
     parts = [F.lit(str(int(seed)))] + [
         (k if isinstance(k, Column) else F.col(k)).cast("string") for k in keys
     ]
     digest = F.md5(F.concat_ws("|", *parts))
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") / F.lit(float(2 ** 52))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
+
+
+def hash_uniform(seed: int, *keys: str | Column) -> Column:
+    """Layout-independent uniform number in [0, 1) from a seed and key columns.
+
+    ``hash_bits / 2**52``. The same number comes out however the data is
+    partitioned, and the same expression exists in plain SQL, so it can be
+    checked by an oracle and recomputed exactly when a task is retried.
+    """
+    return hash_bits(seed, *keys) / F.lit(float(2 ** HASH_BITS))
 
 
 def hash_uniform_sql(seed: int, *keys: str) -> str:

@@ -46,7 +46,7 @@ def _struct_list_to_numpy(cell: pa.StructArray, id_field: str, vec_fields: list[
     return ids, mats
 
 
-def _tile_partials(scale: float):
+def _tile_partials(scale: float | None):
     """Arrow batches of block pairs -> per-query partial softmax triples."""
 
     def run(batches):
@@ -62,7 +62,7 @@ def _tile_partials(scale: float):
                 K, V = mats[0], mats[-1]  # a block without values uses its keys
                 if Q.shape[1] != K.shape[1]:
                     raise ValueError("attention: query and key widths differ")
-                S = (Q @ K.T) * scale
+                S = (Q @ K.T) * (scale if scale is not None else 1.0 / math.sqrt(K.shape[1]))
                 m = S.max(axis=1)
                 P = np.exp(S - m[:, None])
                 out_rows.append(np.full(len(q_ids), r, dtype=np.int64))
@@ -119,12 +119,8 @@ def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
     gcol = F.col(group) if group else F.lit(0)
     q = queries.select(gcol.alias("g"), F.col(id_col).cast("bigint").alias("q_id"),
                        F.col(q_col).cast("array<double>").alias("q"))
-    if d_k is None:
-        first = q.select(F.size("q").alias("d")).first()
-        if first is None:
-            raise ValueError("attention: no queries")
-        d_k = int(first["d"])
-    scale = 1.0 / math.sqrt(float(d_k))
+    # without d_k, each task scales by the key width it sees (no extra job)
+    scale = None if d_k is None else 1.0 / math.sqrt(float(d_k))
 
     qb = _blocked(q, "q_id", tile, seed, ["q"], "qblock")
     if self_attention:

@@ -196,5 +196,14 @@ def gram_rows(df: DataFrame, col: str) -> Cells:
 
     first = df.select(F.size(col).alias("d")).first()
     d = int(first["d"]) if first else 0
+    if d * d > BROADCAST_CELLS:
+        # a d × d partial per task would not be bounded: use the block product
+        # of the cell form instead (Xᵀ is a column rename)
+        from tessera.operators.shape import transpose
+        from tessera.sources.packing import rows_to_cells
+        key = df.select(F.monotonically_increasing_id().alias("_r"), col)
+        x = rows_to_cells(key, "_r", col, n_rows=1, width=d)
+        x = Cells(x.df, (2 ** 62, d))  # row ids are sparse; only the inner index matters
+        return matmul(transpose(x), x, method="block")
     parts = df.select(F.col(col).cast("array<double>").alias(col)).mapInArrow(run, schema)
     return Cells(parts.groupBy("c0", "c1").agg(F.sum("value").alias("value")), (d, d))

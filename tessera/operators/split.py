@@ -1,16 +1,20 @@
 """Seeded permutation rank, exact train/validation split, row cap.
 
-Both use the layout-independent draw ``u = u(seed, keys)``; the order is
-``(u, keys...)``, so ties between equal draws are broken by the (unique) keys.
-Neither needs a global window over all rows:
-
-* ``shuffle_rank`` cuts ``[0, 1)`` into equal-width buckets of ``u`` (even by
-  construction, because ``u`` is a hash), counts each bucket, turns the counts
-  into offsets with a window over the small count table, and ranks rows
-  inside their own bucket only.
-* ``train_val_split`` finds the bucket that holds the cut (histogram), ranks
-  only that bucket's rows to find the exact cut row, and then classifies all
-  rows with one lexicographic comparison — a pure projection.
+Both order rows by ``(b, keys...)`` where ``b = hash_bits(seed, keys)`` is a
+52-bit hash of the (unique) keys — the integer behind ``u = b / 2**52`` — so
+ties between equal hashes are broken by the keys. Buckets are bit prefixes of
+``b``: even by construction, exact, and refinable. Neither operator needs a
+global window over all rows:
+
+* ``shuffle_rank`` counts a 12-bit prefix histogram (at most 4096 rows to the
+  driver), picks a prefix length that leaves ~``ROWS_PER_BUCKET`` rows per
+  bucket, turns bucket counts into offsets with a window over the count table,
+  and ranks rows inside their own bucket only.
+* ``train_val_split`` finds the bucket holding the cut from the same kind of
+  histogram, refines it by 12 more bits while it is larger than
+  ``RANK_MAX`` rows (one pass per level: one level up to ~8·10⁹ rows), ranks
+  only that bucket to find the exact cut row, and then classifies every row
+  with one lexicographic comparison — a projection.
 """
 
 from __future__ import annotations
@@ -20,13 +24,15 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.core import hash_uniform, maybe_broadcast
+from tessera.core import HASH_BITS, hash_bits, maybe_broadcast
 
-ROWS_PER_BUCKET = 500_000
+LEVEL_BITS = 12
+ROWS_PER_BUCKET = 1_000_000
+RANK_MAX = 2_000_000
 
 
-def _draw(df: DataFrame, keys: list[str], seed: int) -> DataFrame:
-    return df.withColumn("_u", hash_uniform(seed, *keys))
+def _prefix(bits: int) -> Column:
+    return F.shiftright(F.col("_h"), HASH_BITS - bits)
 
 
 def _lex_le(cols: list[str], vals: list) -> Column:
@@ -37,47 +43,77 @@ def _lex_le(cols: list[str], vals: list) -> Column:
     return cond
 
 
+def _histogram(x: DataFrame, bits: int, where: Column | None = None) -> list[tuple[int, int]]:
+    """Sorted ``(bucket, count)`` of a ``bits``-long prefix (≤ 4096 buckets
+    below the given bucket, so the result is bounded)."""
+    src = x if where is None else x.filter(where)
+    rows = src.groupBy(_prefix(bits).alias("_bk")).agg(F.count(F.lit(1)).alias("_c")).collect()
+    return sorted((int(r["_bk"]), int(r["_c"])) for r in rows)
+
+
+def _hashed(df: DataFrame, keys: list[str], seed: int, hash_col: str | None) -> DataFrame:
+    """Rows with the 52-bit draw ``_h``; a caller that persists its rows can
+    store ``hash_bits(seed, keys)`` once and pass its name as ``hash_col``
+    (the md5 is the costly part of every pass)."""
+    return df.withColumn("_h", F.col(hash_col) if hash_col else hash_bits(seed, *keys))
+
+
 def shuffle_rank(df: DataFrame, keys: list[str], seed: int, rank_col: str = "rank",
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Position (1-based) of every row in a seeded random permutation."""
-    n = df.count()
-    nb = max(1, math.ceil(n / rows_per_bucket))
-    x = _draw(df, keys, seed).withColumn("_bk", F.floor(F.col("_u") * F.lit(nb)).cast("bigint"))
-    counts = x.groupBy("_bk").agg(F.count(F.lit(1)).alias("_c"))
+                 rows_per_bucket: int = ROWS_PER_BUCKET, hash_col: str | None = None) -> DataFrame:
+    """Position (1-based) of every row in a seeded random permutation.
+
+    ``keys`` must identify rows uniquely (ties of the hash are broken by them).
+    """
+    x = _hashed(df, keys, seed, hash_col)
+    coarse = _histogram(x, LEVEL_BITS)
+    biggest = max((c for _, c in coarse), default=0)
+    extra = max(0, math.ceil(math.log2(max(1.0, biggest / rows_per_bucket))))
+    bits = min(HASH_BITS, LEVEL_BITS + extra)
+    xb = x.withColumn("_bk", _prefix(bits))
+    counts = xb.groupBy("_bk").agg(F.count(F.lit(1)).alias("_c"))
     before = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bk", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    inner = Window.partitionBy("_bk").orderBy("_u", *keys)
-    ranked = (x.join(maybe_broadcast(offsets, nb), "_bk")
+    inner = Window.partitionBy("_bk").orderBy("_h", *keys)
+    n_buckets = min(2 ** bits, sum(c for _, c in coarse))
+    ranked = (xb.join(maybe_broadcast(offsets, n_buckets), "_bk")
               .withColumn(rank_col, F.col("_off") + F.row_number().over(inner)))
-    return ranked.drop("_u", "_bk", "_off")
+    return ranked.drop("_h", "_bk", "_off")
 
 
 def train_val_split(df: DataFrame, keys: list[str], frac: float = 0.8, seed: int = 7,
-                    flag_col: str = "is_train", buckets: int | None = None) -> DataFrame:
+                    flag_col: str = "is_train", rank_max: int = RANK_MAX,
+                    hash_col: str | None = None) -> DataFrame:
     """Flag exactly ``floor(frac · n)`` rows as training rows (the first ones
-    of the seeded permutation), the rest as validation rows."""
+    of the seeded permutation), the rest as validation rows.
+    ``keys`` must identify rows uniquely."""
     if not 0.0 <= frac <= 1.0:
         raise ValueError("train_val_split: frac must be in [0, 1]")
-    n = df.count()
-    target = int(math.floor(frac * n))
-    x = _draw(df, keys, seed)
-    if target == 0 or target == n:
-        return x.drop("_u").withColumn(flag_col, F.lit(target == n))
-    nb = buckets or max(1024, math.ceil(n / 100_000))
-    xb = x.withColumn("_bk", F.floor(F.col("_u") * F.lit(nb)).cast("bigint"))
-    counts = xb.groupBy("_bk").agg(F.count(F.lit(1)).alias("_c"))
-    upto = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, 0)
-    cum = counts.withColumn("_cum", F.sum("_c").over(upto))
-    edge = (cum.filter((F.col("_cum") >= target) & (F.col("_cum") - F.col("_c") < target))
-            .select("_bk", (F.lit(target) - (F.col("_cum") - F.col("_c"))).alias("_r")).first())
-    bk, r = int(edge["_bk"]), int(edge["_r"])
-    order = ["_u", *keys]
-    in_bucket = Window.orderBy(*order)
-    cut = (xb.filter(F.col("_bk") == bk).select(*order)
-           .withColumn("_rn", F.row_number().over(in_bucket))
-           .filter(F.col("_rn") == r).select(*order).first())
+    x = _hashed(df, keys, seed, hash_col)
+    hist = _histogram(x, LEVEL_BITS)
+    n = sum(c for _, c in hist)
+    need = int(math.floor(frac * n))  # rows still to place in the current bucket
+    if need == 0:
+        return x.drop("_h").withColumn(flag_col, F.lit(False))
+    bits, where = LEVEL_BITS, None
+    while True:
+        seen = 0
+        for bucket, count in hist:
+            if seen + count >= need:
+                break
+            seen += count
+        need -= seen
+        where = _prefix(bits) == F.lit(bucket)
+        if count <= rank_max or bits >= HASH_BITS:
+            break
+        step = min(LEVEL_BITS, HASH_BITS - bits)
+        bits += step
+        hist = _histogram(x, bits, where)
+    order = ["_h", *keys]
+    cut = (x.filter(where).select(*order)
+           .withColumn("_rn", F.row_number().over(Window.orderBy(*order)))
+           .filter(F.col("_rn") == need).select(*order).first())
     flag = _lex_le(order, [cut[c] for c in order])
-    return x.withColumn(flag_col, flag).drop("_u")
+    return x.withColumn(flag_col, flag).drop("_h")
 
 
 def head(df: DataFrame, max_rows: int | None) -> DataFrame:
@@ -87,4 +123,3 @@ def head(df: DataFrame, max_rows: int | None) -> DataFrame:
 
 def split_sizes(df: DataFrame, flag_col: str = "is_train") -> DataFrame:
     return df.groupBy(flag_col).agg(F.count(F.lit(1)).alias("n"))
-

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tessera.core import Cells, coord_names, hash_uniform, prod
 
 
+# Cells generated per task (~100 MB of rows): the partition count grows with
+# the matrix, so no task ever generates an unbounded share of it.
+ROWS_PER_PARTITION = 4_000_000
+
+
 def _grid(spark: SparkSession, shape: tuple[int, ...], partitions: int | None = None):
     """One row per flat index with its row-major coordinates."""
     n = prod(shape)
-    parts = partitions or max(1, min(4096, n // 1_000_000 + 1))
+    parts = partitions or max(1, math.ceil(n / ROWS_PER_PARTITION))
     flat = spark.range(0, n, numPartitions=parts).withColumnRenamed("id", "_flat")
     strides = [prod(shape[d + 1:]) for d in range(len(shape))]
     cols = [

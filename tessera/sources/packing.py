@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.core import Cells
+from tessera.core import BROADCAST_CELLS, Cells
 
 
 def rows_to_cells(df: DataFrame, key: str, array_col: str | None = None,
@@ -41,6 +41,8 @@ def cells_to_rows(cells: Cells, key: str = "c0", out: str = "features") -> DataF
     """
     if cells.ndim != 2:
         raise ValueError("cells_to_rows needs a 2-d matrix")
+    if cells.shape[1] > BROADCAST_CELLS:
+        raise ValueError(f"cells_to_rows: rows of {cells.shape[1]} values are too wide to pack")
     grouped = cells.df.groupBy("c0").agg(
         F.array_sort(F.collect_list(F.struct("c1", "value"))).alias("_cells"))
     return grouped.select(F.col("c0").alias(key),

@@ -153,10 +153,25 @@ def test_attention_one_hot_group(spark):
 def test_shuffle_rank_is_a_permutation(spark):
     from tessera.operators import split
     orders = spark.read.parquet(f"{SF001}/orders.parquet").select("o_orderkey")
-    ranks = split.shuffle_rank(orders, ["o_orderkey"], 3, rows_per_bucket=100)
+    ranks = split.shuffle_rank(orders, ["o_orderkey"], 3, rows_per_bucket=10)
     got = sorted(r["rank"] for r in ranks.collect())
     assert got == list(range(1, orders.count() + 1))
-    again = split.shuffle_rank(orders.repartition(7), ["o_orderkey"], 3, rows_per_bucket=333)
+    # a split refined over several prefix levels gives the same cut
+    coarse = split.train_val_split(orders, ["o_orderkey"], 0.37, 5)
+    fine = split.train_val_split(orders, ["o_orderkey"], 0.37, 5, rank_max=1)
+    a_set = {r["o_orderkey"] for r in coarse.filter("is_train").collect()}
+    assert len(a_set) == int(0.37 * orders.count())
+    assert a_set == {r["o_orderkey"] for r in fine.filter("is_train").collect()}
+    again = split.shuffle_rank(orders.repartition(7), ["o_orderkey"], 3)
     a = {r["o_orderkey"]: r["rank"] for r in ranks.collect()}
     b = {r["o_orderkey"]: r["rank"] for r in again.collect()}
     assert a == b
+
+
+def test_gram_falls_back_to_blocks_for_wide_rows(spark, monkeypatch):
+    from tessera.operators import linalg as la
+    rows = spark.read.parquet(f"{SF001}/embeddings.parquet")
+    want = dense(la.gram_rows(rows, "embedding"))
+    monkeypatch.setattr(la, "BROADCAST_CELLS", 100)
+    got = dense(la.gram_rows(rows, "embedding"))
+    assert np.allclose(got, want, atol=1e-12)
