@@ -1,20 +1,27 @@
 """Scaled dot-product attention, ``softmax(Q Kᵀ / sqrt(d_k)) V``, per group.
 
-Plan (no step ever holds or emits all row pairs of a group):
-
-1. Count queries and keys per group (partial aggregation, one small table).
-2. Give every row a block number inside its group,
-   ``floor(u(id) * ceil(n_group / tile))`` — hash-based, so blocks are even
-   in expectation and a hot group simply gets more blocks.
-3. Pack each (group, block) into one row (bounded by ``tile`` vectors).
-4. Join query blocks with key blocks on the group: one row per *block pair*.
-5. ``mapInArrow``: per block pair, numpy computes the tile's scores and
-   returns, per query, the partial triple (row max ``m``, ``l = Σ exp(s-m)``,
-   ``o = Σ exp(s-m)·v``).
-6. Merge the triples exactly (the online-softmax merge is associative):
-   ``M = max m`` over the query's partials (window on ``(group, query)``),
-   then ``Σ o·exp(m-M) / Σ l·exp(m-M)`` by ``(group, query, j)``. The window's
-   partitioning already satisfies the final group-by, so this is one shuffle.
+Plan (no step holds or emits all row pairs of a group, and a group holding a
+third of all rows is spread over many tasks):
+
+1. Count queries and keys per group (partial aggregation) and derive the
+   number of query and key blocks per group: ``ceil(n / tile)``.
+2. Attach the block counts to the rows (broadcast when the number of groups
+   is proven small; otherwise a shuffle join followed by a spread on
+   ``(group, block)``) and give every row a hash block inside its group,
+   ``floor(u(id) · n_blocks)`` — even in expectation, and a hot group simply
+   gets more blocks.
+3. Pack each (group, block) into one row (about ``tile`` vectors).
+4. Replicate every key block to each query block of its group (explode of
+   the block count) and join on ``(group, query block)``: the work of one
+   hot group lands on as many tasks as it has query blocks.
+5. ``mapInArrow``: per block pair numpy computes the scores and, per query,
+   the partial triple (row max ``m``, ``l = Σ exp(s-m)``, ``o = Σ exp(s-m)·v``);
+   triples of the same query are merged inside the task (the online-softmax
+   merge is associative), so a task emits about one row per query.
+6. Exact final merge in Spark: ``M = max m`` over the query's partials
+   (window on ``(group, query)``), then ``Σ o·exp(m-M) / Σ l·exp(m-M)`` by
+   ``(group, query, j)``; the window's partitioning already satisfies the
+   group-by, so this is one shuffle.
 """
 
 from __future__ import annotations
@@ -27,91 +34,104 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.core import Cells, hash_uniform
+from tessera.core import BROADCAST_CELLS, Cells, hash_uniform
 from tessera.sources.packing import cells_to_rows
 
-DEFAULT_TILE = 256
+DEFAULT_TILE = 512
 
 
-def _struct_list_to_numpy(cell: pa.StructArray, id_field: str, vec_fields: list[str]):
-    ids = cell.field(id_field).to_numpy(zero_copy_only=False)
+def _struct_list_to_numpy(cell: pa.StructArray):
+    """(ids, [matrices...]) of a packed block; fields are id, then vectors."""
+    names = [cell.type.field(i).name for i in range(cell.type.num_fields)]
+    ids = cell.field(names[0]).to_numpy(zero_copy_only=False)
     n = len(ids)
     mats = []
-    for f in vec_fields:
-        col = cell.field(f)
-        flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    for f in names[1:]:
+        flat = cell.field(f).flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
         if n and flat.size % n:
             raise ValueError(f"attention: vectors in '{f}' have different lengths")
         mats.append(flat.reshape(n, flat.size // n if n else 0))
     return ids, mats
 
 
+def _merge(state, m2, l2, o2):
+    """Online-softmax merge of two partial triples for the same queries."""
+    m1, l1, o1 = state
+    m = np.maximum(m1, m2)
+    a, b = np.exp(m1 - m), np.exp(m2 - m)
+    return m, l1 * a + l2 * b, o1 * a[:, None] + o2 * b[:, None]
+
+
 def _tile_partials(scale: float | None):
-    """Arrow batches of block pairs -> per-query partial softmax triples."""
+    """Arrow batches of block pairs -> one merged partial triple per query."""
 
     def run(batches):
+        states: dict = {}
+        groups: dict = {}
         for batch in batches:
-            qcol = batch.column("qblock")
-            kcol = batch.column("kblock")
-            out_rows, out_ids, out_m, out_l, out_o, out_w = [], [], [], [], [], 0
+            gcol, bcol = batch.column("g"), batch.column("_b").to_pylist()
+            qcol, kcol = batch.column("qblock"), batch.column("kblock")
+            gvals = gcol.to_pylist()
             for r in range(batch.num_rows):
-                q_ids, (Q,) = _struct_list_to_numpy(qcol[r].values, "q_id", ["q"])
-                kcell = kcol[r].values
-                names = [kcell.type.field(i).name for i in range(kcell.type.num_fields)]
-                _, mats = _struct_list_to_numpy(kcell, names[0], names[1:])
+                q_ids, (Q,) = _struct_list_to_numpy(qcol[r].values)
+                _, mats = _struct_list_to_numpy(kcol[r].values)
                 K, V = mats[0], mats[-1]  # a block without values uses its keys
                 if Q.shape[1] != K.shape[1]:
                     raise ValueError("attention: query and key widths differ")
-                S = (Q @ K.T) * (scale if scale is not None else 1.0 / math.sqrt(K.shape[1]))
+                s = scale if scale is not None else 1.0 / math.sqrt(K.shape[1])
+                S = (Q @ K.T) * s
                 m = S.max(axis=1)
                 P = np.exp(S - m[:, None])
-                out_rows.append(np.full(len(q_ids), r, dtype=np.int64))
-                out_ids.append(q_ids)
-                out_m.append(m)
-                out_l.append(P.sum(axis=1))
-                out_o.append(P @ V)
-                out_w = V.shape[1]
-            if not out_ids:
-                continue
-            take = pa.array(np.concatenate(out_rows))
-            o = np.concatenate(out_o).reshape(-1)
-            n = int(take.__len__())
-            offsets = pa.array(np.arange(0, n * out_w + 1, out_w, dtype=np.int32))
+                key = (gvals[r], bcol[r])
+                part = (m, P.sum(axis=1), P @ V)
+                if key in states:
+                    if not np.array_equal(states[key][0], q_ids):
+                        raise ValueError("attention: a query block arrived with different rows")
+                    states[key] = (q_ids, *_merge(states[key][1:], *part))
+                else:
+                    states[key] = (q_ids, *part)
+                    groups[key] = gcol.slice(r, 1)
+        for key, (q_ids, m, l, o) in states.items():
+            n, w = len(q_ids), o.shape[1]
+            offsets = pa.array(np.arange(0, n * w + 1, w, dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("g").take(take),
-                 pa.array(np.concatenate(out_ids).astype(np.int64)),
-                 pa.array(np.concatenate(out_m)),
-                 pa.array(np.concatenate(out_l)),
-                 pa.ListArray.from_arrays(offsets, pa.array(o))],
+                [groups[key].take(pa.array(np.zeros(n, dtype=np.int64))),
+                 pa.array(q_ids.astype(np.int64)), pa.array(m), pa.array(l),
+                 pa.ListArray.from_arrays(offsets, pa.array(o.reshape(-1)))],
                 names=["g", "q_id", "m", "l", "o"])
 
     return run
 
 
-def _blocked(df: DataFrame, id_col: str, tile: int, seed: int, fields: list[str],
-             name: str) -> DataFrame:
-    """Assign hash blocks inside each group and pack each block into one row."""
-    sizes = df.groupBy("g").agg(F.count(F.lit(1)).alias("_n"))
-    nblocks = F.ceil(F.col("_n") / F.lit(float(tile)))
-    with_block = (df.join(sizes, "g")
-                  .withColumn("_b", F.floor(hash_uniform(seed, id_col) * nblocks).cast("bigint")))
-    return with_block.groupBy("g", "_b").agg(
-        F.collect_list(F.struct(id_col, *fields)).alias(name)).withColumnRenamed("_b", f"{name}_b")
+def _packed(rows: DataFrame, sizes: DataFrame, n_col: str, id_col: str, seed: int,
+            fields: list[str], name: str, spread: bool) -> DataFrame:
+    """Hash block inside the group, then one packed row per (group, block)."""
+    x = rows.join(sizes.select("g", n_col), "g").withColumn(
+        "_b", F.floor(hash_uniform(seed, id_col) * F.col(n_col)).cast("bigint"))
+    if spread:
+        # rows arrive partitioned by group after a shuffle join; without this
+        # a hot group would be packed in one task
+        x = x.repartition("g", "_b")
+    return x.groupBy("g", "_b").agg(F.collect_list(F.struct(id_col, *fields)).alias(name))
 
 
 def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
               q_col: str, k_col: str | None = None, v_col: str | None = None,
               key_id_col: str | None = None, group: str | None = None,
-              d_k: int | None = None, tile: int = DEFAULT_TILE, seed: int = 17) -> DataFrame:
+              d_k: int | None = None, tile: int = DEFAULT_TILE, key_tile: int | None = None,
+              seed: int = 17) -> DataFrame:
     """Grouped single-head attention on packed rows.
 
     ``queries`` holds ``id_col`` and the query vector ``q_col``; ``keys`` (the
     same table when omitted: self-attention) holds ``key_id_col``, ``k_col``
     and ``v_col``. Rows only attend to keys of the same ``group``; without a
-    group every query attends to every key (use a group on large inputs).
-    Returns cells ``(group, id_col, j, value)``.
+    group every query attends to every key. ``tile`` / ``key_tile`` bound the
+    number of vectors per query / key block. Returns cells
+    ``(group, id_col, j, value)``.
     """
-    self_attention = keys is None and (k_col in (None, q_col)) and (v_col in (None, q_col, k_col))
+    key_tile = key_tile or tile
+    self_attention = (keys is None and k_col in (None, q_col) and v_col in (None, q_col, k_col)
+                      and key_tile == tile)
     keys = queries if keys is None else keys
     k_col = k_col or q_col
     v_col = v_col or k_col
@@ -119,20 +139,35 @@ def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
     gcol = F.col(group) if group else F.lit(0)
     q = queries.select(gcol.alias("g"), F.col(id_col).cast("bigint").alias("q_id"),
                        F.col(q_col).cast("array<double>").alias("q"))
+    kv = keys.select(gcol.alias("g"), F.col(key_id_col).cast("bigint").alias("k_id"),
+                     F.col(k_col).cast("array<double>").alias("k"),
+                     F.col(v_col).cast("array<double>").alias("v"))
     # without d_k, each task scales by the key width it sees (no extra job)
     scale = None if d_k is None else 1.0 / math.sqrt(float(d_k))
 
-    qb = _blocked(q, "q_id", tile, seed, ["q"], "qblock")
+    nq = q.groupBy("g").agg(F.count(F.lit(1)).alias("_nq"))
+    nk = nq.withColumnRenamed("_nq", "_nk") if self_attention else \
+        kv.groupBy("g").agg(F.count(F.lit(1)).alias("_nk"))
+    sizes = nq.join(nk, "g").select(
+        "g", F.ceil(F.col("_nq") / F.lit(float(tile))).alias("_qn"),
+        F.ceil(F.col("_nk") / F.lit(float(key_tile))).alias("_kn"))
+    # one row per group: broadcast only when the group count is proven small
+    n_groups = sizes.limit(BROADCAST_CELLS + 1).count()
+    small = n_groups <= BROADCAST_CELLS
+    if small:
+        sizes = F.broadcast(sizes)
+
+    qb = _packed(q, sizes, "_qn", "q_id", seed, ["q"], "qblock", not small)
     if self_attention:
-        # keys = values = queries: pack once; the second side of the block
-        # join reuses the same exchange instead of re-reading and re-packing
-        kb = qb.select("g", F.col("qblock_b").alias("kblock_b"), F.col("qblock").alias("kblock"))
+        # keys = values = queries: the key blocks are the query blocks; the
+        # plan reuses the same exchange instead of re-reading and re-packing
+        kb = qb.withColumnRenamed("qblock", "kblock")
     else:
-        kv = keys.select(gcol.alias("g"), F.col(key_id_col).cast("bigint").alias("k_id"),
-                         F.col(k_col).cast("array<double>").alias("k"),
-                         F.col(v_col).cast("array<double>").alias("v"))
-        kb = _blocked(kv, "k_id", tile, seed + 1, ["k", "v"], "kblock")
-    pairs = qb.join(kb, "g").select("g", "qblock", "kblock")
+        kb = _packed(kv, sizes, "_kn", "k_id", seed + 1, ["k", "v"], "kblock", not small)
+    # every key block meets every query block of its group
+    krep = kb.join(sizes.select("g", "_qn"), "g").select(
+        "g", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_qn") - 1)).alias("_b"), "kblock")
+    pairs = qb.join(krep, ["g", "_b"]).select("g", "_b", "qblock", "kblock")
 
     gtype = q.schema["g"].dataType
     partial_schema = T.StructType([
