@@ -7,9 +7,12 @@ Three physical forms of ``A · B`` (all give the same cells):
   is under ``BROADCAST_CELLS``. Makes ``m·n·p`` intermediate rows, so it is
   the choice only when one side is small.
 * ``block``  — both sides cut into ``bs × bs`` blocks (each packed into one
-  row, so a block never exceeds ``bs²`` cells), block pairs joined on the
-  inner block index, numpy multiplies each pair, partial output cells summed
-  by output coordinate (map-side partial aggregation first).
+  row, so a block never exceeds ``bs²`` cells) and grid-partitioned by output
+  block: each A block is replicated to the output blocks of its block row,
+  each B block to those of its block column, the pairs meet on
+  ``(bi, bj, bk)``, and numpy accumulates every output block over ``k``
+  inside its task. Work spreads over all output blocks even when the inner
+  dimension is small.
 * ``rows``   — packed rows times a small dense matrix shipped to every task:
   row-local numpy, no shuffle at all (dense-layer scoring).
 
@@ -20,6 +23,8 @@ product per partition, then a small aggregation: the shuffle is
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,31 +71,60 @@ def _dense_block(cell: pa.StructArray, rows: int, cols: int) -> np.ndarray:
 
 
 def _block_products(bs: int):
+    """Block pairs (sorted by output block) -> partial output cells.
+
+    Pairs of the same output block ``(bi, bj)`` arrive together (the inputs
+    are partitioned by output block and the join sorts by it), so each output
+    block is accumulated over ``k`` in numpy and emitted once; should they
+    not arrive together, more partial blocks are emitted and the final
+    aggregation still sums them exactly.
+    """
+    def emit(key, acc):
+        ii, jj = np.indices(acc.shape).reshape(2, -1)
+        return pa.RecordBatch.from_arrays(
+            [pa.array((key[0] * bs + ii).astype(np.int64)),
+             pa.array((key[1] * bs + jj).astype(np.int64)),
+             pa.array(acc.reshape(-1))], names=["c0", "c1", "value"])
+
     def run(batches):
+        key, acc = None, None
         for batch in batches:
             bi = batch.column("bi").to_numpy(zero_copy_only=False)
             bj = batch.column("bj").to_numpy(zero_copy_only=False)
             ablk, bblk = batch.column("ablk"), batch.column("bblk")
-            rows_i, rows_j, vals = [], [], []
             for r in range(batch.num_rows):
+                k = (int(bi[r]), int(bj[r]))
                 prod = _dense_block(ablk[r].values, bs, bs) @ _dense_block(bblk[r].values, bs, bs)
-                ii, jj = np.indices(prod.shape).reshape(2, -1)
-                rows_i.append(bi[r] * bs + ii)
-                rows_j.append(bj[r] * bs + jj)
-                vals.append(prod.reshape(-1))
-            if not vals:
-                continue
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(rows_i).astype(np.int64)),
-                 pa.array(np.concatenate(rows_j).astype(np.int64)),
-                 pa.array(np.concatenate(vals))], names=["c0", "c1", "value"])
+                if k == key:
+                    acc += prod
+                    continue
+                if key is not None:
+                    yield emit(key, acc)
+                key, acc = k, prod
+        if key is not None:
+            yield emit(key, acc)
     return run
 
 
 def _products_block(a: Cells, b: Cells, bs: int) -> DataFrame:
-    ab = _pack_blocks(a, bs, "bi", "bk", "ablk")
-    bb = _pack_blocks(b, bs, "bk", "bj", "bblk")
-    pairs = ab.join(bb, "bk").select("bi", "bj", "ablk", "bblk")
+    """Grid-partitioned block product: every A block ``(bi, bk)`` is sent to
+    each output block ``(bi, bj)`` of its block row and every B block
+    ``(bk, bj)`` to each output block of its block column; both sides are
+    partitioned by the output block, so the work spreads over all
+    ``ceil(m/bs) · ceil(p/bs)`` output blocks however small the inner
+    dimension is, and each task sums its output blocks over ``k`` itself."""
+    nbi, nbj = math.ceil(a.shape[0] / bs), math.ceil(b.shape[1] / bs)
+    ab = _pack_blocks(a, bs, "bi", "bk", "ablk").select(
+        "bi", "bk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(nbj - 1).cast("bigint"))).alias("bj"),
+        "ablk")
+    bb = _pack_blocks(b, bs, "bk", "bj", "bblk").select(
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(nbi - 1).cast("bigint"))).alias("bi"),
+        "bk", "bj", "bblk")
+    parts = max(1, min(nbi * nbj, ab.sparkSession.sparkContext.defaultParallelism * 4))
+    pairs = (ab.repartition(parts, "bi", "bj")
+             .join(bb.repartition(parts, "bi", "bj"), ["bi", "bj", "bk"])
+             .sortWithinPartitions("bi", "bj")
+             .select("bi", "bj", "ablk", "bblk"))
     schema = T.StructType([T.StructField("c0", T.LongType()), T.StructField("c1", T.LongType()),
                            T.StructField("value", T.DoubleType())])
     out = pairs.mapInArrow(_block_products(bs), schema)

@@ -50,12 +50,15 @@ def cell_at(a: Cells, coords: tuple[int, ...]) -> DataFrame:
 def cells_at(a: Cells, wanted: DataFrame) -> DataFrame:
     """Lookup of many coordinates given as a table with columns ``c0..``.
 
-    Coordinates outside the shape are dropped before the join; the join is a
-    left-semi join so the matrix side is never duplicated.
+    Coordinates outside the shape are dropped and repeated coordinates are
+    collapsed (map-side, so one coordinate asked for by a third of the rows
+    is no hot key) before a left-semi join; the matrix side is never
+    duplicated.
     """
     inside = reduce(lambda x, y: x & y,
                     [(F.col(n) >= 0) & (F.col(n) < F.lit(s)) for n, s in zip(a.coords, a.shape)])
-    keys = wanted.select(*[F.col(n).cast("bigint").alias(n) for n in a.coords]).filter(inside)
+    keys = (wanted.select(*[F.col(n).cast("bigint").alias(n) for n in a.coords]).filter(inside)
+            .dropDuplicates())
     return a.df.join(keys, a.coords, "left_semi").select(*a.coords, "value")
 
 
