@@ -111,26 +111,40 @@ _PARTIAL = T.StructType([T.StructField("n", T.LongType()), T.StructField("loss",
                          T.StructField("g", T.ArrayType(T.DoubleType()))])
 
 
-def _partials(P, p_drop, epoch, seed, scale_dropout_grad, need_grad):
+_TAGGED = T.StructType([T.StructField("t", T.IntegerType())] + list(_PARTIAL.fields))
+
+
+def _partials(P, p_drop, epoch, seed, scale_dropout_grad, need_grad, tagged=False):
+    """One partial per task. With ``tagged`` the rows carry ``t`` (0 = train:
+    dropout and gradients; 1 = validation: no dropout, loss and accuracy only)
+    and one partial per tag is emitted, so an evaluation can ride along with
+    a training pass."""
     size = sum(p.size for p in P)
 
     def run(batches):
-        n, loss, correct = 0, 0.0, 0
-        g = np.zeros(size) if need_grad else None
+        acc = {}
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             X, y, h = _rows(batch)
-            ls, c, _, grads = forward_backward(X, y, h, P, p_drop, epoch, seed,
-                                               scale_dropout_grad, need_grad)
-            n, loss, correct = n + len(y), loss + ls, correct + c
-            if need_grad:
-                g += _flat(grads)
-        if n:
-            garr = pa.array([g.tolist() if need_grad else []], type=pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([n], pa.int64()), pa.array([loss]), pa.array([correct], pa.int64()), garr],
-                names=["n", "loss", "correct", "g"])
+            tags = batch.column("t").to_numpy(zero_copy_only=False) if tagged else None
+            for tag in ([0] if not tagged else sorted(set(tags.tolist()))):
+                sel = slice(None) if not tagged else (tags == tag)
+                train = need_grad and tag == 0
+                ls, c, _, grads = forward_backward(
+                    X[sel], y[sel], h[sel], P, p_drop if tag == 0 else 0.0, epoch, seed,
+                    scale_dropout_grad, train)
+                n0, l0, c0, g0 = acc.get(tag, (0, 0.0, 0, np.zeros(size) if train else None))
+                if train:
+                    g0 = g0 + _flat(grads)
+                acc[tag] = (n0 + len(y[sel]), l0 + ls, c0 + c, g0)
+        for tag, (n, loss, correct, g) in sorted(acc.items()):
+            garr = pa.array([g.tolist() if g is not None else []], type=pa.list_(pa.float64()))
+            cols = [pa.array([n], pa.int64()), pa.array([loss]), pa.array([correct], pa.int64()), garr]
+            names = ["n", "loss", "correct", "g"]
+            if tagged:
+                cols, names = [pa.array([tag], pa.int32())] + cols, ["t"] + names
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return run
 
@@ -183,6 +197,24 @@ def _totals(prepared: DataFrame, P, p_drop=0.0, epoch=0, seed=0, scale_dropout_g
     return int(r0["n"]), float(r0["loss"]), int(r0["correct"]), g
 
 
+def _train_and_eval(tr: DataFrame, va: DataFrame, P, p_drop, epoch, seed, scale_dropout_grad):
+    """One job: the gradient pass over ``tr`` and the evaluation pass over
+    ``va`` with the same weights. Returns (train totals, validation totals)."""
+    both = tr.withColumn("t", F.lit(0)).unionByName(va.withColumn("t", F.lit(1)))
+    parts = both.mapInArrow(_partials(P, p_drop, epoch, seed, scale_dropout_grad, True, tagged=True),
+                            _TAGGED).collect()
+    size = sum(p.size for p in P)
+    out = {0: [0, 0.0, 0, np.zeros(size)], 1: [0, 0.0, 0, None]}
+    for r in parts:
+        o = out[r["t"]]
+        o[0], o[1], o[2] = o[0] + r["n"], o[1] + r["loss"], o[2] + r["correct"]
+        if r["t"] == 0:
+            o[3] = o[3] + np.asarray(r["g"])
+    if out[0][0] == 0:
+        raise ValueError("mlp: no training rows")
+    return tuple(out[0]), tuple(out[1])
+
+
 def params_arrays(params: DataFrame) -> list[np.ndarray]:
     """``[W1, b1, W2, b2]`` with one collect (model-sized, size-checked)."""
     found = layer_arrays(params, None)
@@ -253,6 +285,11 @@ def mlp_predict(params: DataFrame | list, df: DataFrame, features: str,
     return src.mapInArrow(run, schema)
 
 
+def _metric(pending, vn, vloss, vcorrect):
+    epoch, train_loss = pending
+    return (epoch, train_loss, vloss / vn if vn else None, 100.0 * vcorrect / vn if vn else None)
+
+
 def mlp_train(train: DataFrame, val: DataFrame, features: str, label: str, *,
               hidden: int = 16, classes: int = 3, epochs: int = 2000, lr: float = 0.01,
               beta1: float = 0.9, beta2: float = 0.999, eps: float = 1e-8,
@@ -262,7 +299,9 @@ def mlp_train(train: DataFrame, val: DataFrame, features: str, label: str, *,
     """Full-batch Adam training; returns ``(metrics, params)``.
 
     ``metrics`` has one row per evaluation: ``(epoch, train_loss, val_loss,
-    val_acc)``; validation runs without dropout every ``eval_every`` epochs.
+    val_acc)``; validation runs without dropout every ``eval_every`` epochs,
+    inside the next epoch's job (same weights), so it costs no job of its own
+    except after the last epoch.
     """
     spark = train.sparkSession
     # persisted once for all epochs; a lost block is recomputed from its
@@ -277,17 +316,29 @@ def mlp_train(train: DataFrame, val: DataFrame, features: str, label: str, *,
         v = [np.zeros_like(p) for p in P]
         t = 0
         metrics = []
+        size = sum(p.size for p in P)
+        fuse = (tr.rdd.getNumPartitions() + va.rdd.getNumPartitions()) * size <= DRIVER_REDUCE_MAX
+        pending = None  # (epoch, train loss) whose validation is still due
         for epoch in range(1, epochs + 1):
-            n, loss, _, g = _totals(tr, P, dropout, epoch, seed, scale_dropout_grad)
+            if pending is not None and fuse:
+                # the weights after epoch e are the weights of epoch e+1's pass
+                (n, loss, _, g), (vn, vloss, vcorrect, _) = _train_and_eval(
+                    tr, va, P, dropout, epoch, seed, scale_dropout_grad)
+                metrics.append(_metric(pending, vn, vloss, vcorrect))
+                pending = None
+            else:
+                n, loss, _, g = _totals(tr, P, dropout, epoch, seed, scale_dropout_grad)
             grads = _unflat(g / n, P)
             new = [adam_numpy(p, gp, mp, vp, t, lr, beta1, beta2, eps)
                    for p, gp, mp, vp in zip(P, grads, m, v)]
             P, m, v = [x[0] for x in new], [x[1] for x in new], [x[2] for x in new]
             t += 1
             if epoch % eval_every == 0:
-                vn, vloss, vcorrect, _ = _totals(va, P, need_grad=False)
-                metrics.append((epoch, loss / n, vloss / vn if vn else None,
-                                100.0 * vcorrect / vn if vn else None))
+                pending = (epoch, loss / n)
+                if epoch == epochs or not fuse:
+                    vn, vloss, vcorrect, _ = _totals(va, P, need_grad=False)
+                    metrics.append(_metric(pending, vn, vloss, vcorrect))
+                    pending = None
     finally:
         tr.unpersist()
         va.unpersist()
