@@ -431,6 +431,40 @@ def q_mlp_train(spark, sf, epochs=20, eval_every=5):
     return metrics
 
 
+# Class names written for the unit-price bands of lineitem.
+_BANDS = {"band-low": 0, "band-mid": 1, "band-high": 2}
+
+
+def q_train_from_csv(spark, sf, epochs=20, eval_every=5):
+    """The reference's training program end to end: a labelled CSV (lineitem
+    written with class names, in the shared scratch folder) -> loader and
+    class codes -> exact 80/20 split of the seeded permutation -> 4-16-3
+    network with ReLU, dropout 0.1, softmax, Adam -> validation metrics."""
+    li = read_table(spark, sf, "lineitem", "l_orderkey", *_MEASURES)
+    unit = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
+    name = (F.when(unit > 3100, "band-high").when(unit > 1400, "band-mid")
+            .when(unit.isNotNull(), "band-low"))
+    path = scratch_table_path(spark, "bands-csv")
+    li.select(F.monotonically_increasing_id().alias("id"), *_MEASURES, name.alias("class")) \
+        .write.option("header", "true").csv(path)
+    samples, _ = csv.read_labeled_csv(spark, path, 4, _BANDS)
+    stats = samples.agg(*[F.avg(f"f{i}").alias(f"a{i}") for i in range(4)],
+                        *[F.stddev_pop(f"f{i}").alias(f"s{i}") for i in range(4)]).first()
+    x = F.array(*[(F.col(f"f{i}") - F.lit(stats[f"a{i}"])) / F.lit(stats[f"s{i}"]) for i in range(4)])
+    keys = ["id"]
+    data = samples.select("id", x.alias("x"), "label", F.xxhash64("id").alias("h"),
+                          hash_bits(SEED, *keys).alias("u_bits"))
+    rows = spread(data, "h").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        flagged = split.train_val_split(rows, keys, 0.8, SEED, hash_col="u_bits")
+        metrics, _ = mlp.mlp_train(flagged.filter("is_train"), flagged.filter("NOT is_train"), "x",
+                                   "label", hidden=16, classes=3, epochs=epochs,
+                                   eval_every=eval_every, seed=SEED, row_hash="h")
+    finally:
+        rows.unpersist()
+    return metrics
+
+
 def q_mlp_predict_stream(spark, sf):
     from tessera.streaming.scoring import predict_stream
     stats = lineitem_stats(spark, sf)
@@ -503,6 +537,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mlp_predict_stream": q_mlp_predict_stream,
     "mlp_evaluate": q_mlp_evaluate,
     "mlp_train": q_mlp_train,
+    "train_from_csv": q_train_from_csv,
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
