@@ -339,9 +339,11 @@ def _packed_E(spark, sf):
 
 
 def _layer_dims(spark, sf) -> tuple[int, int]:
-    row = _emb(spark, sf).agg(F.max(F.size("embedding")).alias("d"),
-                              F.count_distinct("label").alias("k")).first()
-    return int(row["d"]), int(row["k"])
+    """Input width (first row) and number of classes (label column only)."""
+    emb = _emb(spark, sf)
+    d = emb.select(F.size("embedding").alias("d")).first()["d"]
+    k = emb.agg(F.count_distinct("label").alias("k")).first()["k"]
+    return int(d), int(k)
 
 
 def _round_params(df: DataFrame) -> DataFrame:

@@ -16,7 +16,8 @@ def rows_to_cells(df: DataFrame, key: str, array_col: str | None = None,
     Either ``array_col`` (an array column) or ``columns`` (scalar feature
     columns, packed in the given order) supplies the values. ``key`` must be a
     dense 0-based row index when the result is used as a matrix; ``n_rows`` and
-    ``width`` give the shape (counted with one small job when omitted).
+    ``width`` give the shape (found with two small jobs when omitted: the key
+    column's maximum and the first row's width).
     """
     if (array_col is None) == (columns is None):
         raise ValueError("give exactly one of array_col or columns")
@@ -26,10 +27,15 @@ def rows_to_cells(df: DataFrame, key: str, array_col: str | None = None,
     base = df.select(F.col(key).cast("bigint").alias("c0"), arr.alias("_arr"))
     cells = base.select("c0", F.posexplode("_arr").alias("c1", "value")).select(
         "c0", F.col("c1").cast("bigint").alias("c1"), F.col("value").cast("double").alias("value"))
-    if n_rows is None or width is None:
-        stats = base.agg(F.max("c0").alias("m"), F.max(F.size("_arr")).alias("w")).first()
-        n_rows = n_rows if n_rows is not None else int(stats["m"]) + 1
-        width = width if width is not None else int(stats["w"])
+    # shape without reading the arrays: the row count from the key column
+    # alone, the width from the first row (a dense matrix has equal widths;
+    # shape_of / assert_dense verify it)
+    if n_rows is None:
+        top = df.agg(F.max(F.col(key)).alias("m")).first()["m"]
+        n_rows = int(top) + 1 if top is not None else 1
+    if width is None:
+        first = base.select(F.size("_arr").alias("w")).first()
+        width = int(first["w"]) if first is not None else 1
     return Cells(cells, (n_rows, width))
 
 
