@@ -18,10 +18,12 @@ third of all rows is spread over many tasks):
    the partial triple (row max ``m``, ``l = Σ exp(s-m)``, ``o = Σ exp(s-m)·v``);
    triples of the same query are merged inside the task (the online-softmax
    merge is associative), so a task emits about one row per query.
-6. Exact final merge in Spark: ``M = max m`` over the query's partials
-   (window on ``(group, query)``), then ``Σ o·exp(m-M) / Σ l·exp(m-M)`` by
-   ``(group, query, j)``; the window's partitioning already satisfies the
-   group-by, so this is one shuffle.
+6. Exact final merge in Spark: one group-by on ``(group, query)`` gathers the
+   query's partials — normally exactly one, because all pairs of a query block
+   meet in the task that holds it; more only if a block's pairs were split
+   across tasks — and JVM higher-order functions compute
+   ``Σ o·exp(m-M) / Σ l·exp(m-M)`` with ``M = max m``. One shuffle of packed
+   rows, no explode before it.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,6 +117,28 @@ def _packed(rows: DataFrame, sizes: DataFrame, n_col: str, id_col: str, seed: in
     return x.groupBy("g", "_b").agg(F.collect_list(F.struct(id_col, *fields)).alias(name))
 
 
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Exact merge of partial softmax triples ``(g, q_id, m, l, o)`` into
+    ``(g, q_id, _out)`` with ``_out = Σ o·exp(m-M) / Σ l·exp(m-M)``, ``M = max m``.
+
+    One group-by on ``(g, q_id)``; a query normally has a single partial
+    (all pairs of its block met in one task), so the gathered list is tiny.
+    """
+    merged = partials.groupBy("g", "q_id").agg(
+        F.collect_list(F.struct("m", "l", "o")).alias("_p"))
+    top = F.array_max(F.transform("_p", lambda p: p["m"]))
+
+    def weight(p):
+        return F.exp(p["m"] - top)
+
+    denom = F.aggregate("_p", F.lit(0.0), lambda acc, p: acc + p["l"] * weight(p))
+    width = F.size(F.col("_p")[0]["o"])
+    numer = F.aggregate(
+        "_p", F.array_repeat(F.lit(0.0), width),
+        lambda acc, p: F.zip_with(acc, p["o"], lambda a, b: a + b * weight(p)))
+    return merged.select("g", "q_id", F.transform(numer, lambda x: x / denom).alias("_out"))
+
+
 def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
               q_col: str, k_col: str | None = None, v_col: str | None = None,
               key_id_col: str | None = None, group: str | None = None,
@@ -176,12 +200,8 @@ def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
         T.StructField("o", T.ArrayType(T.DoubleType()))])
     partials = pairs.mapInArrow(_tile_partials(scale), partial_schema)
 
-    w = Window.partitionBy("g", "q_id")
-    scaled = (partials.withColumn("_s", F.exp(F.col("m") - F.max("m").over(w)))
-              .select("g", "q_id", (F.col("l") * F.col("_s")).alias("_l"), "_s",
-                      F.posexplode("o").alias("j", "_o")))
-    out = scaled.groupBy("g", "q_id", "j").agg(
-        (F.sum(F.col("_o") * F.col("_s")) / F.sum("_l")).alias("value"))
+    rows = merge_partials(partials)
+    out = rows.select("g", "q_id", F.posexplode("_out").alias("j", "value"))
     names = [F.col("q_id").alias(id_col), F.col("j").cast("bigint").alias("j"), "value"]
     if group:
         return out.select(F.col("g").alias(group), *names)
