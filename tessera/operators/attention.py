@@ -6,14 +6,15 @@ third of all rows is spread over many tasks):
 1. Count queries and keys per group (partial aggregation) and derive the
    number of query and key blocks per group: ``ceil(n / tile)``.
 2. Attach the block counts to the rows (broadcast when the number of groups
-   is proven small; otherwise a shuffle join followed by a spread on
-   ``(group, block)``) and give every row a hash block inside its group,
-   ``floor(u(id) · n_blocks)`` — even in expectation, and a hot group simply
-   gets more blocks.
-3. Pack each (group, block) into one row (about ``tile`` vectors).
+   is proven small, a shuffle join otherwise) and give every row a hash
+   block inside its group, ``floor(u(id) · n_blocks)`` — even in
+   expectation, and a hot group simply gets more blocks.
+3. Hash-partition rows on ``(group, block)`` and pack each (group, block)
+   into one row (about ``tile`` vectors).
 4. Replicate every key block to each query block of its group (explode of
-   the block count) and join on ``(group, query block)``: the work of one
-   hot group lands on as many tasks as it has query blocks.
+   the block count), partition the replicas the same way, and join on
+   ``(group, query block)``: the work of one hot group lands on as many
+   tasks as it has query blocks, and no block pair is shuffled.
 5. ``mapInArrow``: per block pair numpy computes the scores and, per query,
    the partial triple (row max ``m``, ``l = Σ exp(s-m)``, ``o = Σ exp(s-m)·v``);
    triples of the same query are merged inside the task (the online-softmax
@@ -106,15 +107,19 @@ def _tile_partials(scale: float | None):
 
 
 def _packed(rows: DataFrame, sizes: DataFrame, n_col: str, id_col: str, seed: int,
-            fields: list[str], name: str, spread: bool) -> DataFrame:
-    """Hash block inside the group, then one packed row per (group, block)."""
+            fields: list[str], name: str, partitions: int) -> DataFrame:
+    """Hash block inside the group, then one packed row per (group, block).
+
+    Rows are hash-partitioned on ``(group, block)`` first: a hot group's
+    blocks spread over many tasks, the packed blocks come out partitioned the
+    way the pair join needs them, and adaptive execution does not fold the
+    numpy-heavy stages into a single task (an explicit partition count is
+    kept as asked).
+    """
     x = rows.join(sizes.select("g", n_col), "g").withColumn(
         "_b", F.floor(hash_uniform(seed, id_col) * F.col(n_col)).cast("bigint"))
-    if spread:
-        # rows arrive partitioned by group after a shuffle join; without this
-        # a hot group would be packed in one task
-        x = x.repartition("g", "_b")
-    return x.groupBy("g", "_b").agg(F.collect_list(F.struct(id_col, *fields)).alias(name))
+    return (x.repartition(partitions, "g", "_b").groupBy("g", "_b")
+            .agg(F.collect_list(F.struct(id_col, *fields)).alias(name)))
 
 
 def merge_partials(partials: DataFrame) -> DataFrame:
@@ -136,7 +141,10 @@ def merge_partials(partials: DataFrame) -> DataFrame:
     numer = F.aggregate(
         "_p", F.array_repeat(F.lit(0.0), width),
         lambda acc, p: F.zip_with(acc, p["o"], lambda a, b: a + b * weight(p)))
-    return merged.select("g", "q_id", F.transform(numer, lambda x: x / denom).alias("_out"))
+    single = F.col("_p")[0]
+    out = (F.when(F.size("_p") == 1, F.transform(single["o"], lambda x: x / single["l"]))
+           .otherwise(F.transform(numer, lambda x: x / denom)))
+    return merged.select("g", "q_id", out.alias("_out"))
 
 
 def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
@@ -175,22 +183,28 @@ def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
     sizes = nq.join(nk, "g").select(
         "g", F.ceil(F.col("_nq") / F.lit(float(tile))).alias("_qn"),
         F.ceil(F.col("_nk") / F.lit(float(key_tile))).alias("_kn"))
-    # one row per group: broadcast only when the group count is proven small
-    n_groups = sizes.limit(BROADCAST_CELLS + 1).count()
-    small = n_groups <= BROADCAST_CELLS
-    if small:
+    # one row per group: broadcast only when the group count is proven small;
+    # the same small job gives the total number of query blocks
+    stats = sizes.agg(F.count(F.lit(1)).alias("groups"), F.sum("_qn").alias("qblocks")).first()
+    if stats["groups"] <= BROADCAST_CELLS:
         sizes = F.broadcast(sizes)
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    parts = int(max(1, min(stats["qblocks"] or 1, 4 * cores)))
 
-    qb = _packed(q, sizes, "_qn", "q_id", seed, ["q"], "qblock", not small)
+    qb = _packed(q, sizes, "_qn", "q_id", seed, ["q"], "qblock", parts)
     if self_attention:
         # keys = values = queries: the key blocks are the query blocks; the
         # plan reuses the same exchange instead of re-reading and re-packing
         kb = qb.withColumnRenamed("qblock", "kblock")
     else:
-        kb = _packed(kv, sizes, "_kn", "k_id", seed + 1, ["k", "v"], "kblock", not small)
-    # every key block meets every query block of its group
-    krep = kb.join(sizes.select("g", "_qn"), "g").select(
-        "g", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_qn") - 1)).alias("_b"), "kblock")
+        kb = _packed(kv, sizes, "_kn", "k_id", seed + 1, ["k", "v"], "kblock", parts)
+    # every key block meets every query block of its group; both sides are
+    # partitioned on (group, query block), so all pairs of a query block meet
+    # in one task
+    krep = (kb.join(sizes.select("g", "_qn"), "g")
+            .select("g", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_qn") - 1)).alias("_b"),
+                    "kblock")
+            .repartition(parts, "g", "_b"))
     pairs = qb.join(krep, ["g", "_b"]).select("g", "_b", "qblock", "kblock")
 
     gtype = q.schema["g"].dataType

@@ -85,3 +85,32 @@ def add_bias(y: Cells, b: Cells) -> Cells:
                            b.size)
     out = y.df.join(bias, "c1").select("c0", "c1", (F.col("value") + F.col("_b")).alias("value"))
     return y.with_df(out)
+
+
+# ------------------------------------------------------------ packed operands
+
+_ZIP_OPS = {
+    "add": lambda x, y: x + y,
+    "sub": lambda x, y: x - y,
+    "mul": lambda x, y: x * y,
+    "relu_backward": scalar.relu_grad,
+    "gelu_backward": scalar.gelu_grad,
+}
+
+
+def zip_rows(df, left: str, right: str, op: str, out: str = "out"):
+    """Binary elementwise operator on two array columns of the same rows.
+
+    When both operands live in one packed table no join is needed at all: a
+    row-local ``zip_with`` (JVM higher-order function) pairs the values.
+    Arrays of different lengths are an error, like a shape mismatch.
+    """
+    if op not in _ZIP_OPS:
+        raise ValueError(f"zip_rows: unknown operator {op}")
+    fn = _ZIP_OPS[op]
+    a = F.col(left).cast("array<double>")
+    b = F.col(right).cast("array<double>")
+    same = F.size(a) == F.size(b)
+    zipped = F.zip_with(a, b, lambda x, y: fn(x, y))
+    return df.withColumn(out, F.when(same, zipped).otherwise(
+        F.raise_error(F.lit(f"zip_rows: '{left}' and '{right}' differ in length"))))

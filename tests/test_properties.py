@@ -245,3 +245,16 @@ def test_partial_softmax_merge_is_exact(spark):
     df = spark.createDataFrame(rows, "g int, q_id bigint, m double, l double, o array<double>")
     got = merge_partials(df).collect()
     assert len(got) == 1 and np.allclose(got[0]["_out"], want, atol=1e-12)
+
+
+@pytest.mark.parametrize("op", ["add", "sub", "mul", "relu_backward", "gelu_backward"])
+def test_zip_rows_equals_cell_join(spark, op):
+    """The row-local form of a binary operator equals the coordinate join."""
+    emb = spark.read.parquet(f"{SF001}/embeddings.parquet").select(
+        "vec_id", F.col("embedding").alias("a"), F.reverse("embedding").alias("b"))
+    packed = ew.zip_rows(emb, "a", "b", op)
+    got = dense(rows_to_cells(packed, "vec_id", "out", n_rows=500, width=64))
+    A = rows_to_cells(emb, "vec_id", "a", n_rows=500, width=64)
+    B = rows_to_cells(emb, "vec_id", "b", n_rows=500, width=64)
+    want = dense(getattr(ew, op)(A, B))
+    assert np.allclose(got, want, atol=1e-15)
