@@ -116,3 +116,18 @@ def test_partition_count_does_not_change_gradients(spark, data):
          for r in mlp.mlp_gradients(params, train.repartition(13), "x", "y").collect()}
     assert a.keys() == b.keys()
     assert all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+def test_spark_side_reduction_matches_driver_side(spark, data, monkeypatch):
+    """Large models sum their gradient partials with a Spark aggregation (and
+    evaluate in separate jobs); the result equals the driver-side sum."""
+    train, val = data
+    init = mlp.mlp_init(spark, 4, 16, 3, 7)
+    m1, p1 = mlp.mlp_train(train, val, "x", "y", epochs=4, eval_every=2, seed=7, init=init)
+    monkeypatch.setattr(mlp, "DRIVER_REDUCE_MAX", 0)
+    m2, p2 = mlp.mlp_train(train, val, "x", "y", epochs=4, eval_every=2, seed=7, init=init)
+    a, b = sorted(tuple(r) for r in m1.collect()), sorted(tuple(r) for r in m2.collect())
+    assert [r[0] for r in a] == [r[0] for r in b] == [2, 4]
+    assert np.allclose([r[1:] for r in a], [r[1:] for r in b], atol=1e-12)
+    for x, y in zip(mlp.params_arrays(p1), mlp.params_arrays(p2)):
+        assert np.allclose(x, y, atol=1e-12)
