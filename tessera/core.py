@@ -129,8 +129,11 @@ def hash_uniform(seed: int, *keys: str | Column) -> Column:
     """Layout-independent uniform number in [0, 1) from a seed and key columns.
 
     ``hash_bits / 2**52``. The same number comes out however the data is
-    partitioned, and the same expression exists in plain SQL, so it can be
-    checked by an oracle and recomputed exactly when a task is retried.
+    partitioned, and the same expression exists in plain SQL
+    (:func:`hash_uniform_sql`), so it can be checked by an oracle and
+    recomputed exactly when a task is retried. SQL engines agree on the text
+    of integer and string keys; floating-point keys hash consistently within
+    Spark, but other engines may print them differently.
     """
     return hash_bits(seed, *keys) / F.lit(float(2 ** HASH_BITS))
 
