@@ -89,7 +89,7 @@ def linear_forward(params: DataFrame, layer: str, x: DataFrame, key: str, col: s
     return matmul_rows(x, key, col, W, b, out)
 
 
-def linear_backward(params: DataFrame, layer: str, x: DataFrame, dy: DataFrame, key: str,
+def linear_backward(params: DataFrame, layer: str, x: DataFrame, dy: DataFrame | None, key: str,
                     x_col: str, dy_col: str) -> tuple[DataFrame, DataFrame]:
     """Gradients of one dense layer.
 
@@ -97,14 +97,21 @@ def linear_backward(params: DataFrame, layer: str, x: DataFrame, dy: DataFrame,
     ``dW = Xᵀ·dY`` and ``db = Σ_rows dY`` (the reference overwrites, it does
     not accumulate); ``dx`` holds packed rows ``dY · Wᵀ``.
 
-    ``X`` and ``dY`` meet on the row key (one join); each task then reduces
-    its rows to one ``(in+1) × out`` partial, so the final aggregation moves
-    ``partitions × parameters`` numbers, independent of the number of rows.
+    ``X`` and ``dY`` meet on the row key (one join) — or, with ``dy=None``,
+    ``dy_col`` is a column of ``x`` itself and no join is needed. Each task
+    then reduces its rows to one ``(in+1) × out`` partial, so the final
+    aggregation moves ``partitions × parameters`` numbers, independent of the
+    number of rows.
     """
     W, _ = layer_arrays(params, layer)
     d_in, d_out = W.shape
-    joined = x.select(key, F.col(x_col).cast("array<double>").alias("_x")).join(
-        dy.select(key, F.col(dy_col).cast("array<double>").alias("_dy")), key)
+    if dy is None:
+        joined = x.select(key, F.col(x_col).cast("array<double>").alias("_x"),
+                          F.col(dy_col).cast("array<double>").alias("_dy"))
+        dy = x
+    else:
+        joined = x.select(key, F.col(x_col).cast("array<double>").alias("_x")).join(
+            dy.select(key, F.col(dy_col).cast("array<double>").alias("_dy")), key)
     schema = T.StructType([T.StructField("idx", T.LongType()), T.StructField("g", T.DoubleType())])
 
     def run(batches):

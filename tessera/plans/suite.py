@@ -362,17 +362,19 @@ def q_linear_forward(spark, sf):
     return _exploded(out, "vec_id", "out")
 
 
-def _dy(spark, sf, k):
+def _x_dy(spark, sf, k):
+    """Packed rows with the layer input ``x`` and the upstream gradient
+    ``dy = one_hot(label) - 0.1`` side by side (no join between them)."""
     return _emb(spark, sf).select(
-        "vec_id", F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                              lambda c: (c == F.col("label")).cast("double") - 0.1).alias("dy"))
+        "vec_id", F.col("embedding").cast("array<double>").alias("x"),
+        F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
+                    lambda c: (c == F.col("label")).cast("double") - 0.1).alias("dy"))
 
 
 def _backward(spark, sf):
     d, k = _layer_dims(spark, sf)
     params = layers.linear_init(spark, "l1", d, k, 5)
-    grads, dx = layers.linear_backward(params, "l1", _packed_E(spark, sf), _dy(spark, sf, k),
-                                       "vec_id", "x", "dy")
+    grads, dx = layers.linear_backward(params, "l1", _x_dy(spark, sf, k), None, "vec_id", "x", "dy")
     return params, grads, dx
 
 
