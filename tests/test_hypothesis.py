@@ -1,0 +1,41 @@
+"""Randomised shapes: the three product forms and softmax along any axis agree
+with numpy (few examples: every one is a set of Spark jobs)."""
+
+import numpy as np
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from conftest import dense
+from tessera.operators import linalg, softmax
+from tessera.sources.fill import rand_uniform
+from tessera.sources.packing import cells_to_rows
+
+SETTINGS = settings(max_examples=6, deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+@SETTINGS
+@given(m=st.integers(1, 9), n=st.integers(1, 9), p=st.integers(1, 9), bs=st.integers(1, 5),
+       seed=st.integers(0, 1000))
+def test_product_forms(spark, m, n, p, bs, seed):
+    a = rand_uniform(spark, (m, n), seed)
+    b = rand_uniform(spark, (n, p), seed + 1)
+    want = dense(a) @ dense(b)
+    assert np.allclose(dense(linalg.matmul(a, b, method="cells")), want, atol=1e-12)
+    assert np.allclose(dense(linalg.matmul(a, b, method="block", block=bs)), want, atol=1e-12)
+    rows = cells_to_rows(a, "r", "x")
+    out = {r["r"]: r["out"] for r in linalg.matmul_rows(rows, "r", "x", dense(b)).collect()}
+    assert np.allclose(np.array([out[i] for i in range(m)]), want, atol=1e-12)
+
+
+@SETTINGS
+@given(shape=st.lists(st.integers(1, 5), min_size=1, max_size=3), data=st.data())
+def test_softmax_any_axis(spark, shape, data):
+    axis = data.draw(st.integers(0, len(shape) - 1))
+    x = rand_uniform(spark, tuple(shape), len(shape) * 7 + axis)
+    v = dense(x) * 5
+    x5 = x.with_df(x.df.selectExpr(*x.coords, "value * 5 AS value"))
+    e = np.exp(v - v.max(axis=axis, keepdims=True))
+    want = e / e.sum(axis=axis, keepdims=True)
+    for method in ("window", "grouped"):
+        assert np.allclose(dense(softmax.softmax(x5, axis, method=method)), want, atol=1e-12)
