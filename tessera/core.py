@@ -11,6 +11,8 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,37 @@ from pyspark.sql import functions as F
 BROADCAST_CELLS = 4_000_000
 
 
+# Model-sized arrays up to this many values ride in the task closure; larger
+# ones are sent once per executor as a broadcast variable.
+CLOSURE_VALUES = 100_000
+
+
+class Shipped:
+    """Numpy arrays (weights, parameters) that tasks need.
+
+    Bounded by ``BROADCAST_CELLS`` values; small ones travel inside the task
+    closure, larger ones as a Spark broadcast variable (sent once per
+    executor, not once per task). ``release()`` frees the broadcast after an
+    eager job; lazy results keep it alive as long as they are referenced.
+    """
+
+    def __init__(self, spark, arrays):
+        arrays = [np.asarray(a, dtype=np.float64) for a in arrays]
+        total = sum(a.size for a in arrays)
+        if total > BROADCAST_CELLS:
+            raise ValueError(f"{total} values are too many to ship to every task")
+        self._local = arrays if total <= CLOSURE_VALUES else None
+        self._bc = None if self._local is not None else spark.sparkContext.broadcast(arrays)
+
+    def get(self) -> list:
+        return self._local if self._bc is None else self._bc.value
+
+    def release(self) -> None:
+        if self._bc is not None:
+            self._bc.destroy()
+            self._bc = None
+
+
 def coord_names(ndim: int) -> list[str]:
     return [f"c{d}" for d in range(ndim)]
 

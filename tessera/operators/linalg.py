@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.core import BROADCAST_CELLS, Cells, fits_broadcast
+from tessera.core import BROADCAST_CELLS, Cells, Shipped, fits_broadcast
 
 DEFAULT_BLOCK = 128
 
@@ -187,22 +187,25 @@ def matmul_rows(df: DataFrame, key: str, col: str, w: np.ndarray,
                 bias: np.ndarray | None = None, out: str = "out") -> DataFrame:
     """Packed rows ``X`` (one array per row) times a small dense ``W`` (+ bias).
 
-    ``W`` is shipped with the task closure, so its size is capped at
-    ``BROADCAST_CELLS``; the work is row-local (no shuffle).
+    ``W`` reaches the tasks in the closure when small and as a broadcast
+    variable when larger (capped at ``BROADCAST_CELLS`` values); the work is
+    row-local (no shuffle).
     """
     w = np.asarray(w, dtype=np.float64)
     if w.ndim != 2 or w.size > BROADCAST_CELLS:
         raise ValueError("matmul_rows: W must be a 2-d matrix small enough to ship to tasks")
     b = np.zeros(w.shape[1]) if bias is None else np.asarray(bias, dtype=np.float64)
+    shipped = Shipped(df.sparkSession, [w, b])
     key_type = df.schema[key].dataType
     schema = T.StructType([T.StructField(key, key_type), T.StructField(out, T.ArrayType(T.DoubleType()))])
 
     def run(batches):
+        wt, bt = shipped.get()
         for batch in batches:
             x = _arrow_matrix(batch.column(col))
-            if x.shape[0] and x.shape[1] != w.shape[0]:
-                raise ValueError(f"matmul_rows: rows have {x.shape[1]} values, W has {w.shape[0]} rows")
-            y = x @ w + b if x.shape[0] else np.zeros((0, w.shape[1]))
+            if x.shape[0] and x.shape[1] != wt.shape[0]:
+                raise ValueError(f"matmul_rows: rows have {x.shape[1]} values, W has {wt.shape[0]} rows")
+            y = x @ wt + bt if x.shape[0] else np.zeros((0, wt.shape[1]))
             yield pa.RecordBatch.from_arrays([batch.column(key), _list_column(y)], names=[key, out])
 
     src = df.select(key, F.col(col).cast("array<double>").alias(col))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.core import BROADCAST_CELLS, spread
+from tessera.core import BROADCAST_CELLS, Shipped, spread
 from tessera.operators.loss import LOG_EPS
 from tessera.plans.layers import adam_numpy, layer_arrays, linear_init, params_from_arrays
 
@@ -119,9 +119,10 @@ def _partials(P, p_drop, epoch, seed, scale_dropout_grad, need_grad, tagged=Fals
     dropout and gradients; 1 = validation: no dropout, loss and accuracy only)
     and one partial per tag is emitted, so an evaluation can ride along with
     a training pass."""
-    size = sum(p.size for p in P)
+    size = sum(p.size for p in P.get())
 
     def run(batches):
+        weights = P.get()
         acc = {}
         for batch in batches:
             if batch.num_rows == 0:
@@ -132,7 +133,7 @@ def _partials(P, p_drop, epoch, seed, scale_dropout_grad, need_grad, tagged=Fals
                 sel = slice(None) if not tagged else (tags == tag)
                 train = need_grad and tag == 0
                 ls, c, _, grads = forward_backward(
-                    X[sel], y[sel], h[sel], P, p_drop if tag == 0 else 0.0, epoch, seed,
+                    X[sel], y[sel], h[sel], weights, p_drop if tag == 0 else 0.0, epoch, seed,
                     scale_dropout_grad, train)
                 n0, l0, c0, g0 = acc.get(tag, (0, 0.0, 0, np.zeros(size) if train else None))
                 if train:
@@ -171,9 +172,17 @@ def _totals(prepared: DataFrame, P, p_drop=0.0, epoch=0, seed=0, scale_dropout_g
     otherwise Spark sums them per parameter index and only the
     parameter-sized total is collected.
     """
-    parts = prepared.mapInArrow(_partials(P, p_drop, epoch, seed, scale_dropout_grad, need_grad),
-                                _PARTIAL)
-    size = sum(p.size for p in P)
+    shipped = Shipped(prepared.sparkSession, P)
+    try:
+        return _reduce(prepared, shipped, sum(p.size for p in P), p_drop, epoch, seed,
+                       scale_dropout_grad, need_grad)
+    finally:
+        shipped.release()
+
+
+def _reduce(prepared, shipped, size, p_drop, epoch, seed, scale_dropout_grad, need_grad):
+    parts = prepared.mapInArrow(
+        _partials(shipped, p_drop, epoch, seed, scale_dropout_grad, need_grad), _PARTIAL)
     if not need_grad or prepared.rdd.getNumPartitions() * size <= DRIVER_REDUCE_MAX:
         n, loss, correct = 0, 0.0, 0
         g = np.zeros(size) if need_grad else None
@@ -201,8 +210,13 @@ def _train_and_eval(tr: DataFrame, va: DataFrame, P, p_drop, epoch, seed, scale_
     """One job: the gradient pass over ``tr`` and the evaluation pass over
     ``va`` with the same weights. Returns (train totals, validation totals)."""
     both = tr.withColumn("t", F.lit(0)).unionByName(va.withColumn("t", F.lit(1)))
-    parts = both.mapInArrow(_partials(P, p_drop, epoch, seed, scale_dropout_grad, True, tagged=True),
-                            _TAGGED).collect()
+    shipped = Shipped(tr.sparkSession, P)
+    try:
+        parts = both.mapInArrow(
+            _partials(shipped, p_drop, epoch, seed, scale_dropout_grad, True, tagged=True),
+            _TAGGED).collect()
+    finally:
+        shipped.release()
     size = sum(p.size for p in P)
     out = {0: [0, 0.0, 0, np.zeros(size)], 1: [0, 0.0, 0, None]}
     for r in parts:
@@ -261,6 +275,7 @@ def mlp_predict(params: DataFrame | list, df: DataFrame, features: str,
     P = params if isinstance(params, list) else params_arrays(params)
     if sum(p.size for p in P) > BROADCAST_CELLS:
         raise ValueError("mlp_predict: model too large to ship to tasks")
+    shipped = Shipped(df.sparkSession, P)
     keep = keep or []
     k = P[2].shape[1]
     src = df.select(*keep, F.col(features).cast("array<double>").alias("x"))
@@ -276,7 +291,7 @@ def mlp_predict(params: DataFrame | list, df: DataFrame, features: str,
             flat = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             X = flat.reshape(n, flat.size // n)
             y = np.full(n, -1, dtype=np.int64)
-            _, _, prob, _ = forward_backward(X, y, y, P, need_grad=False)
+            _, _, prob, _ = forward_backward(X, y, y, shipped.get(), need_grad=False)
             cols = [batch.column(c) for c in keep]
             cols.append(pa.array(np.argmax(prob, axis=1).astype(np.int32)))
             cols += [pa.array(prob[:, c]) for c in range(k)]

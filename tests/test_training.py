@@ -131,3 +131,31 @@ def test_spark_side_reduction_matches_driver_side(spark, data, monkeypatch):
     assert np.allclose([r[1:] for r in a], [r[1:] for r in b], atol=1e-12)
     for x, y in zip(mlp.params_arrays(p1), mlp.params_arrays(p2)):
         assert np.allclose(x, y, atol=1e-12)
+
+
+def test_broadcast_shipping_matches_closure(spark, data, monkeypatch):
+    """Large models reach the tasks as broadcast variables (destroyed after
+    each eager epoch job); results equal the closure path."""
+    import tessera.core as core
+    from tessera.operators import linalg
+    train, val = data
+    init = mlp.mlp_init(spark, 4, 16, 3, 7)
+    params = suite._fixed_params(spark)
+    rows = spark.createDataFrame([(i, [float(i), 1.0, -2.0]) for i in range(50)],
+                                 "r bigint, x array<double>")
+    W = np.arange(6.0).reshape(3, 2)
+
+    def run():
+        m, p = mlp.mlp_train(train, val, "x", "y", epochs=3, eval_every=1, seed=7, init=init)
+        pred = mlp.mlp_predict(params, val, "x", keep=["l_orderkey", "l_linenumber"])
+        prod = linalg.matmul_rows(rows, "r", "x", W)
+        return (sorted(tuple(r) for r in m.collect()), mlp.params_arrays(p),
+                sorted(tuple(r) for r in pred.collect()), sorted((r["r"], tuple(r["out"])) for r in prod.collect()))
+
+    closure = run()
+    monkeypatch.setattr(core, "CLOSURE_VALUES", 0)
+    broadcast = run()
+    assert np.allclose([r[1:] for r in closure[0]], [r[1:] for r in broadcast[0]], atol=1e-12)
+    for a, b in zip(closure[1], broadcast[1]):
+        assert np.allclose(a, b, atol=1e-12)
+    assert closure[2] == broadcast[2] and closure[3] == broadcast[3]
