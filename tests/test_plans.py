@@ -6,7 +6,6 @@ import io
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF001
 from tessera.operators import linalg, shape
