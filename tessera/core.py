@@ -16,10 +16,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest number of cells (or packed values) we ship to every executor with an
-# explicit broadcast hint. 4M (bigint, bigint, double) rows is ~100 MB in the
-# JVM. Anything larger goes through a shuffle join.
-BROADCAST_CELLS = 4_000_000
+# Largest number of cells (or packed values, or shipped weights) sent to every
+# executor. 1M (bigint, bigint, double) rows is ~25-40 MB as a hashed relation,
+# cheap to fan out to a thousand executors; anything larger takes a shuffle
+# join (or, for weights, is refused).
+BROADCAST_CELLS = 1_000_000
 
 
 # Model-sized arrays up to this many values ride in the task closure; larger
