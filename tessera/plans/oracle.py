@@ -49,6 +49,18 @@ pn AS (SELECT q_id, k_id, w / sum(w) OVER (PARTITION BY q_id) AS p FROM p),
 SELECT pn.q_id AS vec_id, e.j, {R('sum(pn.p * e.v)')} AS value
 FROM pn JOIN e ON pn.k_id = e.vec_id GROUP BY pn.q_id, e.j"""
 
+ATTENTION_VALUES = f"""WITH
+q AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+s AS (SELECT a.vec_id AS q_id, b.vec_id AS k_id, list_dot_product(a.x, b.x) / sqrt(len(a.x)) AS s
+      FROM q a JOIN q b ON a.label = b.label),
+p AS (SELECT q_id, k_id, exp(s - max(s) OVER (PARTITION BY q_id)) AS w FROM s),
+pn AS (SELECT q_id, k_id, w / sum(w) OVER (PARTITION BY q_id) AS p FROM p),
+vr AS (SELECT vec_id, j, CAST(v AS DOUBLE) AS v
+       FROM (SELECT vec_id, unnest(range(len(embedding))) AS j, unnest(list_reverse(embedding)) AS v
+             FROM embeddings))
+SELECT pn.q_id AS vec_id, vr.j, {R('sum(pn.p * vr.v)')} AS value
+FROM pn JOIN vr ON pn.k_id = vr.vec_id GROUP BY pn.q_id, vr.j"""
+
 LOGITS = f"""{E}, {W0},
 z AS (SELECT e.vec_id, w0.c, sum(e.v * w0.w) AS z FROM e JOIN w0 ON e.j = w0.k GROUP BY e.vec_id, w0.c),
 zm AS (SELECT vec_id, c, exp(z - max(z) OVER (PARTITION BY vec_id)) AS ez FROM z),
@@ -131,6 +143,7 @@ LINEAR_INIT_ROWS = f"""SELECT 'l1' AS layer, 'W' AS name, i, j, w AS value FROM
 ORACLE: dict[str, str] = {
     "attention_by_label": ATTENTION,
     "attention_by_label_tiled": ATTENTION,
+    "attention_by_label_values": ATTENTION_VALUES,
     "rows_to_cells": f"WITH {E} SELECT vec_id, j, {R('v')} AS value FROM e",
     "cells_to_rows": """SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: round(x, 6) + 0.0)
        AS features FROM embeddings""",

@@ -130,6 +130,17 @@ def q_attention_by_label_tiled(spark, sf):
     return q_attention_by_label(spark, sf, tile=16)
 
 
+def q_attention_by_label_values(spark, sf):
+    """Keys and values differ: each vector attends with its embedding as key
+    and the reversed embedding as value (the general, non-self path)."""
+    emb = _emb(spark, sf)
+    keys = emb.select("vec_id", "label", F.col("embedding").alias("k"),
+                      F.reverse("embedding").alias("v"))
+    out = attention(emb, keys, id_col="vec_id", q_col="embedding", k_col="k", v_col="v",
+                    group="label")
+    return out.select("vec_id", "j", _r(F.col("value")).alias("value"))
+
+
 def q_rows_to_cells(spark, sf):
     return _out(_E(spark, sf), "vec_id", "j")
 
@@ -492,6 +503,7 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "attention_by_label": q_attention_by_label,
     "attention_by_label_tiled": q_attention_by_label_tiled,
+    "attention_by_label_values": q_attention_by_label_values,
     "rows_to_cells": q_rows_to_cells,
     "cells_to_rows": q_cells_to_rows,
     "fill_ones": q_fill_ones,
