@@ -96,11 +96,27 @@ def _unflat(vec: np.ndarray, P) -> list[np.ndarray]:
     return out
 
 
-def _rows(batch: pa.RecordBatch):
-    col = batch.column("x")
+def _feature_columns(features: str | list[str]) -> list:
+    """Features as one array column (``x``) or as scalar columns (``_f0..``);
+    scalar columns move through Arrow and the cache without per-row arrays."""
+    if isinstance(features, str):
+        return [F.col(features).cast("array<double>").alias("x")]
+    return [F.col(c).cast("double").alias(f"_f{i}") for i, c in enumerate(features)]
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     n = batch.num_rows
-    flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    X = flat.reshape(n, flat.size // n)
+    names = batch.schema.names
+    if "x" in names:
+        flat = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+        return flat.reshape(n, flat.size // n)
+    cols = sorted((c for c in names if c.startswith("_f")), key=lambda c: int(c[2:]))
+    return np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
+                            for c in cols])
+
+
+def _rows(batch: pa.RecordBatch):
+    X = _matrix(batch)
     y = batch.column("y").to_numpy(zero_copy_only=False).astype(np.int64)
     h = batch.column("h").to_numpy(zero_copy_only=False).astype(np.int64)
     return X, y, h
@@ -150,12 +166,14 @@ def _partials(P, p_drop, epoch, seed, scale_dropout_grad, need_grad, tagged=Fals
     return run
 
 
-def prepare(df: DataFrame, features: str, label: str, row_hash: str | None = None) -> DataFrame:
-    """Project to ``(x ARRAY<DOUBLE>, y INT, h BIGINT)``; ``h`` keys the dropout
-    draw (a hash of the whole row when no column is given)."""
+def prepare(df: DataFrame, features: str | list[str], label: str,
+            row_hash: str | None = None) -> DataFrame:
+    """Project to the features (``x ARRAY<DOUBLE>`` or scalar ``_f0..``),
+    ``y INT`` and ``h BIGINT``; ``h`` keys the dropout draw (a hash of the
+    whole row when no column is given)."""
     h = F.col(row_hash) if row_hash else F.xxhash64(*df.columns)
-    return df.select(F.col(features).cast("array<double>").alias("x"),
-                     F.col(label).cast("int").alias("y"), h.cast("bigint").alias("h"))
+    return df.select(*_feature_columns(features), F.col(label).cast("int").alias("y"),
+                     h.cast("bigint").alias("h"))
 
 
 # Largest partitions × parameters count whose partial sums are summed on the
@@ -240,7 +258,7 @@ def mlp_init(spark: SparkSession, in_dim: int, hidden: int, classes: int, seed:
         linear_init(spark, "l2", hidden, classes, seed + 1))
 
 
-def mlp_gradients(params: DataFrame, df: DataFrame, features: str, label: str,
+def mlp_gradients(params: DataFrame, df: DataFrame, features: str | list[str], label: str,
                   row_hash: str | None = None, p_drop: float = 0.0, epoch: int = 0,
                   seed: int = 0, scale_dropout_grad: bool = False) -> DataFrame:
     """Loss gradient of every parameter for one full-batch step:
@@ -258,7 +276,7 @@ def _grad_table(spark: SparkSession, P, g: np.ndarray) -> DataFrame:
         "layer", "name", "i", "j", F.col("value").alias("grad"))
 
 
-def mlp_evaluate(params: DataFrame | list, df: DataFrame, features: str, label: str) -> DataFrame:
+def mlp_evaluate(params: DataFrame | list, df: DataFrame, features: str | list[str], label: str) -> DataFrame:
     """``(n, loss, accuracy)`` of the network without dropout; one job."""
     P = params if isinstance(params, list) else params_arrays(params)
     n, loss, correct, _ = _totals(prepare(df, features, label, row_hash=None), P, need_grad=False)
@@ -268,7 +286,7 @@ def mlp_evaluate(params: DataFrame | list, df: DataFrame, features: str, label:
         "n bigint, loss double, accuracy double")
 
 
-def mlp_predict(params: DataFrame | list, df: DataFrame, features: str,
+def mlp_predict(params: DataFrame | list, df: DataFrame, features: str | list[str],
                 keep: list[str] | None = None) -> DataFrame:
     """Class probabilities ``p0..p{k-1}`` and the first argmax ``pred`` per row;
     row-local (``mapInArrow``), so it also runs on a streaming DataFrame."""
@@ -278,7 +296,7 @@ def mlp_predict(params: DataFrame | list, df: DataFrame, features: str,
     shipped = Shipped(df.sparkSession, P)
     keep = keep or []
     k = P[2].shape[1]
-    src = df.select(*keep, F.col(features).cast("array<double>").alias("x"))
+    src = df.select(*keep, *_feature_columns(features))
     fields = [f for f in src.schema.fields if f.name in keep]
     schema = T.StructType(fields + [T.StructField("pred", T.IntegerType())]
                           + [T.StructField(f"p{c}", T.DoubleType()) for c in range(k)])
@@ -288,8 +306,7 @@ def mlp_predict(params: DataFrame | list, df: DataFrame, features: str,
             if batch.num_rows == 0:
                 continue
             n = batch.num_rows
-            flat = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            X = flat.reshape(n, flat.size // n)
+            X = _matrix(batch)
             y = np.full(n, -1, dtype=np.int64)
             _, _, prob, _ = forward_backward(X, y, y, shipped.get(), need_grad=False)
             cols = [batch.column(c) for c in keep]
@@ -305,7 +322,7 @@ def _metric(pending, vn, vloss, vcorrect):
     return (epoch, train_loss, vloss / vn if vn else None, 100.0 * vcorrect / vn if vn else None)
 
 
-def mlp_train(train: DataFrame, val: DataFrame, features: str, label: str, *,
+def mlp_train(train: DataFrame, val: DataFrame, features: str | list[str], label: str, *,
               hidden: int = 16, classes: int = 3, epochs: int = 2000, lr: float = 0.01,
               beta1: float = 0.9, beta2: float = 0.999, eps: float = 1e-8,
               dropout: float = 0.1, eval_every: int = 200, seed: int = 0,
@@ -324,7 +341,8 @@ def mlp_train(train: DataFrame, val: DataFrame, features: str, label: str, *,
     tr = spread(prepare(train, features, label, row_hash), "h").persist(StorageLevel.MEMORY_AND_DISK)
     va = spread(prepare(val, features, label, row_hash), "h").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        in_dim = tr.select(F.size("x")).first()[0]
+        in_dim = (len(features) if not isinstance(features, str)
+                  else tr.select(F.size("x")).first()[0])
         params = init if init is not None else mlp_init(spark, in_dim, hidden, classes, seed)
         P = params_arrays(params)
         m = [np.zeros_like(p) for p in P]

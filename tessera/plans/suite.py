@@ -90,6 +90,8 @@ def _fixed_params(spark: SparkSession) -> DataFrame:
 
 
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+# standardised measures as scalar columns (``x`` is the same four as an array)
+FEATURES = ["f0", "f1", "f2", "f3"]
 
 
 def lineitem_stats(spark, sf) -> list[tuple[float, float]]:
@@ -107,7 +109,8 @@ def lineitem_features(li: DataFrame, stats: list[tuple[float, float]]) -> DataFr
     unit = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
     band = F.coalesce(((unit > 1400).cast("int") + (unit > 3100).cast("int")), F.lit(-1))
     return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *_MEASURES,
-                     F.array(*feats).alias("x"), band.alias("y"))
+                     *[e.alias(f) for e, f in zip(feats, FEATURES)], F.array(*feats).alias("x"),
+                     band.alias("y"))
 
 
 def _lineitem_xy(spark, sf) -> DataFrame:
@@ -411,19 +414,19 @@ def q_adam_step(spark, sf):
 
 
 def q_mlp_gradients(spark, sf):
-    g = mlp.mlp_gradients(_fixed_params(spark), _lineitem_xy(spark, sf), "x", "y")
+    g = mlp.mlp_gradients(_fixed_params(spark), _lineitem_xy(spark, sf), FEATURES, "y")
     return g.select("layer", "name", "i", "j", _r(F.col("grad")).alias("grad"),
                     _r(F.col("loss")).alias("loss"))
 
 
 def q_mlp_predict(spark, sf):
-    out = mlp.mlp_predict(_fixed_params(spark), _lineitem_xy(spark, sf), "x",
+    out = mlp.mlp_predict(_fixed_params(spark), _lineitem_xy(spark, sf), FEATURES,
                           keep=["l_orderkey", "l_linenumber"])
     return out.select("l_orderkey", "l_linenumber", "pred", *[_r(F.col(f"p{c}")).alias(f"p{c}") for c in range(3)])
 
 
 def q_mlp_evaluate(spark, sf):
-    out = mlp.mlp_evaluate(_fixed_params(spark), _lineitem_xy(spark, sf), "x", "y")
+    out = mlp.mlp_evaluate(_fixed_params(spark), _lineitem_xy(spark, sf), FEATURES, "y")
     return out.select("n", _r(F.col("loss")).alias("loss"), _r(F.col("accuracy")).alias("accuracy"))
 
 
@@ -433,12 +436,12 @@ def q_mlp_train(spark, sf, epochs=20, eval_every=5):
     keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]  # unique
     # spread and persist the rows once: the split's passes and every epoch
     # read this cache; train and validation are projections of it
-    data = _lineitem_xy(spark, sf).select(*keys, "x", "y", F.xxhash64(*keys).alias("h"),
+    data = _lineitem_xy(spark, sf).select(*keys, *FEATURES, "y", F.xxhash64(*keys).alias("h"),
                                           hash_bits(SEED, *keys).alias("u_bits"))
     rows = spread(data, "h").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         flagged = split.train_val_split(rows, keys, 0.8, SEED, hash_col="u_bits")
-        metrics, _ = mlp.mlp_train(flagged.filter("is_train"), flagged.filter("NOT is_train"), "x", "y",
+        metrics, _ = mlp.mlp_train(flagged.filter("is_train"), flagged.filter("NOT is_train"), FEATURES, "y",
                                    hidden=16, classes=3, epochs=epochs, eval_every=eval_every,
                                    seed=SEED, row_hash="h")
     finally:
@@ -465,15 +468,16 @@ def q_train_from_csv(spark, sf, epochs=20, eval_every=5):
     samples, _ = csv.read_labeled_csv(spark, path, 4, _BANDS)
     stats = samples.agg(*[F.avg(f"f{i}").alias(f"a{i}") for i in range(4)],
                         *[F.stddev_pop(f"f{i}").alias(f"s{i}") for i in range(4)]).first()
-    x = F.array(*[(F.col(f"f{i}") - F.lit(stats[f"a{i}"])) / F.lit(stats[f"s{i}"]) for i in range(4)])
+    z = [((F.col(f"f{i}") - F.lit(stats[f"a{i}"])) / F.lit(stats[f"s{i}"])).alias(f"z{i}")
+         for i in range(4)]
     keys = ["id"]
-    data = samples.select("id", x.alias("x"), "label", F.xxhash64("id").alias("h"),
+    data = samples.select("id", *z, "label", F.xxhash64("id").alias("h"),
                           hash_bits(SEED, *keys).alias("u_bits"))
     rows = spread(data, "h").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         flagged = split.train_val_split(rows, keys, 0.8, SEED, hash_col="u_bits")
-        metrics, _ = mlp.mlp_train(flagged.filter("is_train"), flagged.filter("NOT is_train"), "x",
-                                   "label", hidden=16, classes=3, epochs=epochs,
+        metrics, _ = mlp.mlp_train(flagged.filter("is_train"), flagged.filter("NOT is_train"),
+                                   [f"z{i}" for i in range(4)], "label", hidden=16, classes=3, epochs=epochs,
                                    eval_every=eval_every, seed=SEED, row_hash="h")
     finally:
         rows.unpersist()
@@ -484,7 +488,8 @@ def q_mlp_predict_stream(spark, sf):
     from tessera.streaming.scoring import predict_stream
     stats = lineitem_stats(spark, sf)
     out = predict_stream(spark, sf, "lineitem", lambda df: lineitem_features(df, stats),
-                         _fixed_params(spark), keep=["l_orderkey", "l_linenumber"])
+                         _fixed_params(spark), keep=["l_orderkey", "l_linenumber"],
+                         features=FEATURES)
     return out.select(
         "l_orderkey", "l_linenumber", "pred", *[_r(F.col(f"p{c}")).alias(f"p{c}") for c in range(3)])
 

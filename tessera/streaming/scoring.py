@@ -17,14 +17,14 @@ from tessera.plans.mlp import mlp_predict
 from tessera.session import scratch_table_path
 
 
-def score_stream(stream: DataFrame, params, features: str, keep: list[str]) -> DataFrame:
+def score_stream(stream: DataFrame, params, features: str | list[str], keep: list[str]) -> DataFrame:
     """The streaming form of ``mlp_predict`` (still lazy, still a stream)."""
     return mlp_predict(params, stream, features, keep=keep)
 
 
 def predict_stream(spark: SparkSession, sf_dir: str, table: str,
                    featurize: Callable[[DataFrame], DataFrame], params,
-                   keep: list[str], features: str = "x") -> DataFrame:
+                   keep: list[str], features: str | list[str] = "x") -> DataFrame:
     """Stream ``table`` from ``sf_dir`` through ``featurize`` and the network
     until all available input is processed; return the written result."""
     name = f"{table}.parquet"
