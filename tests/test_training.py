@@ -159,3 +159,15 @@ def test_broadcast_shipping_matches_closure(spark, data, monkeypatch):
     for a, b in zip(closure[1], broadcast[1]):
         assert np.allclose(a, b, atol=1e-12)
     assert closure[2] == broadcast[2] and closure[3] == broadcast[3]
+
+
+def test_scalar_feature_columns_equal_array(spark, data):
+    train, _ = data
+    params = suite._fixed_params(spark)
+    a = {tuple(r[:4]): r[4] for r in mlp.mlp_gradients(params, train, "x", "y").collect()}
+    b = {tuple(r[:4]): r[4] for r in mlp.mlp_gradients(params, train, suite.FEATURES, "y").collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+    pa_ = sorted(tuple(r) for r in mlp.mlp_predict(params, train, "x", keep=["l_orderkey"]).collect())
+    pb_ = sorted(tuple(r) for r in mlp.mlp_predict(params, train, suite.FEATURES, keep=["l_orderkey"]).collect())
+    assert len(pa_) == len(pb_) and all(
+        x[:2] == y[:2] and np.allclose(x[2:], y[2:], atol=1e-12) for x, y in zip(pa_, pb_))
