@@ -72,3 +72,21 @@ def test_broadcast_only_below_the_bound(spark, monkeypatch):
         assert "BroadcastHashJoin" not in _plan(linalg.matmul(e, w, method="cells").df)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_spread_is_a_noop_on_parallel_input(spark):
+    from tessera.core import spread
+    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert spread(many, "id") is many
+    one = spark.range(0, 1000, numPartitions=1)
+    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    from tessera.session import checkpoint_dir, scratch_table_path
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    current = checkpoint_dir(spark)
+    assert current == spark.sparkContext.getCheckpointDir()
+    if configured:
+        assert configured.rstrip("/") in current
+    assert scratch_table_path(spark, "t").startswith(current)
