@@ -147,20 +147,13 @@ def merge_partials(partials: DataFrame) -> DataFrame:
     return merged.select("g", "q_id", out.alias("_out"))
 
 
-def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
-              q_col: str, k_col: str | None = None, v_col: str | None = None,
-              key_id_col: str | None = None, group: str | None = None,
-              d_k: int | None = None, tile: int = DEFAULT_TILE, key_tile: int | None = None,
-              seed: int = 17) -> DataFrame:
-    """Grouped single-head attention on packed rows.
-
-    ``queries`` holds ``id_col`` and the query vector ``q_col``; ``keys`` (the
-    same table when omitted: self-attention) holds ``key_id_col``, ``k_col``
-    and ``v_col``. Rows only attend to keys of the same ``group``; without a
-    group every query attends to every key. ``tile`` / ``key_tile`` bound the
-    number of vectors per query / key block. Returns cells
-    ``(group, id_col, j, value)``.
-    """
+def block_pairs(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
+                q_col: str, k_col: str | None = None, v_col: str | None = None,
+                key_id_col: str | None = None, group: str | None = None,
+                tile: int = DEFAULT_TILE, key_tile: int | None = None,
+                seed: int = 17) -> DataFrame:
+    """Steps 1-4 of the plan: one row per (query block, key block) of a group,
+    ``(g, _b, qblock, kblock)``, partitioned on ``(g, _b)``."""
     key_tile = key_tile or tile
     self_attention = (keys is None and k_col in (None, q_col) and v_col in (None, q_col, k_col)
                       and key_tile == tile)
@@ -174,8 +167,6 @@ def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
     kv = keys.select(gcol.alias("g"), F.col(key_id_col).cast("bigint").alias("k_id"),
                      F.col(k_col).cast("array<double>").alias("k"),
                      F.col(v_col).cast("array<double>").alias("v"))
-    # without d_k, each task scales by the key width it sees (no extra job)
-    scale = None if d_k is None else 1.0 / math.sqrt(float(d_k))
 
     nq = q.groupBy("g").agg(F.count(F.lit(1)).alias("_nq"))
     nk = nq.withColumnRenamed("_nq", "_nk") if self_attention else \
@@ -206,8 +197,29 @@ def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
                     "kblock")
             .repartition(parts, "g", "_b"))
     pairs = qb.join(krep, ["g", "_b"]).select("g", "_b", "qblock", "kblock")
+    return pairs
+
+
+def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
+              q_col: str, k_col: str | None = None, v_col: str | None = None,
+              key_id_col: str | None = None, group: str | None = None,
+              d_k: int | None = None, tile: int = DEFAULT_TILE, key_tile: int | None = None,
+              seed: int = 17) -> DataFrame:
+    """Grouped single-head attention on packed rows.
+
+    ``queries`` holds ``id_col`` and the query vector ``q_col``; ``keys`` (the
+    same table when omitted: self-attention) holds ``key_id_col``, ``k_col``
+    and ``v_col``. Rows only attend to keys of the same ``group``; without a
+    group every query attends to every key. ``tile`` / ``key_tile`` bound the
+    number of vectors per query / key block. Returns cells
+    ``(group, id_col, j, value)``.
+    """
+    # without d_k, each task scales by the key width it sees (no extra job)
+    scale = None if d_k is None else 1.0 / math.sqrt(float(d_k))
+    pairs = block_pairs(queries, keys, id_col=id_col, q_col=q_col, k_col=k_col, v_col=v_col,
+                        key_id_col=key_id_col, group=group, tile=tile, key_tile=key_tile, seed=seed)
 
-    gtype = q.schema["g"].dataType
+    gtype = pairs.schema["g"].dataType
     partial_schema = T.StructType([
         T.StructField("g", gtype), T.StructField("q_id", T.LongType()),
         T.StructField("m", T.DoubleType()), T.StructField("l", T.DoubleType()),

@@ -258,3 +258,28 @@ def test_zip_rows_equals_cell_join(spark, op):
     B = rows_to_cells(emb, "vec_id", "b", n_rows=500, width=64)
     want = dense(getattr(ew, op)(A, B))
     assert np.allclose(got, want, atol=1e-15)
+
+
+def test_hot_group_block_pairs_spread_over_tasks(spark):
+    """One label holding a third of all rows: its query blocks, and the pairs
+    they take part in, are spread over many partitions rather than one task."""
+    from pyspark.sql.functions import spark_partition_id
+    from tessera.operators.attention import block_pairs
+    emb = spark.read.parquet(f"{SF001}/embeddings.parquet").withColumn(
+        "label", F.when(F.col("vec_id") % 3 == 0, F.lit(99)).otherwise(F.col("label")))
+    pairs = block_pairs(emb, id_col="vec_id", q_col="embedding", group="label", tile=8)
+    hot = (pairs.filter("g = 99").select(spark_partition_id().alias("pid"), "_b")
+           .agg(F.countDistinct("pid").alias("parts"), F.countDistinct("_b").alias("blocks"))
+           .first())
+    assert hot["blocks"] >= 20  # ~167 rows / tile 8
+    assert hot["parts"] >= min(hot["blocks"], spark.sparkContext.defaultParallelism) // 2
+    # and the result is still exact for the hot group
+    got = {(r["vec_id"], r["j"]): r["value"]
+           for r in attention(emb, id_col="vec_id", q_col="embedding", group="label", tile=8)
+           .filter("label = 99").collect()}
+    pdf = emb.filter("label = 99").toPandas()
+    X = np.stack(pdf["embedding"].map(lambda a: np.asarray(a, float)))
+    S = X @ X.T / 8.0
+    P = np.exp(S - S.max(1, keepdims=True))
+    O = (P / P.sum(1, keepdims=True)) @ X
+    assert all(abs(got[(v, j)] - O[i, j]) < 1e-12 for i, v in enumerate(pdf["vec_id"]) for j in range(64))
