@@ -73,13 +73,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-_PACK = zstandard.ZstdCompressor(level=1)
+_PACK = zstandard.ZstdCompressor(level=3)
 _UNPACK = zstandard.ZstdDecompressor()
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of one exchange row, compressed; ``unpack`` gets their types."""
-    parts = [np.ascontiguousarray(a).tobytes() for a in arrays]
+    """Arrays of one exchange row, compressed by byte planes; ``unpack`` gets their types."""
+    parts = [np.ascontiguousarray(np.ascontiguousarray(a).reshape(-1).view(np.uint8)
+                                  .reshape(-1, a.dtype.itemsize).T).tobytes() for a in arrays]
     head = np.array([len(p) for p in parts], np.int64).tobytes()
     return _PACK.compress(head + b"".join(parts))
 
@@ -89,11 +90,39 @@ def unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
     sizes = np.frombuffer(raw, np.int64, len(kinds))
     at, out = 8 * len(kinds), []
     for size, kind in zip(sizes.tolist(), kinds):
-        out.append(np.frombuffer(raw, kind, size // np.dtype(kind).itemsize, at))
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, size, at).reshape(width, -1)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
         at += size
     return out
 
 
+def zipped(text: bytes) -> bytes:
+    return _PACK.compress(text)
+
+
+def unzipped(col) -> tuple[np.ndarray, np.ndarray]:
+    """Byte table of a binary column of ``zipped`` texts."""
+    texts = [_UNPACK.decompress(x) for x in col.to_pylist()]
+    off = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum([len(t) for t in texts], out=off[1:])
+    return np.frombuffer(b"".join(texts), np.uint8), off
+
+
+def number_lists(col, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and row offsets of an ``array<binary>`` column whose values are packed numbers."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    cut = np.asarray(col.offsets).astype(np.int64)
+    values = col.values.cast(pa.large_binary())
+    if not len(values) or values.buffers()[2] is None:
+        return np.zeros(0, kind), np.zeros(len(col) + 1, np.int64)
+    at = np.frombuffer(values.buffers()[1], np.int64, len(values) + 1, values.offset * 8)
+    data = np.frombuffer(values.buffers()[2], np.uint8)
+    lo, hi = at[cut[0]], at[cut[-1]]
+    return np.frombuffer(data[lo:hi].tobytes(), kind), (at[cut] - lo) // np.dtype(kind).itemsize
+
+
 def word_cuts(data: np.ndarray, off: np.ndarray):
     """Words ``[^\\x20\\x09-\\x0D]+`` of a byte table: starts, ends (byte
     positions) and the row of each."""
@@ -131,10 +160,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _POW.get("p")
     if have is None or len(have) < n:
         size = max(n, 1 << 16)
-        with np.errstate(over="ignore"):
-            _POW["p"] = np.cumprod(np.concatenate([[1], np.full(size - 1, _BASE, np.uint64)]).astype(np.uint64))
-            inv = pow(_BASE, -1, 1 << 64)
-            _POW["i"] = np.cumprod(np.concatenate([[1], np.full(size - 1, inv, np.uint64)]).astype(np.uint64))
+        for name, base in (("p", _BASE), ("i", pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _POW[name] = np.cumprod(steps)
     return _POW["p"][:n], _POW["i"][:n]
 
 

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import mix, pack, partitions, spans, text_bytes, unpack
+from tessera.llm.common import mix, number_lists, pack, partitions, spans, unpack, unzipped, zipped
 
 LENGTH = 50
 KMER = 24
@@ -47,6 +47,9 @@ LEFT = LENGTH - KMER
 CHUNK = 1 << 20
 #: Suffixes a task gathers before it sorts and sends a run.
 RUN_KEYS, RUN_SUFFIXES = 2 << 20, 200_000
+#: Bytes of a key that are sent, beside its bucket; a chance match only sends a suffix on in vain.
+KEY_BYTES = 5
+KEY_MASK = np.uint64((1 << 8 * KEY_BYTES) - 1)
 
 _BYTE = np.random.RandomState(77).randint(1, 1 << 62, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _B = [np.uint64(pow(0xD1342543DE82EF95, k, 1 << 64)) for k in (1, 2, 4, 8)]
@@ -84,19 +87,19 @@ def chosen_suffixes(data: np.ndarray, off: np.ndarray):
     return at[first], first, last, key[at[first]], row[first].astype(np.int64)
 
 
-def _lists(groups: list[np.ndarray], *values: np.ndarray):
-    """Arrow list columns with one list for each run of equal group values."""
-    n = len(groups[0])
-    if not n:
-        return None
-    cut = np.zeros(n, bool)
-    cut[0] = True
-    for g in groups:
-        cut[1:] |= g[1:] != g[:-1]
-    starts = np.flatnonzero(cut)
-    off = pa.array(np.append(starts, n).astype(np.int32))
-    return [pa.array(g[starts]) for g in groups] + [
-        pa.ListArray.from_arrays(off, pa.array(v.astype(np.int32))) for v in values]
+#: Stands for a null id, which compares with nothing.
+NO_ID = -(1 << 63)
+
+
+def _grouped(doc: np.ndarray, rid: np.ndarray, numbers: np.ndarray) -> pa.RecordBatch:
+    """Rows (doc_id, rid, numbers) of packed numbers for each run of equal (doc, rid)."""
+    start = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (rid[1:] != rid[:-1])])) \
+        if len(doc) else np.zeros(0, np.int64)
+    raw, width = np.ascontiguousarray(numbers).tobytes(), numbers.itemsize * (numbers.size // max(len(doc), 1))
+    cut = (np.append(start, len(doc)) * width).astype(np.int32)
+    packed = pa.BinaryArray.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(cut), pa.py_buffer(raw)])
+    return pa.RecordBatch.from_arrays([pa.array(doc[start]), pa.array(rid[start]), packed],
+                                      ["doc_id", "rid", "numbers"])
 
 
 # ---------------------------------------------------------------- 1. keys
@@ -115,32 +118,37 @@ def _send_keys(n: int):
         pick = np.concatenate([np.flatnonzero(~each), start[many]])
         flag = np.concatenate([np.zeros((~each).sum(), np.uint8), np.ones(many.sum(), np.uint8)])
         bucket = (key[pick] >> np.uint64(48)).astype(np.int64) % n
-        order = np.lexsort((rid[pick], bucket))
+        order = np.lexsort((num[pick], rid[pick], doc[pick], bucket))
         pick, flag, bucket = pick[order], flag[order], bucket[order]
-        ids, blobs = [], []
+        ids, known, blobs = [], [], []
         for b, i, j in _runs(bucket):
             p = pick[i:j]
-            six = (key[p] & np.uint64((1 << 48) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+            low = (key[p] & KEY_MASK).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
             ids.append(b)
-            blobs.append(pack(six, doc[p], rid[p], num[p].astype(np.int32), flag[i:j]))
+            known.append(False)
+            blobs.append(pack(low, np.diff(doc[p], prepend=0), rid[p], num[p].astype(np.int32), flag[i:j]))
         keep = np.flatnonzero(each)
         keep = keep[np.lexsort((num[keep], rid[keep], doc[keep]))]
-        home = rid[keep] % n
-        for b in np.unique(home):
-            p = keep[home == b]
-            ids.append(-1 - int(b))
-            blobs.append(pack(doc[p], rid[p], num[p].astype(np.int32)))
-        return pa.RecordBatch.from_arrays([pa.array([b if b >= 0 else -1 - b for b in ids], pa.int32()),
-                                           pa.array([b < 0 for b in ids]), pa.array(blobs, pa.binary())],
-                                          ["bucket", "known", "blob"])
+        home = doc[keep] % n
+        order = np.argsort(home, kind="stable")
+        for b, i, j in _runs(home[order]):
+            p = keep[order[i:j]]
+            ids.append(b)
+            known.append(True)
+            blobs.append(pack(np.diff(doc[p], prepend=0), rid[p], num[p].astype(np.int32)))
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(known),
+                                           pa.array(blobs, pa.binary())], ["bucket", "known", "blob"])
 
     def run(batches):
         held, size = [], 0
         for b in batches:
             doc, rid = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-            data, off = text_bytes(b.column(2))
+            data, off = unzipped(b.column(2))
             for i, j in spans(off, CHUNK):
                 at, _, _, key, row = chosen_suffixes(data[off[i]:off[j]], off[i:j + 1] - off[i])
+                if (doc[i:j] == NO_ID).any():
+                    named = doc[i:j][row] != NO_ID
+                    at, key, row = at[named], key[named], row[named]
                 if len(at):
                     num = np.arange(len(at)) - np.searchsorted(row, row)
                     held.append((key, doc[i:j][row], rid[i:j][row], num))
@@ -162,22 +170,18 @@ def _runs(sorted_values: np.ndarray):
 
 
 def _meet_keys(batches):
-    """Rows (doc_id, rid, nums) of the suffixes whose key two documents have."""
-    def lists(doc, rid, num):
-        order = np.lexsort((num, rid, doc))
-        return pa.RecordBatch.from_arrays(_lists([doc[order], rid[order]], num[order]),
-                                          ["doc_id", "rid", "nums"])
-
+    """Rows (doc_id, rid, numbers): places of the suffixes whose key two documents have."""
     parts = []
     for b in batches:
         for known, blob in zip(b.column(1).to_pylist(), b.column(2)):
             if known:
-                yield lists(*unpack(blob.as_py(), "<i8", "<i8", "<i4"))
+                doc, rid, num = unpack(blob.as_py(), "<i8", "<i4", "<i4")
+                yield _grouped(np.cumsum(doc), rid, num)
                 continue
-            six, *rest = unpack(blob.as_py(), "u1", "<i8", "<i8", "<i4", "u1")
-            key = np.zeros((len(six) // 6, 8), np.uint8)
-            key[:, :6] = six.reshape(-1, 6)
-            parts.append([key.view("<u8").ravel(), *rest])
+            low, doc, *rest = unpack(blob.as_py(), "u1", "<i8", "<i4", "<i4", "u1")
+            key = np.zeros((len(doc), 8), np.uint8)
+            key[:, :KEY_BYTES] = low.reshape(-1, KEY_BYTES)
+            parts.append([key.view("<u8").ravel(), np.cumsum(doc), *rest])
     if not parts:
         return
     key, doc, rid, num, many = map(np.concatenate, zip(*parts))
@@ -189,7 +193,9 @@ def _meet_keys(batches):
     hit |= np.add.reduceat(many, start, dtype=np.int64) > 0
     keep = np.repeat(hit, np.diff(np.append(start, len(key)))) & (many == 0)
     if keep.any():
-        yield lists(doc[keep], rid[order][keep], num[order][keep])
+        doc, rid, num = doc[keep], rid[order][keep], num[order][keep]
+        order = np.lexsort((num, rid, doc))
+        yield _grouped(doc[order], rid[order], num[order])
 
 
 # ---------------------------------------------------------------- 2. runs
@@ -210,7 +216,7 @@ def _send_runs(n: int):
         d = np.flatnonzero(done)
         if len(d):
             order = d[np.lexsort((pos[d], rid[d], doc[d]))]
-            ids.append(int(rid[order[0]] % n))
+            ids.append(int(doc[order[0]] % n))
             known.append(True)
             blobs.append(pack(*_merged(doc[order], rid[order], pos[order] - low[order],
                                        pos[order] + high[order])))
@@ -241,10 +247,8 @@ def _send_runs(n: int):
         held, size = [], 0
         for b in batches:
             doc, rid = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-            data, off = text_bytes(b.column(2))
-            lists = b.column(3)
-            cut = np.asarray(lists.offsets)
-            nums = np.asarray(lists.values)
+            data, off = unzipped(b.column(2))
+            nums, cut = number_lists(b.column(3), "<i4")
             for i, j in spans(off, CHUNK):
                 part = data[off[i]:off[j]]
                 at, first, last, key, row = chosen_suffixes(part, off[i:j + 1] - off[i])
@@ -353,7 +357,7 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[int], li
 
 def _decode(blob: bytes):
     common, tails, left, low, high, doc, count, rid, pos = unpack(
-        blob, "u1", "u1", "u1", "u1", "u1", "<i8", "<i4", "<i8", "<i4")
+        blob, "u1", "u1", "u1", "u1", "u1", "<i8", "<i4", "<i4", "<i4")
     raw, keys, prev, at = tails.tobytes(), [], b"", 0
     for c in common.tolist():
         prev = prev[:c] + raw[at:at + LENGTH - c]
@@ -392,15 +396,15 @@ def _classes(common, left, low, high, doc):
 
 
 def _meet_runs(batches):
-    """Rows (doc_id, rid, starts, ends) of byte ranges to remove."""
-    def lists(doc, rid, start, end):
-        return pa.RecordBatch.from_arrays(_lists([doc, rid], start, end), ["doc_id", "rid", "starts", "ends"])
+    """Rows (doc_id, rid, numbers): starts and ends of byte ranges to remove."""
+    def ranges(doc, rid, start, end):
+        return _grouped(doc, rid, np.stack([start, end], axis=1).astype(np.int32))
 
     runs = []
     for b in batches:
         for known, blob in zip(b.column(1).to_pylist(), b.column(2)):
             if known:
-                yield lists(*unpack(blob.as_py(), "<i8", "<i8", "<i4", "<i4"))
+                yield ranges(*unpack(blob.as_py(), "<i8", "<i4", "<i4", "<i4"))
             else:
                 runs.append(_decode(blob.as_py()))
     if not runs:
@@ -420,61 +424,68 @@ def _meet_runs(batches):
     start, end = pos - np.repeat(most, c), pos - np.repeat(least, c) + LENGTH
     order = np.lexsort((start, rid, doc))
     if len(order):
-        yield lists(*_merged(doc[order], rid[order], start[order], end[order]))
+        yield ranges(*_merged(doc[order], rid[order], start[order], end[order]))
 
 
 # ---------------------------------------------------------------- 4. whole job
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, rid, text) with zipped texts, dealt out by row. ``rid``, a hash of the text,
+    tells rows with the same id apart. All steps read this one exchange."""
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array([zipped(x) for x in b.column(2).to_pylist()], pa.binary())],
+                ["doc_id", "rid", "text"])
+
     n = partitions(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("rid"),
-                       text.cast("binary").alias("text")).repartition(n, "doc_id", "rid")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.hash(text).alias("rid"),
+                       text.cast("binary").alias("text")).mapInArrow(run, "doc_id bigint, rid int, text binary")
+    return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"),
+                       F.coalesce("rid", F.lit(0)).alias("rid"), "text").repartition(n, "doc_id", "rid")
 
 
 def _spans(texts: DataFrame) -> DataFrame:
-    """(doc_id, rid, starts, ends): removed byte ranges, maybe overlapping."""
+    """(doc_id, rid, numbers): removed byte ranges, maybe overlapping."""
     n = partitions(texts.sparkSession)
-    blobs = "bucket int, known boolean, blob binary"
-    known = texts.where("doc_id is not null")
-    nums = (known.mapInArrow(_send_keys(n), blobs).repartitionById(n, F.col("bucket"))
-            .mapInArrow(_meet_keys, "doc_id bigint, rid bigint, nums array<int>")
-            .groupBy("doc_id", "rid").agg(F.flatten(F.collect_list("nums")).alias("nums")))
-    return (texts.join(nums, ["doc_id", "rid"]).select("doc_id", "rid", "text", "nums")
-            .mapInArrow(_send_runs(n), blobs).repartitionById(n, F.col("bucket"))
-            .mapInArrow(_meet_runs, "doc_id bigint, rid bigint, starts array<int>, ends array<int>")
-            .groupBy("doc_id", "rid").agg(F.flatten(F.collect_list("starts")).alias("starts"),
-                                          F.flatten(F.collect_list("ends")).alias("ends")))
+    blobs, numbers = "bucket int, known boolean, blob binary", "doc_id bigint, rid int, numbers binary"
+
+    def by_row(df):
+        return df.groupBy("doc_id", "rid").agg(F.collect_list("numbers").alias("numbers"))
+
+    nums = by_row(texts.mapInArrow(_send_keys(n), blobs).repartitionById(n, F.col("bucket"))
+                  .mapInArrow(_meet_keys, numbers))
+    return by_row(texts.join(nums, ["doc_id", "rid"]).select("doc_id", "rid", "text", "numbers")
+                  .mapInArrow(_send_runs(n), blobs).repartitionById(n, F.col("bucket"))
+                  .mapInArrow(_meet_runs, numbers))
 
 
 def _kept(batches):
     """Rows with the text that is left."""
     for b in batches:
-        ids = b.column(0)
-        data, off = text_bytes(b.column(2))
+        data, off = unzipped(b.column(2))
         raw = data.tobytes()
+        numbers, cut = number_lists(b.column(3), "<i4")
         out = []
-        for k, (starts, ends) in enumerate(zip(b.column(3), b.column(4))):
+        for k in range(b.num_rows):
             text = raw[off[k]:off[k + 1]]
-            removed = count = 0
-            if starts.is_valid and len(starts):
-                s, e = np.asarray(starts.values), np.asarray(ends.values)
-                order = np.argsort(s, kind="stable")
-                zero = np.zeros(len(s), np.int64)
-                _, _, s, e = _merged(zero, zero, s[order].astype(np.int64), e[order].astype(np.int64))
-                parts, at = [], 0
-                for x, y in zip(s.tolist(), e.tolist()):
-                    parts.append(text[at:x])
-                    at = y
-                    removed += y - x
-                    count += 1
-                parts.append(text[at:])
-                kept = b"".join(parts)
-            else:
-                kept = text
-            out.append((len(text), removed, count, kept))
+            if cut[k] == cut[k + 1]:
+                out.append((len(text), 0, 0, text))
+                continue
+            both = numbers[cut[k]:cut[k + 1]].reshape(-1, 2).astype(np.int64)
+            both = both[np.argsort(both[:, 0], kind="stable")]
+            zero = np.zeros(len(both), np.int64)
+            _, _, start, end = _merged(zero, zero, both[:, 0], both[:, 1])
+            parts, at = [], 0
+            for x, y in zip(start.tolist(), end.tolist()):
+                parts.append(text[at:x])
+                at = y
+            parts.append(text[at:])
+            out.append((len(text), int((end - start).sum()), len(start), b"".join(parts)))
         size, removed, count, kept = zip(*out) if out else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays([ids, b.column(1), pa.array(size, pa.int64()),
+        ids = [None if i == NO_ID else i for i in b.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), b.column(1), pa.array(size, pa.int64()),
                                           pa.array(removed, pa.int64()), pa.array(count, pa.int64()),
                                           pa.array(kept, pa.binary())],
                                          ["doc_id", "rid", "n_bytes", "n_removed", "n_spans", "kept"])
@@ -485,8 +496,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     the remaining bytes and ``rid`` a hash of the text."""
     texts = _texts(docs, id_col, text_col)
     return (texts.join(_spans(texts), ["doc_id", "rid"], "left")
-            .select("doc_id", "rid", "text", "starts", "ends")
-            .mapInArrow(_kept, "doc_id bigint, rid bigint, n_bytes bigint, n_removed bigint, "
+            .select("doc_id", "rid", "text", "numbers")
+            .mapInArrow(_kept, "doc_id bigint, rid int, n_bytes bigint, n_removed bigint, "
                                "n_spans bigint, kept binary"))
 
 
