@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from tessera.llm import fingerprint, suffixdedup
+from tessera.llm import fingerprint, minmax, suffixdedup
 from tessera.llm.common import read
 from tessera.session import ship_package
 
@@ -17,6 +17,10 @@ def _shipped(fn):
     return run
 
 
+def op2_minmax_dedup(spark, sf_dir):
+    return minmax.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_suffix_dedup(spark, sf_dir):
     return suffixdedup.report(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -25,5 +29,5 @@ def op10_fingerprint(spark, sf_dir):
     return fingerprint.edited_likeness(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op5_suffix_dedup, op10_fingerprint)}
+QUERIES = {f.__name__: _shipped(f) for f in (op2_minmax_dedup, op5_suffix_dedup, op10_fingerprint)}
 ORACLE: dict[str, str] = {}
