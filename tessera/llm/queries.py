@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from tessera.llm import fingerprint, minmax, suffixdedup
+from tessera.llm import fingerprint, minmax, packing, suffixdedup, warc
 from tessera.llm.common import read
 from tessera.session import ship_package
 
@@ -25,9 +25,25 @@ def op5_suffix_dedup(spark, sf_dir):
     return suffixdedup.report(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_warc(spark, sf_dir):
+    return warc.report(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op9_packing(spark, sf_dir):
+    return packing.pack(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_fingerprint(spark, sf_dir):
     return fingerprint.edited_likeness(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op2_minmax_dedup, op5_suffix_dedup, op10_fingerprint)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: _shipped(f) for f in (op2_minmax_dedup, op5_suffix_dedup, op6_warc, op9_packing, op10_fingerprint)}
+ORACLE: dict[str, str] = {
+    "op6_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+             m AS (SELECT payload, max(page_id) AS top FROM p GROUP BY payload)
+        SELECT p.page_id, CAST(strlen(p.payload) AS BIGINT) AS payload_bytes, sha1(p.payload) AS payload_digest,
+               CASE WHEN strlen(p.payload) >= 1000 AND p.page_id <> m.top THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN strlen(p.payload) >= 1000 AND p.page_id <> m.top THEN m.top END AS refers_to
+        FROM p JOIN m USING (payload)""",
+}
