@@ -3,7 +3,6 @@ Arrow text columns, packed exchange rows and connected components."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -109,20 +108,6 @@ def unzipped(col) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), off
 
 
-def number_lists(col, kind: str) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers and row offsets of an ``array<binary>`` column whose values are packed numbers."""
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    cut = np.asarray(col.offsets).astype(np.int64)
-    values = col.values.cast(pa.large_binary())
-    if not len(values) or values.buffers()[2] is None:
-        return np.zeros(0, kind), np.zeros(len(col) + 1, np.int64)
-    at = np.frombuffer(values.buffers()[1], np.int64, len(values) + 1, values.offset * 8)
-    data = np.frombuffer(values.buffers()[2], np.uint8)
-    lo, hi = at[cut[0]], at[cut[-1]]
-    return np.frombuffer(data[lo:hi].tobytes(), kind), (at[cut] - lo) // np.dtype(kind).itemsize
-
-
 def word_cuts(data: np.ndarray, off: np.ndarray):
     """Words ``[^\\x20\\x09-\\x0D]+`` of a byte table: starts, ends (byte
     positions) and the row of each."""
@@ -204,7 +189,3 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     return labels.select("node", F.col("label").alias("component"))
-
-
-def join_path(*parts: str) -> str:
-    return os.path.join(*parts)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import mix, number_lists, pack, partitions, spans, unpack, unzipped, zipped
+from tessera.llm.common import M61, mix, pack, partitions, spans, text_bytes, unpack, unzipped, zipped
 
 LENGTH = 50
 KMER = 24
@@ -102,6 +102,39 @@ def _grouped(doc: np.ndarray, rid: np.ndarray, numbers: np.ndarray) -> pa.Record
                                       ["doc_id", "rid", "numbers"])
 
 
+def _homeward(n: int, doc, rid, *numbers) -> pa.RecordBatch:
+    """Rows (home, blob) of results on their way back to their documents: one row for
+    each partition of documents, not one for each document."""
+    home = (doc.view(np.uint64) * M61 >> np.uint64(33)).astype(np.int64) % n
+    order = np.lexsort((*[x for x in numbers[::-1]], rid, doc, home))
+    homes, blobs = [], []
+    for h, i, j in _runs(home[order]):
+        p = order[i:j]
+        homes.append(h)
+        blobs.append(pack(np.diff(doc[p], prepend=0), rid[p], *[x[p].astype(np.int32) for x in numbers]))
+    return pa.RecordBatch.from_arrays([pa.array(homes, pa.int32()), pa.array(blobs, pa.binary())], ["home", "blob"])
+
+
+def _gather(columns: int):
+    """One row (doc_id, rid, numbers) for each document; two columns are ranges and are merged."""
+    def run(batches):
+        parts = []
+        for b in batches:
+            for blob in b.column(1):
+                doc, *rest = unpack(blob.as_py(), "<i8", *["<i4"] * (1 + columns))
+                parts.append([np.cumsum(doc), *rest])
+        if not parts:
+            return
+        doc, rid, *numbers = map(np.concatenate, zip(*parts))
+        order = np.lexsort((numbers[0], rid, doc))
+        doc, rid, *numbers = (x[order] for x in (doc, rid, *numbers))
+        if columns == 2:
+            doc, rid, *numbers = _merged(doc, rid, *[x.astype(np.int64) for x in numbers])
+        yield _grouped(doc, rid, np.stack(numbers, axis=1).astype(np.int32))
+
+    return run
+
+
 # ---------------------------------------------------------------- 1. keys
 
 def _send_keys(n: int):
@@ -169,33 +202,34 @@ def _runs(sorted_values: np.ndarray):
             yield int(sorted_values[i]), i, j
 
 
-def _meet_keys(batches):
-    """Rows (doc_id, rid, numbers): places of the suffixes whose key two documents have."""
-    parts = []
-    for b in batches:
-        for known, blob in zip(b.column(1).to_pylist(), b.column(2)):
-            if known:
-                doc, rid, num = unpack(blob.as_py(), "<i8", "<i4", "<i4")
-                yield _grouped(np.cumsum(doc), rid, num)
-                continue
-            low, doc, *rest = unpack(blob.as_py(), "u1", "<i8", "<i4", "<i4", "u1")
-            key = np.zeros((len(doc), 8), np.uint8)
-            key[:, :KEY_BYTES] = low.reshape(-1, KEY_BYTES)
-            parts.append([key.view("<u8").ravel(), np.cumsum(doc), *rest])
-    if not parts:
-        return
-    key, doc, rid, num, many = map(np.concatenate, zip(*parts))
-    del parts
-    order = np.argsort(key, kind="stable")
-    key, doc, many = key[order], doc[order], many[order]
-    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    hit = (np.minimum.reduceat(doc, start) != np.maximum.reduceat(doc, start))
-    hit |= np.add.reduceat(many, start, dtype=np.int64) > 0
-    keep = np.repeat(hit, np.diff(np.append(start, len(key)))) & (many == 0)
-    if keep.any():
-        doc, rid, num = doc[keep], rid[order][keep], num[order][keep]
-        order = np.lexsort((num, rid, doc))
-        yield _grouped(doc[order], rid[order], num[order])
+def _meet_keys(n: int):
+    """Rows (home, blob): places of the suffixes whose key two documents have."""
+    def run(batches):
+        parts, settled = [], []
+        for b in batches:
+            for known, blob in zip(b.column(1).to_pylist(), b.column(2)):
+                if known:
+                    doc, *rest = unpack(blob.as_py(), "<i8", "<i4", "<i4")
+                    settled.append([np.cumsum(doc), *rest])
+                else:
+                    low, doc, *rest = unpack(blob.as_py(), "u1", "<i8", "<i4", "<i4", "u1")
+                    key = np.zeros((len(doc), 8), np.uint8)
+                    key[:, :KEY_BYTES] = low.reshape(-1, KEY_BYTES)
+                    parts.append([key.view("<u8").ravel(), np.cumsum(doc), *rest])
+        if parts:
+            key, doc, rid, num, many = map(np.concatenate, zip(*parts))
+            del parts
+            order = np.argsort(key, kind="stable")
+            key, doc, many = key[order], doc[order], many[order]
+            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            hit = (np.minimum.reduceat(doc, start) != np.maximum.reduceat(doc, start))
+            hit |= np.add.reduceat(many, start, dtype=np.int64) > 0
+            keep = np.repeat(hit, np.diff(np.append(start, len(key)))) & (many == 0)
+            settled.append([doc[keep], rid[order][keep], num[order][keep]])
+        if settled:
+            yield _homeward(n, *map(np.concatenate, zip(*settled)))
+
+    return run
 
 
 # ---------------------------------------------------------------- 2. runs
@@ -248,7 +282,8 @@ def _send_runs(n: int):
         for b in batches:
             doc, rid = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
             data, off = unzipped(b.column(2))
-            nums, cut = number_lists(b.column(3), "<i4")
+            places, cut = text_bytes(b.column(3))
+            nums, cut = np.frombuffer(places.tobytes(), "<i4"), cut // 4
             for i, j in spans(off, CHUNK):
                 part = data[off[i]:off[j]]
                 at, first, last, key, row = chosen_suffixes(part, off[i:j + 1] - off[i])
@@ -395,36 +430,36 @@ def _classes(common, left, low, high, doc):
     return least, most
 
 
-def _meet_runs(batches):
-    """Rows (doc_id, rid, numbers): starts and ends of byte ranges to remove."""
-    def ranges(doc, rid, start, end):
-        return _grouped(doc, rid, np.stack([start, end], axis=1).astype(np.int32))
+def _meet_runs(n: int):
+    """Rows (home, blob): starts and ends of byte ranges to remove."""
+    def run(batches):
+        runs, settled = [], []
+        for b in batches:
+            for known, blob in zip(b.column(1).to_pylist(), b.column(2)):
+                if known:
+                    settled.append(unpack(blob.as_py(), "<i8", "<i4", "<i4", "<i4"))
+                else:
+                    runs.append(_decode(blob.as_py()))
+        if runs:
+            which, place, common = map(np.array, merge_runs([r[0] for r in runs]))
+            sizes = np.array([len(r[4]) for r in runs])
+            at = (np.cumsum(sizes) - sizes)[which] + place
+            left, low, high, doc, count, rid, pos = (np.concatenate([r[c] for r in runs]) for c in range(1, 8))
+            del runs
+            least, most = _classes(common, left[at], low[at], high[at], doc[at])
+            first = np.cumsum(count) - count
+            hit = most >= 0
+            at, least, most = at[hit], least[hit], most[hit]
+            c = count[at]
+            places = np.repeat(first[at] - (np.cumsum(c) - c), c) + np.arange(c.sum())
+            doc, rid, pos = np.repeat(doc[at], c), rid[places], pos[places].astype(np.int64)
+            start, end = pos - np.repeat(most, c), pos - np.repeat(least, c) + LENGTH
+            order = np.lexsort((start, rid, doc))
+            settled.append(_merged(doc[order], rid[order], start[order], end[order]))
+        if settled:
+            yield _homeward(n, *map(np.concatenate, zip(*settled)))
 
-    runs = []
-    for b in batches:
-        for known, blob in zip(b.column(1).to_pylist(), b.column(2)):
-            if known:
-                yield ranges(*unpack(blob.as_py(), "<i8", "<i4", "<i4", "<i4"))
-            else:
-                runs.append(_decode(blob.as_py()))
-    if not runs:
-        return
-    run, place, common = map(np.array, merge_runs([r[0] for r in runs]))
-    sizes = np.array([len(r[4]) for r in runs])
-    at = (np.cumsum(sizes) - sizes)[run] + place
-    left, low, high, doc, count, rid, pos = (np.concatenate([r[c] for r in runs]) for c in range(1, 8))
-    del runs
-    least, most = _classes(common, left[at], low[at], high[at], doc[at])
-    first = np.cumsum(count) - count
-    hit = most >= 0
-    at, least, most = at[hit], least[hit], most[hit]
-    c = count[at]
-    places = np.repeat(first[at] - (np.cumsum(c) - c), c) + np.arange(c.sum())
-    doc, rid, pos = np.repeat(doc[at], c), rid[places], pos[places].astype(np.int64)
-    start, end = pos - np.repeat(most, c), pos - np.repeat(least, c) + LENGTH
-    order = np.lexsort((start, rid, doc))
-    if len(order):
-        yield ranges(*_merged(doc[order], rid[order], start[order], end[order]))
+    return run
 
 
 # ---------------------------------------------------------------- 4. whole job
@@ -449,16 +484,13 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _spans(texts: DataFrame) -> DataFrame:
     """(doc_id, rid, numbers): removed byte ranges, maybe overlapping."""
     n = partitions(texts.sparkSession)
-    blobs, numbers = "bucket int, known boolean, blob binary", "doc_id bigint, rid int, numbers binary"
-
-    def by_row(df):
-        return df.groupBy("doc_id", "rid").agg(F.collect_list("numbers").alias("numbers"))
-
-    nums = by_row(texts.mapInArrow(_send_keys(n), blobs).repartitionById(n, F.col("bucket"))
-                  .mapInArrow(_meet_keys, numbers))
-    return by_row(texts.join(nums, ["doc_id", "rid"]).select("doc_id", "rid", "text", "numbers")
-                  .mapInArrow(_send_runs(n), blobs).repartitionById(n, F.col("bucket"))
-                  .mapInArrow(_meet_runs, numbers))
+    blobs, home = "bucket int, known boolean, blob binary", "home int, blob binary"
+    numbers = "doc_id bigint, rid int, numbers binary"
+    nums = (texts.mapInArrow(_send_keys(n), blobs).repartitionById(n, F.col("bucket"))
+            .mapInArrow(_meet_keys(n), home).repartitionById(n, F.col("home")).mapInArrow(_gather(1), numbers))
+    return (texts.join(nums, ["doc_id", "rid"]).select("doc_id", "rid", "text", "numbers")
+            .mapInArrow(_send_runs(n), blobs).repartitionById(n, F.col("bucket"))
+            .mapInArrow(_meet_runs(n), home).repartitionById(n, F.col("home")).mapInArrow(_gather(2), numbers))
 
 
 def _kept(batches):
@@ -466,7 +498,8 @@ def _kept(batches):
     for b in batches:
         data, off = unzipped(b.column(2))
         raw = data.tobytes()
-        numbers, cut = number_lists(b.column(3), "<i4")
+        numbers, cut = text_bytes(b.column(3))
+        numbers, cut = np.frombuffer(numbers.tobytes(), "<i4"), cut // 4
         out = []
         for k in range(b.num_rows):
             text = raw[off[k]:off[k + 1]]
