@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from tessera.llm import fingerprint, minmax, packing, suffixdedup, warc
+from tessera.llm import fingerprint, langid, minmax, packing, suffixdedup, warc
 from tessera.llm.common import read
 from tessera.session import ship_package
 
@@ -17,6 +17,10 @@ def _shipped(fn):
     return run
 
 
+def op1_language_id(spark, sf_dir):
+    return langid.report(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op2_minmax_dedup(spark, sf_dir):
     return minmax.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -37,7 +41,7 @@ def op10_fingerprint(spark, sf_dir):
     return fingerprint.edited_likeness(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op2_minmax_dedup, op5_suffix_dedup, op6_warc, op9_packing, op10_fingerprint)}
+QUERIES = {f.__name__: _shipped(f) for f in (op1_language_id, op2_minmax_dedup, op5_suffix_dedup, op6_warc, op9_packing, op10_fingerprint)}
 ORACLE: dict[str, str] = {
     "op6_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
