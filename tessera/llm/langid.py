@@ -229,17 +229,17 @@ def _has_letter(text: bytes) -> bool:
     return any(c.isalpha() for c in text.decode("utf-8", "replace"))
 
 
-def predict(docs: DataFrame, network: Network | None, *keep: str) -> DataFrame:
-    """``keep`` columns with lang_pred, score (pooled probability of that language) and
-    share (of the letter positions labelled with it)."""
-    fields = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+def _predicted(docs: DataFrame, network: Network | None, keep: list[str]) -> DataFrame:
+    """Columns _k0, _k1, ... (``keep``), _lang_pred, _score and _share."""
+    names = [f"_k{i}" for i in range(len(keep))]
+    fields = "".join(f"{k} {docs.schema[c].dataType.simpleString()}, " for k, c in zip(names, keep))
 
     def run(batches):
         for b in batches:
             data, off = text_bytes(b.column(0))
             for i, j in spans(off, CHUNK):
                 part, cut = data[off[i]:off[j]], off[i:j + 1] - off[i]
-                names, scores, shares = [UNDECIDED] * (j - i), np.zeros(j - i), np.zeros(j - i)
+                found, scores, shares = [UNDECIDED] * (j - i), np.zeros(j - i), np.zeros(j - i)
                 if network is not None:
                     mean, label, letters = network.pooled(part, cut)
                     best = mean.argmax(axis=1)
@@ -247,15 +247,34 @@ def predict(docs: DataFrame, network: Network | None, *keep: str) -> DataFrame:
                     plain = ascii_letters[cut[1:]] > ascii_letters[cut[:-1]]
                     for k in range(j - i):
                         if plain[k] or (letters[k] and _has_letter(part[cut[k]:cut[k + 1]].tobytes())):
-                            names[k] = network.languages[best[k]]
+                            found[k] = network.languages[best[k]]
                             scores[k] = min(1.0, mean[k, best[k]])
                             shares[k] = label[k, best[k]] / letters[k]
                 yield pa.RecordBatch.from_arrays(
-                    [*[b.column(c).slice(i, j - i) for c in range(1, 1 + len(keep))], pa.array(names),
-                     pa.array(scores), pa.array(shares)], [*keep, "lang_pred", "score", "share"])
+                    [*[b.column(c).slice(i, j - i) for c in range(1, 1 + len(keep))], pa.array(found),
+                     pa.array(scores), pa.array(shares)], [*names, "_lang_pred", "_score", "_share"])
+
+    return docs.select(F.col("text").cast("string").alias("_text"), *[F.col(c).alias(k) for c, k in zip(keep, names)]
+                       ).mapInArrow(run, f"{fields}_lang_pred string, _score double, _share double")
 
-    return docs.select(F.col("text").cast("string").alias("_text"), *keep).mapInArrow(
-        run, f"{fields}, lang_pred string, score double, share double")
+
+def predict(docs: DataFrame, network: Network | None, *keep: str) -> DataFrame:
+    """``keep`` columns with lang_pred, score (pooled probability of that language) and
+    share (of the letter positions labelled with it), which replace columns of those names."""
+    keep = [c for c in keep if c not in ("lang_pred", "score", "share")]
+    return _predicted(docs, network, keep).select(
+        *[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], F.col("_lang_pred").alias("lang_pred"),
+        F.col("_score").alias("score"), F.col("_share").alias("share"))
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text, lang and any others) without the rows that are in no language; a
+    network is trained on the labelled rows not held out. Without labels, rows with a letter stay."""
+    network = train(docs.where(~held_out()))
+    if network is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = _predicted(docs, network, docs.columns).where(F.col("_lang_pred") != UNDECIDED)
+    return found.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from tessera.llm import fingerprint, langid, minmax, packing, suffixdedup, warc
+from tessera.llm import fingerprint, langid, licenses, maxent, minmax, mixing, packing, pivots, suffixdedup, warc
 from tessera.llm.common import read
 from tessera.session import ship_package
 
@@ -25,6 +25,14 @@ def op2_minmax_dedup(spark, sf_dir):
     return minmax.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_pivot_dedup(spark, sf_dir):
+    return pivots.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+def op4_maxent_scores(spark, sf_dir):
+    return maxent.scores(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_suffix_dedup(spark, sf_dir):
     return suffixdedup.report(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -33,6 +41,14 @@ def op6_warc(spark, sf_dir):
     return warc.report(read(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op7_license_scan(spark, sf_dir):
+    return licenses.scan(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op8_mixing(spark, sf_dir):
+    return mixing.report(read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+
+
 def op9_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -41,7 +57,9 @@ def op10_fingerprint(spark, sf_dir):
     return fingerprint.edited_likeness(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op1_language_id, op2_minmax_dedup, op5_suffix_dedup, op6_warc, op9_packing, op10_fingerprint)}
+QUERIES = {f.__name__: _shipped(f) for f in (
+    op1_language_id, op2_minmax_dedup, op3_pivot_dedup, op4_maxent_scores, op5_suffix_dedup, op6_warc, op7_license_scan,
+    op8_mixing, op9_packing, op10_fingerprint)}
 ORACLE: dict[str, str] = {
     "op6_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
@@ -50,4 +68,5 @@ ORACLE: dict[str, str] = {
                CASE WHEN strlen(p.payload) >= 1000 AND p.page_id <> m.top THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN strlen(p.payload) >= 1000 AND p.page_id <> m.top THEN m.top END AS refers_to
         FROM p JOIN m USING (payload)""",
+    "op8_mixing": mixing.oracle_sql(),
 }

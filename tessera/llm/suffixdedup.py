@@ -35,6 +35,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -464,21 +465,28 @@ def _meet_runs(n: int):
 
 # ---------------------------------------------------------------- 4. whole job
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, rid, text) with zipped texts, dealt out by row. ``rid``, a hash of the text,
-    tells rows with the same id apart. All steps read this one exchange."""
+def _fields(docs: DataFrame, keep: tuple[str, ...]) -> str:
+    return "".join(f", _k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, rid, text, kept columns) with zipped texts, dealt out by row. ``rid``, a hash of
+    the text, tells rows with the same id apart. All steps read this one exchange."""
+    names = [f"_k{i}" for i in range(len(keep))]
+
     def run(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([zipped(x) for x in b.column(2).to_pylist()], pa.binary())],
-                ["doc_id", "rid", "text"])
+                [b.column(0), b.column(1), pa.array([zipped(x) for x in b.column(2).to_pylist()], pa.binary()),
+                 *b.columns[3:]], ["doc_id", "rid", "text", *names])
 
     n = partitions(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.hash(text).alias("rid"),
-                       text.cast("binary").alias("text")).mapInArrow(run, "doc_id bigint, rid int, text binary")
+                       text.cast("binary").alias("text"), *[F.col(c).alias(k) for c, k in zip(keep, names)]).mapInArrow(
+        run, "doc_id bigint, rid int, text binary" + _fields(docs, keep))
     return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"),
-                       F.coalesce("rid", F.lit(0)).alias("rid"), "text").repartition(n, "doc_id", "rid")
+                       F.coalesce("rid", F.lit(0)).alias("rid"), "text", *names).repartition(n, "doc_id", "rid")
 
 
 def _spans(texts: DataFrame) -> DataFrame:
@@ -488,7 +496,8 @@ def _spans(texts: DataFrame) -> DataFrame:
     numbers = "doc_id bigint, rid int, numbers binary"
     nums = (texts.mapInArrow(_send_keys(n), blobs).repartitionById(n, F.col("bucket"))
             .mapInArrow(_meet_keys(n), home).repartitionById(n, F.col("home")).mapInArrow(_gather(1), numbers))
-    return (texts.join(nums, ["doc_id", "rid"]).select("doc_id", "rid", "text", "numbers")
+    return (texts.join(nums, ["doc_id", "rid"])
+            .select("doc_id", "rid", "text", "numbers", *[c for c in texts.columns if c.startswith("_k")])
             .mapInArrow(_send_runs(n), blobs).repartitionById(n, F.col("bucket"))
             .mapInArrow(_meet_runs(n), home).repartitionById(n, F.col("home")).mapInArrow(_gather(2), numbers))
 
@@ -518,20 +527,44 @@ def _kept(batches):
             out.append((len(text), int((end - start).sum()), len(start), b"".join(parts)))
         size, removed, count, kept = zip(*out) if out else ((), (), (), ())
         ids = [None if i == NO_ID else i for i in b.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), b.column(1), pa.array(size, pa.int64()),
-                                          pa.array(removed, pa.int64()), pa.array(count, pa.int64()),
-                                          pa.array(kept, pa.binary())],
-                                         ["doc_id", "rid", "n_bytes", "n_removed", "n_spans", "kept"])
-
-
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: (doc_id, rid, n_bytes, n_removed, n_spans, kept), ``kept``
-    the remaining bytes and ``rid`` a hash of the text."""
-    texts = _texts(docs, id_col, text_col)
-    return (texts.join(_spans(texts), ["doc_id", "rid"], "left")
-            .select("doc_id", "rid", "text", "numbers")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), b.column(1), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
+             pa.array(count, pa.int64()), pa.array(kept, pa.binary()), *b.columns[4:]],
+            ["doc_id", "rid", "n_bytes", "n_removed", "n_spans", "kept", *b.schema.names[4:]])
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each row of ``docs``: (doc_id, rid, n_bytes, n_removed, n_spans, kept) and the
+    ``keep`` columns; ``kept`` is the remaining bytes and ``rid`` a hash of the text."""
+    texts = _texts(docs, id_col, text_col, keep)
+    names = [f"_k{i}" for i in range(len(keep))]
+    done = (texts.join(_spans(texts), ["doc_id", "rid"], "left")
+            .select("doc_id", "rid", "text", "numbers", *names)
             .mapInArrow(_kept, "doc_id bigint, rid int, n_bytes bigint, n_removed bigint, "
-                               "n_spans bigint, kept binary"))
+                               "n_spans bigint, kept binary" + _fields(docs, keep)))
+    return done.withColumnsRenamed(dict(zip(names, keep)))
+
+
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text and any others) with the repeated strings taken out of the texts; a
+    character that a removed range cuts through goes too, a null text and a text without
+    repeats stay as they are, and documents of which nothing is left go. n_chars follows
+    the text where the table has it."""
+    keep = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    renamed = docs.select("doc_id", "text", *[F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)],
+                          F.col("text").isNull().alias("_null"))
+    done = repeated_spans(renamed, keep=(*[f"_c{i}" for i in range(len(keep))], "_null"))
+
+    @F.pandas_udf("string")
+    def decoded(x: pd.Series) -> pd.Series:
+        return x.map(lambda b: b.decode("utf-8", "ignore"))
+
+    text = F.when(~F.col("_null"), decoded("kept"))
+    out = done.where((F.col("n_removed") < F.col("n_bytes")) | (F.col("n_bytes") == 0)).withColumn("text", text)
+    out = out.select("doc_id", "text", *[F.col(f"_c{i}").alias(c) for i, c in enumerate(keep)])
+    out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in keep else out
+    return out.select(*docs.columns)
 
 
 def report(docs: DataFrame) -> DataFrame:
