@@ -8,9 +8,10 @@ a pair at the threshold of 0.85 misses all of them once in 130,000 cases.
 Documents with equal sets are one node from the start, so copies never meet as
 pairs. In every key's group the member that shares most keys with others is
 the centre; all members are checked with it on their full sets. Only groups that
-still hold several components after that list the pairs across those components
-whose signatures agree in two thirds of the values, and these are checked on
-full sets too. Links inside a component change nothing and are not listed.
+still hold several components after that are searched in full: cut into blocks, every
+two blocks of a group meet in one task, which counts intersections of all full sets and
+returns a spanning forest of the links it finds. So links that join components
+are all found, and a large group of near copies never becomes all its pairs.
 
 Defined cases: null or empty text, or text without words: size 0, linked with
 nothing; fewer than five words: the whole sequence is the one shingle; rows with
@@ -25,16 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import (M61, components, lower_ascii, mix, spans, text_bytes, word_cuts,
+from tessera.llm.common import (M61, components, lower_ascii, mix, partitions, spans, text_bytes, word_cuts,
                                 word_hashes, written)
 
 WORDS = 5
 PERMUTATIONS = 32
 ROWS = 4
 BANDS = 2 * PERMUTATIONS // ROWS
-#: Share of equal signature values below which a pair across components is not checked: over
-#: four standard deviations below the link threshold.
-AGREE = 0.66
+#: Rows, and shingles, of a block of a group that is searched in full.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 CHUNK = 1 << 20
 _RNG = np.random.RandomState(20)
 _MUL = (_RNG.randint(0, 1 << 62, PERMUTATIONS).astype(np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -128,10 +128,65 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     a = sets.select(F.col("id").alias("u"), F.col("hashes").alias("x"))
     b = sets.select(F.col("id").alias("v"), F.col("hashes").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(a, "u").join(b, "v")
+    return (pairs.hint("merge").join(a, "u").hint("merge").join(b, "v")
             .where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("u", "v"))
 
 
+def _search(percent: int):
+    """Cells (key, a, b, id, label, own, hashes), in order, to edges (u, v) between labels."""
+    def solve(held, cross):
+        ids, labels, own, sets = (list(x) for x in zip(*held))
+        size = np.array([len(x) for x in sets])
+        row = np.repeat(np.arange(len(ids)), size)
+        _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = often[column] > 1
+        row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
+        own = np.array(own)
+        left, right = (np.flatnonzero(own == k) for k in (own.min(), own.max())) if cross else (np.arange(len(ids)),) * 2
+        both = np.zeros((len(left), len(right)), np.float32)
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+            i, j = np.searchsorted(column, (start, start + 4096))
+            bits = np.zeros((len(ids), 4096), np.float32)
+            bits[row[i:j], column[i:j] - start] = 1
+            both += bits[left] @ bits[right].T
+        near = 100 * both >= percent * (size[left][:, None] + size[right][None, :] - both)
+        number = np.unique(np.array(labels), return_inverse=True)[1]
+        near &= number[left][:, None] != number[right][None, :]
+        group = np.arange(number.max() + 1)
+
+        def root(x):
+            while group[x] != x:
+                group[x] = group[group[x]]
+                x = group[x]
+            return x
+
+        for i, j in zip(*np.nonzero(near)):
+            x, y = root(number[left[i]]), root(number[right[j]])
+            if x != y:
+                group[x] = y
+                yield ids[left[i]], ids[right[j]]
+
+    def run(batches):
+        held, at, out = [], None, []
+        for b in batches:
+            lists = b.column(6)
+            flat, cut = lists.values.to_numpy(), np.asarray(lists.offsets)
+            for k, row in enumerate(zip(*(b.column(c).to_pylist() for c in range(6)))):
+                if row[:3] != at:
+                    if len(held) > 1:
+                        out += solve(held, at[1] != at[2])
+                    held, at = [], row[:3]
+                held.append((*row[3:], flat[cut[k]:cut[k + 1]]))
+        if len(held) > 1:
+            out += solve(held, at[1] != at[2])
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["u", "v"])
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row; linked where 100 * intersection >=
     ``percent`` * union. The bands are set for percentages of 80 and more."""
@@ -144,8 +199,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     nodes = written(nodes, "minmax-nodes")
     bands = F.array(*[F.xxhash64(F.lit(k), F.substring("sig", 4 * ROWS * k + 1, 4 * ROWS)) for k in range(BANDS)])
     keys = nodes.select("id", "n", F.explode(bands).alias("key"))
-    members = written(keys.join(keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "key"),
-                      "minmax-members")
+    size = keys.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("total")).where("c > 1")
+    members = written(keys.hint("merge").join(size, "key"), "minmax-members")
     degree = members.groupBy("id").agg(F.sum("c").alias("degree"))
     ranked = members.join(degree, "id").select("key", "id", "n", "degree")
     centre = ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("back"), "n")).alias("m"))
@@ -154,32 +209,28 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             .select(F.least("id", "centre").alias("u"), F.greatest("id", "centre").alias("v")).distinct())
     star = written(star, "minmax-pairs")
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = written(_sets(docs.join(wanted, "doc_id")), "minmax-sets")
+    sets = written(_sets(docs.hint("merge").join(wanted, "doc_id")), "minmax-sets")
     edges = written(_confirmed(star, sets, percent), "minmax-links")
     groups = components(edges)
 
     labelled = (members.join(groups.withColumnRenamed("node", "id"), "id", "left")
-                .select("key", "id", "n", F.coalesce("component", "id").alias("label")))
+                .select("key", "id", "c", "total", F.coalesce("component", "id").alias("label")))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    mixed = labelled.join(mixed.select("key"), "key").join(nodes.select("id", "sig"), "id")
-    x, y = (mixed.select("key", *[F.col(c).alias(f"{c}{k}") for c in ("id", "n", "label", "sig")]) for k in (1, 2))
-
-    same = sum(F.when(F.substring("sig1", 4 * k + 1, 4) == F.substring("sig2", 4 * k + 1, 4), 1).otherwise(0)
-               for k in range(2 * PERMUTATIONS))
-    across = (x.join(y, "key")
-              .where((F.col("id1") < F.col("id2")) & (F.col("label1") != F.col("label2"))
-                     & (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2"))
-                     & (same >= AGREE * 2 * PERMUTATIONS))
-              .select(F.col("id1").alias("u"), F.col("id2").alias("v")).distinct()
-              .join(star, ["u", "v"], "left_anti"))
-    more = written(_confirmed(across, sets, percent), "minmax-links")
+    blocks = F.ceil(F.greatest(F.col("c") / BLOCK, F.col("total") / BLOCK_SHINGLES)).cast("int")
+    placed = (labelled.join(mixed.select("key"), "key").withColumn("blocks", blocks)
+              .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
+    cells = (placed.hint("merge").join(sets, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "id", "label",
+                     "own", "hashes")
+             .repartition(partitions(docs.sparkSession), "key", "a", "b").sortWithinPartitions("key", "a", "b"))
+    more = written(cells.mapInArrow(_search(percent), "u bigint, v bigint"), "minmax-links")
     if not more.isEmpty():
         groups = components(edges.union(more))
 
     classes = (nodes.select("s1", "s2", "n", "id")
                .join(groups.withColumnRenamed("node", "id"), "id", "left")
                .select("s1", "s2", "n", F.coalesce("component", "id").alias("component")))
-    linked = sketch.where("n > 0 and doc_id is not null").join(classes, ["s1", "s2", "n"])
+    linked = sketch.where("n > 0 and doc_id is not null").hint("merge").join(classes, ["s1", "s2", "n"])
     alone = sketch.where("n = 0 or doc_id is null").select("s1", "s2", "n", "doc_id", F.col("doc_id").alias("component"))
     rows = linked.select("doc_id", "n", "component").union(alone.select("doc_id", "n", "component"))
     smallest = rows.groupBy("doc_id").agg(F.min("component").alias("component"), F.count("*").alias("c"))
