@@ -118,9 +118,9 @@ def test_archive_round_trip(spark):
 
 def test_captures_are_nested(spark):
     df = spark.createDataFrame(page_rows(), PAGES).withColumn("digest", F.lit(1)).withColumn("payload", F.lit(2))
-    caps = {r["page_id"]: r for r in warc.round_trip(df).collect()}
+    caps = {r["page_id"]: r for r in warc.assemble(warc.round_trip(df)).collect()}
     one, two = caps[8], caps[9]
-    assert two["response"]["payload"] == dict((r[0], r[2]) for r in page_rows())[9]
+    assert bytes(two["response"]["payload"]).decode() == dict((r[0], r[2]) for r in page_rows())[9]
     assert one["response"]["payload"] is None and one["response"]["refers_to"] == 9
     assert caps[1]["request"]["block"].startswith("GET http://a/ HTTP/1.1\r\n") and "page-id: 1" in caps[1]["metadata"]["block"]
 
@@ -131,7 +131,7 @@ def test_plain_reader_reads_the_same(spark, tmp_path):
     warc.write_warc(df, path, boundary)
 
     def rows(t):
-        return sorted((tuple(sorted((k, v) for k, v in r["headers"].items() if k != "WARC-Boundary")), r["block"])
+        return sorted((tuple(sorted((k, v) for k, v in r["headers"].items() if k != "WARC-Boundary")), bytes(r["block"]))
                       for r in t.collect())
 
     assert rows(warc.read_warc(spark, path)) == rows(warc.read_archive(spark, path, boundary))
