@@ -128,10 +128,17 @@ class Index:
                 k += 1
 
 
+def band(size: int) -> int:
+    """Band of a template: a quarter of its tokens, ``BAND`` at most, so that one copy of a
+    short notice is not aligned with the next."""
+    return max(1, min(BAND, size // 4))
+
+
 def align(template: np.ndarray, text: np.ndarray, diagonals: tuple[int, int]) -> list[tuple[int, int]]:
     """Longest common subsequence inside a band: matched (template, text) places. A cell (i, j) is in
-    the band if j - i lies between the diagonals, widened by ``BAND``."""
-    lo, hi = diagonals[0] - BAND, diagonals[1] + BAND
+    the band if j - i lies between the diagonals, widened by the template's band."""
+    wide = band(len(template))
+    lo, hi = diagonals[0] - wide, diagonals[1] + wide
     m, width = len(template), hi - lo + 1
     best = np.zeros((m + 1, width + 2), np.int32)
     cols = np.arange(width)
@@ -166,14 +173,14 @@ def matches(index: Index, h: np.ndarray, coverage: float = COVERAGE) -> list[tup
         hits.sort()
         groups: list[list[tuple[int, int]]] = []
         for hit in hits:
-            if groups and hit[0] - groups[-1][-1][0] <= BAND and hit[0] - groups[-1][0][0] <= size:
+            if groups and hit[0] - groups[-1][-1][0] <= band(size) and hit[0] - groups[-1][0][0] < size // 2:
                 groups[-1].append(hit)
             else:
                 groups.append([hit])
         for group in groups:
             lo, hi = group[0][0], group[-1][0]
-            start = max(0, lo - BAND)
-            part = h[start:hi + size + BAND + 1]
+            start = max(0, lo - band(size))
+            part = h[start:hi + size + band(size) + 1]
             pairs = align(index.tokens[t], part, (lo - start, hi - start))
             if len(pairs) >= coverage * size:
                 found.append((len(pairs) / size, [start + j for _, j in pairs]))
