@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import spans, text_bytes
+from tessera.llm.common import lowest, spans, text_bytes
 
 WINDOW = 128
 UNITS = 8
@@ -209,10 +209,10 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, steps: int = STEPS) -
     raw = F.col("text").cast("string").cast("binary")
     room = F.greatest(F.octet_length("text") - WINDOW, F.lit(0)) + 1
     place = F.pmod(F.xxhash64("doc_id", F.lit("place")), room) + 1
-    rows = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") > 0))
-            .select(raw.substr(place.cast("int"), F.lit(WINDOW)).alias("part"), "lang",
-                    F.xxhash64("doc_id").alias("h"))
-            .orderBy("h", "lang", "part").limit(sample_rows).collect())
+    labelled = docs.where(F.col("lang").isNotNull())
+    parts = (labelled.where(F.octet_length("text") > 0)
+             .select(raw.substr(place.cast("int"), F.lit(WINDOW)).alias("part"), "lang", F.xxhash64("doc_id").alias("h")))
+    rows = lowest(parts, labelled.count(), sample_rows, "h", "lang", "part")
     if not rows:
         return None
     languages = sorted({r["lang"] for r in rows})

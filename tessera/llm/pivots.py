@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import components, partitions, written
+from tessera.llm.common import components, lowest, partitions, written
 
 SAMPLE = 4096
 PIVOTS = 1024
@@ -179,7 +179,7 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93) -> DataFrame:
     valid = written(_vectors(rows).where("vec_id is not null").withColumn("h", F.md5("vec")), "vectors")
     nodes = (valid.groupBy("label", "h").agg(F.min("vec_id").alias("id"), F.count("*").alias("mult"),
                                              F.first("vec").alias("vec"), F.first("size").alias("size")))
-    sample = (valid.select("vec", "size", F.xxhash64("vec_id").alias("r")).orderBy("r", "vec").limit(SAMPLE).collect())
+    sample = lowest(valid.select("vec", "size", F.xxhash64("vec_id").alias("r")), valid.count(), SAMPLE, "r", "vec")
     of: dict[int, list[np.ndarray]] = {}
     for r in sample:
         v = np.frombuffer(bytes(r["vec"]), "<f8")
