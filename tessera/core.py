@@ -115,6 +115,51 @@ class Cells:
         return Cells(out, shape)
 
 
+def arrow_matrix(col, width: int | None = None) -> np.ndarray:
+    """A ``list<double>`` Arrow column as an ``(n, width)`` array.
+
+    Every row must hold the same number of values (``width`` when given), at
+    least one, and neither a row nor a value may be NULL: anything else is a
+    shape mismatch and raises ``ValueError``; no value ever moves between rows.
+    """
+    n = len(col)
+    if n == 0:
+        return np.zeros((0, width or 0))
+    if col.null_count:
+        raise ValueError("packed rows: NULL array")
+    sizes = np.diff(np.asarray(col.offsets))
+    width = int(sizes[0]) if width is None else width
+    if width == 0 or (sizes != width).any():
+        raise ValueError(f"packed rows: lengths {sorted(set(sizes.tolist()))[:5]}, expected {width or 'at least 1'}")
+    flat = col.flatten()
+    if flat.null_count:
+        raise ValueError("packed rows: NULL value in an array")
+    return flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(n, width)
+
+
+def packed_shape(df: DataFrame, array: Column, key: Column | None = None) -> tuple[int, int]:
+    """``(rows, width)`` of packed rows, checked in one job: equal widths, no NULL
+    array or value and, with a key, keys that are exactly ``0 .. rows - 1``."""
+    size = F.size(array)
+    bad = array.isNull() | F.exists(array, lambda x: x.isNull())
+    aggs = [F.count(F.lit(1)).alias("n"), F.min(size).alias("lo"), F.max(size).alias("hi"), F.max(bad).alias("bad")]
+    if key is not None:
+        aggs += [F.min(key).alias("first"), F.max(key).alias("last"), F.count_distinct(key).alias("keys")]
+    r = df.agg(*aggs).first()
+    if not r["n"]:
+        raise ValueError("packed rows: empty table")
+    if r["bad"] is not False or r["lo"] != r["hi"] or r["lo"] < 1:
+        raise ValueError(f"packed rows: widths {r['lo']} to {r['hi']}, NULLs: {r['bad']}")
+    if key is not None and (r["first"], r["last"], r["keys"]) != (0, r["n"] - 1, r["n"]):
+        raise ValueError(f"packed rows: keys {r['first']} to {r['last']} ({r['keys']} distinct) are not 0 to {r['n'] - 1}")
+    return int(r["n"]), int(r["lo"])
+
+
+def int_div(a: Column, n: int) -> Column:
+    """Exact integer quotient (a floating quotient is wrong above 2**53)."""
+    return F.call_function("div", a.cast("bigint"), F.lit(int(n)).cast("bigint")) if n != 1 else a.cast("bigint")
+
+
 def require_same_shape(op: str, a: Cells, b: Cells) -> None:
     if a.shape != b.shape:
         raise ValueError(f"{op}: shapes differ {a.shape} vs {b.shape}")

@@ -1,3 +1,3 @@
-from tessera.functions.scalar import dot, gelu, gelu_grad, relu, relu_grad
+from tessera.functions.scalar import gelu, gelu_grad, relu, relu_grad
 
-__all__ = ["dot", "gelu", "gelu_grad", "relu", "relu_grad"]
+__all__ = ["gelu", "gelu_grad", "relu", "relu_grad"]

@@ -44,9 +44,3 @@ def gelu_grad(x: str | Column, g: str | Column) -> Column:
     term2 = (F.lit(0.5) * x * (F.lit(1.0) - t * t)
              * (F.lit(GELU_C0) * (F.lit(1.0) + F.lit(3.0 * GELU_C1) * x * x)))
     return (term1 + term2) * g
-
-
-def dot(a: str | Column, b: str | Column) -> Column:
-    """Dot product of two equal-length numeric arrays (JVM higher-order functions)."""
-    return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x.cast("double") * y.cast("double")),
-                       F.lit(0.0), lambda acc, v: acc + v)

@@ -37,23 +37,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.core import BROADCAST_CELLS, Cells, hash_uniform
+from tessera.core import BROADCAST_CELLS, Cells, arrow_matrix, hash_uniform
 from tessera.sources.packing import cells_to_rows
 
 DEFAULT_TILE = 512
+# Query blocks of a task, once there are enough for all cores.
+BLOCKS_PER_TASK = 8
 
 
 def _struct_list_to_numpy(cell: pa.StructArray):
     """(ids, [matrices...]) of a packed block; fields are id, then vectors."""
     names = [cell.type.field(i).name for i in range(cell.type.num_fields)]
     ids = cell.field(names[0]).to_numpy(zero_copy_only=False)
-    n = len(ids)
     mats = []
     for f in names[1:]:
-        flat = cell.field(f).flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-        if n and flat.size % n:
-            raise ValueError(f"attention: vectors in '{f}' have different lengths")
-        mats.append(flat.reshape(n, flat.size // n if n else 0))
+        mats.append(arrow_matrix(cell.field(f)))
     return ids, mats
 
 
@@ -66,11 +64,25 @@ def _merge(state, m2, l2, o2):
 
 
 def _tile_partials(scale: float | None):
-    """Arrow batches of block pairs -> one merged partial triple per query."""
+    """Arrow batches of block pairs -> merged partial triples per query.
+
+    Only the query block at hand is held: its triples are merged as its pairs
+    arrive and emitted when the next block begins. Pairs of one block that do
+    not arrive together give several partials, which the final merge sums
+    exactly.
+    """
+
+    def emit(group, state):
+        q_ids, m, l, o = state
+        n, w = o.shape
+        offsets = pa.array(np.arange(0, n * w + 1, w, dtype=np.int32))
+        return pa.RecordBatch.from_arrays(
+            [group.take(pa.array(np.zeros(n, dtype=np.int64))), pa.array(q_ids.astype(np.int64)), pa.array(m),
+             pa.array(l), pa.ListArray.from_arrays(offsets, pa.array(o.reshape(-1)))],
+            names=["g", "q_id", "m", "l", "o"])
 
     def run(batches):
-        states: dict = {}
-        groups: dict = {}
+        at, group, state = None, None, None
         for batch in batches:
             gcol, bcol = batch.column("g"), batch.column("_b").to_pylist()
             qcol, kcol = batch.column("qblock"), batch.column("kblock")
@@ -85,23 +97,16 @@ def _tile_partials(scale: float | None):
                 S = (Q @ K.T) * s
                 m = S.max(axis=1)
                 P = np.exp(S - m[:, None])
-                key = (gvals[r], bcol[r])
                 part = (m, P.sum(axis=1), P @ V)
-                if key in states:
-                    if not np.array_equal(states[key][0], q_ids):
-                        raise ValueError("attention: a query block arrived with different rows")
-                    states[key] = (q_ids, *_merge(states[key][1:], *part))
-                else:
-                    states[key] = (q_ids, *part)
-                    groups[key] = gcol.slice(r, 1)
-        for key, (q_ids, m, l, o) in states.items():
-            n, w = len(q_ids), o.shape[1]
-            offsets = pa.array(np.arange(0, n * w + 1, w, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [groups[key].take(pa.array(np.zeros(n, dtype=np.int64))),
-                 pa.array(q_ids.astype(np.int64)), pa.array(m), pa.array(l),
-                 pa.ListArray.from_arrays(offsets, pa.array(o.reshape(-1)))],
-                names=["g", "q_id", "m", "l", "o"])
+                key = (gvals[r], bcol[r])
+                if key == at and np.array_equal(state[0], q_ids):
+                    state = (q_ids, *_merge(state[1:], *part))
+                    continue
+                if at is not None:
+                    yield emit(group, state)
+                at, group, state = key, gcol.slice(r, 1), (q_ids, *part)
+        if at is not None:
+            yield emit(group, state)
 
     return run
 
@@ -161,10 +166,14 @@ def block_pairs(queries: DataFrame, keys: DataFrame | None = None, *, id_col: st
     k_col = k_col or q_col
     v_col = v_col or k_col
     key_id_col = key_id_col or id_col
-    gcol = F.col(group) if group else F.lit(0)
-    q = queries.select(gcol.alias("g"), F.col(id_col).cast("bigint").alias("q_id"),
+    # rows without a group are a group of their own: a struct compares NULLs as equal
+    def grouped(by: str):
+        # one group for all rows is a computed 0: joins on a constant would lose their key
+        return F.struct((F.col(group) if group else F.pmod(F.xxhash64(by), F.lit(1)).cast("int")).alias("v")).alias("g")
+
+    q = queries.select(grouped(id_col), F.col(id_col).cast("bigint").alias("q_id"),
                        F.col(q_col).cast("array<double>").alias("q"))
-    kv = keys.select(gcol.alias("g"), F.col(key_id_col).cast("bigint").alias("k_id"),
+    kv = keys.select(grouped(key_id_col), F.col(key_id_col).cast("bigint").alias("k_id"),
                      F.col(k_col).cast("array<double>").alias("k"),
                      F.col(v_col).cast("array<double>").alias("v"))
 
@@ -179,8 +188,10 @@ def block_pairs(queries: DataFrame, keys: DataFrame | None = None, *, id_col: st
     stats = sizes.agg(F.count(F.lit(1)).alias("groups"), F.sum("_qn").alias("qblocks")).first()
     if stats["groups"] <= BROADCAST_CELLS:
         sizes = F.broadcast(sizes)
+    # a few query blocks a task, however many there are
+    blocks = int(stats["qblocks"] or 1)
     cores = queries.sparkSession.sparkContext.defaultParallelism
-    parts = int(max(1, min(stats["qblocks"] or 1, 4 * cores)))
+    parts = max(1, min(blocks, max(4 * cores, blocks // BLOCKS_PER_TASK)))
 
     qb = _packed(q, sizes, "_qn", "q_id", seed, ["q"], "qblock", parts)
     if self_attention:
@@ -230,7 +241,7 @@ def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
     out = rows.select("g", "q_id", F.posexplode("_out").alias("j", "value"))
     names = [F.col("q_id").alias(id_col), F.col("j").cast("bigint").alias("j"), "value"]
     if group:
-        return out.select(F.col("g").alias(group), *names)
+        return out.select(F.col("g.v").alias(group), *names)
     return out.select(*names)
 
 

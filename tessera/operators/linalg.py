@@ -6,13 +6,13 @@ Three physical forms of ``A · B`` (all give the same cells):
   The smaller side is broadcast when its cell count (known from the shape)
   is under ``BROADCAST_CELLS``. Makes ``m·n·p`` intermediate rows, so it is
   the choice only when one side is small.
-* ``block``  — both sides cut into ``bs × bs`` blocks (each packed into one
-  row, so a block never exceeds ``bs²`` cells) and grid-partitioned by output
-  block: each A block is replicated to the output blocks of its block row,
-  each B block to those of its block column, the pairs meet on
-  ``(bi, bj, bk)``, and numpy accumulates every output block over ``k``
-  inside its task. Work spreads over all output blocks even when the inner
-  dimension is small.
+* ``block``  — the three dimensions are cut into a grid of ``gi × gj × gk``
+  cells, chosen from the shapes so that no operand panel and no result
+  panel of a grid cell exceeds ``PANEL_CELLS``. Cells of A go to the ``gj``
+  grid cells of their rows and inner range, cells of B to ``gi``; each grid
+  cell is one dense numpy product, and partial results are summed over
+  ``gk``. A tall-skinny ``XᵀX`` is split over its inner dimension, a wide
+  product over its output.
 * ``rows``   — packed rows times a small dense matrix shipped to every task:
   row-local numpy, no shuffle at all (dense-layer scoring).
 
@@ -31,9 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.core import BROADCAST_CELLS, Cells, Shipped, fits_broadcast
+from tessera.core import BROADCAST_CELLS, Cells, Shipped, arrow_matrix, fits_broadcast, int_div, packed_shape
 
+# Rows (and columns) that stay together when a matrix is cut into panels.
 DEFAULT_BLOCK = 128
+# Largest dense panel a task of the block product holds (32 MB of doubles).
+PANEL_CELLS = 4_000_000
 
 
 def _check(a: Cells, b: Cells) -> None:
@@ -53,83 +56,97 @@ def _products_cells(a: Cells, b: Cells) -> DataFrame:
     return left.join(right, "_k").select("c0", "c1", (F.col("_a") * F.col("_b")).alias("value"))
 
 
-def _pack_blocks(m: Cells, bs: int, rb: str, cb: str, name: str) -> DataFrame:
-    return (m.df.select((F.floor(F.col("c0") / bs)).cast("bigint").alias(rb),
-                        (F.floor(F.col("c1") / bs)).cast("bigint").alias(cb),
-                        (F.col("c0") % bs).cast("int").alias("r"),
-                        (F.col("c1") % bs).cast("int").alias("c"), "value")
-            .groupBy(rb, cb)
-            .agg(F.collect_list(F.struct("r", "c", "value")).alias(name)))
+def grid(m: int, k: int, p: int, bs: int) -> tuple[int, int, int]:
+    """``(gi, gj, gk)`` for an ``m × k`` by ``k × p`` product.
 
-
-def _dense_block(cell: pa.StructArray, rows: int, cols: int) -> np.ndarray:
-    out = np.zeros((rows, cols))
-    r = cell.field("r").to_numpy(zero_copy_only=False)
-    c = cell.field("c").to_numpy(zero_copy_only=False)
-    out[r, c] = cell.field("value").to_numpy(zero_copy_only=False)
-    return out
-
-
-def _block_products(bs: int):
-    """Block pairs (sorted by output block) -> partial output cells.
-
-    Pairs of the same output block ``(bi, bj)`` arrive together (the inputs
-    are partitioned by output block and the join sorts by it), so each output
-    block is accumulated over ``k`` in numpy and emitted once; should they
-    not arrive together, more partial blocks are emitted and the final
-    aggregation still sums them exactly.
+    Dimensions are doubled, the one that adds the fewest moved cells first,
+    until every panel fits ``PANEL_CELLS``. Copies of an A cell are ``gj``, of
+    a B cell ``gi``, partial results ``gk``.
     """
-    def emit(key, acc):
-        ii, jj = np.indices(acc.shape).reshape(2, -1)
+    most = [math.ceil(x / bs) for x in (m, p, k)]
+    g = [1, 1, 1]
+
+    def moved(gi, gj, gk):
+        return m * k * gj + k * p * gi + m * p * gk
+
+    def panels(gi, gj, gk):
+        rows, cols, inner = m / gi, p / gj, k / gk
+        return {0: rows * inner, 1: inner * cols, 2: rows * cols}
+
+    while True:
+        size = panels(*g)
+        big = max(size, key=lambda x: size[x])
+        if size[big] <= PANEL_CELLS:
+            return tuple(g)
+        # the dimensions that make the largest panel smaller
+        axes = [x for x in {0: (0, 2), 1: (2, 1), 2: (0, 1)}[big] if g[x] < most[x]]
+        if not axes:
+            return tuple(g)
+        best = min(axes, key=lambda x: moved(*[min(most[y], 2 * v) if y == x else v for y, v in enumerate(g)]))
+        g[best] = min(most[best], 2 * g[best])
+
+
+def _panel_products(g: tuple[int, int, int], bs: int, m: int, k: int, p: int):
+    """Cells of both operands, sorted by grid cell -> partial output cells."""
+    gi, gj, gk = g
+    rows, cols, inner = (math.ceil(math.ceil(x / bs) / n) * bs for x, n in ((m, gi), (p, gj), (k, gk)))
+
+    def local(c, n):
+        return (c // bs) // n * bs + c % bs
+
+    def emit(cell, left, right):
+        out = left @ right
+        x, y = cell // (gj * gk), cell // gk % gj
+        i, j = np.arange(rows), np.arange(cols)
+        i, j = (i // bs * gi + x) * bs + i % bs, (j // bs * gj + y) * bs + j % bs
+        out, i, j = out[i < m][:, j < p], i[i < m], j[j < p]
         return pa.RecordBatch.from_arrays(
-            [pa.array((key[0] * bs + ii).astype(np.int64)),
-             pa.array((key[1] * bs + jj).astype(np.int64)),
-             pa.array(acc.reshape(-1))], names=["c0", "c1", "value"])
+            [pa.array(np.repeat(i, len(j)).astype(np.int64)), pa.array(np.tile(j, len(i)).astype(np.int64)),
+             pa.array(out.reshape(-1))], names=["c0", "c1", "value"])
 
     def run(batches):
-        key, acc = None, None
+        at, left, right = None, None, None
         for batch in batches:
-            bi = batch.column("bi").to_numpy(zero_copy_only=False)
-            bj = batch.column("bj").to_numpy(zero_copy_only=False)
-            ablk, bblk = batch.column("ablk"), batch.column("bblk")
-            for r in range(batch.num_rows):
-                k = (int(bi[r]), int(bj[r]))
-                prod = _dense_block(ablk[r].values, bs, bs) @ _dense_block(bblk[r].values, bs, bs)
-                if k == key:
-                    acc += prod
+            cell, side, r, c, v = (batch.column(x).to_numpy(zero_copy_only=False) for x in range(5))
+            cuts = np.flatnonzero(np.diff(cell)) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(cell)]):
+                if lo == hi:
                     continue
-                if key is not None:
-                    yield emit(key, acc)
-                key, acc = k, prod
-        if key is not None:
-            yield emit(key, acc)
+                if cell[lo] != at:
+                    if at is not None:
+                        yield emit(at, left, right)
+                    at, left, right = int(cell[lo]), np.zeros((rows, inner)), np.zeros((inner, cols))
+                for panel, which, nr, nc in ((left, 0, gi, gk), (right, 1, gk, gj)):
+                    pick = slice(lo, hi)
+                    own = side[pick] == which
+                    panel[local(r[pick][own], nr), local(c[pick][own], nc)] = v[pick][own]
+        if at is not None:
+            yield emit(at, left, right)
+
     return run
 
 
 def _products_block(a: Cells, b: Cells, bs: int) -> DataFrame:
-    """Grid-partitioned block product: every A block ``(bi, bk)`` is sent to
-    each output block ``(bi, bj)`` of its block row and every B block
-    ``(bk, bj)`` to each output block of its block column; both sides are
-    partitioned by the output block, so the work spreads over all
-    ``ceil(m/bs) · ceil(p/bs)`` output blocks however small the inner
-    dimension is, and each task sums its output blocks over ``k`` itself."""
-    nbi, nbj = math.ceil(a.shape[0] / bs), math.ceil(b.shape[1] / bs)
-    ab = _pack_blocks(a, bs, "bi", "bk", "ablk").select(
-        "bi", "bk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(nbj - 1).cast("bigint"))).alias("bj"),
-        "ablk")
-    bb = _pack_blocks(b, bs, "bk", "bj", "bblk").select(
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(nbi - 1).cast("bigint"))).alias("bi"),
-        "bk", "bj", "bblk")
-    parts = max(1, min(nbi * nbj, ab.sparkSession.sparkContext.defaultParallelism * 4))
-    pairs = (ab.repartition(parts, "bi", "bj")
-             .join(bb.repartition(parts, "bi", "bj"), ["bi", "bj", "bk"])
-             .sortWithinPartitions("bi", "bj")
-             .select("bi", "bj", "ablk", "bblk"))
-    schema = T.StructType([T.StructField("c0", T.LongType()), T.StructField("c1", T.LongType()),
-                           T.StructField("value", T.DoubleType())])
-    out = pairs.mapInArrow(_block_products(bs), schema)
-    # padding cells of edge blocks fall outside the shape
-    return out.filter((F.col("c0") < a.shape[0]) & (F.col("c1") < b.shape[1]))
+    """Partial output cells of the grid product (see the module docstring)."""
+    (m, k), p = a.shape, b.shape[1]
+    g = gi, gj, gk = grid(m, k, p, bs)
+
+    def part(c: str, n: int):
+        return F.pmod(int_div(F.col(c), bs), F.lit(n))
+
+    def copies(n: int):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+
+    left = a.df.withColumn("_y", copies(gj)).select(
+        ((part("c0", gi) * gj + F.col("_y")) * gk + part("c1", gk)).alias("cell"), F.lit(0).alias("side"),
+        "c0", "c1", "value")
+    right = b.df.withColumn("_x", copies(gi)).select(
+        ((F.col("_x") * gj + part("c1", gj)) * gk + part("c0", gk)).alias("cell"), F.lit(1).alias("side"),
+        "c0", "c1", "value")
+    out = (left.unionByName(right).withColumn("cell", F.col("cell").cast("int"))
+           .repartitionById(gi * gj * gk, F.col("cell")).sortWithinPartitions("cell")
+           .mapInArrow(_panel_products(g, bs, m, k, p), "c0 bigint, c1 bigint, value double"))
+    return out
 
 
 def matmul(a: Cells, b: Cells, acc: Cells | None = None, method: str = "auto",
@@ -166,17 +183,6 @@ def col_sum(a: Cells) -> Cells:
 
 # ---------------------------------------------------------------- packed rows
 
-def _arrow_matrix(col: pa.Array) -> np.ndarray:
-    """A list<double> Arrow column of equal-length rows as an (n, d) array."""
-    n = len(col)
-    if n == 0:
-        return np.zeros((0, 0))
-    flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    if flat.size % n:
-        raise ValueError("packed rows have different lengths")
-    return flat.reshape(n, flat.size // n)
-
-
 def _list_column(mat: np.ndarray) -> pa.Array:
     n, d = mat.shape
     offsets = pa.array(np.arange(0, n * d + 1, d, dtype=np.int32))
@@ -184,63 +190,84 @@ def _list_column(mat: np.ndarray) -> pa.Array:
 
 
 def matmul_rows(df: DataFrame, key: str, col: str, w: np.ndarray,
-                bias: np.ndarray | None = None, out: str = "out") -> DataFrame:
-    """Packed rows ``X`` (one array per row) times a small dense ``W`` (+ bias).
+                bias: np.ndarray | None = None, out: str = "out", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Packed rows ``X`` (one array per row) times a small dense ``W`` (+ bias);
+    the columns in ``keep`` come along.
 
     ``W`` reaches the tasks in the closure when small and as a broadcast
     variable when larger (capped at ``BROADCAST_CELLS`` values); the work is
-    row-local (no shuffle).
+    row-local (no shuffle). A larger ``W`` takes the product of cells instead
+    (:func:`matmul_wide`). Rows of another length raise ``ValueError``.
     """
     w = np.asarray(w, dtype=np.float64)
     if w.ndim != 2 or w.size > BROADCAST_CELLS:
         raise ValueError("matmul_rows: W must be a 2-d matrix small enough to ship to tasks")
     b = np.zeros(w.shape[1]) if bias is None else np.asarray(bias, dtype=np.float64)
     shipped = Shipped(df.sparkSession, [w, b])
-    key_type = df.schema[key].dataType
-    schema = T.StructType([T.StructField(key, key_type), T.StructField(out, T.ArrayType(T.DoubleType()))])
+    schema = T.StructType([df.schema[c] for c in (key, *keep)] + [T.StructField(out, T.ArrayType(T.DoubleType()))])
 
     def run(batches):
         wt, bt = shipped.get()
         for batch in batches:
-            x = _arrow_matrix(batch.column(col))
-            if x.shape[0] and x.shape[1] != wt.shape[0]:
-                raise ValueError(f"matmul_rows: rows have {x.shape[1]} values, W has {wt.shape[0]} rows")
-            y = x @ wt + bt if x.shape[0] else np.zeros((0, wt.shape[1]))
-            yield pa.RecordBatch.from_arrays([batch.column(key), _list_column(y)], names=[key, out])
+            y = arrow_matrix(batch.column(col), wt.shape[0]) @ wt + bt
+            yield pa.RecordBatch.from_arrays([batch.column(key), *[batch.column(c) for c in keep], _list_column(y)],
+                                             names=[key, *keep, out])
 
-    src = df.select(key, F.col(col).cast("array<double>").alias(col))
+    src = df.select(key, *keep, F.col(col).cast("array<double>").alias(col))
     return src.mapInArrow(run, schema)
 
 
-def gram_rows(df: DataFrame, col: str) -> Cells:
-    """``XᵀX`` of packed rows: per-partition partial products, then one small sum."""
-    schema = T.StructType([T.StructField("c0", T.LongType()), T.StructField("c1", T.LongType()),
-                           T.StructField("value", T.DoubleType())])
-
-    def run(batches):
-        acc = None
-        for batch in batches:
-            x = _arrow_matrix(batch.column(col))
-            if x.shape[0] == 0:
-                continue
-            g = x.T @ x
-            acc = g if acc is None else acc + g
-        if acc is not None:
+def matmul_wide(df: DataFrame, key: str, col: str, w: Cells, bias: Cells | None = None,
+                out: str = "out") -> DataFrame:
+    """:func:`matmul_rows` for a ``W`` of any size, given as cells: the grid
+    product over the exploded rows, packed again. Keys may be any integers."""
+    n = df.count()
+    x = Cells(df.select(F.col(key).cast("bigint").alias("c0"), F.posexplode(F.col(col).cast("array<double>"))
+                        .alias("c1", "value")).withColumn("c1", F.col("c1").cast("bigint")), (max(n, 1), w.shape[0]))
+    order = df.select(F.col(key).cast("bigint").alias("_key")).distinct()
+    top = order.agg(F.max("_key").alias("m"), F.min("_key").alias("l")).first()
+    if top["m"] is None:
+        return df.select(key, F.array().cast("array<double>").alias(out)).limit(0)
+    if top["l"] < 0:
+        raise ValueError("matmul_wide: negative keys")
+    x = Cells(x.df, (int(top["m"]) + 1, w.shape[0]))
+    y = matmul(x, w, method="block" if not fits_broadcast(w.size) else "cells")
+    cells = y.df
+    if bias is not None:
+        cells = cells.join(bias.df.select(F.col("c0").alias("c1"), F.col("value").alias("_b")), "c1").select(
+            "c0", "c1", (F.col("value") + F.col("_b")).alias("value"))
+    packed = cells.groupBy("c0").agg(F.array_sort(F.collect_list(F.struct("c1", "value"))).alias("_v"))
+    packed = packed.select(F.col("c0").alias("_key"), F.transform("_v", lambda s: s["value"]).alias(out))
+    return order.join(packed, "_key").select(F.col("_key").alias(key), out)
+
+
+def gram_rows(df: DataFrame, col: str, width: int | None = None) -> Cells:
+    """``XᵀX`` of packed rows: partial products per task, then one small sum.
+
+    The partial of a task is cut into panels of rows of the result, at most
+    ``BROADCAST_CELLS`` values each and one scan per panel, so memory per task
+    is bounded for any width and no row ids are needed. ``width`` is found (and
+    checked) in one job when omitted.
+    """
+    x = F.col(col).cast("array<double>")
+    if width is None:
+        _, width = packed_shape(df.select(x.alias(col)), F.col(col))
+
+    def panel(lo: int, hi: int):
+        def run(batches):
+            acc = np.zeros((hi - lo, width))
+            for batch in batches:
+                m = arrow_matrix(batch.column(0), width)
+                acc += m[:, lo:hi].T @ m
             i, j = np.indices(acc.shape).reshape(2, -1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(i.astype(np.int64)), pa.array(j.astype(np.int64)),
-                 pa.array(acc.reshape(-1))], names=["c0", "c1", "value"])
-
-    first = df.select(F.size(col).alias("d")).first()
-    d = int(first["d"]) if first else 0
-    if d * d > BROADCAST_CELLS:
-        # a d × d partial per task would not be bounded: use the block product
-        # of the cell form instead (Xᵀ is a column rename)
-        from tessera.operators.shape import transpose
-        from tessera.sources.packing import rows_to_cells
-        key = df.select(F.monotonically_increasing_id().alias("_r"), col)
-        x = rows_to_cells(key, "_r", col, n_rows=1, width=d)
-        x = Cells(x.df, (2 ** 62, d))  # row ids are sparse; only the inner index matters
-        return matmul(transpose(x), x, method="block")
-    parts = df.select(F.col(col).cast("array<double>").alias(col)).mapInArrow(run, schema)
-    return Cells(parts.groupBy("c0", "c1").agg(F.sum("value").alias("value")), (d, d))
+            yield pa.RecordBatch.from_arrays([pa.array((lo + i).astype(np.int64)), pa.array(j.astype(np.int64)),
+                                              pa.array(acc.reshape(-1))], names=["c0", "c1", "value"])
+        return run
+
+    high = max(1, BROADCAST_CELLS // width)
+    parts = [df.select(x.alias(col)).mapInArrow(panel(lo, min(lo + high, width)), "c0 bigint, c1 bigint, value double")
+             for lo in range(0, width, high)]
+    every = parts[0]
+    for other in parts[1:]:
+        every = every.unionByName(other)
+    return Cells(every.groupBy("c0", "c1").agg(F.sum("value").alias("value")), (width, width))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.core import Cells, coord_names, prod
+from tessera.core import Cells, coord_names, int_div, prod
 
 
 def transpose(a: Cells, dim0: int = 0, dim1: int = 1) -> Cells:
@@ -33,7 +33,7 @@ def reshape(a: Cells, new_shape: tuple[int, ...]) -> Cells:
     flat = reduce(lambda x, y: x + y,
                   [F.col(c) * F.lit(st) for c, st in zip(a.coords, old_strides)])
     new_strides = [prod(new_shape[d + 1:]) for d in range(len(new_shape))]
-    cols = [(F.floor(F.col("_flat") / F.lit(st)) % F.lit(dim)).cast("bigint").alias(n)
+    cols = [(int_div(F.col("_flat"), st) % F.lit(dim)).cast("bigint").alias(n)
             for n, st, dim in zip(coord_names(len(new_shape)), new_strides, new_shape)]
     df = a.df.select(flat.alias("_flat"), "value").select(*cols, "value")
     return Cells(df, new_shape)
@@ -69,11 +69,13 @@ def shape_of(a: Cells) -> DataFrame:
     exactly once and no value is NULL.
     """
     aggs = [(F.max(c) + 1).alias(f"d{i}") for i, c in enumerate(a.coords)]
+    aggs += [F.min(c).alias(f"_lo{i}") for i, c in enumerate(a.coords)]
     aggs += [F.count(F.lit(1)).alias("n_cells"),
              F.count_distinct(*[F.col(c) for c in a.coords]).alias("n_distinct"),
              F.count("value").alias("n_values")]
     stats = a.df.agg(*aggs)
-    dims_ok = reduce(lambda x, y: x & y, [F.col(f"d{i}") == F.lit(s) for i, s in enumerate(a.shape)])
+    dims_ok = reduce(lambda x, y: x & y, [(F.col(f"d{i}") == F.lit(s)) & (F.col(f"_lo{i}") == 0)
+                                          for i, s in enumerate(a.shape)])
     full = F.lit(a.size)
     dense = (dims_ok & (F.col("n_cells") == full) & (F.col("n_distinct") == full)
              & (F.col("n_values") == full))

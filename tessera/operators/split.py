@@ -117,8 +117,31 @@ def train_val_split(df: DataFrame, keys: list[str], frac: float = 0.8, seed: int
 
 
 def head(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Row cap (the loader's ``max_rows``); no cap when ``None``."""
-    return df if max_rows is None else df.limit(int(max_rows))
+    """Row cap (the loader's ``max_rows``): the first rows in partition order; no cap when ``None``.
+
+    A count per partition gives every partition its share, so each keeps its
+    own first rows and nothing is gathered in one task.
+    """
+    if max_rows is None:
+        return df
+    sizes = dict(df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    share, left = {}, int(max_rows)
+    for p in sorted(sizes):
+        share[p] = min(left, sizes[p])
+        left -= share[p]
+        if not left:
+            break
+
+    def first(batches):
+        from pyspark import TaskContext
+        room = share.get(TaskContext.get().partitionId(), 0)
+        for b in batches:
+            if room <= 0:
+                return
+            yield b.slice(0, room)
+            room -= b.num_rows
+
+    return df.mapInArrow(first, df.schema)
 
 
 def split_sizes(df: DataFrame, flag_col: str = "is_train") -> DataFrame:

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.core import BROADCAST_CELLS, Cells, hash_uniform
-from tessera.operators.linalg import _arrow_matrix, matmul_rows
+from tessera.core import BROADCAST_CELLS, Cells, arrow_matrix, hash_uniform
+from tessera.operators.linalg import col_sum, matmul, matmul_rows, matmul_wide
+from tessera.operators.shape import transpose
 
 PARAM_SCHEMA = T.StructType([
     T.StructField("layer", T.StringType()), T.StructField("name", T.StringType()),
@@ -84,11 +85,32 @@ def params_from_arrays(spark: SparkSession, layers: dict[str, tuple[np.ndarray,
 
 def linear_forward(params: DataFrame, layer: str, x: DataFrame, key: str, col: str,
                    out: str = "out") -> DataFrame:
-    """``X · W + b`` on packed rows; row-local, no shuffle."""
+    """``X · W + b`` on packed rows; row-local, no shuffle. A layer above
+    ``BROADCAST_CELLS`` weights stays a table and takes the grid product."""
+    if layer_size(params, layer) > BROADCAST_CELLS:
+        W, b = layer_cells(params, layer)
+        return matmul_wide(x, key, col, W, b, out)
     W, b = layer_arrays(params, layer)
     return matmul_rows(x, key, col, W, b, out)
 
 
+def layer_size(params: DataFrame, layer: str) -> int:
+    return params.filter((F.col("layer") == layer) & (F.col("name") == "W")).count()
+
+
+def layer_cells(params: DataFrame, layer: str, column: str = "value") -> tuple[Cells, Cells]:
+    """``(W, b)`` of one layer as cell tables (any size)."""
+    own = params.filter(F.col("layer") == layer)
+    w, b = own.filter(F.col("name") == "W"), own.filter(F.col("name") == "b")
+    top = w.agg(F.max("i").alias("i"), F.max("j").alias("j")).first()
+    if top["i"] is None:
+        raise ValueError(f"no weights for layer {layer}")
+    shape = (top["i"] + 1, top["j"] + 1)
+    return (Cells(w.select(F.col("i").cast("bigint").alias("c0"), F.col("j").cast("bigint").alias("c1"),
+                           F.col(column).alias("value")), shape),
+            Cells(b.select(F.col("j").cast("bigint").alias("c0"), F.col(column).alias("value")), shape[1:]))
+
+
 def linear_backward(params: DataFrame, layer: str, x: DataFrame, dy: DataFrame | None, key: str,
                     x_col: str, dy_col: str) -> tuple[DataFrame, DataFrame]:
     """Gradients of one dense layer.
@@ -103,6 +125,8 @@ def linear_backward(params: DataFrame, layer: str, x: DataFrame, dy: DataFrame |
     aggregation moves ``partitions × parameters`` numbers, independent of the
     number of rows.
     """
+    if layer_size(params, layer) > BROADCAST_CELLS:
+        return _backward_wide(params, layer, x, dy, key, x_col, dy_col)
     W, _ = layer_arrays(params, layer)
     d_in, d_out = W.shape
     if dy is None:
@@ -120,8 +144,8 @@ def linear_backward(params: DataFrame, layer: str, x: DataFrame, dy: DataFrame |
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            X = _arrow_matrix(batch.column("_x"))
-            G = _arrow_matrix(batch.column("_dy"))
+            X = arrow_matrix(batch.column("_x"), d_in)
+            G = arrow_matrix(batch.column("_dy"), d_out)
             acc[:d_in] += X.T @ G
             acc[d_in] += G.sum(axis=0)
             seen = True
@@ -140,6 +164,27 @@ def linear_backward(params: DataFrame, layer: str, x: DataFrame, dy: DataFrame |
     return grads, dx
 
 
+def _backward_wide(params, layer, x, dy, key, x_col, dy_col):
+    """:func:`linear_backward` for a layer that is too large to ship: grid products of cells."""
+    W, _ = layer_cells(params, layer)
+    dy = x if dy is None else dy
+    rows = x.agg(F.max(F.col(key).cast("bigint"))).first()[0]
+
+    def cells(df, col, width):
+        packed = df.select(F.col(key).cast("bigint").alias("c0"), F.posexplode(F.col(col).cast("array<double>"))
+                           .alias("c1", "value"))
+        return Cells(packed.select("c0", F.col("c1").cast("bigint").alias("c1"), "value"), (int(rows) + 1, width))
+
+    X, G = cells(x, x_col, W.shape[0]), cells(dy, dy_col, W.shape[1])
+    dw = matmul(transpose(X), G, method="block").df
+    db = col_sum(G).df
+    grads = dw.select(F.lit(layer).alias("layer"), F.lit("W").alias("name"), F.col("c0").cast("int").alias("i"),
+                      F.col("c1").cast("int").alias("j"), F.col("value").alias("grad")).unionByName(
+        db.select(F.lit(layer).alias("layer"), F.lit("b").alias("name"), F.lit(0).alias("i"),
+                  F.col("c0").cast("int").alias("j"), F.col("value").alias("grad")))
+    return grads, matmul_wide(dy, key, dy_col, transpose(W), None, "dx")
+
+
 def apply_grads(params: DataFrame, grads: DataFrame) -> DataFrame:
     """Replace the ``grad`` column with new gradients (parameter-sized join)."""
     g = grads.select("layer", "name", "i", "j", F.col("grad").alias("_g"))
@@ -170,10 +215,3 @@ def adam_numpy(w: np.ndarray, g: np.ndarray, m: np.ndarray, v: np.ndarray, t: in
     v = beta2 * v + (1.0 - beta2) * g * g
     w = w - lr * (m / (1.0 - beta1 ** t1)) / (np.sqrt(v / (1.0 - beta2 ** t1)) + eps)
     return w, m, v, t1
-
-
-def cells_of_rows(rows: DataFrame, key: str, col: str, width: int, n_rows: int) -> Cells:
-    """Packed output rows as a 2-d cell table (for presentation and oracles)."""
-    df = rows.select(F.col(key).cast("bigint").alias("c0"), F.posexplode(col).alias("c1", "value"))
-    return Cells(df.select("c0", F.col("c1").cast("bigint").alias("c1"), "value"), (n_rows, width))
-

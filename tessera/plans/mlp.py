@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.core import BROADCAST_CELLS, Shipped, spread
+from tessera.core import BROADCAST_CELLS, Shipped, arrow_matrix, packed_shape, spread
 from tessera.operators.loss import LOG_EPS
 from tessera.plans.layers import adam_numpy, layer_arrays, linear_init, params_from_arrays
 
@@ -104,19 +104,17 @@ def _feature_columns(features: str | list[str]) -> list:
     return [F.col(c).cast("double").alias(f"_f{i}") for i, c in enumerate(features)]
 
 
-def _matrix(batch: pa.RecordBatch) -> np.ndarray:
-    n = batch.num_rows
+def _matrix(batch: pa.RecordBatch, width: int | None = None) -> np.ndarray:
     names = batch.schema.names
     if "x" in names:
-        flat = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-        return flat.reshape(n, flat.size // n)
+        return arrow_matrix(batch.column("x"), width)
     cols = sorted((c for c in names if c.startswith("_f")), key=lambda c: int(c[2:]))
     return np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
                             for c in cols])
 
 
-def _rows(batch: pa.RecordBatch):
-    X = _matrix(batch)
+def _rows(batch: pa.RecordBatch, width: int | None = None):
+    X = _matrix(batch, width)
     y = batch.column("y").to_numpy(zero_copy_only=False).astype(np.int64)
     h = batch.column("h").to_numpy(zero_copy_only=False).astype(np.int64)
     return X, y, h
@@ -143,7 +141,7 @@ def _partials(P, p_drop, epoch, seed, scale_dropout_grad, need_grad, tagged=Fals
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            X, y, h = _rows(batch)
+            X, y, h = _rows(batch, weights[0].shape[0])
             tags = batch.column("t").to_numpy(zero_copy_only=False) if tagged else None
             for tag in ([0] if not tagged else sorted(set(tags.tolist()))):
                 sel = slice(None) if not tagged else (tags == tag)
@@ -182,7 +180,7 @@ DRIVER_REDUCE_MAX = 4_000_000
 
 
 def _totals(prepared: DataFrame, P, p_drop=0.0, epoch=0, seed=0, scale_dropout_grad=False,
-            need_grad=True):
+            need_grad=True, parts=None):
     """One pass over the rows: ``(n, loss_sum, correct, gradient_sum)``.
 
     Every task emits one partial. When ``partitions × parameters`` is small
@@ -193,15 +191,16 @@ def _totals(prepared: DataFrame, P, p_drop=0.0, epoch=0, seed=0, scale_dropout_g
     shipped = Shipped(prepared.sparkSession, P)
     try:
         return _reduce(prepared, shipped, sum(p.size for p in P), p_drop, epoch, seed,
-                       scale_dropout_grad, need_grad)
+                       scale_dropout_grad, need_grad, parts)
     finally:
         shipped.release()
 
 
-def _reduce(prepared, shipped, size, p_drop, epoch, seed, scale_dropout_grad, need_grad):
+def _reduce(prepared, shipped, size, p_drop, epoch, seed, scale_dropout_grad, need_grad, count=None):
+    """``count``: partitions of ``prepared`` where they are known (asking plans the rows again)."""
     parts = prepared.mapInArrow(
         _partials(shipped, p_drop, epoch, seed, scale_dropout_grad, need_grad), _PARTIAL)
-    if not need_grad or prepared.rdd.getNumPartitions() * size <= DRIVER_REDUCE_MAX:
+    if not need_grad or (count or prepared.rdd.getNumPartitions()) * size <= DRIVER_REDUCE_MAX:
         n, loss, correct = 0, 0.0, 0
         g = np.zeros(size) if need_grad else None
         for r in parts.collect():
@@ -306,7 +305,7 @@ def mlp_predict(params: DataFrame | list, df: DataFrame, features: str | list[st
             if batch.num_rows == 0:
                 continue
             n = batch.num_rows
-            X = _matrix(batch)
+            X = _matrix(batch, P[0].shape[0])
             y = np.full(n, -1, dtype=np.int64)
             _, _, prob, _ = forward_backward(X, y, y, shipped.get(), need_grad=False)
             cols = [batch.column(c) for c in keep]
@@ -327,8 +326,9 @@ def mlp_train(train: DataFrame, val: DataFrame, features: str | list[str], label
               beta1: float = 0.9, beta2: float = 0.999, eps: float = 1e-8,
               dropout: float = 0.1, eval_every: int = 200, seed: int = 0,
               row_hash: str | None = None, scale_dropout_grad: bool = False,
-              init: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Full-batch Adam training; returns ``(metrics, params)``.
+              init: DataFrame | None = None, persist: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Full-batch Adam training; returns ``(metrics, params)``. A caller whose rows are
+    persisted already says ``persist=False``; they are not kept a second time.
 
     ``metrics`` has one row per evaluation: ``(epoch, train_loss, val_loss,
     val_acc)``; validation runs without dropout every ``eval_every`` epochs,
@@ -338,11 +338,11 @@ def mlp_train(train: DataFrame, val: DataFrame, features: str | list[str], label
     spark = train.sparkSession
     # persisted once for all epochs; a lost block is recomputed from its
     # (short, deterministic) lineage
-    tr = spread(prepare(train, features, label, row_hash), "h").persist(StorageLevel.MEMORY_AND_DISK)
-    va = spread(prepare(val, features, label, row_hash), "h").persist(StorageLevel.MEMORY_AND_DISK)
+    tr, va = prepare(train, features, label, row_hash), prepare(val, features, label, row_hash)
+    if persist:
+        tr, va = (spread(d, "h").persist(StorageLevel.MEMORY_AND_DISK) for d in (tr, va))
     try:
-        in_dim = (len(features) if not isinstance(features, str)
-                  else tr.select(F.size("x")).first()[0])
+        in_dim = len(features) if not isinstance(features, str) else packed_shape(tr, F.col("x"))[1]
         params = init if init is not None else mlp_init(spark, in_dim, hidden, classes, seed)
         P = params_arrays(params)
         m = [np.zeros_like(p) for p in P]
@@ -350,7 +350,8 @@ def mlp_train(train: DataFrame, val: DataFrame, features: str | list[str], label
         t = 0
         metrics = []
         size = sum(p.size for p in P)
-        fuse = (tr.rdd.getNumPartitions() + va.rdd.getNumPartitions()) * size <= DRIVER_REDUCE_MAX
+        tr_parts, va_parts = tr.rdd.getNumPartitions(), va.rdd.getNumPartitions()
+        fuse = (tr_parts + va_parts) * size <= DRIVER_REDUCE_MAX
         pending = None  # (epoch, train loss) whose validation is still due
         for epoch in range(1, epochs + 1):
             if pending is not None and fuse:
@@ -360,7 +361,7 @@ def mlp_train(train: DataFrame, val: DataFrame, features: str | list[str], label
                 metrics.append(_metric(pending, vn, vloss, vcorrect))
                 pending = None
             else:
-                n, loss, _, g = _totals(tr, P, dropout, epoch, seed, scale_dropout_grad)
+                n, loss, _, g = _totals(tr, P, dropout, epoch, seed, scale_dropout_grad, parts=tr_parts)
             grads = _unflat(g / n, P)
             new = [adam_numpy(p, gp, mp, vp, t, lr, beta1, beta2, eps)
                    for p, gp, mp, vp in zip(P, grads, m, v)]
@@ -373,7 +374,8 @@ def mlp_train(train: DataFrame, val: DataFrame, features: str | list[str], label
                     metrics.append(_metric(pending, vn, vloss, vcorrect))
                     pending = None
     finally:
-        tr.unpersist()
-        va.unpersist()
+        if persist:
+            tr.unpersist()
+            va.unpersist()
     metrics_df = spark.createDataFrame(metrics, "epoch int, train_loss double, val_loss double, val_acc double")
     return metrics_df, params_from_arrays(spark, {"l1": (P[0], P[1]), "l2": (P[2], P[3])})

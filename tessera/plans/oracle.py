@@ -140,10 +140,112 @@ FROM pr"""
 LINEAR_INIT_ROWS = f"""SELECT 'l1' AS layer, 'W' AS name, i, j, w AS value FROM w
   UNION ALL SELECT 'l1', 'b', 0, CAST(c AS INTEGER), CAST(0 AS DOUBLE) FROM range((SELECT nk FROM dims)) t(c)"""
 
+ATTENTION_CELLS = f"""WITH
+q AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+s AS (SELECT a.vec_id AS q_id, b.vec_id AS k_id, list_dot_product(a.x, b.x) / sqrt(len(a.x)) AS s FROM q a, q b),
+p AS (SELECT q_id, k_id, exp(s - max(s) OVER (PARTITION BY q_id)) AS w FROM s),
+pn AS (SELECT q_id, k_id, w / sum(w) OVER (PARTITION BY q_id) AS p FROM p),
+{E}, {E2}
+SELECT pn.q_id AS vec_id, e2.j, {R('sum(pn.p * e2.v)')} AS value
+FROM pn JOIN e2 ON pn.k_id = e2.vec_id GROUP BY pn.q_id, e2.j"""
+
+UNKNOWN_LABELS = f"""WITH {LOGITS},
+u AS (SELECT p.vec_id, c, p, CASE WHEN p.vec_id % 11 = 0 OR label IN (3, 7) THEN -1 ELSE label END AS y FROM p),
+mx AS (SELECT *, max(p) OVER (PARTITION BY vec_id) AS m FROM u),
+pred AS (SELECT vec_id, min(c) AS k, any_value(y) AS y FROM mx WHERE p = m GROUP BY vec_id),
+n AS (SELECT count(*) AS n FROM embeddings)
+SELECT {R('(SELECT sum(CASE WHEN c = y THEN -ln(p + 1e-8) ELSE 0 END) FROM u) / n')} AS loss,
+  {R('(SELECT avg(CAST(k = y AS DOUBLE)) * 100.0 FROM pred)')} AS accuracy,
+  {R('(SELECT CAST(count(*) AS DOUBLE) FROM u WHERE c = y)')} AS targets,
+  {R('(SELECT sum(abs(p - CAST(c = y AS DOUBLE))) FROM u) / n')} AS grad FROM n"""
+
+# every 5th order's line is broken in one of five ways
+BROKEN = """b AS (SELECT concat_ws('-', l_orderkey, l_linenumber) AS id, l_orderkey % 25 AS k, l_quantity,
+  l_returnflag FROM lineitem)"""
+
+
+def train_sql(epochs: int = 3, hidden: int = 16, classes: int = 3, seed: int = 7, share: float = 0.8) -> str:
+    """Full-batch training without dropout, unrolled: one row of parameters per epoch."""
+    net = NET[:NET.index("xc AS")]
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]
+    net = net.replace("l_orderkey, l_linenumber,", "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,")
+    params = [(f"w1_{i}_{u}", ("l1", i * hidden + u)) for i in range(4) for u in range(hidden)]
+    params += [(f"b1_{u}", None) for u in range(hidden)]
+    params += [(f"w2_{u}_{c}", ("l2", u * classes + c)) for u in range(hidden) for c in range(classes)]
+    params += [(f"b2_{c}", None) for c in range(classes)]
+    names = [p for p, _ in params]
+    order = ", ".join([U(seed, *keys[:-1], "CAST(l_quantity AS VARCHAR)"), *keys])
+
+    def start(spec):
+        return "CAST(0 AS DOUBLE)" if spec is None else f"2 * {U(seed + (spec[0] == 'l2'), str(spec[1]))} - 1"
+
+    steps = [net.rstrip().rstrip(","),
+             f"ranked AS (SELECT *, row_number() OVER (ORDER BY {order}) AS rn, count(*) OVER () AS n FROM li)",
+             f"d AS (SELECT r, x0, x1, x2, x3, y, rn <= floor({share} * n) AS tr FROM ranked)",
+             "p0 AS (SELECT " + ", ".join(f"{start(spec)} AS {p}, CAST(0 AS DOUBLE) AS m_{p}, CAST(0 AS DOUBLE) AS v_{p}"
+                                          for p, spec in params) + ")"]
+
+    def forward(e):
+        acts = ", ".join(f"greatest(0, b1_{u} + " + " + ".join(f"x{i} * w1_{i}_{u}" for i in range(4)) + f") AS h{u}"
+                         for u in range(hidden))
+        z = ", ".join(f"b2_{c} + " + " + ".join(f"h{u} * w2_{u}_{c}" for u in range(hidden)) + f" AS z{c}" for c in range(classes))
+        top = f"greatest({', '.join(f'z{c}' for c in range(classes))})"
+        keep = ", ".join(f"w2_{u}_{c}" for u in range(hidden) for c in range(classes))
+        hs = ", ".join(f"h{u}" for u in range(hidden))
+        w2b = ", ".join(f"b2_{c}" for c in range(classes))
+        return [f"a{e} AS (SELECT d.*, {acts}, {keep}, {w2b} FROM d, p{e})",
+                f"z{e} AS (SELECT r, tr, y, x0, x1, x2, x3, {hs}, {keep}, {z} FROM a{e})",
+                f"e{e} AS (SELECT *, {', '.join(f'exp(z{c} - {top}) AS e{c}' for c in range(classes))} FROM z{e})",
+                f"q{e} AS MATERIALIZED (SELECT *, {', '.join(f'e{c} / ({" + ".join(f"e{k}" for k in range(classes))}) AS p{c}' for c in range(classes))} FROM e{e})"]
+
+    def losses(e, which):
+        picked = "CASE y " + " ".join(f"WHEN {c} THEN p{c}" for c in range(classes)) + " END"
+        return f"(SELECT sum(CASE WHEN y >= 0 THEN -ln({picked} + 1e-8) ELSE 0 END) / count(*) FROM q{e} WHERE {which})"
+
+    out = []
+    for e in range(epochs + 1):
+        steps += forward(e)
+        if e:
+            best = "CASE WHEN p0 >= p1 AND p0 >= p2 THEN 0 WHEN p1 >= p2 THEN 1 ELSE 2 END"
+            out.append(f"SELECT CAST({e} AS INTEGER) AS epoch, round({losses(e - 1, 'tr')}, 5) AS train_loss, "
+                       f"round({losses(e, 'NOT tr')}, 5) AS val_loss, "
+                       f"round((SELECT 100.0 * avg(CAST({best} = y AS DOUBLE)) FROM q{e} WHERE NOT tr), 5) AS val_acc")
+        if e == epochs:
+            break
+        dz = ", ".join(f"p{c} - CAST(y = {c} AS DOUBLE) AS d{c}" for c in range(classes))
+        steps.append(f"g{e} AS (SELECT *, {dz} FROM q{e} WHERE tr)")
+        back = ", ".join(f"CASE WHEN h{u} > 0 THEN " + " + ".join(f"d{c} * w2_{u}_{c}" for c in range(classes)) + f" ELSE 0 END AS k{u}"
+                         for u in range(hidden))
+        steps.append(f"k{e} AS (SELECT *, {back} FROM g{e})")
+        grads = [f"sum(x{i} * k{u}) / count(*) AS g_w1_{i}_{u}" for i in range(4) for u in range(hidden)]
+        grads += [f"sum(k{u}) / count(*) AS g_b1_{u}" for u in range(hidden)]
+        grads += [f"sum(h{u} * d{c}) / count(*) AS g_w2_{u}_{c}" for u in range(hidden) for c in range(classes)]
+        grads += [f"sum(d{c}) / count(*) AS g_b2_{c}" for c in range(classes)]
+        steps.append(f"s{e} AS MATERIALIZED (SELECT {', '.join(grads)} FROM k{e})")
+        moments = ", ".join(f"{p}, 0.9 * m_{p} + (1 - 0.9) * g_{p} AS m_{p}, 0.999 * v_{p} + (1 - 0.999) * g_{p} * g_{p} AS v_{p}"
+                            for p in names)
+        steps.append(f"o{e} AS (SELECT {moments} FROM p{e}, s{e})")
+        t = e + 1
+        update = ", ".join(f"{p} - 0.01 * (m_{p} / (1 - pow(0.9, {t}))) / (sqrt(v_{p} / (1 - pow(0.999, {t}))) + 1e-8) AS {p}, m_{p}, v_{p}"
+                           for p in names)
+        steps.append(f"p{t} AS MATERIALIZED (SELECT {update} FROM o{e})")
+    return "WITH " + ",\n".join(steps) + "\n" + "\nUNION ALL ".join(out)
+
+
 ORACLE: dict[str, str] = {
     "attention_by_label": ATTENTION,
     "attention_by_label_tiled": ATTENTION,
     "attention_by_label_values": ATTENTION_VALUES,
+    "attention_cells": ATTENTION_CELLS,
+    "unknown_labels": UNKNOWN_LABELS,
+    "read_labeled_csv_rejects": f"""WITH {BROKEN} SELECT id, CASE k WHEN 0 THEN 'empty field' WHEN 15 THEN 'missing label'
+  WHEN 20 THEN 'too many fields' ELSE 'bad number' END AS reason FROM b WHERE k IN (0, 5, 10, 15, 20)""",
+    "read_labeled_csv_zero": f"""WITH {BROKEN} SELECT id, {R("CASE k WHEN 5 THEN 12.0 WHEN 10 THEN 0.0 ELSE l_quantity END")} AS f0,
+  CAST(CASE l_returnflag WHEN 'A' THEN 0 ELSE 1 END AS INTEGER) AS label
+  FROM b WHERE k NOT IN (0, 15, 20) AND l_returnflag IN ('A', 'N')""",
+    "read_labeled_csv_head": f"""WITH {BROKEN} SELECT least(1000, count(*)) AS n
+  FROM b WHERE k NOT IN (0, 5, 10, 15, 20)""",
+    "mlp_train_plain": train_sql(),
     "rows_to_cells": f"WITH {E} SELECT vec_id, j, {R('v')} AS value FROM e",
     "cells_to_rows": """SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: round(x, 6) + 0.0)
        AS features FROM embeddings""",
@@ -241,3 +343,7 @@ SELECT 'l1' AS layer, name, i, j,
     "mlp_predict_stream": PREDICT,
     "mlp_evaluate": EVALUATE,
 }
+for _name, _same in (("add_tables", "add"), ("softmax_rows_packed", "softmax_rows"), ("argmax_rows_packed", "argmax_rows"),
+                     ("cross_entropy_cells", "cross_entropy"), ("accuracy_cells", "accuracy"),
+                     ("softmax_xent_grad_cells", "softmax_xent_grad")):
+    ORACLE[_name] = ORACLE[_same]

@@ -17,14 +17,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.core import Cells, hash_bits, spread
+from tessera.core import Cells, hash_bits, packed_shape, spread
 from tessera.operators import elementwise as ew
 from tessera.operators import linalg, loss, shape, softmax, split
-from tessera.operators.attention import attention
+from tessera.operators.attention import attention, attention_cells
 from tessera.plans import layers, mlp
 from tessera.session import scratch_table_path, ship_package
 from tessera.sources import csv, fill
@@ -144,6 +145,13 @@ def q_attention_by_label_values(spark, sf):
     return out.select("vec_id", "j", _r(F.col("value")).alias("value"))
 
 
+def q_attention_cells(spark, sf):
+    """Attention of cell matrices without groups: queries and keys are the embeddings, values
+    the reversed ones."""
+    e = _E(spark, sf)
+    return _out(attention_cells(e, e, _E2(e)), "vec_id", "j")
+
+
 def q_rows_to_cells(spark, sf):
     return _out(_E(spark, sf), "vec_id", "j")
 
@@ -209,29 +217,39 @@ def q_dropout(spark, sf):
     return _out(ew.dropout(_E(spark, sf), 0.1, 11), "vec_id", "j")
 
 
+def _zipped(spark, sf, op, left=1.0) -> DataFrame:
+    """``op`` of each embedding (times ``left``) and its reverse: both are columns of
+    one row, so nothing is joined."""
+    rows = _emb(spark, sf).select(
+        "vec_id", F.transform(F.col("embedding").cast("array<double>"), lambda x: x * left).alias("a"),
+        F.reverse("embedding").alias("b"))
+    return _exploded(ew.zip_rows(rows, "a", "b", op), "vec_id", "out")
+
+
 def q_add(spark, sf):
+    return _zipped(spark, sf, "add")
+
+
+def q_add_tables(spark, sf):
+    """The same sum of two cell tables that meet on their coordinates."""
     e = _E(spark, sf)
     return _out(ew.add(e, _E2(e)), "vec_id", "j")
 
 
 def q_sub(spark, sf):
-    e = _E(spark, sf)
-    return _out(ew.sub(e, _E2(e)), "vec_id", "j")
+    return _zipped(spark, sf, "sub")
 
 
 def q_mul(spark, sf):
-    e = _E(spark, sf)
-    return _out(ew.mul(e, _E2(e)), "vec_id", "j")
+    return _zipped(spark, sf, "mul")
 
 
 def q_relu_backward(spark, sf):
-    e = _E(spark, sf)
-    return _out(ew.relu_backward(e, _E2(e)), "vec_id", "j")
+    return _zipped(spark, sf, "relu_backward")
 
 
 def q_gelu_backward(spark, sf):
-    e = _E(spark, sf)
-    return _out(ew.gelu_backward(ew.scale(e, 4.0), _E2(e)), "vec_id", "j")
+    return _zipped(spark, sf, "gelu_backward", 4.0)
 
 
 def q_add_bias(spark, sf):
@@ -291,26 +309,79 @@ def q_argmax_rows(spark, sf):
     return softmax.argmax_rows(_E(spark, sf)).select(F.col("c0").alias("vec_id"), "k")
 
 
+def q_softmax_rows_packed(spark, sf):
+    rows = _emb(spark, sf).select("vec_id", loss.softmax_packed("embedding").alias("p"))
+    return _exploded(rows, "vec_id", "p")
+
+
+def q_argmax_rows_packed(spark, sf):
+    return _emb(spark, sf).select("vec_id", loss.argmax_packed("embedding").alias("k"))
+
+
 def _logits(spark, sf) -> Cells:
     e = _E(spark, sf)
     return linalg.matmul(e, _W0(spark, e.shape[1]))
 
 
+def _logit_rows(spark, sf) -> DataFrame:
+    """``(vec_id, label, z)``: each vector's scores beside its own label."""
+    k, c = np.indices((64, W0_COLS))
+    w = ((k * 7 + c * 3) % 11 - 5) / 8.0
+    return linalg.matmul_rows(_emb(spark, sf), "vec_id", "embedding", w, out="z", keep=("label",))
+
+
 def q_cross_entropy(spark, sf):
+    rows = _logit_rows(spark, sf).withColumn("p", loss.softmax_packed("z"))
+    return loss.cross_entropy_rows(rows, "p", "label").select(_r(F.col("loss")).alias("loss"))
+
+
+def q_accuracy(spark, sf):
+    return loss.accuracy_rows(_logit_rows(spark, sf), "z", "label").select(_r(F.col("accuracy")).alias("accuracy"))
+
+
+def q_softmax_xent_grad(spark, sf):
+    rows = _logit_rows(spark, sf).withColumn("p", loss.softmax_packed("z"))
+    out = loss.softmax_xent_grad_rows(rows, "p", "label", _n_vectors(spark, sf))
+    return _exploded(out, "vec_id", "grad").withColumnRenamed("j", "k")
+
+
+def q_cross_entropy_cells(spark, sf):
     p = softmax.softmax_rows(_logits(spark, sf))
     return loss.cross_entropy(p, _labels(spark, sf)).select(_r(F.col("loss")).alias("loss"))
 
 
-def q_accuracy(spark, sf):
+def q_accuracy_cells(spark, sf):
     pred = softmax.argmax_rows(_logits(spark, sf)).withColumnRenamed("c0", "row")
     return loss.accuracy(pred, _labels(spark, sf)).select(_r(F.col("accuracy")).alias("accuracy"))
 
 
-def q_softmax_xent_grad(spark, sf):
+def q_softmax_xent_grad_cells(spark, sf):
     p = softmax.softmax_rows(_logits(spark, sf))
     return _out(loss.softmax_xent_grad(p, _labels(spark, sf)), "vec_id", "k")
 
 
+def q_unknown_labels(spark, sf):
+    """Targets, loss, accuracy and gradient where some class names are unknown, some are
+    NULL and some rows have no label at all: none is ever a target, all are counted."""
+    named = _emb(spark, sf).where("vec_id % 11 <> 0").select(
+        F.col("vec_id").alias("row"),
+        F.when(F.col("label") == 3, None).when(F.col("label") == 7, "odd")
+        .otherwise(F.concat(F.lit("c"), F.col("label").cast("string"))).alias("name"))
+    codes = csv.encode_labels(named, "name", {f"c{k}": k for k in range(W0_COLS)}).select(
+        "row", F.when(F.col("label") >= 0, F.col("label")).otherwise(
+            F.when(F.col("name").isNotNull(), F.col("label"))).alias("label"))
+    z = _logits(spark, sf)
+    p = softmax.softmax_rows(z)
+    pred = softmax.argmax_rows(z).withColumnRenamed("c0", "row")
+    targets = loss.one_hot(codes, "row", "label", W0_COLS).df.agg(F.sum("value").alias("targets"))
+    grad = loss.softmax_xent_grad(p, codes).df.agg(F.sum(F.abs("value")).alias("grad"))
+    out = None
+    for part in (loss.cross_entropy(p, codes), loss.accuracy(pred, codes), targets, grad):
+        part = part.withColumn("_z", F.lit(0))
+        out = part if out is None else out.join(part, "_z")
+    return out.select(*[_r(F.col(c)).alias(c) for c in ("loss", "accuracy", "targets", "grad")])
+
+
 def _orders(spark, sf):
     return read_table(spark, sf, "orders", "o_orderkey")
 
@@ -342,6 +413,47 @@ def q_read_labeled_csv(spark, sf):
                           "label_name", "label")
 
 
+def _broken_lines(spark, sf) -> str:
+    """lineitem as a labelled CSV in which every 5th order has a fault, by its key."""
+    li = read_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", *_MEASURES, "l_returnflag")
+    k = F.col("l_orderkey") % 25
+    num = [F.col(c).cast("string") for c in _MEASURES]
+    first = F.when(k == 0, "").when(k == 5, "12x").when(k == 10, "junk").otherwise(num[0])
+    name = F.when(k == 15, "").otherwise(F.col("l_returnflag"))
+    tail = F.when(k == 20, F.lit(",extra")).otherwise(F.lit(""))
+    line = F.concat(F.concat_ws(",", F.concat_ws("-", "l_orderkey", "l_linenumber"), first, *num[1:], name), tail)
+    path = scratch_table_path(spark, "broken-csv")
+    # the writer of plain lines: a header in every part file, as a CSV writer makes it
+    parts = li.select(line.alias("value"), F.spark_partition_id().alias("p"))
+    heads = parts.select(F.lit("id,a,b,c,d,name").alias("value"), "p").distinct().withColumn("o", F.lit(0))
+    parts.withColumn("o", F.lit(1)).union(heads).repartition("p").sortWithinPartitions("p", "o").select(
+        "value").coalesce(1).write.text(path)
+    return path
+
+
+def q_read_labeled_csv_rejects(spark, sf):
+    _, rejects = csv.read_labeled_csv(spark, _broken_lines(spark, sf), 4, _FLAGS)
+    return rejects.select("id", "reason")
+
+
+def q_read_labeled_csv_zero(spark, sf):
+    """``bad_number='zero'`` and unknown classes dropped."""
+    samples, _ = csv.read_labeled_csv(spark, _broken_lines(spark, sf), 4, _FLAGS, bad_number="zero", unknown="drop")
+    return samples.select("id", _r(F.col("f0")).alias("f0"), "label")
+
+
+HEAD_ROWS = 1000
+
+
+def q_read_labeled_csv_head(spark, sf):
+    """The loader's row cap: as many rows as asked for, all of them accepted ones."""
+    path = _broken_lines(spark, sf)
+    capped, _ = csv.read_labeled_csv(spark, path, 4, _FLAGS, max_rows=HEAD_ROWS)
+    every, _ = csv.read_labeled_csv(spark, path, 4, _FLAGS)
+    found = capped.select("id").join(every.select("id"), "id", "left_semi")
+    return found.agg(F.count(F.lit(1)).alias("n"))
+
+
 def _exploded(rows: DataFrame, key: str, col: str) -> DataFrame:
     """Packed output rows as cells ``(key, j, value)``, rounded."""
     return rows.select(key, F.posexplode(col).alias("j", "value")).select(
@@ -353,9 +465,9 @@ def _packed_E(spark, sf):
 
 
 def _layer_dims(spark, sf) -> tuple[int, int]:
-    """Input width (first row) and number of classes (label column only)."""
+    """Input width (checked on all rows) and number of classes (label column only)."""
     emb = _emb(spark, sf)
-    d = emb.select(F.size("embedding").alias("d")).first()["d"]
+    _, d = packed_shape(emb, F.col("embedding"))
     k = emb.agg(F.count_distinct("label").alias("k")).first()["k"]
     return int(d), int(k)
 
@@ -430,7 +542,7 @@ def q_mlp_evaluate(spark, sf):
     return out.select("n", _r(F.col("loss")).alias("loss"), _r(F.col("accuracy")).alias("accuracy"))
 
 
-def q_mlp_train(spark, sf, epochs=20, eval_every=5):
+def q_mlp_train(spark, sf, epochs=20, eval_every=5, dropout=0.1):
     """20 full-batch epochs on the exact 80/20 split of lineitem; the metrics
     table (one row per evaluation) is the result."""
     keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"]  # unique
@@ -443,12 +555,18 @@ def q_mlp_train(spark, sf, epochs=20, eval_every=5):
         flagged = split.train_val_split(rows, keys, 0.8, SEED, hash_col="u_bits")
         metrics, _ = mlp.mlp_train(flagged.filter("is_train"), flagged.filter("NOT is_train"), FEATURES, "y",
                                    hidden=16, classes=3, epochs=epochs, eval_every=eval_every,
-                                   seed=SEED, row_hash="h")
+                                   seed=SEED, row_hash="h", dropout=dropout, persist=False)
     finally:
         rows.unpersist()
     return metrics
 
 
+def q_mlp_train_plain(spark, sf):
+    """Three epochs without dropout, evaluated after each: the steps SQL can repeat."""
+    out = q_mlp_train(spark, sf, epochs=3, eval_every=1, dropout=0.0)
+    return out.select("epoch", *[F.round(c, 5).alias(c) for c in ("train_loss", "val_loss", "val_acc")])
+
+
 # Class names written for the unit-price bands of lineitem.
 _BANDS = {"band-low": 0, "band-mid": 1, "band-high": 2}
 
@@ -478,7 +596,7 @@ def q_train_from_csv(spark, sf, epochs=20, eval_every=5):
         flagged = split.train_val_split(rows, keys, 0.8, SEED, hash_col="u_bits")
         metrics, _ = mlp.mlp_train(flagged.filter("is_train"), flagged.filter("NOT is_train"),
                                    [f"z{i}" for i in range(4)], "label", hidden=16, classes=3, epochs=epochs,
-                                   eval_every=eval_every, seed=SEED, row_hash="h")
+                                   eval_every=eval_every, seed=SEED, row_hash="h", persist=False)
     finally:
         rows.unpersist()
     return metrics
@@ -509,6 +627,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "attention_by_label": q_attention_by_label,
     "attention_by_label_tiled": q_attention_by_label_tiled,
     "attention_by_label_values": q_attention_by_label_values,
+    "attention_cells": q_attention_cells,
     "rows_to_cells": q_rows_to_cells,
     "cells_to_rows": q_cells_to_rows,
     "fill_ones": q_fill_ones,
@@ -524,6 +643,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "one_hot": q_one_hot,
     "dropout": q_dropout,
     "add": q_add,
+    "add_tables": q_add_tables,
     "sub": q_sub,
     "mul": q_mul,
     "relu_backward": q_relu_backward,
@@ -540,6 +660,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "softmax_axis0_grouped": q_softmax_axis0_grouped,
     "softmax_3d": q_softmax_3d,
     "argmax_rows": q_argmax_rows,
+    "softmax_rows_packed": q_softmax_rows_packed,
+    "argmax_rows_packed": q_argmax_rows_packed,
+    "cross_entropy_cells": q_cross_entropy_cells,
+    "accuracy_cells": q_accuracy_cells,
+    "softmax_xent_grad_cells": q_softmax_xent_grad_cells,
+    "unknown_labels": q_unknown_labels,
     "cross_entropy": q_cross_entropy,
     "accuracy": q_accuracy,
     "softmax_xent_grad": q_softmax_xent_grad,
@@ -547,6 +673,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_val_split": q_train_val_split,
     "encode_labels": q_encode_labels,
     "read_labeled_csv": q_read_labeled_csv,
+    "read_labeled_csv_rejects": q_read_labeled_csv_rejects,
+    "read_labeled_csv_zero": q_read_labeled_csv_zero,
+    "read_labeled_csv_head": q_read_labeled_csv_head,
     "linear_init": q_linear_init,
     "linear_forward": q_linear_forward,
     "linear_dw": q_linear_dw,
@@ -558,6 +687,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mlp_predict_stream": q_mlp_predict_stream,
     "mlp_evaluate": q_mlp_evaluate,
     "mlp_train": q_mlp_train,
+    "mlp_train_plain": q_mlp_train_plain,
     "train_from_csv": q_train_from_csv,
 }
 

@@ -84,6 +84,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current is None:
         if not path:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError(f"set {_CKPT_KEY} to a folder that all executors share (master {sc.master})")
             path = tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp")
         sc.setCheckpointDir(path)
         current = sc.getCheckpointDir()

@@ -28,6 +28,8 @@ _NUMBER_PREFIX = r"^\s*([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?)"
 
 def encode_labels(df: DataFrame, col: str, mapping: dict[str, int], out: str = "label") -> DataFrame:
     """Map class names to integer codes; an unknown name (or NULL) gets -1."""
+    if not mapping:
+        return df.withColumn(out, F.lit(UNKNOWN_CODE))
     if len(mapping) <= _CASE_LIMIT:
         expr = reduce(lambda acc, kv: acc.when(F.col(col) == F.lit(kv[0]), F.lit(int(kv[1]))),
                       list(mapping.items())[1:],
@@ -54,7 +56,8 @@ def read_labeled_csv(spark: SparkSession, path: str, n_features: int = 4,
                      label_map: dict[str, int] | None = None, bad_number: str = "reject",
                      unknown: str = "keep", max_rows: int | None = None,
                      ) -> tuple[DataFrame, DataFrame]:
-    """Load ``id, f0..f{n-1}, label`` rows; returns ``(samples, rejects)``.
+    """Load ``id, f0..f{n-1}, label`` rows; returns ``(samples, rejects)``; rejects are
+    ``(id, reason, line)`` with the row as it was read.
 
     * ``bad_number='reject'`` (default): a field that is not a number rejects
       the row; ``'zero'`` reads a numeric prefix like ``atof`` (junk -> 0.0).
@@ -66,24 +69,27 @@ def read_labeled_csv(spark: SparkSession, path: str, n_features: int = 4,
     if bad_number not in ("reject", "zero") or unknown not in ("keep", "drop", "error"):
         raise ValueError("read_labeled_csv: bad mode")
     label_map = IRIS_LABELS if label_map is None else label_map
-    raw = (spark.read.option("header", "true").option("mode", "PERMISSIVE")
-           .option("multiLine", "false").csv(path))
-    cols = raw.columns
-    if len(cols) < n_features + 2:
-        raise ValueError(f"read_labeled_csv: {len(cols)} columns, need {n_features + 2}")
-    id_c, feat_c, label_c = cols[0], cols[1:1 + n_features], cols[-1]
+    # exactly id, features and label: a row with another number of fields is kept
+    # whole in the corrupt-record column, its values are never shifted
+    id_c, feat_c, label_c = "id", [f"c{i}" for i in range(n_features)], "label_name"
+    fields = ", ".join(f"{c} string" for c in (id_c, *feat_c, label_c, "_corrupt"))
+    raw = (spark.read.schema(fields).option("header", "true").option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_corrupt").option("multiLine", "false").csv(path))
     label_txt = F.regexp_replace(F.col(label_c), r"[\r\n]+$", "")
     feats = [_parse_number(F.col(c), bad_number).alias(f"f{i}") for i, c in enumerate(feat_c)]
     empty = [F.col(c).isNull() | (F.trim(F.col(c)) == "") for c in feat_c]
-    parsed = raw.select(F.col(id_c).alias("id"), *feats, label_txt.alias("label_name"),
-                        reduce(lambda a, b: a | b, empty).alias("_empty"))
+    line = F.coalesce("_corrupt", F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in (id_c, *feat_c, label_c)]))
+    parsed = raw.select(F.col(id_c).alias("id"), *feats, label_txt.alias("label_name"), "_corrupt",
+                        line.alias("line"), reduce(lambda a, b: a | b, empty).alias("_empty"))
     bad_num = reduce(lambda a, b: a | b, [F.col(f"f{i}").isNull() for i in range(n_features)])
-    reason = (F.when(F.col("label_name").isNull() | (F.col("label_name") == ""), F.lit("missing label"))
+    missing = F.col("label_name").isNull() | (F.col("label_name") == "")
+    reason = (F.when(missing, F.lit("missing label"))
+              .when(F.col("_corrupt").isNotNull(), F.lit("too many fields"))
               .when(F.col("_empty"), F.lit("empty field"))
               .when(bad_num, F.lit("bad number")))
     tagged = parsed.withColumn("_reason", reason)
     rejects = tagged.filter(F.col("_reason").isNotNull()).select(
-        "id", F.col("_reason").alias("reason"))
+        "id", F.col("_reason").alias("reason"), "line")
     samples = encode_labels(tagged.filter(F.col("_reason").isNull()), "label_name", label_map)
     if unknown == "drop":
         samples = samples.filter(F.col("label") != UNKNOWN_CODE)

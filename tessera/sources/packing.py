@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.core import BROADCAST_CELLS, Cells
+from tessera.core import BROADCAST_CELLS, Cells, packed_shape
 
 
 def rows_to_cells(df: DataFrame, key: str, array_col: str | None = None,
@@ -16,26 +16,18 @@ def rows_to_cells(df: DataFrame, key: str, array_col: str | None = None,
     Either ``array_col`` (an array column) or ``columns`` (scalar feature
     columns, packed in the given order) supplies the values. ``key`` must be a
     dense 0-based row index when the result is used as a matrix; ``n_rows`` and
-    ``width`` give the shape (found with two small jobs when omitted: the key
-    column's maximum and the first row's width).
+    ``width`` give the shape. When one is omitted, one job finds both and checks
+    the rows: ragged rows, NULL arrays or values, and keys other than
+    ``0 .. n-1`` raise ``ValueError``.
     """
     if (array_col is None) == (columns is None):
         raise ValueError("give exactly one of array_col or columns")
     arr = F.col(array_col) if array_col else F.array(*[F.col(c).cast("double") for c in columns])
-    if columns is not None:
-        width = len(columns)
     base = df.select(F.col(key).cast("bigint").alias("c0"), arr.alias("_arr"))
     cells = base.select("c0", F.posexplode("_arr").alias("c1", "value")).select(
         "c0", F.col("c1").cast("bigint").alias("c1"), F.col("value").cast("double").alias("value"))
-    # shape without reading the arrays: the row count from the key column
-    # alone, the width from the first row (a dense matrix has equal widths;
-    # shape_of / assert_dense verify it)
-    if n_rows is None:
-        top = df.agg(F.max(F.col(key)).alias("m")).first()["m"]
-        n_rows = int(top) + 1 if top is not None else 1
-    if width is None:
-        first = base.select(F.size("_arr").alias("w")).first()
-        width = int(first["w"]) if first is not None else 1
+    if n_rows is None or width is None:
+        n_rows, width = packed_shape(base, F.col("_arr"), F.col("c0"))
     return Cells(cells, (n_rows, width))
 
 

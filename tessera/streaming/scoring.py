@@ -27,10 +27,10 @@ def predict_stream(spark: SparkSession, sf_dir: str, table: str,
                    keep: list[str], features: str | list[str] = "x") -> DataFrame:
     """Stream ``table`` from ``sf_dir`` through ``featurize`` and the network
     until all available input is processed; return the written result."""
-    name = f"{table}.parquet"
-    schema = spark.read.parquet(os.path.join(sf_dir, name)).schema
-    # a file stream watches a folder; the glob filter picks this table's files
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(sf_dir)
+    # a table is one file or a folder of part files; as a pattern (that matches only
+    # itself) a file stream takes either
+    path = os.path.join(sf_dir, f"{table}.parque")
+    stream = spark.readStream.schema(spark.read.parquet(path + "t").schema).parquet(path + "[t]")
     scored = score_stream(featurize(stream), params, features, keep)
     out = scratch_table_path(spark, f"{table}-scored")
     query = (scored.writeStream.format("parquet")
