@@ -3,6 +3,7 @@ Arrow text columns, packed exchange rows and connected components."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import scratch_table_path
+from tessera.session import scratch_table_path, ship_package
 
 M61 = np.uint64(0x9E3779B97F4A7C15)
 M_A = np.uint64(0xBF58476D1CE4E5B9)
@@ -22,6 +23,31 @@ def read(spark: SparkSession, sf_dir: str, table: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*cols)
 
 
+#: Arrow batches of whole documents: rows and bytes, in place of Spark's defaults for short rows.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """Make the package importable on the executors and keep Arrow batches of documents small."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def tidy(run):
+    """A batch function that gives its freed memory back to the system at the end of a task:
+    workers live on, and what one operator kept would count against the next."""
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            libc = ctypes.CDLL(None)
+            if hasattr(libc, "malloc_trim"):
+                libc.malloc_trim(0)
+    return tidied
+
+
 def partitions(spark: SparkSession) -> int:
     """Partition count of packed exchanges: the session's shuffle setting."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import partitions, spans, text_bytes
+from tessera.llm.common import partitions, spans, text_bytes, tidy
 
 BUCKETS = 256
 CHUNK = 2 << 20
@@ -94,7 +94,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 ["id", "fingerprint"])
 
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-            .mapInArrow(run, f"id {kind}, fingerprint string").withColumnRenamed("id", id_col))
+            .mapInArrow(tidy(run), f"id {kind}, fingerprint string").withColumnRenamed("id", id_col))
 
 
 def _beside_next(docs: DataFrame) -> DataFrame:
@@ -174,4 +174,4 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
                     yield emit(ids[:len(texts) - 1], texts)
                     ids, texts, size = ids[len(texts) - 1:], texts[-1:], 0
 
-    return _beside_next(docs.select("doc_id", "text")).mapInArrow(run, schema)
+    return _beside_next(docs.select("doc_id", "text")).mapInArrow(tidy(run), schema)

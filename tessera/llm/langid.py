@@ -15,12 +15,14 @@ not matter. lang, source and doc_id are no inputs of a prediction; other columns
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import lowest, spans, text_bytes
+from tessera.llm.common import lowest, spans, text_bytes, tidy
 
 WINDOW = 128
 UNITS = 8
@@ -29,7 +31,7 @@ SAMPLE_ROWS = 6000
 STEPS = 400
 BATCH = 128
 RATE = 0.02
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 PAD = 256
 UNDECIDED = "und"
 
@@ -229,6 +231,26 @@ def _has_letter(text: bytes) -> bool:
     return any(c.isalpha() for c in text.decode("utf-8", "replace"))
 
 
+def _verdicts(network: Network | None, data: np.ndarray, off: np.ndarray):
+    """(language, score, share) of every row of a byte table."""
+    n = len(off) - 1
+    found, scores, shares = [UNDECIDED] * n, np.zeros(n), np.zeros(n)
+    if network is None:
+        return found, scores, shares
+    for i, j in spans(off, CHUNK):
+        part, cut = data[off[i]:off[j]], off[i:j + 1] - off[i]
+        mean, label, letters = network.pooled(part, cut)
+        best = mean.argmax(axis=1)
+        ascii_letters = np.concatenate([[0], np.cumsum(_LETTER[:128][np.minimum(part, 127)] * (part < 128))])
+        plain = ascii_letters[cut[1:]] > ascii_letters[cut[:-1]]
+        for k in range(j - i):
+            if plain[k] or (letters[k] and _has_letter(part[cut[k]:cut[k + 1]].tobytes())):
+                found[i + k] = network.languages[best[k]]
+                scores[i + k] = min(1.0, mean[k, best[k]])
+                shares[i + k] = label[k, best[k]] / letters[k]
+    return found, scores, shares
+
+
 def _predicted(docs: DataFrame, network: Network | None, keep: list[str]) -> DataFrame:
     """Columns _k0, _k1, ... (``keep``), _lang_pred, _score and _share."""
     names = [f"_k{i}" for i in range(len(keep))]
@@ -236,26 +258,12 @@ def _predicted(docs: DataFrame, network: Network | None, keep: list[str]) -> Dat
 
     def run(batches):
         for b in batches:
-            data, off = text_bytes(b.column(0))
-            for i, j in spans(off, CHUNK):
-                part, cut = data[off[i]:off[j]], off[i:j + 1] - off[i]
-                found, scores, shares = [UNDECIDED] * (j - i), np.zeros(j - i), np.zeros(j - i)
-                if network is not None:
-                    mean, label, letters = network.pooled(part, cut)
-                    best = mean.argmax(axis=1)
-                    ascii_letters = np.concatenate([[0], np.cumsum(_LETTER[:128][np.minimum(part, 127)] * (part < 128))])
-                    plain = ascii_letters[cut[1:]] > ascii_letters[cut[:-1]]
-                    for k in range(j - i):
-                        if plain[k] or (letters[k] and _has_letter(part[cut[k]:cut[k + 1]].tobytes())):
-                            found[k] = network.languages[best[k]]
-                            scores[k] = min(1.0, mean[k, best[k]])
-                            shares[k] = label[k, best[k]] / letters[k]
-                yield pa.RecordBatch.from_arrays(
-                    [*[b.column(c).slice(i, j - i) for c in range(1, 1 + len(keep))], pa.array(found),
-                     pa.array(scores), pa.array(shares)], [*names, "_lang_pred", "_score", "_share"])
+            found, scores, shares = _verdicts(network, *text_bytes(b.column(0)))
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(found, pa.string()), pa.array(scores), pa.array(shares)],
+                                             [*names, "_lang_pred", "_score", "_share"])
 
     return docs.select(F.col("text").cast("string").alias("_text"), *[F.col(c).alias(k) for c, k in zip(keep, names)]
-                       ).mapInArrow(run, f"{fields}_lang_pred string, _score double, _share double")
+                       ).mapInArrow(tidy(run), f"{fields}_lang_pred string, _score double, _share double")
 
 
 def predict(docs: DataFrame, network: Network | None, *keep: str) -> DataFrame:
@@ -273,8 +281,13 @@ def identified(docs: DataFrame) -> DataFrame:
     network = train(docs.where(~held_out()))
     if network is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = _predicted(docs, network, docs.columns).where(F.col("_lang_pred") != UNDECIDED)
-    return found.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+    def known(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for t in texts:
+            yield pa.array([x != UNDECIDED for x in _verdicts(network, *text_bytes(t))[0]])
+
+    # only the texts go to Python, and only the verdicts come back
+    return docs.where(F.arrow_udf(known, "boolean")(F.col("text").cast("string")))
 
 
 def report(docs: DataFrame) -> DataFrame:

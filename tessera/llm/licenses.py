@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import M61, lower_ascii, mix, spans, text_bytes, word_cuts, word_hashes
+from tessera.llm.common import M61, lower_ascii, mix, spans, text_bytes, tidy, word_cuts, word_hashes
 
 GRAM = 3
 WINNOW = 2
@@ -232,5 +232,5 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
                     ["doc_id", "license", "coverage", "start", "end", "spans"])
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id bigint, license string, coverage double, start bigint, end bigint, "
+        tidy(run), "doc_id bigint, license string, coverage double, start bigint, end bigint, "
              "spans array<struct<start: bigint, end: bigint>>")

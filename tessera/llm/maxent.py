@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import (M61, lower_ascii, mix, pack, partitions, spans, text_bytes, unpack, unzipped,
+from tessera.llm.common import (M61, lower_ascii, mix, pack, partitions, spans, text_bytes, tidy, unpack, unzipped,
                                 word_cuts, word_hashes, written, zipped)
 
 CLASSES = 32
@@ -156,8 +156,8 @@ def _round(texts: DataFrame, weights: np.ndarray) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([mean.tobytes()], pa.binary())],
                                              ["block", "blob"])
 
-    rows = (texts.mapInArrow(run, "block int, blob binary").repartitionById(BLOCKS, F.col("block"))
-            .mapInArrow(add, "block int, blob binary").collect())
+    rows = (texts.mapInArrow(tidy(run), "block int, blob binary").repartitionById(BLOCKS, F.col("block"))
+            .mapInArrow(tidy(add), "block int, blob binary").collect())
     out = weights.copy()
     size = FEATURES // BLOCKS
     for r in rows:
@@ -308,14 +308,14 @@ def scores(docs: DataFrame) -> DataFrame:
 
     shape = "g int, kind int, doc_id bigint, learn boolean, blob binary"
     packed = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("g"),
-                         F.lit(1).alias("kind"), "doc_id", "learn", "text").mapInArrow(zip_texts, shape)
-    counts = written(packed.repartitionById(n, F.col("g")).mapInArrow(_send_words(n), "bucket int, g int, blob binary")
-                     .repartitionById(n, F.col("bucket")).mapInArrow(_count_words, "g int, blob binary"), "word-counts")
+                         F.lit(1).alias("kind"), "doc_id", "learn", "text").mapInArrow(tidy(zip_texts), shape)
+    counts = written(packed.repartitionById(n, F.col("g")).mapInArrow(tidy(_send_words(n)), "bucket int, g int, blob binary")
+                     .repartitionById(n, F.col("bucket")).mapInArrow(tidy(_count_words), "g int, blob binary"), "word-counts")
     totals = sum([np.frombuffer(bytes(r["blob"]), "<f8") for r in counts.where("g < 0").select("blob").collect()],
                  np.zeros(3 + CLASSES))
     sent = spark.sparkContext.broadcast(weights)
     asked = counts.where("g >= 0").select("g", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("doc_id"),
                                           F.lit(False).alias("learn"), "blob")
     return (packed.union(asked).repartitionById(n, F.col("g")).sortWithinPartitions("g", "kind")
-            .mapInArrow(_score(sent, totals), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
+            .mapInArrow(tidy(_score(sent, totals)), "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
                                               "train_tokens bigint, base_score double, score double"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import (M61, components, lower_ascii, mix, partitions, spans, text_bytes, word_cuts,
+from tessera.llm.common import (M61, components, lower_ascii, mix, partitions, spans, text_bytes, tidy, word_cuts,
                                 word_hashes, written)
 
 WORDS = 5
@@ -106,7 +106,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                      pa.array(sig.tolist(), pa.binary())], ["doc_id", "n", "s1", "s2", "sig"])
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, sig binary")
+        tidy(run), "doc_id bigint, n bigint, s1 bigint, s2 bigint, sig binary")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -120,7 +120,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(sets.view(np.int64)))],
                     ["id", "hashes"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id bigint, hashes array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), "id bigint, hashes array<bigint>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -223,7 +223,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
              .select("key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "id", "label",
                      "own", "hashes")
              .repartition(partitions(docs.sparkSession), "key", "a", "b").sortWithinPartitions("key", "a", "b"))
-    more = written(cells.mapInArrow(_search(percent), "u bigint, v bigint"), "minmax-links")
+    more = written(cells.mapInArrow(tidy(_search(percent)), "u bigint, v bigint"), "minmax-links")
     if not more.isEmpty():
         groups = components(edges.union(more))
 

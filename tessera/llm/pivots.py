@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import components, lowest, partitions, written
+from tessera.llm.common import components, lowest, partitions, tidy, written
 
 SAMPLE = 4096
 PIVOTS = 1024
@@ -56,7 +56,7 @@ def _vectors(rows: DataFrame) -> DataFrame:
                 [b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)), pa.array(vec, pa.binary()),
                  pa.array([len(v) // 8 for v in vec], pa.int32())], ["vec_id", "label", "vec", "size"])
 
-    return rows.mapInArrow(run, f"vec_id bigint, label {kind}, vec binary, size int")
+    return rows.mapInArrow(tidy(run), f"vec_id bigint, label {kind}, vec binary, size int")
 
 
 def choose_pivots(sample: list[np.ndarray], count: int = PIVOTS, apart: float = APART) -> np.ndarray:
@@ -93,7 +93,7 @@ def _described(nodes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
                     prefix[i] = p.tobytes()
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(prefix, pa.binary())], [*b.schema.names, "prefix"])
 
-    return nodes.mapInArrow(run, f"{fields}, prefix binary")
+    return nodes.mapInArrow(tidy(run), f"{fields}, prefix binary")
 
 
 def _links(ids, block, mult, x, prefix, pivot, cross: bool, threshold: float):
@@ -202,7 +202,7 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93) -> DataFrame:
                            "vec", "prefix")
              .withColumn("x", F.col("a") != F.col("b"))
              .repartition(partitions(spark), *keys, "a", "b").sortWithinPartitions(*keys, "a", "b", "id"))
-    found = written(cells.mapInArrow(_search(threshold), "u bigint, v bigint, links bigint"), "pivot-links")
+    found = written(cells.mapInArrow(tidy(_search(threshold)), "u bigint, v bigint, links bigint"), "pivot-links")
     counts = found.where("links > 0").groupBy(F.col("u").alias("id")).agg(F.sum("links").alias("links"))
     groups = components(found.where("links = 0")).withColumnRenamed("node", "id")
     named = (nodes.select("label", "h", "id", "mult").join(counts, "id", "left").join(groups, "id", "left")

@@ -5,14 +5,13 @@ from __future__ import annotations
 from functools import wraps
 
 from tessera.llm import fingerprint, langid, licenses, maxent, minmax, mixing, packing, pivots, suffixdedup, warc
-from tessera.llm.common import read
-from tessera.session import ship_package
+from tessera.llm.common import prepare, read
 
 
 def _shipped(fn):
     @wraps(fn)
     def run(spark, sf_dir):
-        ship_package(spark)
+        prepare(spark)
         return fn(spark, sf_dir)
     return run
 

@@ -40,14 +40,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import M61, mix, pack, partitions, spans, text_bytes, unpack, unzipped, zipped
+from tessera.llm.common import M61, mix, pack, partitions, spans, text_bytes, tidy, unpack, unzipped, zipped
 
 LENGTH = 50
 KMER = 24
 LEFT = LENGTH - KMER
 CHUNK = 1 << 20
 #: Suffixes a task gathers before it sorts and sends a run.
-RUN_KEYS, RUN_SUFFIXES = 2 << 20, 200_000
+RUN_KEYS, RUN_SUFFIXES = 1 << 20, 150_000
 #: Bytes of a key that are sent, beside its bucket; a chance match only sends a suffix on in vain.
 KEY_BYTES = 5
 KEY_MASK = np.uint64((1 << 8 * KEY_BYTES) - 1)
@@ -484,7 +484,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] =
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.hash(text).alias("rid"),
                        text.cast("binary").alias("text"), *[F.col(c).alias(k) for c, k in zip(keep, names)]).mapInArrow(
-        run, "doc_id bigint, rid int, text binary" + _fields(docs, keep))
+        tidy(run), "doc_id bigint, rid int, text binary" + _fields(docs, keep))
     return rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"),
                        F.coalesce("rid", F.lit(0)).alias("rid"), "text", *names).repartition(n, "doc_id", "rid")
 
@@ -494,12 +494,12 @@ def _spans(texts: DataFrame) -> DataFrame:
     n = partitions(texts.sparkSession)
     blobs, home = "bucket int, known boolean, blob binary", "home int, blob binary"
     numbers = "doc_id bigint, rid int, numbers binary"
-    nums = (texts.mapInArrow(_send_keys(n), blobs).repartitionById(n, F.col("bucket"))
-            .mapInArrow(_meet_keys(n), home).repartitionById(n, F.col("home")).mapInArrow(_gather(1), numbers))
+    nums = (texts.mapInArrow(tidy(_send_keys(n)), blobs).repartitionById(n, F.col("bucket"))
+            .mapInArrow(tidy(_meet_keys(n)), home).repartitionById(n, F.col("home")).mapInArrow(tidy(_gather(1)), numbers))
     return (texts.join(nums, ["doc_id", "rid"])
             .select("doc_id", "rid", "text", "numbers", *[c for c in texts.columns if c.startswith("_k")])
-            .mapInArrow(_send_runs(n), blobs).repartitionById(n, F.col("bucket"))
-            .mapInArrow(_meet_runs(n), home).repartitionById(n, F.col("home")).mapInArrow(_gather(2), numbers))
+            .mapInArrow(tidy(_send_runs(n)), blobs).repartitionById(n, F.col("bucket"))
+            .mapInArrow(tidy(_meet_runs(n)), home).repartitionById(n, F.col("home")).mapInArrow(tidy(_gather(2)), numbers))
 
 
 def _kept(batches):
@@ -541,7 +541,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     names = [f"_k{i}" for i in range(len(keep))]
     done = (texts.join(_spans(texts), ["doc_id", "rid"], "left")
             .select("doc_id", "rid", "text", "numbers", *names)
-            .mapInArrow(_kept, "doc_id bigint, rid int, n_bytes bigint, n_removed bigint, "
+            .mapInArrow(tidy(_kept), "doc_id bigint, rid int, n_bytes bigint, n_removed bigint, "
                                "n_spans bigint, kept binary" + _fields(docs, keep)))
     return done.withColumnsRenamed(dict(zip(names, keep)))
 
