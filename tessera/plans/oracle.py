@@ -154,10 +154,10 @@ u AS (SELECT p.vec_id, c, p, CASE WHEN p.vec_id % 11 = 0 OR label IN (3, 7) THEN
 mx AS (SELECT *, max(p) OVER (PARTITION BY vec_id) AS m FROM u),
 pred AS (SELECT vec_id, min(c) AS k, any_value(y) AS y FROM mx WHERE p = m GROUP BY vec_id),
 n AS (SELECT count(*) AS n FROM embeddings)
-SELECT {R('(SELECT sum(CASE WHEN c = y THEN -ln(p + 1e-8) ELSE 0 END) FROM u) / n')} AS loss,
-  {R('(SELECT avg(CAST(k = y AS DOUBLE)) * 100.0 FROM pred)')} AS accuracy,
-  {R('(SELECT CAST(count(*) AS DOUBLE) FROM u WHERE c = y)')} AS targets,
-  {R('(SELECT sum(abs(p - CAST(c = y AS DOUBLE))) FROM u) / n')} AS grad FROM n"""
+SELECT 'loss' AS metric, {R('(SELECT sum(CASE WHEN c = y THEN -ln(p + 1e-8) ELSE 0 END) FROM u) / n')} AS value FROM n
+UNION ALL SELECT 'accuracy', {R('(SELECT avg(CAST(k = y AS DOUBLE)) * 100.0 FROM pred)')}
+UNION ALL SELECT 'targets', {R('(SELECT CAST(count(*) AS DOUBLE) FROM u WHERE c = y)')}
+UNION ALL SELECT 'grad', {R('(SELECT sum(abs(p - CAST(c = y AS DOUBLE))) FROM u) / n')} FROM n"""
 
 # every 5th order's line is broken in one of five ways
 BROKEN = """b AS (SELECT concat_ws('-', l_orderkey, l_linenumber) AS id, l_orderkey % 25 AS k, l_quantity,

@@ -375,11 +375,12 @@ def q_unknown_labels(spark, sf):
     pred = softmax.argmax_rows(z).withColumnRenamed("c0", "row")
     targets = loss.one_hot(codes, "row", "label", W0_COLS).df.agg(F.sum("value").alias("targets"))
     grad = loss.softmax_xent_grad(p, codes).df.agg(F.sum(F.abs("value")).alias("grad"))
-    out = None
-    for part in (loss.cross_entropy(p, codes), loss.accuracy(pred, codes), targets, grad):
-        part = part.withColumn("_z", F.lit(0))
-        out = part if out is None else out.join(part, "_z")
-    return out.select(*[_r(F.col(c)).alias(c) for c in ("loss", "accuracy", "targets", "grad")])
+    parts = {"loss": loss.cross_entropy(p, codes), "accuracy": loss.accuracy(pred, codes), "targets": targets, "grad": grad}
+    rows = [df.select(F.lit(name).alias("metric"), _r(F.col(name)).alias("value")) for name, df in parts.items()]
+    out = rows[0]
+    for row in rows[1:]:
+        out = out.unionByName(row)
+    return out
 
 
 def _orders(spark, sf):
