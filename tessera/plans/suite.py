@@ -27,7 +27,7 @@ from tessera.operators import elementwise as ew
 from tessera.operators import linalg, loss, shape, softmax, split
 from tessera.operators.attention import attention, attention_cells
 from tessera.plans import layers, mlp
-from tessera.session import scratch_table_path, ship_package
+from tessera.session import remove_table, scratch_table_path, ship_package
 from tessera.sources import csv, fill
 from tessera.sources.packing import cells_to_rows, rows_to_cells
 from tessera.sources.tables import read_table
@@ -600,6 +600,7 @@ def q_train_from_csv(spark, sf, epochs=20, eval_every=5):
                                    eval_every=eval_every, seed=SEED, row_hash="h", persist=False)
     finally:
         rows.unpersist()
+        remove_table(spark, path)
     return metrics
 
 

@@ -95,3 +95,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A fresh location below the checkpoint folder for a written table."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more, in whatever store it lies."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(conf).delete(where, True)
