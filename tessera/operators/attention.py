@@ -207,7 +207,7 @@ def block_pairs(queries: DataFrame, keys: DataFrame | None = None, *, id_col: st
             .select("g", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_qn") - 1)).alias("_b"),
                     "kblock")
             .repartition(parts, "g", "_b"))
-    pairs = qb.join(krep, ["g", "_b"]).select("g", "_b", "qblock", "kblock")
+    pairs = qb.join(krep, ["g", "_b"]).select(F.col("g.v").alias("g"), "_b", "qblock", "kblock")
     return pairs
 
 
@@ -241,7 +241,7 @@ def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
     out = rows.select("g", "q_id", F.posexplode("_out").alias("j", "value"))
     names = [F.col("q_id").alias(id_col), F.col("j").cast("bigint").alias("j"), "value"]
     if group:
-        return out.select(F.col("g.v").alias(group), *names)
+        return out.select(F.col("g").alias(group), *names)
     return out.select(*names)
 
 
