@@ -47,7 +47,7 @@ def summary(tree: str) -> dict[str, int]:
 
 def main() -> None:
     from tessera import build_session
-    from __spark_entry__ import queries
+    from tessera.plans.suite import QUERIES
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -55,7 +55,10 @@ def main() -> None:
     cols = ["shuffles", "reused", "broadcasts", "smj", "bhj", "shj", "windows", "arrow", "scans"]
     print("| query | " + " | ".join(cols) + " |")
     print("| --- |" + " --- |" * len(cols))
-    for name, fn in queries().items():
+    only = set(sys.argv[2:])
+    for name, fn in QUERIES.items():
+        if only and name not in only:
+            continue
         if name in ("mlp_train", "mlp_predict_stream"):
             continue
         s = summary(static_plan(fn(spark, sf)))
