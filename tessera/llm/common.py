@@ -200,29 +200,36 @@ def lowest(df: DataFrame, total: int, n: int, by: str, *ties: str) -> list:
     return df.orderBy(by, *ties).limit(n).collect()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over ``edges`` (u, v).
 
-    Rounds of hooking every node to the smallest label in its neighbourhood and
-    jumping along the labels; each round's labels are written to the shared
-    folder. Joins are on nodes, so a hub is spread by map-side aggregation and
-    by Spark's skewed-join handling. Ends when no label changes.
+    Rounds of contraction: every node hooks to its smallest neighbour if that is smaller, the
+    trees are jumped along to their roots, and the edges are rewritten to roots; those inside a
+    tree drop out. Two rounds at least halve the nodes that still have edges, so a path of any length
+    takes a number of steps in the square of its logarithm. Tables are written to the shared
+    folder. Joins are on nodes, so a hub is spread by map-side aggregation and by Spark's
+    skewed-join handling. Ends when no edge is left.
     """
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    both = written(both.where("u <> v"), "edges")
-    labels = written(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m"))
-                     .select("node", F.least("node", "m").alias("label")), "labels")
-    for _ in range(rounds):
-        near = (both.join(labels.select(F.col("node").alias("v"), "label"), "v")
-                .groupBy(F.col("u").alias("node")).agg(F.min("label").alias("m")))
-        hooked = labels.join(near, "node").select("node", F.col("label").alias("old"),
-                                                  F.least("label", "m").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        stepped = written(hooked.join(jump, "label", "left").select(
-            "node", "old", F.least("label", F.coalesce("up", "label")).alias("label")), "labels")
-        labels = stepped.select("node", "label")
-        if stepped.where("label <> old").isEmpty():
-            break
-    else:
-        raise RuntimeError("components did not settle")
-    return labels.select("node", F.col("label").alias("component"))
+    both, labels = written(both.where("u <> v"), "edges"), None
+    while True:
+        trees = written(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m"))
+                        .select("node", F.least("node", "m").alias("label")), "trees")
+        while True:
+            up = trees.select(F.col("node").alias("label"), F.col("label").alias("up"))
+            jumped = written(trees.join(up, "label").select("node", F.col("label").alias("old"), F.col("up").alias("label")),
+                             "trees")
+            trees = jumped.select("node", "label")
+            if jumped.where("label <> old").isEmpty():
+                break
+        if labels is None:
+            labels = trees
+        else:
+            step = trees.select(F.col("node").alias("label"), F.col("label").alias("up"))
+            labels = written(labels.join(step, "label", "left").select("node", F.coalesce("up", "label").alias("label")),
+                             "labels")
+        both = written(both.join(trees.select(F.col("node").alias("u"), F.col("label").alias("a")), "u")
+                       .join(trees.select(F.col("node").alias("v"), F.col("label").alias("b")), "v")
+                       .where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "edges")
+        if both.isEmpty():
+            return labels.select("node", F.col("label").alias("component"))

@@ -164,6 +164,34 @@ def test_components_of_a_long_path_and_a_hub(spark):
     assert all(got[k] == 0 for k in range(61)) and all(got[1001 + k] == 1000 for k in range(200))
 
 
+def test_components_of_paths_of_300_nodes(spark):
+    """A path with random ids, and one whose smallest id is far from the others by steps of one."""
+    order = np.random.default_rng(5).permutation(300).tolist()
+    falling = [1000, *range(1299, 1000, -1)]
+    edges = [*zip(order, order[1:]), *zip(falling, falling[1:])]
+    got = dict(map(tuple, common.components(spark.createDataFrame(edges, "u bigint, v bigint").repartition(3)).collect()))
+    assert got == {**{k: 0 for k in order}, **{k: 1000 for k in falling}}
+
+
+def test_components_match_union_find(spark):
+    """Sparse random graphs with stars whose centres have the largest ids, repeated edges and loops."""
+    rng = np.random.default_rng(6)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2))] * 2
+    edges += [(9000 + k % 3, 500 + k) for k in range(90)] + [(9000, 9001), (7, 7)]
+    group = {x: x for e in edges for x in e}
+
+    def root(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for a, b in edges:
+        x, y = root(a), root(b)
+        group[max(x, y)] = min(x, y)
+    got = dict(map(tuple, common.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()))
+    assert got == {x: root(x) for x in group if any(x in e and e[0] != e[1] for e in edges)}
+
+
 def test_pack_round_trip():
     a, b = np.array([3, -1, 1 << 40]), np.array([1.5, 2.5], np.float32)
     x, y, z = common.unpack(common.pack(a, b, np.zeros(0, np.int32)), "<i8", "<f4", "<i4")
