@@ -4,9 +4,11 @@ DataFrame operations only.
 Token counts are added up by (source, language, topic). The cell weights are then raked: scaled
 to the target of each source, of each language and of each topic in turn, ``ROUNDS`` times.
 A cell's documents are drawn with the probability that makes its expected tokens proportional to
-its raked weight; the largest probability is 1, so the sample is the largest one that meets the
-weights without repeating a document. Draws are hashes of the id and the seed, the same
-however the data is laid out or a task is repeated.
+its raked weight. The scale is set by a token budget, a share of all tokens: cells that would need
+a probability above 1 are taken whole, and what they lack is spread over the others by their weights
+(:func:`fill_scale`). Without a budget, as in :func:`report` and its SQL, the largest probability is 1:
+the sample meets the weights without repeating a document, but its smallest cell sets its size.
+Draws are hashes of the id and the seed, the same however the data is laid out or a task is repeated.
 
 Targets default to tempered shares (tokens to the power of ``TEMPER``, normalised); any table
 (value, weight) can stand in. The topic is a column expression; by default the text's form
@@ -32,6 +34,8 @@ DIMENSIONS = ("source", "language", "topic")
 TEMPER = {"source": 0.5, "language": 0.5, "topic": 0.7}
 ROUNDS = 20
 SEED = 41
+#: Expected tokens of a sample, as a share of all tokens.
+BUDGET = 0.5
 NONE = "(none)"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Cells up to which the raking stays in one partition and the cell table is broadcast; more
@@ -88,23 +92,44 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     return out
 
 
-def probabilities(cells: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS) -> DataFrame:
+def fill_scale(rated: DataFrame, budget: float) -> float:
+    """The scale at which ``rated`` (tokens, weight, ratio) cells drawn with probability least(1, scale * ratio)
+    hold ``budget`` of all tokens in expectation, or all tokens with a weight if those are fewer. Each step
+    takes the cells that the last scale filled as whole and sets the scale of the others; it only
+    grows, so it ends when no further cell is filled."""
+    wanted = budget * float(rated.agg(F.sum("tokens")).first()[0] or 0)
+    scale, filled = 0.0, -1
+    while True:
+        full = F.col("ratio") * F.lit(scale) >= 1
+        n, held, rest = rated.agg(F.count(F.when(full, 1)), F.sum(F.when(full, F.col("tokens"))),
+                                  F.sum(F.when(~full, F.col("weight")))).first()
+        if n == filled or not rest:
+            return scale
+        scale, filled = max(scale, (wanted - (held or 0)) / rest), n
+
+
+def probabilities(cells: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS,
+                  budget: float | None = None) -> DataFrame:
     """``cells`` with raked weight and drawing probability."""
     cells = written(cells, "cells")
     raked = rake(cells, targets or default_targets(cells), rounds)
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
     rated = raked.select(*DIMENSIONS, "tokens", "weight", ratio.alias("ratio"))
-    top = rated.agg(F.max("ratio")).first()[0]
-    share = F.col("ratio") / F.lit(float(top)) if top else F.lit(0.0)
+    if budget is None:
+        top = rated.agg(F.max("ratio")).first()[0]
+        share = F.col("ratio") / F.lit(float(top)) if top else F.lit(0.0)
+    else:
+        share = F.least(F.lit(1.0), F.col("ratio") * F.lit(fill_scale(rated, budget)))
     return rated.select(*DIMENSIONS, "tokens", "weight", share.alias("probability"))
 
 
 def marked(docs: DataFrame, targets: dict[str, DataFrame] | None = None,
-           topic: Callable[[Column, Column], Column] = text_form, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
+           topic: Callable[[Column, Column], Column] = text_form, rounds: int = ROUNDS, seed: int = SEED,
+           budget: float | None = BUDGET) -> DataFrame:
     """``docs`` with _source, _language, _topic, n_tokens, probability and sampled."""
     rows = labelled(docs, topic)
     cells = rows.groupBy(*[F.col(f"_{d}").alias(d) for d in DIMENSIONS]).agg(F.sum("n_tokens").alias("tokens"))
-    table = written(probabilities(cells, targets, rounds).select(
+    table = written(probabilities(cells, targets, rounds, budget).select(
         *[F.col(d).alias(f"_{d}") for d in DIMENSIONS], "probability"), "probabilities")
     if table.count() <= SMALL_CELLS:
         table = F.broadcast(table)
@@ -118,8 +143,8 @@ def sample(docs: DataFrame, **options) -> DataFrame:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Every document's cell, tokens, probability and draw."""
-    return marked(docs).select("doc_id", *[F.col(f"_{d}").alias(d) for d in DIMENSIONS], "n_tokens",
+    """Every document's cell, tokens, probability and draw, without a budget."""
+    return marked(docs, budget=None).select("doc_id", *[F.col(f"_{d}").alias(d) for d in DIMENSIONS], "n_tokens",
                                F.round("probability", 9).alias("probability"), "sampled")
 
 

@@ -304,6 +304,36 @@ def test_raked_weights_meet_the_targets(spark, docs):
         assert (share - want).abs().max() < 1e-9
 
 
+def test_one_tiny_source_does_not_shrink_the_sample(spark):
+    rows = [(k, " ".join(["w"] * (40_000 if k == 0 else 2_000 + 100 * k)), "en" if k % 3 else "de", f"src{k}") for k in range(20)]
+    tiny = (20, "one two three four five", "xx", "rare")
+
+    def cells(rows):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+        return {r["doc_id"]: (r["n_tokens"], r["probability"]) for r in mixing.marked(docs).collect()}
+
+    for got in (cells(rows), cells([*rows, tiny])):
+        expected = sum(n * p for n, p in got.values())
+        assert abs(expected / sum(n for n, _ in got.values()) - mixing.BUDGET) < 1e-9
+        assert all(0 < p <= 1 for _, p in got.values())
+    assert got[20] == (5, 1.0)
+
+
+def test_filling_matches_bisection(spark):
+    rng = np.random.default_rng(4)
+    tokens, weight = rng.integers(1, 10_000, 200) ** 2, rng.random(200)
+    weight[:5] = 0
+    rated = spark.createDataFrame([(int(t), float(w), float(w / t)) for t, w in zip(tokens, weight)],
+                                  "tokens bigint, weight double, ratio double")
+    for budget in (0.001, 0.3, 0.9):
+        low, high = 0.0, 1e20
+        for _ in range(300):
+            mid = (low + high) / 2
+            low, high = (mid, high) if (tokens * np.minimum(1, mid * weight / tokens)).sum() < budget * tokens.sum() else (low, mid)
+        assert abs(mixing.fill_scale(rated, budget) / low - 1) < 1e-6
+    assert (mixing.fill_scale(rated, 1.0) * weight[5:] / tokens[5:] >= 1).all()
+
+
 def test_shuffled_cells_give_the_same(docs, monkeypatch):
     small = sorted(map(tuple, mixing.report(docs).collect()))
     monkeypatch.setattr(mixing, "SMALL_CELLS", 0)
