@@ -49,3 +49,21 @@ def test_unknown_error(spark, bad_csv):
     samples, _ = read_labeled_csv(spark, bad_csv, bad_number="zero", unknown="error")
     with pytest.raises(Exception):
         samples.collect()
+
+
+def test_broken_lines_of_several_files(spark, tmp_path):
+    """One header in each part file, none among the rows, and as many files as the input has partitions."""
+    import glob
+
+    from conftest import SF001
+    from tessera.plans import suite
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    sf = str(tmp_path)
+    li.repartition(5).write.parquet(f"{sf}/lineitem.parquet")
+    want = sorted(tuple(r) for r in suite.q_read_labeled_csv_rejects(spark, SF001).collect())
+    assert want and sorted(tuple(r) for r in suite.q_read_labeled_csv_rejects(spark, sf).collect()) == want
+    path = suite._broken_lines(spark, sf).removeprefix("file:")
+    lines = [open(p).read().splitlines() for p in glob.glob(f"{path}/part-*")]
+    assert len(lines) > 1 and sum(map(len, lines)) == li.count() + len(lines)
+    assert all(x[0] == "id,a,b,c,d,name" and "id,a,b,c,d,name" not in x[1:] for x in lines)
+    assert not any('"' in line for x in lines for line in x)
