@@ -7,7 +7,9 @@ maps them to template and place. Every text's 3-token strings, all of them, are
 diagonals are one candidate. A candidate is aligned with the template inside a band around
 its diagonals (longest common subsequence), which gives coverage (matched share of the
 template's tokens) and the matched spans as byte ranges of the text. Any four tokens in a row
-that a text shares with a template make a candidate.
+that a text shares with a template make a candidate. Longer insertions part a text into candidates on
+diagonals further apart: those less than ``coverage`` of the template's length apart, fewer than two
+whole copies, are chained by the longest increasing run through all their matched places.
 
 The index is a few kilobytes and goes with the tasks; scanning is a projection without a shuffle,
 so a notice in a third of all documents is no hot key.
@@ -19,6 +21,7 @@ first; other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import defaultdict
 
 import numpy as np
@@ -162,6 +165,26 @@ def align(template: np.ndarray, text: np.ndarray, diagonals: tuple[int, int]) ->
     return out[::-1]
 
 
+def chained(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Longest run of (template, text) places that rises in both."""
+    ends, last, before = [], [], {}
+    for q, p in sorted(set(pairs), key=lambda x: (x[0], -x[1])):
+        k = bisect_left(ends, p)
+        before[q, p] = last[k - 1] if k else None
+        ends[k:k + 1], last[k:k + 1] = [p], [(q, p)]
+    out, at = [], last[-1] if last else None
+    while at is not None:
+        out.append(at)
+        at = before[at]
+    return out[::-1]
+
+
+def on_diagonal(template: np.ndarray, text: np.ndarray, d: int) -> list[tuple[int, int]]:
+    """Equal (template, text) places with text place - template place = ``d``."""
+    a, z = max(0, -d), min(len(template), len(text) - d)
+    return [(i, i + d) for i in (a + np.flatnonzero(template[a:z] == text[a + d:z + d])).tolist()]
+
+
 def matches(index: Index, h: np.ndarray, coverage: float = COVERAGE) -> list[tuple[int, float, list[int]]]:
     """(template, coverage, matched places in the text) for one text's tokens."""
     by: dict[int, list[tuple[int, int]]] = defaultdict(list)
@@ -177,16 +200,33 @@ def matches(index: Index, h: np.ndarray, coverage: float = COVERAGE) -> list[tup
                 groups[-1].append(hit)
             else:
                 groups.append([hit])
+        aligned = []
         for group in groups:
             lo, hi = group[0][0], group[-1][0]
             start = max(0, lo - band(size))
             part = h[start:hi + size + band(size) + 1]
             pairs = align(index.tokens[t], part, (lo - start, hi - start))
+            aligned.append((lo, hi, [(i, start + j) for i, j in pairs], group))
             if len(pairs) >= coverage * size:
-                found.append((len(pairs) / size, [start + j for _, j in pairs]))
-        found.sort(key=lambda x: (-x[0], x[1][0]))
+                found.append((len(pairs) / size, False, [start + j for _, j in pairs]))
+        done = 0
+        for k, (lo, *_) in enumerate(aligned):
+            stop = k + 1
+            while stop < len(aligned) and aligned[stop][1] - lo < coverage * size:
+                stop += 1
+            if stop > max(done, k + 1):
+                done = stop
+                # an alignment may give a place of its own part away for several chance ones: the diagonals have it
+                pairs = [x for a in aligned[k:stop] for x in a[2]]
+                for d in {d for a in aligned[k:stop] for d, _ in a[3]}:
+                    pairs += on_diagonal(index.tokens[t], h, d)
+                # a chain adds at least the tokens of one hit to its best candidate
+                least = max(coverage * size, max(len(a[2]) for a in aligned[k:stop]) + GRAM)
+                if len({i for i, _ in pairs}) >= least and len(run := chained(pairs)) >= least:
+                    found.append((len(run) / size, True, [j for _, j in run]))
+        found.sort(key=lambda x: (-x[0], x[1], x[2][0]))
         taken: list[tuple[int, int]] = []
-        for share, places in found:
+        for share, _, places in found:
             if all(places[-1] < a or places[0] > b for a, b in taken):
                 taken.append((places[0], places[-1]))
                 out.append((t, share, places))

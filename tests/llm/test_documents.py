@@ -268,6 +268,29 @@ def test_licenses_match_full_alignment(spark, docs, texts):
     assert len(index.tokens) == len(licenses.TEMPLATES)
 
 
+def test_licenses_with_an_inserted_run(spark):
+    """Whole texts with 9 to 40 tokens put in anywhere are found whole, two edited copies stay two."""
+    made, want = [], {}
+    for name in ("MIT", "Apache-2.0", "GPL-3.0-or-later", "BSD-2-Clause"):
+        w = licenses.TEMPLATES[name].split()
+        for share in (0.1, 0.3, 0.5, 0.7, 0.9):
+            for extra in (9, 17, 40):
+                at = int(share * len(w))
+                made.append((len(made), " ".join(["before"] * 30 + w[:at] + [f"x{k}" for k in range(extra)] + w[at:] + ["after"] * 30)))
+                want[made[-1][0]] = name
+    w = licenses.TEMPLATES["MIT"].split()
+    two = [*w[:20], "x1", "x2", *w[22:], *w[:70], "x3", "x4", *w[72:]]
+    made.append((1000, " ".join(two)))
+    got = defaultdict(list)
+    for r in licenses.scan(spark.createDataFrame(made, "doc_id bigint, text string").repartition(4)).collect():
+        got[r["doc_id"]].append(r)
+    for i, name in want.items():
+        r, = [x for x in got[i] if x["license"] == name]
+        assert r["coverage"] == 1 and len(r["spans"]) >= 2
+        assert not any(x in dict(made)[i].encode()[s["start"]:s["end"]].decode() for s in r["spans"] for x in ("before", "x0", "after"))
+    assert [x["license"] for x in got[1000]] == ["MIT", "MIT"] and all(0.9 < x["coverage"] < 1 for x in got[1000])
+
+
 def test_licenses_awkward(spark, awkward, clashing, empty):
     assert same_rows(licenses.scan, awkward, clashing) == []
     assert licenses.scan(empty).count() == 0
