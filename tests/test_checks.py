@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001, cells, dense
+from matrix_help import SF001, cells, dense
 from tessera.core import Cells, int_div
 from tessera.operators import linalg, loss, shape
 from tessera.operators.attention import _tile_partials, attention

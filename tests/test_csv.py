@@ -55,7 +55,7 @@ def test_broken_lines_of_several_files(spark, tmp_path):
     """One header in each part file, none among the rows, and as many files as the input has partitions."""
     import glob
 
-    from conftest import SF001
+    from matrix_help import SF001
     from tessera.plans import suite
     li = spark.read.parquet(f"{SF001}/lineitem.parquet")
     sf = str(tmp_path)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF01, cells, dense
+from matrix_help import SF01, cells, dense
 from tessera.core import Cells
 from tessera.operators import elementwise as ew
 from tessera.operators import loss, softmax

@@ -5,7 +5,7 @@ import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import dense
+from matrix_help import dense
 from tessera.operators import linalg, softmax
 from tessera.sources.fill import rand_uniform
 from tessera.sources.packing import cells_to_rows

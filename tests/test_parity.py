@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF001
+from matrix_help import SF001
 
 import parity
 

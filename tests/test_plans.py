@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-from conftest import SF001
+from matrix_help import SF001
 from tessera.operators import linalg, shape
 from tessera.plans import suite
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001, cells, dense
+from matrix_help import SF001, cells, dense
 from tessera.operators import elementwise as ew
 from tessera.operators import linalg, shape, softmax
 from tessera.operators.attention import attention

@@ -6,7 +6,7 @@ import io
 import numpy as np
 import pytest
 
-from conftest import SF001, cells, dense
+from matrix_help import SF001, cells, dense
 from tessera.core import Cells
 from tessera.operators import linalg, softmax
 from tessera.sources import fill

@@ -1,6 +1,6 @@
 """The row-local scorer runs unchanged on a stream."""
 
-from conftest import SF001
+from matrix_help import SF001
 from tessera.plans import mlp, suite
 from tessera.streaming.scoring import predict_stream
 

@@ -4,7 +4,7 @@ dropout masks), plus finite-difference checks of the Spark gradient job."""
 import numpy as np
 import pytest
 
-from conftest import SF001
+from matrix_help import SF001
 from tessera.operators import split
 from tessera.plans import mlp, suite
 
