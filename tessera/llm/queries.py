@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from tessera.llm import bytebpe, fingerprint, langid, licenses, maxent, minmax, mixing, packing, pivots, suffixdedup, warc
+from tessera.llm import bytebpe, fingerprint, langid, lexical, licenses, maxent, minmax, mixing, packing, pivots, suffixdedup, warc
 from tessera.llm.common import prepare, read
 
 
@@ -56,13 +56,18 @@ def op10_fingerprint(spark, sf_dir):
     return fingerprint.edited_likeness(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_lexical_search(spark, sf_dir):
+    return lexical.search(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op13_byte_bpe(spark, sf_dir):
     return bytebpe.report(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (
     op1_language_id, op2_minmax_dedup, op3_pivot_dedup, op4_maxent_scores, op5_suffix_dedup, op6_warc, op7_license_scan,
-    op8_mixing, op9_packing, op10_fingerprint, op13_byte_bpe)}
+    op8_mixing, op9_packing, op10_fingerprint, op12_lexical_search,
+    op13_byte_bpe)}
 ORACLE: dict[str, str] = {
     "op6_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
@@ -72,4 +77,5 @@ ORACLE: dict[str, str] = {
                CASE WHEN strlen(p.payload) >= 1000 AND p.page_id <> m.top THEN m.top END AS refers_to
         FROM p JOIN m USING (payload)""",
     "op8_mixing": mixing.oracle_sql(),
+    "op12_lexical_search": lexical.ORACLE_SQL,
 }
