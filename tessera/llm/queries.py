@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from tessera.llm import bytebpe, fingerprint, langid, lexical, licenses, maxent, minmax, mixing, packing, pivots, suffixdedup, warc
+from tessera.llm import bytebpe, conversations, fingerprint, langid, lexical, licenses, maxent, minmax, mixing, packing, pivots, suffixdedup, warc
 from tessera.llm.common import prepare, read
 
 
@@ -56,6 +56,10 @@ def op10_fingerprint(spark, sf_dir):
     return fingerprint.edited_likeness(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_viterbi_repair(spark, sf_dir):
+    return conversations.report(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op12_lexical_search(spark, sf_dir):
     return lexical.search(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
 
@@ -66,8 +70,8 @@ def op13_byte_bpe(spark, sf_dir):
 
 QUERIES = {f.__name__: _shipped(f) for f in (
     op1_language_id, op2_minmax_dedup, op3_pivot_dedup, op4_maxent_scores, op5_suffix_dedup, op6_warc, op7_license_scan,
-    op8_mixing, op9_packing, op10_fingerprint, op12_lexical_search,
-    op13_byte_bpe)}
+    op8_mixing, op9_packing, op10_fingerprint, op11_viterbi_repair,
+    op12_lexical_search, op13_byte_bpe)}
 ORACLE: dict[str, str] = {
     "op6_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
