@@ -10,17 +10,19 @@ counts would differ by if their buckets were unrelated.
 Defined cases: a null text counts as empty; a text under five bytes has the
 all-zero codes and its length only; equal texts have equal digests. Rows are
 ordered by (doc_id, text) with null ids first, so repeated ids have a defined
-next row; a table of one row has itself as the next. Columns other than doc_id
+next row; a table of one row has itself as the next; ids may be any 64-bit integers. A range of rows
+that comes without the row after it is an error, never a loss of rows. Columns other than doc_id
 and text are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,21 +110,23 @@ def _beside_next(docs: DataFrame) -> DataFrame:
     cut = ids.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n) if n > 1 else []
     cuts = np.unique(np.array(cut, np.float64))
 
-    @F.pandas_udf("int")
-    def bucket(x: pd.Series) -> pd.Series:
-        v = x.astype("float64").fillna(-np.inf).to_numpy()
-        return pd.Series(np.searchsorted(cuts, v, "right").astype(np.int32))
+    # ids stay 64-bit integers; only their places among the bounds go by doubles, which keeps the order
+    def ranges(ids: pa.Array) -> np.ndarray:
+        near = pc.fill_null(pc.cast(ids, pa.float64(), safe=False), -math.inf)
+        return np.searchsorted(cuts, near.to_numpy(zero_copy_only=False), "right").astype(np.int32)
+
+    @F.arrow_udf("int")
+    def bucket(x: pa.Array) -> pa.Array:
+        return pa.array(ranges(x))
 
     firsts = sorted((r["b"], r["low"]) for r in ids.groupBy(bucket("doc_id").alias("b")).agg(
         F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id"))["doc_id"].alias("low")).collect())
     before = {low: firsts[i - 1][0] for i, (_, low) in enumerate(firsts)}
 
-    @F.pandas_udf("array<int>")
-    def places(x: pd.Series) -> pd.Series:
-        own = np.searchsorted(cuts, x.astype("float64").fillna(-np.inf).to_numpy(), "right")
-        keys = [None if pd.isna(v) else int(v) for v in x]
-        return pd.Series([[2 * int(o), 2 * before[k] + 1] if k in before else [2 * int(o)]
-                          for o, k in zip(own, keys)])
+    @F.arrow_udf("array<int>")
+    def places(x: pa.Array) -> pa.Array:
+        return pa.array([[2 * o, 2 * before[k] + 1] if k in before else [2 * o]
+                         for o, k in zip(ranges(x).tolist(), x.to_pylist())], pa.list_(pa.int32()))
 
     at = docs.select("doc_id", "text", F.explode(places("doc_id")).alias("place"))
     return (at.select((F.col("place") / 2).cast("int").alias("bucket"),
@@ -153,6 +157,10 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
             ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
              "near_edited", "near_next"])
 
+    def closed(at, done):
+        if at is not None and not done:
+            raise RuntimeError(f"fingerprints: the next document of range {at} is missing")
+
     def run(batches):
         ids, texts, at, done = [], [], None, False
         for b in batches:
@@ -160,6 +168,7 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
             raw, size = data.tobytes(), 0
             for k, (bucket, extra, i) in enumerate(zip(*(b.column(c).to_pylist() for c in range(3)))):
                 if bucket != at:
+                    closed(at, done)
                     ids, texts, at, done = [], [], bucket, False
                 if done:
                     continue
@@ -173,5 +182,6 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
                 if len(texts) > 1 and (done or size > CHUNK):
                     yield emit(ids[:len(texts) - 1], texts)
                     ids, texts, size = ids[len(texts) - 1:], texts[-1:], 0
+        closed(at, done)
 
-    return _beside_next(docs.select("doc_id", "text")).mapInArrow(tidy(run), schema)
+    return _beside_next(docs.select(F.col("doc_id").cast("bigint"), "text")).mapInArrow(tidy(run), schema)
