@@ -190,6 +190,20 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
+_GAMMA = np.uint64(0x9E3779B97F4A7C15)
+_MIX1 = np.uint64(0xBF58476D1CE4E5B9)
+_MIX2 = np.uint64(0x94D049BB133111EB)
+
+
+def splitmix(z: np.ndarray) -> np.ndarray:
+    """splitmix64 (Steele, Lea & Flood 2014) of unsigned 64-bit integers."""
+    with np.errstate(over="ignore"):
+        z = z + _GAMMA
+        z = (z ^ (z >> np.uint64(30))) * _MIX1
+        z = (z ^ (z >> np.uint64(27))) * _MIX2
+        return z ^ (z >> np.uint64(31))
+
+
 HASH_BITS = 52
 
 

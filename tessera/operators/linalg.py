@@ -6,13 +6,14 @@ Three physical forms of ``A · B`` (all give the same cells):
   The smaller side is broadcast when its cell count (known from the shape)
   is under ``BROADCAST_CELLS``. Makes ``m·n·p`` intermediate rows, so it is
   the choice only when one side is small.
-* ``block``  — the three dimensions are cut into a grid of ``gi × gj × gk``
-  cells, chosen from the shapes so that no operand panel and no result
-  panel of a grid cell exceeds ``PANEL_CELLS``. Cells of A go to the ``gj``
-  grid cells of their rows and inner range, cells of B to ``gi``; each grid
-  cell is one dense numpy product, and partial results are summed over
-  ``gk``. A tall-skinny ``XᵀX`` is split over its inner dimension, a wide
-  product over its output.
+* ``block``  — cells are packed into blocks where they are read and the three
+  dimensions are cut into a grid of ``gi × gj × gk`` cells, chosen from the
+  shapes so that no operand panel and no result panel of a grid cell exceeds
+  ``PANEL_CELLS``. Blocks of A go to the ``gj`` grid cells of their rows and
+  inner range, blocks of B to ``gi``; the cells are dealt in order over a
+  bounded number of partitions, which add up the inner panels of a result
+  panel as they stream by (``operators/blocks.py``). A tall-skinny ``XᵀX`` is
+  split over its inner dimension, a wide product over its output.
 * ``rows``   — packed rows times a small dense matrix shipped to every task:
   row-local numpy, no shuffle at all (dense-layer scoring).
 
@@ -31,7 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.core import BROADCAST_CELLS, Cells, Shipped, arrow_matrix, fits_broadcast, int_div, packed_shape
+from tessera.core import BROADCAST_CELLS, Cells, Shipped, arrow_matrix, fits_broadcast, packed_shape
+from tessera.operators.blocks import from_rows, matmul_blocks, numbered, partial_products, to_cells, to_rows
 
 # Rows (and columns) that stay together when a matrix is cut into panels.
 DEFAULT_BLOCK = 128
@@ -56,14 +58,15 @@ def _products_cells(a: Cells, b: Cells) -> DataFrame:
     return left.join(right, "_k").select("c0", "c1", (F.col("_a") * F.col("_b")).alias("value"))
 
 
-def grid(m: int, k: int, p: int, bs: int) -> tuple[int, int, int]:
-    """``(gi, gj, gk)`` for an ``m × k`` by ``k × p`` product.
+def grid(m: int, k: int, p: int, bs: int | tuple[int, int, int]) -> tuple[int, int, int]:
+    """``(gi, gj, gk)`` for an ``m × k`` by ``k × p`` product in blocks of ``bs`` rows, inner places and columns.
 
     Dimensions are doubled, the one that adds the fewest moved cells first,
     until every panel fits ``PANEL_CELLS``. Copies of an A cell are ``gj``, of
-    a B cell ``gi``, partial results ``gk``.
+    a B cell ``gi``, partial results at most ``gk``.
     """
-    most = [math.ceil(x / bs) for x in (m, p, k)]
+    bm, bk, bp = (bs, bs, bs) if isinstance(bs, int) else bs
+    most = [math.ceil(m / bm), math.ceil(p / bp), math.ceil(k / bk)]
     g = [1, 1, 1]
 
     def moved(gi, gj, gk):
@@ -86,67 +89,9 @@ def grid(m: int, k: int, p: int, bs: int) -> tuple[int, int, int]:
         g[best] = min(most[best], 2 * g[best])
 
 
-def _panel_products(g: tuple[int, int, int], bs: int, m: int, k: int, p: int):
-    """Cells of both operands, sorted by grid cell -> partial output cells."""
-    gi, gj, gk = g
-    rows, cols, inner = (math.ceil(math.ceil(x / bs) / n) * bs for x, n in ((m, gi), (p, gj), (k, gk)))
-
-    def local(c, n):
-        return (c // bs) // n * bs + c % bs
-
-    def emit(cell, left, right):
-        out = left @ right
-        x, y = cell // (gj * gk), cell // gk % gj
-        i, j = np.arange(rows), np.arange(cols)
-        i, j = (i // bs * gi + x) * bs + i % bs, (j // bs * gj + y) * bs + j % bs
-        out, i, j = out[i < m][:, j < p], i[i < m], j[j < p]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(i, len(j)).astype(np.int64)), pa.array(np.tile(j, len(i)).astype(np.int64)),
-             pa.array(out.reshape(-1))], names=["c0", "c1", "value"])
-
-    def run(batches):
-        at, left, right = None, None, None
-        for batch in batches:
-            cell, side, r, c, v = (batch.column(x).to_numpy(zero_copy_only=False) for x in range(5))
-            cuts = np.flatnonzero(np.diff(cell)) + 1
-            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(cell)]):
-                if lo == hi:
-                    continue
-                if cell[lo] != at:
-                    if at is not None:
-                        yield emit(at, left, right)
-                    at, left, right = int(cell[lo]), np.zeros((rows, inner)), np.zeros((inner, cols))
-                for panel, which, nr, nc in ((left, 0, gi, gk), (right, 1, gk, gj)):
-                    pick = slice(lo, hi)
-                    own = side[pick] == which
-                    panel[local(r[pick][own], nr), local(c[pick][own], nc)] = v[pick][own]
-        if at is not None:
-            yield emit(at, left, right)
-
-    return run
-
-
 def _products_block(a: Cells, b: Cells, bs: int) -> DataFrame:
-    """Partial output cells of the grid product (see the module docstring)."""
-    (m, k), p = a.shape, b.shape[1]
-    g = gi, gj, gk = grid(m, k, p, bs)
-
-    def part(c: str, n: int):
-        return F.pmod(int_div(F.col(c), bs), F.lit(n))
-
-    def copies(n: int):
-        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
-
-    left = a.df.withColumn("_y", copies(gj)).select(
-        ((part("c0", gi) * gj + F.col("_y")) * gk + part("c1", gk)).alias("cell"), F.lit(0).alias("side"),
-        "c0", "c1", "value")
-    right = b.df.withColumn("_x", copies(gi)).select(
-        ((F.col("_x") * gj + part("c1", gj)) * gk + part("c0", gk)).alias("cell"), F.lit(1).alias("side"),
-        "c0", "c1", "value")
-    out = (left.unionByName(right).withColumn("cell", F.col("cell").cast("int"))
-           .repartitionById(gi * gj * gk, F.col("cell")).sortWithinPartitions("cell")
-           .mapInArrow(_panel_products(g, bs, m, k, p), "c0 bigint, c1 bigint, value double"))
-    return out
+    """Partial result blocks of the grid product (see ``operators/blocks.py``)."""
+    return partial_products(a, b, tuple(min(bs, n) for n in (*a.shape, b.shape[1])))[0]
 
 
 def matmul(a: Cells, b: Cells, acc: Cells | None = None, method: str = "auto",
@@ -160,12 +105,11 @@ def matmul(a: Cells, b: Cells, acc: Cells | None = None, method: str = "auto",
         raise ValueError(f"matmul: accumulator shape {acc.shape} != {shape}")
     if method == "auto":
         method = "cells" if (fits_broadcast(a.size) or fits_broadcast(b.size)) else "block"
-    if method == "cells":
-        parts = _products_cells(a, b)
-    elif method == "block":
-        parts = _products_block(a, b, block)
-    else:
+    if method == "block":
+        return to_cells(matmul_blocks(a, b, acc, (block, block, block)))
+    if method != "cells":
         raise ValueError(f"matmul: unknown method {method}")
+    parts = _products_cells(a, b)
     if acc is not None:
         parts = parts.unionByName(acc.df.select("c0", "c1", "value"))
     out = parts.groupBy("c0", "c1").agg(F.sum("value").alias("value"))
@@ -220,25 +164,19 @@ def matmul_rows(df: DataFrame, key: str, col: str, w: np.ndarray,
 def matmul_wide(df: DataFrame, key: str, col: str, w: Cells, bias: Cells | None = None,
                 out: str = "out") -> DataFrame:
     """:func:`matmul_rows` for a ``W`` of any size, given as cells: the grid
-    product over the exploded rows, packed again. Keys may be any integers."""
-    n = df.count()
-    x = Cells(df.select(F.col(key).cast("bigint").alias("c0"), F.posexplode(F.col(col).cast("array<double>"))
-                        .alias("c1", "value")).withColumn("c1", F.col("c1").cast("bigint")), (max(n, 1), w.shape[0]))
-    order = df.select(F.col(key).cast("bigint").alias("_key")).distinct()
-    top = order.agg(F.max("_key").alias("m"), F.min("_key").alias("l")).first()
-    if top["m"] is None:
-        return df.select(key, F.array().cast("array<double>").alias(out)).limit(0)
-    if top["l"] < 0:
-        raise ValueError("matmul_wide: negative keys")
-    x = Cells(x.df, (int(top["m"]) + 1, w.shape[0]))
-    y = matmul(x, w, method="block" if not fits_broadcast(w.size) else "cells")
-    cells = y.df
+    product over packed blocks. Rows are numbered first, so keys may be any values (equal keys
+    are rows of their own)."""
+    x, cells, width = F.col(col).cast("array<double>"), w.df.select("c0", "c1", "value"), w.shape[0]
     if bias is not None:
-        cells = cells.join(bias.df.select(F.col("c0").alias("c1"), F.col("value").alias("_b")), "c1").select(
-            "c0", "c1", (F.col("value") + F.col("_b")).alias("value"))
-    packed = cells.groupBy("c0").agg(F.array_sort(F.collect_list(F.struct("c1", "value"))).alias("_v"))
-    packed = packed.select(F.col("c0").alias("_key"), F.transform("_v", lambda s: s["value"]).alias(out))
-    return order.join(packed, "_key").select(F.col("_key").alias(key), out)
+        # the bias is one more row of W, met by a one at the end of every row
+        x, width = F.concat(x, F.array(F.lit(1.0))), width + 1
+        cells = cells.unionByName(bias.df.select(F.lit(width - 1).cast("bigint").alias("c0"), F.col("c0").alias("c1"), "value"))
+    rows, n = numbered(df.select(key, x.alias("_x")), [key], "_row")
+    if not n:
+        return df.select(key, F.array().cast("array<double>").alias(out)).limit(0)
+    x = from_rows(rows, "_row", "_x", (n, width), (DEFAULT_BLOCK, DEFAULT_BLOCK))
+    y = to_rows(matmul_blocks(x, Cells(cells, (width, w.shape[1])), block=(DEFAULT_BLOCK,) * 3), "_row", "_y")
+    return rows.select(key, "_row").join(y, "_row").select(key, F.col("_y").alias(out))
 
 
 def gram_rows(df: DataFrame, col: str, width: int | None = None) -> Cells:

@@ -22,31 +22,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.core import BROADCAST_CELLS, Shipped, arrow_matrix, packed_shape, spread
+from tessera.core import BROADCAST_CELLS, Shipped, arrow_matrix, packed_shape, splitmix, spread
 from tessera.operators.loss import LOG_EPS
+from tessera.plans import resume, wide
 from tessera.plans.layers import adam_numpy, layer_arrays, linear_init, params_from_arrays
 
 LAYERS = ("l1", "l2")
 
-_GAMMA = np.uint64(0x9E3779B97F4A7C15)
-_MIX1 = np.uint64(0xBF58476D1CE4E5B9)
-_MIX2 = np.uint64(0x94D049BB133111EB)
-
-
-def _splitmix(z: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        z = z + _GAMMA
-        z = (z ^ (z >> np.uint64(30))) * _MIX1
-        z = (z ^ (z >> np.uint64(27))) * _MIX2
-        return z ^ (z >> np.uint64(31))
-
-
 def unit_uniform(row_hash: np.ndarray, units: int, epoch: int, seed: int) -> np.ndarray:
     """Uniform [0, 1) per (row, unit) from the row hash, epoch and seed."""
     with np.errstate(over="ignore"):
-        base = _splitmix(row_hash.astype(np.int64).view(np.uint64) ^ _splitmix(
+        base = splitmix(row_hash.astype(np.int64).view(np.uint64) ^ splitmix(
             np.array([seed * 1_000_003 + epoch], dtype=np.uint64)))
-        z = _splitmix(base[:, None] + np.arange(units, dtype=np.uint64)[None, :])
+        z = splitmix(base[:, None] + np.arange(units, dtype=np.uint64)[None, :])
     return (z >> np.uint64(11)).astype(np.float64) * (1.0 / 9007199254740992.0)
 
 
@@ -246,6 +234,11 @@ def _train_and_eval(tr: DataFrame, va: DataFrame, P, p_drop, epoch, seed, scale_
     return tuple(out[0]), tuple(out[1])
 
 
+def too_wide(params: DataFrame | list) -> bool:
+    """Whether the weights of a parameter table are too many to ship; they stay tables then (``plans/wide.py``)."""
+    return isinstance(params, DataFrame) and params.count() > BROADCAST_CELLS
+
+
 def params_arrays(params: DataFrame) -> list[np.ndarray]:
     """``[W1, b1, W2, b2]`` with one collect (model-sized, size-checked)."""
     found = layer_arrays(params, None)
@@ -262,6 +255,9 @@ def mlp_gradients(params: DataFrame, df: DataFrame, features: str | list[str], l
                   seed: int = 0, scale_dropout_grad: bool = False) -> DataFrame:
     """Loss gradient of every parameter for one full-batch step:
     ``(layer, name, i, j, grad)`` plus ``loss`` (mean cross-entropy) repeated."""
+    if too_wide(params):
+        return wide.mlp_gradients_wide(params, df, features, label, [row_hash] if row_hash else [], p_drop=p_drop,
+                                       epoch=epoch, seed=seed)
     P = params_arrays(params)
     n, loss, _, g = _totals(prepare(df, features, label, row_hash), P, p_drop, epoch, seed,
                             scale_dropout_grad)
@@ -276,7 +272,9 @@ def _grad_table(spark: SparkSession, P, g: np.ndarray) -> DataFrame:
 
 
 def mlp_evaluate(params: DataFrame | list, df: DataFrame, features: str | list[str], label: str) -> DataFrame:
-    """``(n, loss, accuracy)`` of the network without dropout; one job."""
+    """``(n, loss, accuracy)`` of the network without dropout; one job (block tables above 1M weights)."""
+    if too_wide(params):
+        return wide.mlp_evaluate_wide(params, df, features, label, [])
     P = params if isinstance(params, list) else params_arrays(params)
     n, loss, correct, _ = _totals(prepare(df, features, label, row_hash=None), P, need_grad=False)
     spark = df.sparkSession
@@ -288,7 +286,12 @@ def mlp_evaluate(params: DataFrame | list, df: DataFrame, features: str | list[s
 def mlp_predict(params: DataFrame | list, df: DataFrame, features: str | list[str],
                 keep: list[str] | None = None) -> DataFrame:
     """Class probabilities ``p0..p{k-1}`` and the first argmax ``pred`` per row;
-    row-local (``mapInArrow``), so it also runs on a streaming DataFrame."""
+    row-local (``mapInArrow``), so it also runs on a streaming DataFrame. Weights above 1M stay block
+    tables (batch only)."""
+    if too_wide(params):
+        out = wide.mlp_predict_wide(params, df, features, keep or [])
+        k = params.where("layer = 'l2' AND name = 'b'").count()
+        return out.select(*(keep or []), "pred", *[F.col("p")[c].alias(f"p{c}") for c in range(k)])
     P = params if isinstance(params, list) else params_arrays(params)
     if sum(p.size for p in P) > BROADCAST_CELLS:
         raise ValueError("mlp_predict: model too large to ship to tasks")
@@ -321,15 +324,51 @@ def _metric(pending, vn, vloss, vcorrect):
     return (epoch, train_loss, vloss / vn if vn else None, 100.0 * vcorrect / vn if vn else None)
 
 
+def _width(df: DataFrame, features: str | list[str]) -> int:
+    """Inputs of a row: the number of columns, or the first array's length (all rows are checked when they are read)."""
+    if not isinstance(features, str):
+        return len(features)
+    first = df.select(F.size(features).alias("n")).first()
+    return max(first["n"], 0) if first else 0
+
+
+_SAVED = "part string, weights array<double>, m array<double>, v array<double>"
+_METRICS = "epoch int, train_loss double, val_loss double, val_acc double"
+
+
+def _save_state(spark, folder, epoch, P, m, v, metrics, pending) -> None:
+    state = [(f"p{i}", *[x.reshape(-1).tolist() for x in arrays]) for i, arrays in enumerate(zip(P, m, v))]
+    due = [(*pending, None, None)] if pending else []
+    resume.save(spark, folder, epoch, {"state": spark.createDataFrame(state, _SAVED),
+                                       "metrics": spark.createDataFrame(metrics, _METRICS),
+                                       "pending": spark.createDataFrame(due, _METRICS)})
+
+
+def _load_state(spark, folder, epoch, P):
+    """Weights, moments, metrics and the evaluation still due, as they were saved; shapes are those of ``P``."""
+    rows = {r["part"]: r for r in resume.load(spark, folder, epoch, "state").collect()}
+    if {k: len(r["weights"]) for k, r in rows.items()} != {f"p{i}": p.size for i, p in enumerate(P)}:
+        raise ValueError(f"mlp_train: the state in {folder} is of another network")
+    out = [[np.array(rows[f"p{i}"][c]).reshape(p.shape) for i, p in enumerate(P)] for c in ("weights", "m", "v")]
+    metrics = [tuple(r) for r in resume.load(spark, folder, epoch, "metrics").orderBy("epoch").collect()]
+    due = resume.load(spark, folder, epoch, "pending").first()
+    return *out, metrics, (due["epoch"], due["train_loss"]) if due else None
+
+
 def mlp_train(train: DataFrame, val: DataFrame, features: str | list[str], label: str, *,
               hidden: int = 16, classes: int = 3, epochs: int = 2000, lr: float = 0.01,
               beta1: float = 0.9, beta2: float = 0.999, eps: float = 1e-8,
               dropout: float = 0.1, eval_every: int = 200, seed: int = 0,
               row_hash: str | None = None, scale_dropout_grad: bool = False,
-              init: DataFrame | None = None, persist: bool = True) -> tuple[DataFrame, DataFrame]:
+              init: DataFrame | None = None, persist: bool = True, folder: str | None = None,
+              save_every: int = 1) -> tuple[DataFrame, DataFrame]:
     """Full-batch Adam training; returns ``(metrics, params)``. A caller whose rows are
     persisted already says ``persist=False``; they are not kept a second time.
 
+    With ``folder`` the weights, moments and metrics are saved there every ``save_every`` epochs, and a run
+    that finds a saved state goes on from it; on the same partitions it ends like one that was never broken, bit for bit.
+    More than 1M weights take the block tables of ``plans/wide.py``, whose dropout masks go by row numbers.
+
     ``metrics`` has one row per evaluation: ``(epoch, train_loss, val_loss,
     val_acc)``; validation runs without dropout every ``eval_every`` epochs,
     inside the next epoch's job (same weights), so it costs no job of its own
@@ -338,22 +377,31 @@ def mlp_train(train: DataFrame, val: DataFrame, features: str | list[str], label
     spark = train.sparkSession
     # persisted once for all epochs; a lost block is recomputed from its
     # (short, deterministic) lineage
+    in_dim = len(features) if not isinstance(features, str) else None
+    if (in_dim or _width(train, features)) * hidden + hidden * classes > BROADCAST_CELLS:
+        metrics, net = wide.mlp_train_wide(
+            train, val, features, label, [row_hash] if row_hash else [], hidden=hidden, classes=classes, epochs=epochs, lr=lr,
+            beta1=beta1, beta2=beta2, eps=eps, dropout=dropout, eval_every=eval_every, seed=seed, init=init, folder=folder,
+            save_every=save_every)
+        return metrics, net.params()
     tr, va = prepare(train, features, label, row_hash), prepare(val, features, label, row_hash)
     if persist:
         tr, va = (spread(d, "h").persist(StorageLevel.MEMORY_AND_DISK) for d in (tr, va))
     try:
-        in_dim = len(features) if not isinstance(features, str) else packed_shape(tr, F.col("x"))[1]
+        in_dim = in_dim or packed_shape(tr, F.col("x"))[1]
         params = init if init is not None else mlp_init(spark, in_dim, hidden, classes, seed)
         P = params_arrays(params)
         m = [np.zeros_like(p) for p in P]
         v = [np.zeros_like(p) for p in P]
-        t = 0
         metrics = []
+        pending = None  # (epoch, train loss) whose validation is still due
+        t = resume.latest(spark, folder, epochs)
+        if t:
+            P, m, v, metrics, pending = _load_state(spark, folder, t, P)
         size = sum(p.size for p in P)
         tr_parts, va_parts = tr.rdd.getNumPartitions(), va.rdd.getNumPartitions()
         fuse = (tr_parts + va_parts) * size <= DRIVER_REDUCE_MAX
-        pending = None  # (epoch, train loss) whose validation is still due
-        for epoch in range(1, epochs + 1):
+        for epoch in range(t + 1, epochs + 1):
             if pending is not None and fuse:
                 # the weights after epoch e are the weights of epoch e+1's pass
                 (n, loss, _, g), (vn, vloss, vcorrect, _) = _train_and_eval(
@@ -373,9 +421,11 @@ def mlp_train(train: DataFrame, val: DataFrame, features: str | list[str], label
                     vn, vloss, vcorrect, _ = _totals(va, P, need_grad=False)
                     metrics.append(_metric(pending, vn, vloss, vcorrect))
                     pending = None
+            if folder and epoch % save_every == 0:
+                _save_state(spark, folder, epoch, P, m, v, metrics, pending)
     finally:
         if persist:
             tr.unpersist()
             va.unpersist()
-    metrics_df = spark.createDataFrame(metrics, "epoch int, train_loss double, val_loss double, val_acc double")
+    metrics_df = spark.createDataFrame(metrics, _METRICS)
     return metrics_df, params_from_arrays(spark, {"l1": (P[0], P[1]), "l2": (P[2], P[3])})

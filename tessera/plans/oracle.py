@@ -164,6 +164,45 @@ BROKEN = """b AS (SELECT concat_ws('-', l_orderkey, l_linenumber) AS id, l_order
   l_returnflag FROM lineitem)"""
 
 
+def wide_sql(hidden: int = 16_384, inputs: int = 64) -> str:
+    """One full-batch Adam step of the wide network: rows and weights as lists, products as their dot products."""
+    def step(w, g):
+        # the first step: both moments' corrections cancel
+        return f"{w} - 0.01 * ({g}) / (abs({g}) + 1e-8)"
+
+    classes = "(SELECT count(DISTINCT label) FROM embeddings)"
+    return f"""WITH
+x AS (SELECT vec_id, list_append(CAST(embedding AS DOUBLE[]), 1.0) AS x, label AS y FROM embeddings),
+n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM x),
+c1 AS (SELECT id // {hidden} AS i, id % {hidden} AS u, (2.0 * {U(5, 'id')} - 1.0) / 64.0 AS w
+       FROM range({inputs * hidden}) r(id)),
+w1 AS (SELECT u, list_append(list(w ORDER BY i), 0.0) AS w FROM c1 GROUP BY u),
+c2 AS (SELECT id // k AS u, id % k AS c, (2.0 * {U(6, 'id')} - 1.0) / 64.0 AS w
+       FROM (SELECT {classes} AS k), range({hidden} * {classes}) r(id)),
+w2 AS (SELECT c, list_append(list(w ORDER BY u), 0.0) AS w FROM c2 GROUP BY c),
+a AS (SELECT vec_id, u, greatest(list_dot_product(x.x, w1.w), 0.0) AS a FROM x, w1),
+rows AS (SELECT vec_id, list_append(list(a ORDER BY u), 1.0) AS a FROM a GROUP BY vec_id),
+z AS (SELECT vec_id, c, list_dot_product(rows.a, w2.w) AS z FROM rows, w2),
+e AS (SELECT vec_id, c, exp(z - max(z) OVER (PARTITION BY vec_id)) AS e FROM z),
+dz AS (SELECT vec_id, c, e / sum(e) OVER (PARTITION BY vec_id) - CASE WHEN c = y THEN 1 ELSE 0 END AS d
+       FROM e JOIN x USING (vec_id)),
+dzc AS (SELECT c, list(d ORDER BY vec_id) AS d FROM dz GROUP BY c),
+dzr AS (SELECT vec_id, list(d ORDER BY c) AS d FROM dz GROUP BY vec_id),
+ac AS (SELECT u, list(a ORDER BY vec_id) AS a FROM a GROUP BY u
+       UNION ALL SELECT {hidden}, list(1.0::DOUBLE ORDER BY vec_id) FROM x),
+g2 AS (SELECT u, c, list_dot_product(ac.a, dzc.d) / n AS g FROM ac, dzc, n),
+w2r AS (SELECT u, list(w ORDER BY c) AS w FROM c2 GROUP BY u),
+dh AS (SELECT a.vec_id, a.u, CASE WHEN a.a > 0 THEN list_dot_product(dzr.d, w2r.w) ELSE 0.0 END AS d
+       FROM a JOIN dzr USING (vec_id) JOIN w2r USING (u)),
+dhc AS (SELECT u, list(d ORDER BY vec_id) AS d FROM dh GROUP BY u),
+xc AS (SELECT i, list(v ORDER BY vec_id) AS v
+       FROM (SELECT vec_id, unnest(range(len(x))) AS i, unnest(x) AS v FROM x) GROUP BY i),
+g1 AS (SELECT u, i, list_dot_product(xc.v, dhc.d) / n AS g FROM xc, dhc, n),
+new1 AS (SELECT u, list({R(step('coalesce(w, 0.0)', 'g'))} ORDER BY i) AS w_in FROM g1 LEFT JOIN c1 USING (u, i) GROUP BY u),
+new2 AS (SELECT u, list({R(step('coalesce(w, 0.0)', 'g'))} ORDER BY c) AS w_out FROM g2 LEFT JOIN c2 USING (u, c) GROUP BY u)
+SELECT CAST(new2.u AS BIGINT) AS unit, coalesce(w_in, CAST([] AS DOUBLE[])) AS w_in, w_out FROM new2 LEFT JOIN new1 USING (u)"""
+
+
 def train_sql(epochs: int = 3, hidden: int = 16, classes: int = 3, seed: int = 7, share: float = 0.8) -> str:
     """Full-batch training without dropout, unrolled: one row of parameters per epoch."""
     net = NET[:NET.index("xc AS")]
@@ -313,6 +352,7 @@ FROM orders""",
     "read_labeled_csv": f"""SELECT CAST(l_orderkey AS VARCHAR) AS id, {R('l_quantity')} AS f0,
   {R('l_extendedprice')} AS f1, {R('l_discount')} AS f2, {R('l_tax')} AS f3, l_returnflag AS label_name,
   CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE -1 END AS INTEGER) AS label FROM lineitem""",
+    "mlp_train_wide": wide_sql(),
     "linear_init": f"""WITH {DIMS}, {W_L1}, rows AS ({LINEAR_INIT_ROWS})
 SELECT layer, name, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, {R('value')} AS value,
   CAST(0 AS DOUBLE) AS grad, CAST(0 AS DOUBLE) AS m, CAST(0 AS DOUBLE) AS v FROM rows""",

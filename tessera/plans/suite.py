@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from tessera.core import Cells, hash_bits, packed_shape, spread
 from tessera.operators import elementwise as ew
-from tessera.operators import linalg, loss, shape, softmax, split
+from tessera.operators import blocks, linalg, loss, shape, softmax, split
 from tessera.operators.attention import attention, attention_cells
-from tessera.plans import layers, mlp
+from tessera.plans import layers, mlp, wide
 from tessera.session import remove_table, scratch_table_path, ship_package
 from tessera.sources import csv, fill
 from tessera.sources.packing import cells_to_rows, rows_to_cells
@@ -566,6 +566,25 @@ def q_mlp_train_plain(spark, sf):
     return out.select("epoch", *[F.round(c, 5).alias(c) for c in ("train_loss", "val_loss", "val_acc")])
 
 
+#: Hidden units of the wide network: with 64 inputs more weights than a broadcast takes.
+WIDE_UNITS = 16_384
+
+
+def q_mlp_train_wide(spark, sf):
+    """One epoch of a 64-16384-10 network on the embeddings, weights as block tables: each hidden unit's new weights
+    in (the last is its bias) and out; the row after the last unit has the output biases."""
+    emb = _emb(spark, sf)
+    d, k = _layer_dims(spark, sf)
+    init = layers.linear_init(spark, "l1", d, WIDE_UNITS, 5).unionByName(layers.linear_init(spark, "l2", WIDE_UNITS, k, 6))
+    init = init.withColumn("value", F.col("value") / 64.0)
+    _, net = wide.mlp_train_wide(emb, emb, "embedding", "label", ["vec_id"], hidden=WIDE_UNITS, classes=k, epochs=1,
+                                 eval_every=2, init=init)
+    w_in = blocks.to_rows(blocks.transposed(net.weights(1)), "unit", "w_in")
+    w_out = blocks.to_rows(net.weights(2), "unit", "w_out")
+    return w_out.join(w_in, "unit", "left").select(
+        "unit", *[F.transform(F.coalesce(c, F.array().cast("array<double>")), lambda v: _r(v)).alias(c) for c in ("w_in", "w_out")])
+
+
 # Class names written for the unit-price bands of lineitem.
 _BANDS = {"band-low": 0, "band-mid": 1, "band-high": 2}
 
@@ -688,6 +707,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mlp_evaluate": q_mlp_evaluate,
     "mlp_train": q_mlp_train,
     "mlp_train_plain": q_mlp_train_plain,
+    "mlp_train_wide": q_mlp_train_wide,
     "train_from_csv": q_train_from_csv,
 }
 
