@@ -9,12 +9,13 @@ third of all rows is spread over many tasks):
    is proven small, a shuffle join otherwise) and give every row a hash
    block inside its group, ``floor(u(id) · n_blocks)`` — even in
    expectation, and a hot group simply gets more blocks.
-3. Hash-partition rows on ``(group, block)`` and pack each (group, block)
-   into one row (about ``tile`` vectors).
-4. Replicate every key block to each query block of its group (explode of
-   the block count), partition the replicas the same way, and join on
-   ``(group, query block)``: the work of one hot group lands on as many
-   tasks as it has query blocks, and no block pair is shuffled.
+3. Hash-partition rows on ``(group, super-block of the block)`` and pack each
+   (group, block) into one row (about ``tile`` vectors).
+4. Replicate every key block to each super-block (up to ``SUPER_TILES`` query
+   blocks) of its group, partition the replicas the same way, and join on
+   ``(group, super-block)``: a key block is shuffled once a super-block, the
+   work of one hot group lands on as many tasks as it has super-blocks, and no
+   block pair is shuffled. Arrow batches of pairs are cut by bytes.
 5. ``mapInArrow``: per block pair numpy computes the scores and, per query,
    the partial triple (row max ``m``, ``l = Σ exp(s-m)``, ``o = Σ exp(s-m)·v``);
    triples of the same query are merged inside the task (the online-softmax
@@ -37,22 +38,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.core import BROADCAST_CELLS, Cells, arrow_matrix, hash_uniform
+from tessera.core import BROADCAST_CELLS, Cells, arrow_matrix, hash_uniform, int_div
+from tessera.operators.blocks import bounded_batches
 from tessera.sources.packing import cells_to_rows
 
 DEFAULT_TILE = 512
-# Query blocks of a task, once there are enough for all cores.
-BLOCKS_PER_TASK = 8
+# Query blocks of a super-block at most, and super-blocks of a task, once there are enough for all cores.
+SUPER_TILES, SUPERS_PER_TASK = 32, 2
 
 
-def _struct_list_to_numpy(cell: pa.StructArray):
-    """(ids, [matrices...]) of a packed block; fields are id, then vectors."""
-    names = [cell.type.field(i).name for i in range(cell.type.num_fields)]
-    ids = cell.field(names[0]).to_numpy(zero_copy_only=False)
-    mats = []
-    for f in names[1:]:
-        mats.append(arrow_matrix(cell.field(f)))
-    return ids, mats
+def _packed_blocks(col):
+    """``(offsets, ids, [matrices...])`` of a column of packed blocks, decoded at once: a block's
+    rows are those between its offsets."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    off = np.asarray(col.offsets).astype(np.int64)
+    rows = col.values.slice(off[0], off[-1] - off[0])
+    kinds = rows.type
+    ids = rows.field(0).to_numpy(zero_copy_only=False)
+    return off - off[0], ids, [arrow_matrix(rows.field(i)) for i in range(1, kinds.num_fields)]
 
 
 def _merge(state, m2, l2, o2):
@@ -84,21 +88,22 @@ def _tile_partials(scale: float | None):
     def run(batches):
         at, group, state = None, None, None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             gcol, bcol = batch.column("g"), batch.column("_b").to_pylist()
-            qcol, kcol = batch.column("qblock"), batch.column("kblock")
-            gvals = gcol.to_pylist()
-            for r in range(batch.num_rows):
-                q_ids, (Q,) = _struct_list_to_numpy(qcol[r].values)
-                _, mats = _struct_list_to_numpy(kcol[r].values)
-                K, V = mats[0], mats[-1]  # a block without values uses its keys
-                if Q.shape[1] != K.shape[1]:
-                    raise ValueError("attention: query and key widths differ")
-                s = scale if scale is not None else 1.0 / math.sqrt(K.shape[1])
-                S = (Q @ K.T) * s
+            (qoff, qids, (queries,)), (koff, _, mats) = _packed_blocks(batch.column("qblock")), _packed_blocks(batch.column("kblock"))
+            keys, values = mats[0], mats[-1]  # blocks without values use their keys
+            if queries.shape[1] != keys.shape[1]:
+                raise ValueError("attention: query and key widths differ")
+            s = scale if scale is not None else 1.0 / math.sqrt(keys.shape[1])
+            for r, g in enumerate(gcol.to_pylist()):
+                mine, theirs = slice(qoff[r], qoff[r + 1]), slice(koff[r], koff[r + 1])
+                q_ids = qids[mine]
+                S = (queries[mine] @ keys[theirs].T) * s
                 m = S.max(axis=1)
                 P = np.exp(S - m[:, None])
-                part = (m, P.sum(axis=1), P @ V)
-                key = (gvals[r], bcol[r])
+                part = (m, P.sum(axis=1), P @ values[theirs])
+                key = (g, bcol[r])
                 if key == at and np.array_equal(state[0], q_ids):
                     state = (q_ids, *_merge(state[1:], *part))
                     continue
@@ -112,18 +117,18 @@ def _tile_partials(scale: float | None):
 
 
 def _packed(rows: DataFrame, sizes: DataFrame, n_col: str, id_col: str, seed: int,
-            fields: list[str], name: str, partitions: int) -> DataFrame:
-    """Hash block inside the group, then one packed row per (group, block).
+            fields: list[str], name: str, partitions: int, super_tiles: int) -> DataFrame:
+    """Hash block inside the group, then one packed row per (group, super-block, block).
 
-    Rows are hash-partitioned on ``(group, block)`` first: a hot group's
-    blocks spread over many tasks, the packed blocks come out partitioned the
+    Rows are hash-partitioned on ``(group, super-block)`` first: a hot group's
+    super-blocks spread over many tasks, the packed blocks come out partitioned the
     way the pair join needs them, and adaptive execution does not fold the
     numpy-heavy stages into a single task (an explicit partition count is
     kept as asked).
     """
     x = rows.join(sizes.select("g", n_col), "g").withColumn(
         "_b", F.floor(hash_uniform(seed, id_col) * F.col(n_col)).cast("bigint"))
-    return (x.repartition(partitions, "g", "_b").groupBy("g", "_b")
+    return (x.withColumn("_s", int_div(F.col("_b"), super_tiles)).repartition(partitions, "g", "_s").groupBy("g", "_s", "_b")
             .agg(F.collect_list(F.struct(id_col, *fields)).alias(name)))
 
 
@@ -152,13 +157,21 @@ def merge_partials(partials: DataFrame) -> DataFrame:
     return merged.select("g", "q_id", out.alias("_out"))
 
 
+def _replicas(kb: DataFrame, sizes: DataFrame, per: int) -> DataFrame:
+    """Every key block once for each query super-block of its group."""
+    last = int_div(F.col("_qn") - 1, per)
+    return kb.join(sizes.select("g", "_qn"), "g").select(
+        "g", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("_s"), "kblock")
+
+
 def block_pairs(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
                 q_col: str, k_col: str | None = None, v_col: str | None = None,
                 key_id_col: str | None = None, group: str | None = None,
                 tile: int = DEFAULT_TILE, key_tile: int | None = None,
-                seed: int = 17) -> DataFrame:
+                seed: int = 17, super_tiles: int | None = None) -> DataFrame:
     """Steps 1-4 of the plan: one row per (query block, key block) of a group,
-    ``(g, _b, qblock, kblock)``, partitioned on ``(g, _b)``."""
+    ``(g, _b, qblock, kblock)``, partitioned on ``(g, super-block)``. ``super_tiles`` query blocks
+    make a super-block (by default by the number of blocks and cores)."""
     key_tile = key_tile or tile
     self_attention = (keys is None and k_col in (None, q_col) and v_col in (None, q_col, k_col)
                       and key_tile == tile)
@@ -188,27 +201,26 @@ def block_pairs(queries: DataFrame, keys: DataFrame | None = None, *, id_col: st
     stats = sizes.agg(F.count(F.lit(1)).alias("groups"), F.sum("_qn").alias("qblocks")).first()
     if stats["groups"] <= BROADCAST_CELLS:
         sizes = F.broadcast(sizes)
-    # a few query blocks a task, however many there are
+    # super-blocks: as many as keep all cores busy, then larger ones, so that a key block is copied less often
     blocks = int(stats["qblocks"] or 1)
     cores = queries.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(blocks, max(4 * cores, blocks // BLOCKS_PER_TASK)))
+    per = super_tiles or max(1, min(SUPER_TILES, blocks // (4 * cores)))
+    supers = math.ceil(blocks / per)
+    parts = max(1, min(supers, max(4 * cores, supers // SUPERS_PER_TASK)))
 
-    qb = _packed(q, sizes, "_qn", "q_id", seed, ["q"], "qblock", parts)
+    qb = _packed(q, sizes, "_qn", "q_id", seed, ["q"], "qblock", parts, per)
     if self_attention:
         # keys = values = queries: the key blocks are the query blocks; the
         # plan reuses the same exchange instead of re-reading and re-packing
-        kb = qb.withColumnRenamed("qblock", "kblock")
+        kb = qb.select("g", F.col("qblock").alias("kblock"))
     else:
-        kb = _packed(kv, sizes, "_kn", "k_id", seed + 1, ["k", "v"], "kblock", parts)
-    # every key block meets every query block of its group; both sides are
-    # partitioned on (group, query block), so all pairs of a query block meet
-    # in one task
-    krep = (kb.join(sizes.select("g", "_qn"), "g")
-            .select("g", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_qn") - 1)).alias("_b"),
-                    "kblock")
-            .repartition(parts, "g", "_b"))
-    pairs = qb.join(krep, ["g", "_b"]).select(F.col("g.v").alias("g"), "_b", "qblock", "kblock")
-    return pairs
+        kb = _packed(kv, sizes, "_kn", "k_id", seed + 1, ["k", "v"], "kblock", parts, per).select("g", "kblock")
+    # every key block meets every query super-block of its group; both sides are
+    # partitioned on (group, super-block), so all pairs of a query block meet in one task; the
+    # merge join gives them one query block after the other
+    krep = _replicas(kb, sizes, per).repartition(parts, "g", "_s")
+    bounded_batches(queries.sparkSession)
+    return qb.join(krep.hint("merge"), ["g", "_s"]).select(F.col("g.v").alias("g"), "_b", "qblock", "kblock")
 
 
 def attention(queries: DataFrame, keys: DataFrame | None = None, *, id_col: str,
