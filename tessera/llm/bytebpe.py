@@ -4,7 +4,7 @@ A text is cut into pre-tokens by the public pattern, each encoded separately as
 library does. First tier: a minimal perfect hash over the vocabulary (one slot a token, a
 displacement a bucket) answers whole pre-tokens that are tokens themselves, a batch of distinct
 ones at a time; every answer is confirmed on the bytes. Second tier: the others start as linked
-bytes, and a heap of (rank, place) gives the next merge; ties go to the leftmost. Pre-tokens of up to ``ROW`` bytes
+bytes, and a heap of (rank, place) gives the next merge (``merging.py``); ties go to the leftmost. Pre-tokens of up to 32 bytes
 take their steps side by side, their heaps being tournaments of pairwise minima in the rows of an array.
 Decoding joins the tokens' bytes.
 
@@ -24,17 +24,15 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from array import array
-from collections.abc import Callable, Iterator
-from heapq import heapify, heappop, heappush
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import M61, mix, spans, text_bytes, tidy, word_hashes
+from tessera.llm.merging import Merges, Store, distinct, laid_out
 
 #: Pre-tokens whose ids a worker keeps from task to task (about 200 bytes each), and the most a text block adds.
 KEPT = 400_000
@@ -42,8 +40,6 @@ KEPT = 400_000
 CHUNK = 2 << 20
 #: Keys a bucket of the hash on average.
 BUCKET = 3
-#: Longest pre-token that is merged in a row beside others; a heap entry above all others.
-ROW, NONE = 32, 1 << 62
 Ranges = list[tuple[int, int]]
 _SPLIT = re.compile(rb" (?=[A-Za-z])")
 
@@ -211,207 +207,43 @@ class Coder:
         keys = list(ranks)
         self.whole = PerfectHash(keys)
         self.ids = np.array([ranks[k] for k in keys], "<u4")
-        self.shift = max(ranks.values()).bit_length()
-        # every way in which two tokens make a third, and the two-byte tokens once more as a table
-        self.pairs = {ranks[k[:c]] << self.shift | ranks[k[c:]]: i for k, i in ranks.items()
-                      for c in range(1, len(k)) if k[:c] in ranks and k[c:] in ranks}
-        self._pair_table()
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.first = np.full((256, 256), -1, np.int64)
-        for k, i in ranks.items():
-            if len(k) == 2:
-                self.first[k[0], k[1]] = i
+        # every way in which two tokens make a third; a token's id is its rank
+        self.pairs = Merges({(ranks[k[:c]], ranks[k[c:]]): i for k, i in ranks.items()
+                             for c in range(1, len(k)) if k[:c] in ranks and k[c:] in ranks},
+                            np.arange(max(ranks.values()) + 1))
         # tokens' bytes by id, for decoding
         ordered = sorted(ranks, key=ranks.get)
         self.text = np.frombuffer(b"".join(ordered), np.uint8)
         self.size = np.zeros(max(ranks.values()) + 1, np.int64)
         self.size[[ranks[k] for k in ordered]] = [len(k) for k in ordered]
         self.start = np.cumsum(self.size) - self.size
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.store = Store(self._learn, KEPT)
 
     def merges(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids of each pre-token: linked bytes, merged in the order of a heap of (rank, place).
-
-        Pre-tokens of up to ``ROW`` bytes are merged side by side, those of one length class in the rows
-        of one array; longer ones have a heap of their own."""
-        out: list[bytes | None] = [None] * len(pieces)
-        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        low = 0
-        for width in (8, 16, ROW):
-            rows = np.flatnonzero((size > low) & (size <= width))
-            for k in range(0, len(rows), 20_000):
-                some = rows[k:k + 20_000]
-                for i, ids in zip(some.tolist(), self._merge_rows([pieces[i] for i in some.tolist()], size[some], width)):
-                    out[i] = ids
-            low = width
-        for i in np.flatnonzero(size > low).tolist():
-            out[i] = self._merge_one(pieces[i])
-        return out
-
-    def _merge_rows(self, pieces: list[bytes], size: np.ndarray, width: int) -> list[bytes]:
-        """A row of ``width`` slots a pre-token. The slots' entries are the leaves of the row's heap, a
-        tournament of pairwise minima whose root is the next merge; all rows take a step at once."""
-        m = len(pieces)
-        slot = np.arange(width)
-        inside = slot < size[:, None]
-        data = np.zeros((m, width), np.uint8)
-        data[inside] = np.frombuffer(b"".join(pieces), np.uint8)
-        tok = np.where(inside, self.single[data], -1)
-        rank = np.full((m, width), -1, np.int64)
-        rank[:, :-1] = np.where(inside[:, 1:], self.first[data[:, :-1], data[:, 1:]], -1)
-        heap = np.where(rank >= 0, rank << 8 | slot, NONE)
-        # links have a slot more on either side, so that the ends need no special case
-        after = np.tile(np.arange(1, width + 3), (m, 1))
-        before = np.tile(np.arange(-1, width + 1), (m, 1))
-        live = np.arange(m)
-        flat_tok, flat_heap, flat_after, flat_before = (x.reshape(-1) for x in (tok, heap, after, before))
-        while len(live):
-            level = heap[live]
-            while level.shape[1] > 1:
-                half = level.shape[1] // 2
-                level = np.minimum(level[:, :half], level[:, half:])
-            top = level[:, 0]
-            live, top = live[top < NONE], top[top < NONE]
-            at, new = top & 0xFF, top >> 8
-            base, link = live * width, live * (width + 2) + 1
-            right = flat_after[link + at] - 1
-            beyond = flat_after[link + right] - 1
-            flat_tok[base + at] = new
-            flat_tok[base + right] = -1
-            flat_heap[base + right] = NONE
-            flat_after[link + at] = beyond + 1
-            flat_before[link + beyond] = at + 1
-            left = flat_before[link + at] - 1
-            there = beyond < size[live]
-            next_rank = np.full(len(live), -1, np.int64)
-            next_rank[there] = self.pair_ranks(new[there], flat_tok[(base + beyond)[there]])
-            flat_heap[base + at] = np.where(next_rank >= 0, next_rank << 8 | at, NONE)
-            there = left >= 0
-            prior = self.pair_ranks(flat_tok[(base + left)[there]], new[there])
-            flat_heap[(base + left)[there]] = np.where(prior >= 0, prior << 8 | left[there], NONE)
-        keep = tok >= 0
-        raw = tok[keep].astype("<u4").tobytes()
-        end = (4 * np.cumsum(keep.sum(axis=1))).tolist()
-        return [raw[i:j] for i, j in zip([0, *end], end)]
-
-    def _merge_one(self, piece: bytes) -> bytes:
-        """The same for one pre-token of any length: a heap whose stale entries are dropped when met."""
-        pairs, shift, n = self.pairs.get, self.shift, len(piece)
-        data = np.frombuffer(piece, np.uint8)
-        tok = self.single[data].tolist()
-        rank_at = [*self.first[data[:-1], data[1:]].tolist(), -1]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [r << 32 | k for k, r in enumerate(rank_at) if r >= 0]
-        heapify(heap)
-        while heap:
-            top = heappop(heap)
-            at, rank = top & 0xFFFFFFFF, top >> 32
-            if rank_at[at] != rank:  # either end has been merged into another since
-                continue
-            right = after[at]
-            after[at] = beyond = after[right]
-            tok[at] = rank
-            tok[right] = rank_at[right] = rank_at[at] = -1
-            if beyond < n:
-                before[beyond] = at
-                r = pairs(rank << shift | tok[beyond])
-                if r is not None:
-                    rank_at[at] = r
-                    heappush(heap, r << 32 | at)
-            left = before[at]
-            if left >= 0:
-                rank_at[left] = r = pairs(tok[left] << shift | rank, -1)
-                if r >= 0:
-                    heappush(heap, r << 32 | left)
-        return array("I", [t for t in tok if t >= 0]).tobytes()
-
-    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank of each pair of tokens, -1 where the two make none."""
-        key = left << self.shift | right
-        mask = np.uint64(len(self.pair_keys) - 1)
-        with np.errstate(over="ignore"):
-            at = ((key.astype(np.uint64) * M61) >> np.uint64(40)) & mask
-        out = np.full(len(key), -1, np.int64)
-        rows = np.arange(len(key))
-        while len(rows):
-            found = self.pair_keys[at]
-            hit = found == key[rows]
-            out[rows[hit]] = self.pair_values[at[hit]]
-            go = ~hit & (found >= 0)
-            rows, at = rows[go], (at[go] + np.uint64(1)) & mask
-        return out
-
-    def _pair_table(self) -> None:
-        """The pairs once more as an open-addressing table of arrays, for lookups of many at once."""
-        keys, values = (np.fromiter(x, np.int64, len(self.pairs)) for x in (self.pairs, self.pairs.values()))
-        size = 1 << max(4, (4 * len(keys)).bit_length())
-        mask = np.uint64(size - 1)
-        self.pair_keys, self.pair_values = np.full(size, -1, np.int64), np.zeros(size, np.int64)
-        with np.errstate(over="ignore"):
-            at = ((keys.astype(np.uint64) * M61) >> np.uint64(40)) & mask
-        rows = np.arange(len(keys))
-        while len(rows):
-            free = self.pair_keys[at] < 0
-            _, first = np.unique(at, return_index=True)
-            won = np.zeros(len(rows), bool)
-            won[first] = True
-            won &= free
-            self.pair_keys[at[won]], self.pair_values[at[won]] = keys[rows[won]], values[rows[won]]
-            rows, at = rows[~won], (at[~won] + np.uint64(1)) & mask
-
-    def _learn(self, words: list[bytes]) -> None:
+        """Ids of each pre-token: linked bytes, merged in the order of a heap of (rank, place)."""
+        return self.pairs(self.single[np.frombuffer(b"".join(pieces), np.uint8)],
+                          np.fromiter(map(len, pieces), np.int64, len(pieces)))
+
+    def _learn(self, words: list[bytes]) -> list[bytes]:
         place = self.whole.find(words)
         ids = self.ids[place].tobytes()
         far = np.flatnonzero(place < 0).tolist()
         merged = dict(zip(far, self.merges([words[k] for k in far])))
-        self.known.update((w, merged[k] if k in merged else ids[4 * k:4 * k + 4]) for k, w in enumerate(words))
-
-    def _look(self, words: list[bytes]) -> list[bytes]:
-        """Ids of distinct pre-tokens. The store has two halves: a full one becomes the older, and
-        what is still used moves over."""
-        if len(self.known) + len(words) > KEPT // 2:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = [w for w in words if w not in known]
-        known.update((w, older[w]) for w in new if w in older)
-        self._learn([w for w in new if w not in known])
-        return [known[w] for w in words]
+        return [merged[k] if k in merged else ids[4 * k:4 * k + 4] for k in range(len(words))]
 
     def _encode(self, data: np.ndarray, off: np.ndarray) -> list[bytes]:
         start = cut(data, off, self.classes)
         if not len(start):
             return [b""] * (len(off) - 1)
         size = np.diff(start, append=len(data))
-        which, first = self._distinct(data, start, size)
+        which, first = distinct(data, start, size)
         raw = data.tobytes()
-        words = [raw[a:a + n] for a, n in zip(start[first].tolist(), size[first].tolist())]
-        found = self._look(words)
-        # the ids of all places, by those of the distinct pre-tokens
-        ids = np.frombuffer(b"".join(found), "<u4")
-        count = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        begin = np.cumsum(count) - count
-        each = count[which]
-        end = np.zeros(len(each) + 1, np.int64)
-        np.cumsum(each, out=end[1:])
-        out = ids[np.repeat(begin[which] - end[:-1], each) + np.arange(end[-1])].tobytes()
+        found = self.store([raw[a:a + n] for a, n in zip(start[first].tolist(), size[first].tolist())])
+        out, end = laid_out(found, which)
         at = (4 * end[np.searchsorted(start, off)]).tolist()
         return [out[a:b] for a, b in zip(at, at[1:])]
 
-    @staticmethod
-    def _distinct(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Number of each pre-token's string, and the first place of each number. Equal hashes are confirmed
-        on the bytes; if two strings share one, every pre-token counts by itself."""
-        which, _ = pd.factorize(word_hashes(data, start, start + size))
-        first = np.full(which.max() + 1, len(start), np.int64)
-        np.minimum.at(first, which, np.arange(len(start)))
-        of = first[which]
-        if (size == size[of]).all():
-            step = np.arange(len(data)) - np.repeat(start, size)
-            if np.array_equal(data, data[np.repeat(start[of], size) + step]):
-                return which, first
-        return np.arange(len(start)), np.arange(len(start))
-
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of UTF-8 texts as little-endian 32-bit integers."""
         parts, owner = [], []

@@ -9,7 +9,7 @@ import tiktoken
 from llm_tables import DOCS, ROWS, table
 from tests_llm_help import same_rows
 
-from tessera.llm import bytebpe
+from tessera.llm import bytebpe, merging
 from tessera.llm.bytebpe import Coder, PerfectHash, char_classes, public_path, read_ranks
 
 
@@ -60,7 +60,7 @@ def test_random_texts(coder, library):
 def test_both_heaps_agree(coder):
     rng = random.Random(6)
     pieces = [bytes(rng.choice(b"etaoin shrdlu\xc3\xa9\xff") for _ in range(rng.randrange(1, 33))) for _ in range(3000)]
-    assert coder.merges(pieces) == [coder._merge_one(p) for p in pieces]
+    assert coder.merges(pieces) == [coder.pairs.alone(coder.single[np.frombuffer(p, np.uint8)]) for p in pieces]
 
 
 def test_long_texts(coder, library):
@@ -72,7 +72,7 @@ def test_shared_hashes_do_not_mix(coder, library, monkeypatch):
     """Were all hashes equal, pre-tokens are still told apart by their bytes."""
     text = "some words and other words"
     coder.encode([text.encode()])  # the pre-tokens are in the store now
-    monkeypatch.setattr(bytebpe, "word_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    monkeypatch.setattr(merging, "word_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
     assert coder.encode([text.encode()]) == [ids_of(library, text)]
 
 
