@@ -31,6 +31,8 @@ CLASSES = 32
 FEATURES = 1 << 14
 BLOCKS = 16
 ROUNDS = 2
+#: The narrowest type of a feature number.
+_SMALL = np.uint16 if FEATURES <= 1 << 16 else np.int32
 BATCH = 1 << 15
 RATE = 0.5
 CHUNK = 1 << 20
@@ -80,12 +82,18 @@ def features(word: np.ndarray, cls: np.ndarray, place: np.ndarray) -> np.ndarray
     return out
 
 
-def class_logs(weights: np.ndarray, feats: np.ndarray) -> np.ndarray:
-    """Natural log probabilities of the classes, (token, class)."""
-    z = weights[feats[:, 0]]
+def _sums(weights: np.ndarray, feats: np.ndarray) -> np.ndarray:
+    """Feature sums of the classes, (token, class), the largest of a token 0."""
+    z = np.take(weights, feats[:, 0], axis=0)
     for k in range(1, feats.shape[1]):
-        z += weights[feats[:, k]]
+        z += np.take(weights, feats[:, k], axis=0)
     z -= z.max(axis=1, keepdims=True)
+    return z
+
+
+def class_logs(weights: np.ndarray, feats: np.ndarray) -> np.ndarray:
+    """Natural log probabilities of the classes, (token, class)."""
+    z = _sums(weights, feats)
     z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
     return z
 
@@ -102,18 +110,25 @@ class Steps:
     def take(self, feats: np.ndarray, cls: np.ndarray) -> None:
         for i in range(0, len(cls), BATCH):
             f, c = feats[i:i + BATCH], cls[i:i + BATCH]
-            g = np.exp(class_logs(self.w, f))
+            g = _sums(self.w, f)
+            np.exp(g, out=g)
+            g /= g.sum(axis=1, keepdims=True)
             g[np.arange(len(c)), c] -= 1
-            for k in range(f.shape[1]):
-                order = np.argsort(f[:, k], kind="stable")
+            # the bias is the same feature everywhere: one sum
+            self._move(f[:1, 0], g.sum(axis=0, keepdims=True), np.full(1, len(c), np.float32))
+            for k in range(1, f.shape[1]):
+                # numbers of 16 bits are sorted by radix
+                order = np.argsort(f[:, k].astype(_SMALL), kind="stable")
                 ids = f[order, k]
                 cut = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-                row = ids[cut]
-                count = np.diff(np.append(cut, len(ids))).astype(np.float32)
-                total = np.add.reduceat(g[order], cut, axis=0) / np.sqrt(count)[:, None]
-                self.squares[row] += total * total
-                self.w[row] -= RATE * total / np.sqrt(self.squares[row])
-                self.used[row] += count
+                total = np.add.reduceat(np.take(g, order, axis=0), cut, axis=0)
+                self._move(ids[cut], total, np.diff(np.append(cut, len(ids))).astype(np.float32))
+
+    def _move(self, row: np.ndarray, total: np.ndarray, count: np.ndarray) -> None:
+        total = total / np.sqrt(count)[:, None]
+        self.squares[row] += total * total
+        self.w[row] -= RATE * total / np.sqrt(self.squares[row])
+        self.used[row] += count
 
     def blocks(self):
         """(block, blob): change of each weight times its use, and the use."""
