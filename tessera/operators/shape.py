@@ -66,17 +66,43 @@ def shape_of(a: Cells) -> DataFrame:
     """Observed rank, extent per axis, cell count and distinct-coordinate count.
 
     ``dense`` is true when the table holds every cell of its declared shape
-    exactly once and no value is NULL.
+    exactly once and no value is NULL. A coordinate with a NULL in it is a cell
+    but no distinct coordinate; an empty table has NULL extents and counts of 0.
+
+    Cells inside the shape set bits of 64-bit words over their flat index, so what is
+    shuffled is one row per word that a task has met: a 64th of the cells where a task
+    reads neighbours, never more than the cells where it does not (words, not fixed
+    bitmaps of 4 KB, for that reason). Cells outside the shape are grouped by their
+    coordinates.
     """
-    aggs = [(F.max(c) + 1).alias(f"d{i}") for i, c in enumerate(a.coords)]
+    coords = [F.col(c) for c in a.coords]
+    indexed = a.size < 1 << 63  # else no flat index of 64 bits, and no table that is dense
+    flat = F.lit(None).cast("bigint")
+    if indexed:
+        strides = [prod(a.shape[d + 1:]) for d in range(a.ndim)]
+        inside = reduce(lambda x, y: x & y, [(c >= 0) & (c < F.lit(s)) for c, s in zip(coords, a.shape)])
+        flat = F.when(inside, reduce(lambda x, y: x + y, [c * F.lit(st) for c, st in zip(coords, strides)]))
+    cells = a.df.select(*coords, "value", flat.alias("_flat"))
+    word = F.shiftright("_flat", 6)
+    # shiftleft with a column of shifts has no function of its own
+    bit = F.expr("shiftleft(1L, cast(_flat & 63 as int))")
+    other = F.when(F.col("_flat").isNull(), F.struct(*a.coords))
+    aggs = [F.max(c).alias(f"_hi{i}") for i, c in enumerate(a.coords)]
     aggs += [F.min(c).alias(f"_lo{i}") for i, c in enumerate(a.coords)]
-    aggs += [F.count(F.lit(1)).alias("n_cells"),
-             F.count_distinct(*[F.col(c) for c in a.coords]).alias("n_distinct"),
-             F.count("value").alias("n_values")]
-    stats = a.df.agg(*aggs)
+    words = cells.groupBy(word.alias("_word"), other.alias("_other")).agg(
+        F.bit_or(bit).alias("_bits"), F.count(F.lit(1)).alias("_n"), F.count("value").alias("_values"), *aggs)
+    whole = reduce(lambda x, y: x & y, [F.col(f"_other.{c}").isNotNull() for c in a.coords])
+    known = F.when(F.col("_other").isNull(), F.bit_count("_bits")).otherwise(whole.cast("int"))
+
+    def total(c, name):
+        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(name)
+
+    stats = words.agg(*[(F.max(f"_hi{i}") + 1).alias(f"d{i}") for i in range(a.ndim)],
+                      *[F.min(f"_lo{i}").alias(f"_lo{i}") for i in range(a.ndim)],
+                      total("_n", "n_cells"), total(known, "n_distinct"), total("_values", "n_values"))
     dims_ok = reduce(lambda x, y: x & y, [(F.col(f"d{i}") == F.lit(s)) & (F.col(f"_lo{i}") == 0)
                                           for i, s in enumerate(a.shape)])
-    full = F.lit(a.size)
+    full = F.lit(a.size if indexed else -1)
     dense = (dims_ok & (F.col("n_cells") == full) & (F.col("n_distinct") == full)
              & (F.col("n_values") == full))
     return stats.select(F.lit(a.ndim).alias("rank"), *[f"d{i}" for i in range(a.ndim)],

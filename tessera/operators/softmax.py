@@ -8,10 +8,15 @@ from pyspark.sql import functions as F
 from tessera.core import Cells, maybe_broadcast, prod
 
 # A window keeps one slice in one task (in a spillable buffer). Above this
-# slice length the grouped form is used instead: partial aggregation of the
-# slice max and sum, joined back.
+# slice length the grouped form is used instead: mergeable partial sums of the
+# slice, joined back once.
 WINDOW_SLICE_MAX = 1_000_000
 
+# Width of the bands of values whose exponentials are summed together (grouped
+# form). A value lies within half a width of its band's middle, so an exponential is
+# between e^-32 and e^32 and neither overflows nor vanishes in any sum.
+BAND = 64.0
+
 
 def softmax(a: Cells, axis: int = -1, method: str = "auto") -> Cells:
     """Max-shifted softmax of every slice along ``axis``.
@@ -29,25 +34,36 @@ def softmax(a: Cells, axis: int = -1, method: str = "auto") -> Cells:
         e = a.df.withColumn("_e", F.exp(v - F.max(v).over(w)))
         out = e.select(*a.coords, (F.col("_e") / F.sum("_e").over(w)).alias("value"))
     elif method == "grouped":
-        n_slices = prod(tuple(s for d, s in enumerate(a.shape) if d != axis))
-        if keys:
-            mx = maybe_broadcast(a.df.groupBy(*keys).agg(F.max(v).alias("_m")), n_slices)
-            e = a.df.join(mx, keys).withColumn("_e", F.exp(v - F.col("_m")))
-            sm = maybe_broadcast(e.groupBy(*keys).agg(F.sum("_e").alias("_s")), n_slices)
-            out = e.join(sm, keys).select(*a.coords, (F.col("_e") / F.col("_s")).alias("value"))
-        else:
-            # a 1-d vector is one slice: its max and sum are single-row aggregates
-            z = F.lit(0).alias("_z")
-            base = a.df.select("*", z)
-            mx = F.broadcast(a.df.agg(F.max(v).alias("_m")).select("_m", z))
-            e = base.join(mx, "_z").withColumn("_e", F.exp(v - F.col("_m")))
-            sm = F.broadcast(e.agg(F.sum("_e").alias("_s")).select("_s", z))
-            out = e.join(sm, "_z").select(*a.coords, (F.col("_e") / F.col("_s")).alias("value"))
+        out = _grouped(a, axis, keys)
     else:
         raise ValueError(f"softmax: unknown method {method}")
     return a.with_df(out)
 
 
+def _grouped(a: Cells, axis: int, keys: list[str]) -> DataFrame:
+    """Long slices in one pass over the cells and one join.
+
+    Each value belongs to the band of width ``BAND`` nearest to it, and ``exp(v - middle)`` is
+    summed per slice and band: a mergeable sum that needs no maximum beforehand, reduced in each task
+    before the shuffle. A slice's sum is that of its bands, scaled to the middle of its top band; bands
+    more than twelve below it vanish in a double, as they do after subtracting the maximum. Values within
+    ``BAND / 2`` of zero are not shifted at all. The bands of a slice (its range over 64) meet in
+    one task through a window, which spills.
+    """
+    n_slices = prod(tuple(s for d, s in enumerate(a.shape) if d != axis))
+    cells = a.df if keys else a.df.withColumn("_z", F.lit(0))  # a vector is one slice
+    keys = keys or ["_z"]
+    v, band = F.col("value"), F.rint(F.col("value") / BAND)
+    # exp(-inf) is 0; written out, as the band of -inf has no middle
+    e = F.when(v == float("-inf"), F.lit(0.0)).otherwise(F.exp(v - F.col("_b") * BAND))
+    parts = cells.select(*keys, "value", band.alias("_b")).groupBy(*keys, "_b").agg(F.sum(e).alias("_s"))
+    top = parts.withColumn("_top", F.max("_b").over(Window.partitionBy(*keys)))
+    sums = top.groupBy(*keys).agg((F.max("_top") * BAND).alias("_m"),
+                                  F.sum(F.col("_s") * F.exp((F.col("_b") - F.col("_top")) * BAND)).alias("_t"))
+    return cells.join(maybe_broadcast(sums, n_slices), keys).select(
+        *a.coords, (F.exp(v - F.col("_m")) / F.col("_t")).alias("value"))
+
+
 def softmax_rows(a: Cells) -> Cells:
     if a.ndim != 2:
         raise ValueError("softmax_rows: 2-d matrix required")

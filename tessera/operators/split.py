@@ -23,8 +23,10 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.core import HASH_BITS, hash_bits, maybe_broadcast
+from tessera.session import scratch_table_path
 
 LEVEL_BITS = 12
 ROWS_PER_BUCKET = 1_000_000
@@ -120,17 +122,17 @@ def head(df: DataFrame, max_rows: int | None) -> DataFrame:
     """Row cap (the loader's ``max_rows``): the first rows in partition order; no cap when ``None``.
 
     A count per partition gives every partition its share, so each keeps its
-    own first rows and nothing is gathered in one task.
+    own first rows and nothing is gathered in one task. Partitions of a scan are
+    the same in both jobs. Those that come out of a shuffle need not be, so there
+    each partition's first rows are numbered and written once, and the cut is a filter
+    on what was written: exactly ``max_rows`` rows, the same ones on every read.
     """
     if max_rows is None:
         return df
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return _head_written(df, int(max_rows))
     sizes = dict(df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
-    share, left = {}, int(max_rows)
-    for p in sorted(sizes):
-        share[p] = min(left, sizes[p])
-        left -= share[p]
-        if not left:
-            break
+    share, _ = _shares(sizes, int(max_rows))
 
     def first(batches):
         from pyspark import TaskContext
@@ -144,5 +146,45 @@ def head(df: DataFrame, max_rows: int | None) -> DataFrame:
     return df.mapInArrow(first, df.schema)
 
 
+def _shares(sizes: dict[int, int], max_rows: int) -> tuple[dict[int, int], int]:
+    """Rows that each partition keeps, and the last partition that keeps any (-1: none)."""
+    share, left, last = {}, max_rows, -1
+    for p in sorted(sizes):
+        if not left:
+            break
+        share[p], last = min(left, sizes[p]), p
+        left -= share[p]
+    return share, last
+
+
+def _head_written(df: DataFrame, max_rows: int) -> DataFrame:
+    """:func:`head` of rows numbered in one job: at most ``max_rows`` of a partition are written."""
+    spark = df.sparkSession
+    part, pos = "_part", "_pos"
+    while {part, pos} & set(df.columns):
+        part, pos = "_" + part, "_" + pos
+    schema = T.StructType([*df.schema.fields, T.StructField(part, T.LongType()), T.StructField(pos, T.LongType())])
+
+    def number(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+        p, seen = TaskContext.get().partitionId(), 0
+        for b in batches:
+            b = b.slice(0, max_rows - seen)
+            if not b.num_rows:
+                return
+            at = pa.array(range(seen, seen + b.num_rows), pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([p] * b.num_rows, pa.int64()), at],
+                                             names=[*b.schema.names, part, pos])
+            seen += b.num_rows
+
+    path = scratch_table_path(spark, "head")
+    df.mapInArrow(number, schema).write.parquet(path)
+    rows = spark.read.schema(schema).parquet(path)
+    share, last = _shares(dict(rows.groupBy(part).agg(F.count(F.lit(1)).alias("n")).collect()), max_rows)
+    keep = (F.col(part) < F.lit(last)) | ((F.col(part) == F.lit(last)) & (F.col(pos) < F.lit(share.get(last, 0))))
+    return rows.filter(keep).drop(part, pos)
+
+
 def split_sizes(df: DataFrame, flag_col: str = "is_train") -> DataFrame:
     return df.groupBy(flag_col).agg(F.count(F.lit(1)).alias("n"))
