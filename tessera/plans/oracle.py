@@ -309,6 +309,10 @@ FROM embeddings, range(10) t(k)""",
     "dropout": f"""WITH {E} SELECT vec_id, j,
   {R('CASE WHEN ' + U(11, 'vec_id', 'j') + ' < 0.1 THEN 0.0 ELSE v / (1 - 0.1) END')} AS value FROM e""",
     "add": _pair("a.v + b.v"),
+    "add_sparse": _pair("(CASE WHEN a.v > 0 THEN a.v ELSE 0.0 END) + (CASE WHEN b.v > 0 THEN b.v ELSE 0.0 END)"),
+    "one_hot_sparse": "SELECT vec_id, label AS k, CAST(1 AS DOUBLE) AS value FROM embeddings WHERE label BETWEEN 0 AND 9",
+    "matmul_sparse": f"""WITH {E}
+SELECT label, j, {R('sum(v)')} AS value FROM e WHERE label BETWEEN 0 AND 9 GROUP BY label, j""",
     "sub": _pair("a.v - b.v"),
     "mul": _pair("a.v * b.v"),
     "relu_backward": _pair("CASE WHEN a.v > 0 AND NOT isnan(a.v) THEN b.v ELSE 0.0 END"),
@@ -383,7 +387,10 @@ SELECT 'l1' AS layer, name, i, j,
     "mlp_predict_stream": PREDICT,
     "mlp_evaluate": EVALUATE,
 }
-for _name, _same in (("add_tables", "add"), ("softmax_rows_packed", "softmax_rows"), ("argmax_rows_packed", "argmax_rows"),
+for _name, _same in (("add_tables", "add"), ("add_bucketed", "add"),
+                     ("read_labeled_csv_stream", "read_labeled_csv_zero"),
+                     ("read_labeled_csv_stream_rejects", "read_labeled_csv_rejects"),
+                     ("softmax_rows_packed", "softmax_rows"), ("argmax_rows_packed", "argmax_rows"),
                      ("cross_entropy_cells", "cross_entropy"), ("accuracy_cells", "accuracy"),
                      ("softmax_xent_grad_cells", "softmax_xent_grad")):
     ORACLE[_name] = ORACLE[_same]

@@ -24,13 +24,14 @@ from pyspark.sql import functions as F
 
 from tessera.core import Cells, hash_bits, packed_shape, spread
 from tessera.operators import elementwise as ew
-from tessera.operators import blocks, linalg, loss, shape, softmax, split
+from tessera.operators import blocks, linalg, loss, shape, softmax, sparse, split
 from tessera.operators.attention import attention, attention_cells
 from tessera.plans import layers, mlp, wide
 from tessera.session import remove_table, scratch_table_path, ship_package
-from tessera.sources import csv, fill
+from tessera.sources import bucketed, csv, fill
 from tessera.sources.packing import cells_to_rows, rows_to_cells
 from tessera.sources.tables import read_table
+from tessera.streaming.loading import load_labeled_stream
 
 DIGITS = 6
 W0_COLS = 10
@@ -236,6 +237,34 @@ def q_add_tables(spark, sf):
     return _out(ew.add(e, _E2(e)), "vec_id", "j")
 
 
+def q_add_bucketed(spark, sf):
+    """The same sum of two tables stored in buckets of their coordinates: the join moves nothing."""
+    e = _E(spark, sf)
+    a, _ = bucketed.write_bucketed(e)
+    b, _ = bucketed.write_bucketed(_E2(e))
+    return _out(ew.add(a, b), "vec_id", "j")
+
+
+def q_add_sparse(spark, sf):
+    """The sum of the positive parts of two tables that hold no zeros, as a dense table again."""
+    e = _E(spark, sf)
+    a, b = sparse.sparsify(ew.relu(e)), sparse.sparsify(ew.relu(_E2(e)))
+    return _out(sparse.densify(sparse.add(a, b)), "vec_id", "j")
+
+
+def _hot(spark, sf) -> sparse.SparseCells:
+    return sparse.one_hot_sparse(_emb(spark, sf), "vec_id", "label", 10, _n_vectors(spark, sf))
+
+
+def q_one_hot_sparse(spark, sf):
+    return _out(_hot(spark, sf), "vec_id", "k")
+
+
+def q_matmul_sparse(spark, sf):
+    """Sums of the vectors of each label: the transposed one-hot matrix, one cell a row, times ``E``."""
+    return _out(sparse.matmul(sparse.transpose(_hot(spark, sf)), _E(spark, sf)), "label", "j")
+
+
 def q_sub(spark, sf):
     return _zipped(spark, sf, "sub")
 
@@ -441,6 +470,18 @@ def q_read_labeled_csv_zero(spark, sf):
     return samples.select("id", _r(F.col("f0")).alias("f0"), "label")
 
 
+def q_read_labeled_csv_stream(spark, sf):
+    """The samples of ``read_labeled_csv_zero``, loaded as a stream of files."""
+    samples, _ = load_labeled_stream(spark, _broken_lines(spark, sf), 4, _FLAGS, bad_number="zero", unknown="drop")
+    return samples.select("id", _r(F.col("f0")).alias("f0"), "label")
+
+
+def q_read_labeled_csv_stream_rejects(spark, sf):
+    """The rejects of ``read_labeled_csv_rejects``, the stream's other sink."""
+    _, rejects = load_labeled_stream(spark, _broken_lines(spark, sf), 4, _FLAGS)
+    return rejects.select("id", "reason")
+
+
 HEAD_ROWS = 1000
 
 
@@ -663,6 +704,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dropout": q_dropout,
     "add": q_add,
     "add_tables": q_add_tables,
+    "add_bucketed": q_add_bucketed,
+    "add_sparse": q_add_sparse,
+    "one_hot_sparse": q_one_hot_sparse,
+    "matmul_sparse": q_matmul_sparse,
     "sub": q_sub,
     "mul": q_mul,
     "relu_backward": q_relu_backward,
@@ -695,6 +740,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_labeled_csv_rejects": q_read_labeled_csv_rejects,
     "read_labeled_csv_zero": q_read_labeled_csv_zero,
     "read_labeled_csv_head": q_read_labeled_csv_head,
+    "read_labeled_csv_stream": q_read_labeled_csv_stream,
+    "read_labeled_csv_stream_rejects": q_read_labeled_csv_stream_rejects,
     "linear_init": q_linear_init,
     "linear_forward": q_linear_forward,
     "linear_dw": q_linear_dw,

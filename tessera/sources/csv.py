@@ -66,15 +66,28 @@ def read_labeled_csv(spark: SparkSession, path: str, n_features: int = 4,
       or ``'error'``.
     * ``max_rows``: cap on accepted samples (the reference's array size).
     """
+    raw = spark.read.schema(csv_schema(n_features)).options(**CSV_OPTIONS).csv(path)
+    samples, rejects = split_labeled(raw, n_features, label_map, bad_number, unknown)
+    return head(samples, max_rows), rejects
+
+
+# malformed lines are kept, one line is one row
+CSV_OPTIONS = {"header": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "multiLine": "false"}
+
+
+def csv_schema(n_features: int) -> str:
+    """Exactly id, features and label: a row with another number of fields is kept
+    whole in the corrupt-record column, its values are never shifted."""
+    return ", ".join(f"{c} string" for c in ("id", *[f"c{i}" for i in range(n_features)], "label_name", "_corrupt"))
+
+
+def split_labeled(raw: DataFrame, n_features: int = 4, label_map: dict[str, int] | None = None,
+                  bad_number: str = "reject", unknown: str = "keep") -> tuple[DataFrame, DataFrame]:
+    """``(samples, rejects)`` of lines read by ``csv_schema``; row-local, so for streams too."""
     if bad_number not in ("reject", "zero") or unknown not in ("keep", "drop", "error"):
         raise ValueError("read_labeled_csv: bad mode")
     label_map = IRIS_LABELS if label_map is None else label_map
-    # exactly id, features and label: a row with another number of fields is kept
-    # whole in the corrupt-record column, its values are never shifted
     id_c, feat_c, label_c = "id", [f"c{i}" for i in range(n_features)], "label_name"
-    fields = ", ".join(f"{c} string" for c in (id_c, *feat_c, label_c, "_corrupt"))
-    raw = (spark.read.schema(fields).option("header", "true").option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt").option("multiLine", "false").csv(path))
     label_txt = F.regexp_replace(F.col(label_c), r"[\r\n]+$", "")
     feats = [_parse_number(F.col(c), bad_number).alias(f"f{i}") for i, c in enumerate(feat_c)]
     empty = [F.col(c).isNull() | (F.trim(F.col(c)) == "") for c in feat_c]
@@ -99,4 +112,4 @@ def read_labeled_csv(spark: SparkSession, path: str, n_features: int = 4,
                             F.raise_error(F.concat(F.lit("unknown label: "), F.col("label_name"))))
             .otherwise(F.col("label")).cast("int"))
     samples = samples.select("id", *[f"f{i}" for i in range(n_features)], "label_name", "label")
-    return head(samples, max_rows), rejects
+    return samples, rejects
