@@ -1,17 +1,19 @@
 """Operator 3: near-duplicate embeddings by a pivot-permutation index.
 
-Reference points are a bounded sample: of the ``SAMPLE`` vectors with the smallest id hashes,
-up to ``PIVOTS`` that are no closer to each other than a cosine of ``APART``. A vector is described
-by its ``PREFIX`` nearest pivots and posted in the inverted lists of the ``LISTS`` nearest, per label.
-Two vectors that meet in a list and share at least ``SHARED`` pivots of their descriptions are
-candidates; a candidate is checked by its cosine in double precision in the list of the smallest
-pivot they share, so each link is found once. Postings carry the vector, so nothing but counts
-and a spanning forest leaves a list: a group of copies never becomes all its pairs.
+Reference points are a bounded sample: of the vectors with the smallest id hashes (``DRAWN`` for
+each wanted pivot) those that are no closer to each other than ``APART`` of the way from the sample's median cosine to 1
+(nor than the threshold), so vectors in a narrow cone get as many pivots as vectors all around. One pivot is wanted for every ``ROWS`` rows, at
+least ``PIVOTS`` and at most ``MOST``. A vector is described by its ``PREFIX`` nearest pivots and posted in the inverted
+lists of the nearest of them, per label. Two vectors that meet in a list and share enough pivots of their
+descriptions are candidates; a candidate is checked by its cosine in double precision in the list of the
+smallest pivot they share, so each link is found once. In how many lists a vector is posted (``LISTS`` or more) and how
+many pivots are enough (``SHARED`` or fewer) is measured on sample vectors turned to the threshold. Postings carry the
+vector, so nothing but counts and a spanning forest leaves a list: a group of copies never becomes all its pairs.
 
 Lists are cut into blocks of ``BLOCK`` and a task holds two blocks at most, however
 long a list is. Equal vectors of a label are one node with a multiplicity. All rows are
 indexed; only pivots are sampled. Recall against brute force is measured in the tests
-(1.0 on the given tables and on random pairs at cosine 0.932).
+(1.0 on the given tables and on random pairs at cosine 0.932; 0.9 and more in cones).
 
 Defined cases: a null label, a null, empty or zero vector and one with null or non-finite
 components link with nothing and are kept; vectors of different lengths are not compared;
@@ -27,13 +29,18 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import components, lowest, partitions, tidy, written
 
-SAMPLE = 4096
+DRAWN = 4
 PIVOTS = 1024
+MOST = 8192
+ROWS = 128
 APART = 0.5
 PREFIX = 24
 LISTS = 8
 SHARED = 8
 BLOCK = 1024
+FOLD = 512
+TURNED = 1000
+MISSED = 0.004
 
 
 def _vectors(rows: DataFrame) -> DataFrame:
@@ -59,18 +66,69 @@ def _vectors(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(tidy(run), f"vec_id bigint, label {kind}, vec binary, size int")
 
 
-def choose_pivots(sample: list[np.ndarray], count: int = PIVOTS, apart: float = APART) -> np.ndarray:
-    """Unit vectors of the sample, in order, that are not within ``apart`` of one taken before."""
-    out = np.zeros((0, len(sample[0])))
-    for v in sample:
-        unit = v / np.linalg.norm(v)
-        if len(out) < count and (not len(out) or (out @ unit).max() < apart):
-            out = np.vstack([out, unit])
+def choose_pivots(units: np.ndarray, count: int = PIVOTS, apart: float = APART) -> np.ndarray:
+    """Rows of ``units``, in order, that are not within ``apart`` of one taken before."""
+    out, k = np.zeros((count, units.shape[1])), 0
+    for at in range(0, len(units), 256):
+        block = units[at:at + 256]
+        block = block[(block @ out[:k].T).max(axis=1, initial=-2.0) < apart]
+        near = block @ block.T >= apart
+        shut = np.zeros(len(block), bool)
+        for i in range(len(block)):
+            if k < count and not shut[i]:
+                out[k], k = block[i], k + 1
+                shut |= near[i]
+    return out[:k]
+
+
+def _apart(units: np.ndarray, threshold: float) -> float:
+    """The closest that pivots may be: ``APART`` of the way from the median cosine (0 or more) to 1, but not
+    above the threshold, so that a group of near copies is not parted by pivots of its own."""
+    few = units[:512]
+    if len(few) < 2:
+        return APART
+    middle = max(0.0, float(np.median((few @ few.T)[np.triu_indices(len(few), 1)])))
+    return min(threshold, middle + (1 - middle) * APART)
+
+
+def nearest(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """The ``PREFIX`` nearest pivots of each row, in order; the rows in steps that bound the products."""
+    m = min(PREFIX, len(pivots))
+    out = np.zeros((len(x), m), "<i2")
+    for at in range(0, len(x), 1024):
+        near = x[at:at + 1024].astype(np.float32) @ pivots.T
+        top = np.argpartition(-near, m - 1, axis=1)[:, :m]
+        order = np.argsort(-np.take_along_axis(near, top, 1), axis=1, kind="stable")
+        out[at:at + 1024] = np.take_along_axis(top, order, 1)
     return out
 
 
-def _described(nodes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
-    """``nodes`` with ``prefix``: packed numbers of the nearest pivots, in order."""
+def settings(units: np.ndarray, pivots: np.ndarray, threshold: float) -> tuple[int, int]:
+    """(lists, shared): how many lists a vector is posted in and how many shared pivots make a candidate,
+    so that of sample vectors and the same turned to the threshold, towards other sample vectors, hardly any
+    pair (``MISSED``) is lost by either. Bounded by the ``PREFIX`` described pivots and by one."""
+    x = units[:TURNED]
+    centred = x - x.mean(axis=0)
+    side = np.roll(centred, 1, axis=0) - centred
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    norm = np.linalg.norm(side, axis=1)
+    some = norm > 1e-9
+    if not some.any():  # copies of one vector: nothing to turn towards
+        return min(LISTS, len(pivots)), SHARED
+    x, side = x[some], side[some] / norm[some][:, None]
+    sent = pivots.astype(np.float32)
+    a, b = nearest(x, sent), nearest(threshold * x + np.sqrt(max(0.0, 1 - threshold * threshold)) * side, sent)
+    same = a[:, :, None] == b[:, None, :]
+    shared = min(SHARED, max(1, int(np.quantile(same.sum(axis=(1, 2)), MISSED))))
+    for lists in range(min(LISTS, a.shape[1]), a.shape[1]):
+        if same[:, :lists, :lists].any(axis=(1, 2)).mean() >= 1 - MISSED:
+            return lists, shared
+    return a.shape[1], shared
+
+
+def _described(nodes: DataFrame, pivots: dict[int, np.ndarray], lists: dict[int, int]) -> DataFrame:
+    """``nodes`` with ``prefix``, packed numbers of the nearest pivots in order, and ``posts``, how many of them
+    have lists that the vector is posted in."""
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in nodes.schema)
     sent = {k: v.astype(np.float32) for k, v in pivots.items()}
 
@@ -79,31 +137,32 @@ def _described(nodes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
             size = b.column(b.schema.get_field_index("size")).to_numpy()
             raw = b.column(b.schema.get_field_index("vec")).to_pylist()
             prefix = [np.zeros(1, "<i2").tobytes()] * len(raw)  # a length without pivots: one list for all
+            posts = np.ones(len(raw), np.int32)
             for d in np.unique(size):
                 if int(d) not in sent:
                     continue
                 at = np.flatnonzero(size == d)
                 x = np.frombuffer(b"".join([raw[i] for i in at]), "<f8").reshape(len(at), d)
-                near = x / np.abs(x).max(axis=1, keepdims=True)
-                near = near.astype(np.float32) @ sent[int(d)].T
-                m = min(PREFIX, near.shape[1])
-                top = np.argpartition(-near, m - 1, axis=1)[:, :m]
-                order = np.argsort(-np.take_along_axis(near, top, 1), axis=1, kind="stable")
-                for i, p in zip(at, np.take_along_axis(top, order, 1).astype("<i2")):
+                posts[at] = lists[int(d)]
+                for i, p in zip(at, nearest(x / np.abs(x).max(axis=1, keepdims=True), sent[int(d)])):
                     prefix[i] = p.tobytes()
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(prefix, pa.binary())], [*b.schema.names, "prefix"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(prefix, pa.binary()), pa.array(posts)],
+                                             [*b.schema.names, "prefix", "posts"])
+
+    return nodes.mapInArrow(tidy(run), f"{fields}, prefix binary, posts int")
 
-    return nodes.mapInArrow(tidy(run), f"{fields}, prefix binary")
 
+def _links(block, x, prefix, pivot, cross: bool, threshold: float, lists: int, shared: int):
+    """Links of one cell: pairs (i, j) of its rows.
 
-def _links(ids, block, mult, x, prefix, pivot, cross: bool, threshold: float):
-    """Links of one cell: pairs (i, j) of its rows."""
+    Shared pivots are counted by a product over ``FOLD`` folded pivot numbers, which never counts too few; pairs
+    that pass it and the cosine are counted again one by one."""
+    n, shared = len(x), min(shared, prefix.shape[1])
     norm = np.sqrt((x * x).sum(axis=1))
-    a, b = (np.flatnonzero(block == k) for k in (block.min(), block.max())) if cross else (np.arange(len(ids)),) * 2
-    width = int(prefix.max()) + 1
-    bits = np.zeros((len(ids), width), np.float32)
-    np.put_along_axis(bits, prefix.astype(np.int64), 1, axis=1)
-    near = bits[a] @ bits[b].T >= min(SHARED, prefix.shape[1])
+    a, b = (np.flatnonzero(block == k) for k in (block.min(), block.max())) if cross else (np.arange(n),) * 2
+    slot = np.arange(n)[:, None] * FOLD + prefix.astype(np.int64) % FOLD
+    counts = np.bincount(slot.ravel(), minlength=n * FOLD).reshape(n, FOLD).astype(np.float32)
+    near = counts[a] @ counts[b].T >= shared
     if not cross:
         near = np.triu(near, 1)
     i, j = np.nonzero(near)
@@ -113,9 +172,10 @@ def _links(ids, block, mult, x, prefix, pivot, cross: bool, threshold: float):
         p, q = i[k:k + (1 << 15)], j[k:k + (1 << 15)]
         cos = (x[p] * x[q]).sum(axis=1) / (norm[p] * norm[q])
         p, q = p[cos >= threshold], q[cos >= threshold]
-        lists = prefix[p][:, :LISTS, None] == prefix[q][:, None, :LISTS]
-        first = np.where(lists.any(axis=2), prefix[p][:, :LISTS], np.iinfo(np.int16).max).min(axis=1)
-        out.append((p[first == pivot], q[first == pivot]))
+        same = prefix[p][:, :, None] == prefix[q][:, None, :]
+        enough = same.sum(axis=(1, 2)) >= shared
+        first = np.where(same[:, :lists, :lists].any(axis=2), prefix[p][:, :lists], np.iinfo(np.int16).max).min(axis=1)
+        out.append((p[enough & (first == pivot)], q[enough & (first == pivot)]))
     return [np.concatenate(c) for c in zip(*out)] if out else (np.zeros(0, int), np.zeros(0, int))
 
 
@@ -134,15 +194,16 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
     return [(int(label[k]), k) for k in np.flatnonzero(label != np.arange(n)).tolist()]
 
 
-def _search(threshold: float):
-    """Cells in, rows (u, v, links) out: edges of a spanning forest (links 0), and (id, id, links)."""
+def _search(threshold: float, chosen: dict[int, tuple[int, int]]):
+    """Cells in, rows (u, v, links) out: edges of a spanning forest (links 0), and (id, id, links).
+    ``chosen``: the settings of each length that has pivots."""
     def solve(rows):
         ids, block, mult, pivot, cross, vec, prefix = zip(*rows)
         ids, mult = np.array(ids), np.array(mult)
         x = np.frombuffer(b"".join(vec), "<f8").reshape(len(ids), -1)
         x = x / np.abs(x).max(axis=1, keepdims=True)
         p = np.frombuffer(b"".join(prefix), "<i2").reshape(len(ids), -1)
-        i, j = _links(ids, np.array(block), mult, x, p, pivot[0], cross[0], threshold)
+        i, j = _links(np.array(block), x, p, pivot[0], cross[0], threshold, *chosen.get(x.shape[1], (1, 1)))
         if not len(i):
             return None
         count = np.zeros(len(ids), np.int64)
@@ -179,14 +240,19 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93) -> DataFrame:
     valid = written(_vectors(rows).where("vec_id is not null").withColumn("h", F.md5("vec")), "vectors")
     nodes = (valid.groupBy("label", "h").agg(F.min("vec_id").alias("id"), F.count("*").alias("mult"),
                                              F.first("vec").alias("vec"), F.first("size").alias("size")))
-    sample = lowest(valid.select("vec", "size", F.xxhash64("vec_id").alias("r")), valid.count(), SAMPLE, "r", "vec")
+    total = valid.count()
+    wanted = min(MOST, max(PIVOTS, total // ROWS))
+    sample = lowest(valid.select("vec", "size", F.xxhash64("vec_id").alias("r")), total, DRAWN * wanted, "r", "vec")
     of: dict[int, list[np.ndarray]] = {}
     for r in sample:
         v = np.frombuffer(bytes(r["vec"]), "<f8")
-        of.setdefault(r["size"], []).append(v / np.abs(v).max())
-    pivots = {k: choose_pivots(v) for k, v in of.items()}
-    index = written(_described(nodes, pivots), "pivot-index")
-    lists = F.array_distinct(F.transform(F.sequence(F.lit(0), F.least(F.octet_length("prefix") / 2, F.lit(LISTS)).cast("int") - 1),
+        v = v / np.abs(v).max()
+        of.setdefault(r["size"], []).append(v / np.linalg.norm(v))
+    units = {k: np.vstack(v) for k, v in of.items()}
+    pivots = {k: choose_pivots(v, wanted, _apart(v, threshold)) for k, v in units.items()}
+    chosen = {k: settings(v, pivots[k], threshold) for k, v in units.items()}
+    index = written(_described(nodes, pivots, {k: v[0] for k, v in chosen.items()}), "pivot-index")
+    lists = F.array_distinct(F.transform(F.sequence(F.lit(0), F.col("posts") - 1),
                                          lambda k: F.substring("prefix", 2 * k + 1, 2)))
     posted = index.select("label", "size", F.explode(lists).alias("pivot"), "id", "mult", "vec", "prefix")
     keys = ["label", "size", "pivot"]
@@ -202,7 +268,7 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93) -> DataFrame:
                            "vec", "prefix")
              .withColumn("x", F.col("a") != F.col("b"))
              .repartition(partitions(spark), *keys, "a", "b").sortWithinPartitions(*keys, "a", "b", "id"))
-    found = written(cells.mapInArrow(tidy(_search(threshold)), "u bigint, v bigint, links bigint"), "pivot-links")
+    found = written(cells.mapInArrow(tidy(_search(threshold, chosen)), "u bigint, v bigint, links bigint"), "pivot-links")
     counts = found.where("links > 0").groupBy(F.col("u").alias("id")).agg(F.sum("links").alias("links"))
     groups = components(found.where("links = 0")).withColumnRenamed("node", "id")
     named = (nodes.select("label", "h", "id", "mult").join(counts, "id", "left").join(groups, "id", "left")
