@@ -14,8 +14,8 @@ WINDOW_SLICE_MAX = 1_000_000
 
 # Width of the bands of values whose exponentials are summed together (grouped
 # form). A value lies within half a width of its band's middle, so an exponential is
-# between e^-32 and e^32 and neither overflows nor vanishes in any sum.
-BAND = 64.0
+# between e^-64 and e^64 and neither overflows nor vanishes in any sum.
+BAND = 128.0
 
 
 def softmax(a: Cells, axis: int = -1, method: str = "auto") -> Cells:
@@ -45,10 +45,9 @@ def _grouped(a: Cells, axis: int, keys: list[str]) -> DataFrame:
 
     Each value belongs to the band of width ``BAND`` nearest to it, and ``exp(v - middle)`` is
     summed per slice and band: a mergeable sum that needs no maximum beforehand, reduced in each task
-    before the shuffle. A slice's sum is that of its bands, scaled to the middle of its top band; bands
-    more than twelve below it vanish in a double, as they do after subtracting the maximum. Values within
-    ``BAND / 2`` of zero are not shifted at all. The bands of a slice (its range over 64) meet in
-    one task through a window, which spills.
+    before the shuffle. A slice's sum is that of its top band and the one below: anything lower is
+    under e^-128 of the sum. Neighbouring bands differ in parity, so the top even and the top odd
+    band hold both. Values within ``BAND / 2`` of zero are not shifted at all.
     """
     n_slices = prod(tuple(s for d, s in enumerate(a.shape) if d != axis))
     cells = a.df if keys else a.df.withColumn("_z", F.lit(0))  # a vector is one slice
@@ -57,9 +56,13 @@ def _grouped(a: Cells, axis: int, keys: list[str]) -> DataFrame:
     # exp(-inf) is 0; written out, as the band of -inf has no middle
     e = F.when(v == float("-inf"), F.lit(0.0)).otherwise(F.exp(v - F.col("_b") * BAND))
     parts = cells.select(*keys, "value", band.alias("_b")).groupBy(*keys, "_b").agg(F.sum(e).alias("_s"))
-    top = parts.withColumn("_top", F.max("_b").over(Window.partitionBy(*keys)))
-    sums = top.groupBy(*keys).agg((F.max("_top") * BAND).alias("_m"),
-                                  F.sum(F.col("_s") * F.exp((F.col("_b") - F.col("_top")) * BAND)).alias("_t"))
+    odd = F.coalesce(F.abs(F.col("_b") % 2) == 1, F.lit(False))  # not NaN, NULL and infinities
+    tops = parts.groupBy(*keys).agg(F.max(F.when(odd, F.struct("_b", "_s"))).alias("_odd"),
+                                    F.max(F.when(~odd, F.struct("_b", "_s"))).alias("_even"))
+    tops = tops.withColumn("_top", F.greatest("_odd._b", "_even._b"))
+    scaled = [F.coalesce(F.col(f"{p}._s") * F.exp((F.col(f"{p}._b") - F.col("_top")) * BAND), F.lit(0.0))
+              for p in ("_odd", "_even")]
+    sums = tops.select(*keys, (F.col("_top") * BAND).alias("_m"), (scaled[0] + scaled[1]).alias("_t"))
     return cells.join(maybe_broadcast(sums, n_slices), keys).select(
         *a.coords, (F.exp(v - F.col("_m")) / F.col("_t")).alias("value"))
 

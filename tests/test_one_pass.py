@@ -79,7 +79,7 @@ def test_bands_equal_the_maximum_form(spark, spread):
 
 
 def test_bands_at_their_edges(spark):
-    x = np.array([[31.999999, 32.0, 32.000001], [-32.0, 96.0, 95.999], [0.0, -0.0, 64.0], [-1e-20, -800.0, -744.0]])
+    x = np.array([[31.999999, 32.0, 32.000001], [-32.0, 96.0, 95.999], [0.0, -0.0, 64.0], [-1e-20, -800.0, -744.0], [63.999, 64.0, 192.0], [-64.0, -64.001, 0.0]])
     assert np.allclose(dense(softmax.softmax(cells(spark, x), 1, method="grouped")), _want(x, 1), rtol=1e-12)
 
 
