@@ -35,8 +35,8 @@ END_ID = 0
 KEPT_WORDS = 300_000
 #: Branches looked at for one filling before sums of bits give the best one.
 BRANCHES = 4000
-#: Sequences tried, and branches looked at in all, in the search for a plan below the incumbent; README gives the gap
-#: that this leaves.
+#: Fillings tried, and branches looked at in all, in one search for a plan below the incumbent, whatever the number of
+#: sequences; README gives the gap that this leaves.
 NODES, WORK = 4000, 40_000
 #: What sends a word the tokenizer's whole way; its lower case may lie in either range.
 _ODD = regex.compile("[\u0250-\U0010ffff\u0130]|<\\|")
@@ -300,27 +300,30 @@ def undominated(counts: np.ndarray, room: int, most_waste: int, branches: int |
     return sorted(out, key=lambda x: x[0])
 
 
-def improved(counts: dict[int, int], capacity: int, fewest: int, bound: int) -> list[dict[int, int]] | None:
-    """Sequences (length: how often) fewer than ``fewest``, by branch and bound, or None if there are none (or none within
-    ``NODES`` sequences tried). Each branch fills a sequence around the largest piece left; a branch ends when the
-    waste so far is more than any plan with one sequence less could have."""
+def fewer(counts: dict[int, int], capacity: int, fewest: int) -> list[tuple[dict[int, int], int]] | None:
+    """Fillings (length: how often) with the number of sequences that take them, together fewer sequences than ``fewest``,
+    by branch and bound, or None if there are none (or none within ``NODES`` fillings tried and ``WORK`` branches). Each
+    branch fills a sequence around the largest piece left, as often as the counts allow, half as often and so on
+    down to once, so a way to the end does not grow with the number of pieces; a branch ends when the waste so far is
+    more than any plan with one sequence less could have."""
     left = np.zeros(capacity + 1, np.int64)
     for size, c in counts.items():
         left[size] = c
     total = int((left * np.arange(capacity + 1)).sum())
     allowed = (fewest - 1) * capacity - total
-    if fewest <= bound or allowed < 0 or bound > NODES:
+    if allowed < 0:
         return None
-    stack, chosen, looked, spent = [({}, 0, 0)], [], 0, []
+    stack, chosen, looked, spent = [({}, 0, 0, 0)], [], 0, []
     while stack and looked < NODES and sum(spent) < WORK:
-        use, depth, waste = stack.pop()
+        use, times, depth, waste = stack.pop()
         while len(chosen) > depth:
-            for size, k in chosen.pop().items():
-                left[size] += k
+            undone, n = chosen.pop()
+            for size, k in undone.items():
+                left[size] += k * n
         if use:
             for size, k in use.items():
-                left[size] -= k
-            chosen.append(use)
+                left[size] -= k * times
+            chosen.append((use, times))
         looked += 1
         kinds = np.flatnonzero(left)
         if not len(kinds):
@@ -333,10 +336,45 @@ def improved(counts: dict[int, int], capacity: int, fewest: int, bound: int) ->
             use = {top: 1}
             for size, k in lengths:
                 use[size] = use.get(size, 0) + k
-            stack.append((use, len(chosen), waste + lost))
+            most = min(int(left[size]) // k for size, k in use.items())
+            if lost:
+                most = min(most, (allowed - waste) // lost)
+            for halved in range(most.bit_length() - 1, -1, -1):
+                stack.append((use, most >> halved, len(chosen), waste + lost * (most >> halved)))
     return None
 
 
+def improved(counts: dict[int, int], capacity: int, fewest: int, bound: int) -> list[dict[int, int]] | None:
+    """The sequences of :func:`fewer` one by one, if ``fewest`` lies above the lower bound."""
+    found = fewer(counts, capacity, fewest) if fewest > bound else None
+    return None if found is None else [use for use, times in found for _ in range(times)]
+
+
+def shortened(steps: list[tuple[dict[int, int], int]], capacity: int) -> list[tuple[dict[int, int], int]] | None:
+    """A plan with fewer sequences than ``steps``, or None: its last sequences are searched anew, 4 of them, then 16 and so
+    on up to all, for the waste of best fillings lies at the end."""
+    n, window = sum(times for _, times in steps), 4
+    while True:
+        head, tail, room = list(steps), [], min(window, n)
+        while room:
+            use, times = head.pop()
+            taken = min(times, room)
+            tail.append((use, taken))
+            if times > taken:
+                head.append((use, times - taken))
+            room -= taken
+        counts: dict[int, int] = {}
+        for use, times in tail:
+            for size, k in use.items():
+                counts[size] = counts.get(size, 0) + k * times
+        found = fewer(counts, capacity, min(window, n))
+        if found is not None:
+            return head + found
+        if window >= n:
+            return None
+        window *= 4
+
+
 def _all_below(counts: np.ndarray, sizes: list[int], at: int, enough: int) -> int:
     """Sum of all pieces from place ``at`` on, as far as it matters."""
     total = 0
@@ -359,37 +397,39 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     spare = (bound * capacity - total) // max(bound, 1)
     best, fewest = [], None
     for allowance in dict.fromkeys((0, spare, 2 * spare, 4 * spare, 8, 32)):
-        rows, used = _plan(counts, capacity, allowance)
+        steps = _plan(counts, capacity, allowance)
+        used = sum(times for _, times in steps)
         if fewest is None or used < fewest:
-            best, fewest = rows, used
+            best, fewest = steps, used
         if fewest <= bound:
-            return best
-    while fewest is not None and fewest > bound:
-        better = improved(counts, capacity, fewest, bound)
+            return _as_rows(best)
+    while fewest > bound:
+        better = shortened(best, capacity)
         if better is None:
             break
-        best, fewest = _as_rows(better), len(better)
-    return best
+        best, fewest = better, sum(times for _, times in better)
+    return _as_rows(best)
 
 
-def _as_rows(sequences: list[dict[int, int]]) -> list[tuple[int, int, int, int, int, int]]:
-    """The plan rows of sequences given one by one."""
-    rows, used = [], {}
-    for number, uses in enumerate(sequences):
+def _as_rows(steps: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """The plan rows of fillings and the number of sequences that take them."""
+    rows, used, sequence = [], {}, 0
+    for uses, times in steps:
         at = 0
         for size, k in uses.items():
             lo = used.get(size, 0)
-            rows.append((size, lo, lo + k, number, k, at))
-            used[size] = lo + k
+            rows.append((size, lo, lo + k * times, sequence, k, at))
+            used[size] = lo + k * times
             at += k * size
+        sequence += times
     return rows
 
 
-def _plan(counts: dict[int, int], capacity: int, spare: int) -> tuple[list[tuple[int, int, int, int, int, int]], int]:
+def _plan(counts: dict[int, int], capacity: int, spare: int) -> list[tuple[dict[int, int], int]]:
     left = np.zeros(capacity + 1, np.int64)
     for size, c in counts.items():
         left[size] = c
-    used, rows, sequence = np.zeros(capacity + 1, np.int64), [], 0
+    steps = []
     for size in range(capacity, 0, -1):
         while left[size]:
             left[size] -= 1
@@ -399,14 +439,10 @@ def _plan(counts: dict[int, int], capacity: int, spare: int) -> tuple[list[tuple
             for s, k in rest:
                 uses[s] = uses.get(s, 0) + k
             times = min(int(left[s]) // k for s, k in uses.items())
-            at = 0
             for s, k in uses.items():
-                rows.append((s, int(used[s]), int(used[s]) + k * times, sequence, k, at))
-                used[s] += k * times
                 left[s] -= k * times
-                at += k * s
-            sequence += times
-    return rows, sequence
+            steps.append((uses, times))
+    return steps
 
 
 def pack(docs: DataFrame, tokenizer: Callable[[], str] = public_path, capacity: int = CAPACITY) -> DataFrame:

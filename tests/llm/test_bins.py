@@ -65,3 +65,19 @@ def test_dominated_fillings_are_left_out():
     # 7 may stand for 3 and 4 together, and any less full one may take more
     assert [x for _, x in packing.undominated(counts, 7, 7)] == [[(7, 1)]]
     assert [w for w, _ in packing.undominated(counts, 10, 10)] == [0]
+
+
+def test_search_does_not_depend_on_the_number_of_sequences():
+    """The same search below the incumbent, whether 14 sequences are left or 5000 full ones stand beside them."""
+    counts = {7: 2, 8: 1, 11: 1, 13: 2, 14: 4, 15: 2, 16: 1, 17: 3, 19: 4, 20: 1, 24: 3, 25: 1, 26: 2, 27: 2, 28: 1, 31: 1,
+              33: 1, 35: 1}
+    assert used(packing.plan(counts, 50)) == 13
+    assert used(packing.plan({**counts, 50: 5000}, 50)) == 5013
+    many = {6: 4000, 5: 4000, 4: 8000, 3: 4000, 2: 4000}
+    found = packing.improved(many, 12, 8002, 8000)
+    assert found is not None and len(found) <= 8001
+    total = Counter()
+    for use, times in packing.fewer(many, 12, 8002):
+        assert sum(size * k for size, k in use.items()) <= 12
+        total.update({size: k * times for size, k in use.items()})
+    assert total == Counter(many)
