@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kep
 but the last return the columns of ``documents``. Between stages the rows are written as
 Parquet to the shared folder and read again.
 
-1. language: texts in no language (null, or without a letter) go.
+1. language: texts in no language (null, or without a letter) go; the others carry the network's language in ``lang``,
+   which the mixing weighs by.
 2. near_duplicates: of each group the document with the smallest id stays; documents are linked
 at a similarity of 0.85 or more, as in op2.
 3. repeats: bytes of 50-byte strings that an earlier document has go; documents of which nothing

@@ -276,18 +276,20 @@ def predict(docs: DataFrame, network: Network | None, *keep: str) -> DataFrame:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, lang and any others) without the rows that are in no language; a
-    network is trained on the labelled rows not held out. Without labels, rows with a letter stay."""
+    """``docs`` (doc_id, text, lang and any others) with the network's language of each text in ``lang``, without the rows
+    that are in no language; the network is trained on the labelled rows not held out. Without labels, rows with a letter
+    stay as they are."""
     network = train(docs.where(~held_out()))
     if network is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
 
-    def known(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def named(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for t in texts:
-            yield pa.array([x != UNDECIDED for x in _verdicts(network, *text_bytes(t))[0]])
+            yield pa.array(_verdicts(network, *text_bytes(t))[0], pa.string())
 
-    # only the texts go to Python, and only the verdicts come back
-    return docs.where(F.arrow_udf(known, "boolean")(F.col("text").cast("string")))
+    # only the texts go to Python, and only the verdicts come back; a plain function would be run a second time in the filter
+    language = F.arrow_udf(named, "string").asNondeterministic()(F.col("text").cast("string"))
+    return docs.withColumn("lang", language).where(F.col("lang") != UNDECIDED)
 
 
 def report(docs: DataFrame) -> DataFrame:
