@@ -34,6 +34,11 @@ ROUNDS = 2
 #: The narrowest type of a feature number.
 _SMALL = np.uint16 if FEATURES <= 1 << 16 else np.int32
 BATCH = 1 << 15
+#: Sums up to here have exponentials of floats that can be added up and divided by.
+SAFE = 60.0
+#: Rows of a run that are added up together with those of the other runs.
+SIDE_BY_SIDE = 8
+_ONES = np.ones(CLASSES, np.float32)
 RATE = 0.5
 CHUNK = 1 << 20
 END = np.uint64(0x5EED)
@@ -83,21 +88,45 @@ def features(word: np.ndarray, cls: np.ndarray, place: np.ndarray) -> np.ndarray
 
 
 def _sums(weights: np.ndarray, feats: np.ndarray) -> np.ndarray:
-    """Feature sums of the classes, (token, class), the largest of a token 0."""
+    """Feature sums of the classes, (token, class), shifted by a token's largest where a float's exponential could leave its
+    range; the shift does not change a softmax."""
     z = np.take(weights, feats[:, 0], axis=0)
     for k in range(1, feats.shape[1]):
         z += np.take(weights, feats[:, k], axis=0)
-    z -= z.max(axis=1, keepdims=True)
+    if z.size and max(z.max(), -z.min()) > SAFE:
+        z -= z.max(axis=1, keepdims=True)
     return z
 
 
 def class_logs(weights: np.ndarray, feats: np.ndarray) -> np.ndarray:
     """Natural log probabilities of the classes, (token, class)."""
     z = _sums(weights, feats)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    z -= np.log(np.exp(z) @ _ONES)[:, None]
     return z
 
 
+def _totals(g: np.ndarray, order: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first place, size, sum of the rows of ``g``) of the runs of ``order`` that begin at ``cut``, long ones first. Most runs
+    are short: the first rows of all runs are added up side by side, only what lies beyond is summed run by run."""
+    size = np.diff(np.append(cut, len(order)))
+    by = np.argsort((len(order) - size).astype(_SMALL), kind="stable")
+    first, size = cut[by], size[by]
+    total = np.take(g, order[first], axis=0)
+    longer = np.searchsorted(-size, -np.arange(SIDE_BY_SIDE + 1), "left")  # runs of more than 0, 1, ... rows
+    for p in range(1, SIDE_BY_SIDE):
+        if longer[p]:
+            total[:longer[p]] += np.take(g, order[first[:longer[p]] + p], axis=0)
+    n = longer[SIDE_BY_SIDE]
+    if n:
+        rest = size[:n] - SIDE_BY_SIDE
+        start = np.cumsum(rest) - rest
+        at = np.repeat(first[:n] + SIDE_BY_SIDE - start, rest) + np.arange(rest.sum())
+        # two classes at a time: a complex sum is that of its parts
+        rows = np.take(g, order[at], axis=0).view(np.complex64)
+        total[:n] += np.add.reduceat(rows, start, axis=0).view(np.float32)
+    return first, size, total
+
+
 class Steps:
     """Gradient steps over token batches from given weights."""
 
@@ -112,22 +141,29 @@ class Steps:
             f, c = feats[i:i + BATCH], cls[i:i + BATCH]
             g = _sums(self.w, f)
             np.exp(g, out=g)
-            g /= g.sum(axis=1, keepdims=True)
+            g *= (1 / (g @ _ONES))[:, None]
             g[np.arange(len(c)), c] -= 1
             # the bias is the same feature everywhere: one sum
-            self._move(f[:1, 0], g.sum(axis=0, keepdims=True), np.full(1, len(c), np.float32))
+            self._move(f[:1, 0], np.ones((1, len(c)), np.float32) @ g, np.full(1, len(c), np.float32))
             for k in range(1, f.shape[1]):
                 # numbers of 16 bits are sorted by radix
                 order = np.argsort(f[:, k].astype(_SMALL), kind="stable")
                 ids = f[order, k]
                 cut = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-                total = np.add.reduceat(np.take(g, order, axis=0), cut, axis=0)
-                self._move(ids[cut], total, np.diff(np.append(cut, len(ids))).astype(np.float32))
+                at, count, total = _totals(g, order, cut)
+                self._move(ids[at], total, count.astype(np.float32))
 
     def _move(self, row: np.ndarray, total: np.ndarray, count: np.ndarray) -> None:
-        total = total / np.sqrt(count)[:, None]
-        self.squares[row] += total * total
-        self.w[row] -= RATE * total / np.sqrt(self.squares[row])
+        total /= np.sqrt(count)[:, None]
+        squares = np.take(self.squares, row, axis=0)
+        squares += total * total
+        self.squares[row] = squares
+        np.sqrt(squares, out=squares)
+        total *= np.float32(RATE)
+        total /= squares
+        moved = np.take(self.w, row, axis=0)
+        moved -= total
+        self.w[row] = moved
         self.used[row] += count
 
     def blocks(self):
