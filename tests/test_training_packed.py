@@ -34,3 +34,25 @@ def test_an_epoch_reads_packed_rows(spark, monkeypatch):
     df = spark.range(3000).select(F.rand(1).alias("a"), (F.col("id") % 3).cast("int").alias("label"), "id").repartition(3, "id")
     metrics, _ = mlp.mlp_train(df, df, ["a"], "label", hidden=4, epochs=2, eval_every=2, seed=1, row_hash="id", dropout=0.1)
     assert seen and max(seen) <= 2 * spark.sparkContext.defaultParallelism and metrics.count() == 1
+
+
+def test_csv_lines_are_parsed_once(spark, monkeypatch):
+    """Statistics, split and epochs of the whole program read the persisted rows, not the lines again."""
+    from matrix_help import SF001
+
+    from tessera.plans import suite
+    seen, plain = spark.sparkContext.accumulator(0), suite.csv.read_labeled_csv
+
+    def counted(*a, **k):
+        samples, rejects = plain(*a, **k)
+
+        def run(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        return samples.mapInArrow(run, samples.schema), rejects
+
+    monkeypatch.setattr(suite.csv, "read_labeled_csv", counted)
+    suite.q_train_from_csv(spark, SF001, epochs=1, eval_every=1)
+    assert seen.value == spark.read.parquet(f"{SF001}/lineitem.parquet").count()
