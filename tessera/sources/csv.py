@@ -88,7 +88,8 @@ def split_labeled(raw: DataFrame, n_features: int = 4, label_map: dict[str, int]
         raise ValueError("read_labeled_csv: bad mode")
     label_map = IRIS_LABELS if label_map is None else label_map
     id_c, feat_c, label_c = "id", [f"c{i}" for i in range(n_features)], "label_name"
-    label_txt = F.regexp_replace(F.col(label_c), r"[\r\n]+$", "")
+    breaks = F.contains(F.col(label_c), F.lit("\r")) | F.contains(F.col(label_c), F.lit("\n"))
+    label_txt = F.when(breaks, F.regexp_replace(F.col(label_c), r"[\r\n]+$", "")).otherwise(F.col(label_c))
     feats = [_parse_number(F.col(c), bad_number).alias(f"f{i}") for i, c in enumerate(feat_c)]
     empty = [F.col(c).isNull() | (F.trim(F.col(c)) == "") for c in feat_c]
     line = F.coalesce("_corrupt", F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in (id_c, *feat_c, label_c)]))

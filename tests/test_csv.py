@@ -67,3 +67,15 @@ def test_broken_lines_of_several_files(spark, tmp_path):
     assert len(lines) > 1 and sum(map(len, lines)) == li.count() + len(lines)
     assert all(x[0] == "id,a,b,c,d,name" and "id,a,b,c,d,name" not in x[1:] for x in lines)
     assert not any('"' in line for x in lines for line in x)
+
+
+def test_line_breaks_end_a_label_only(spark):
+    """Trailing breaks are cut, those inside stay; a label without any is taken as it is."""
+    from tessera.sources.csv import split_labeled
+    names = ["x", "x\r", "x\r\n\r", "x\ny", "x\ry\n", "\r\n", "", None]
+    raw = spark.createDataFrame([(str(i), "1", n, None) for i, n in enumerate(names)],
+                                "id string, c0 string, label_name string, _corrupt string")
+    samples, rejects = split_labeled(raw, 1, {"x": 4})
+    got = {int(r["id"]): (r["label_name"], r["label"]) for r in samples.collect()}
+    assert got == {0: ("x", 4), 1: ("x", 4), 2: ("x", 4), 3: ("x\ny", -1), 4: ("x\ry", -1)}
+    assert {(r["id"], r["reason"]) for r in rejects.collect()} == {(i, "missing label") for i in "567"}

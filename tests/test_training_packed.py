@@ -56,3 +56,47 @@ def test_csv_lines_are_parsed_once(spark, monkeypatch):
     monkeypatch.setattr(suite.csv, "read_labeled_csv", counted)
     suite.q_train_from_csv(spark, SF001, epochs=1, eval_every=1)
     assert seen.value == spark.read.parquet(f"{SF001}/lineitem.parquet").count()
+
+
+def test_flagged_rows_are_packed_in_one_pass(spark):
+    """Training and validation rows of one table: it is read once and released, the numbers are those of two tables."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(3000).select(F.rand(1).alias("a"), (F.col("id") % 3).cast("int").alias("label"), "id",
+                                  (F.col("id") % 5 > 0).alias("known")).repartition(3, "id")
+    counted = df.mapInArrow(run, df.schema)
+    source = df.select("id").persist()
+    source.count()
+    how = dict(hidden=4, epochs=3, eval_every=1, seed=1, row_hash="id", dropout=0.1)
+    flagged, _ = mlp.mlp_train(counted, "known", ["a"], "label", persist=False, source=source, **how)
+    assert seen.value == 3000 and not source.is_cached
+    two, _ = mlp.mlp_train(df.filter("known"), df.filter("NOT known"), ["a"], "label", **how)
+    a, b = ([tuple(r) for r in t.orderBy("epoch").collect()] for t in (flagged, two))
+    assert len(a) == 3 and np.allclose(a, b, rtol=1e-12, atol=0)
+
+
+def test_a_step_reuses_its_arrays():
+    """One set of arrays for steps of other lengths, with the numbers of fresh ones."""
+    rng, scratch = np.random.default_rng(2), mlp.Scratch()
+    P = [rng.normal(size=s) for s in ((4, 16), 16, (16, 3), 3)]
+    for n in (900, 7, 901):
+        X, y, h = rng.normal(size=(n, 4)), rng.integers(-1, 3, n), rng.integers(-2 ** 62, 2 ** 62, n)
+        for scale in (False, True):
+            got = mlp.forward_backward(X, y, h, P, 0.3, 5, 1, scale, scratch=scratch)
+            fresh = mlp.forward_backward(X, y, h, P, 0.3, 5, 1, scale)
+            assert got[:2] == fresh[:2] and all((g == f).all() for g, f in zip(got[3], fresh[3]))
+    assert {c.size for c in scratch.values()} == {16 * 901, 3 * 901}
+
+
+def test_large_gradients_are_added_by_spark(spark, monkeypatch):
+    df = spark.range(2000).select(F.rand(1).alias("a"), (F.col("id") % 3).cast("int").alias("label"), "id").repartition(3, "id")
+    how = dict(hidden=4, epochs=3, eval_every=1, seed=1, row_hash="id", dropout=0.1)
+    few = mlp.mlp_train(df, df, ["a"], "label", **how)[0].orderBy("epoch").collect()
+    monkeypatch.setattr(mlp, "DRIVER_REDUCE_MAX", 1)
+    many = mlp.mlp_train(df, df, ["a"], "label", **how)[0].orderBy("epoch").collect()
+    assert np.allclose([tuple(r) for r in few], [tuple(r) for r in many], rtol=1e-12, atol=0)
